@@ -110,7 +110,7 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rules = P.DEFAULT_RULES,
-                  cosine_mode: str = "auto", transitive: bool | None = None) -> DataFrame:
+                  cosine_mode: str = "auto", transitive: bool | None = None, return_tables: bool = False):
     """L1 -> L2 -> L3 -> counts. Returns the surviving rows of ``df`` with
     ``story_id`` and ``corroboration_count``.
 
@@ -143,7 +143,10 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
                            F.coalesce(F.col("corroboration_count"), F.lit(1)).cast("bigint")
                            .alias("corroboration_count")))
     surv_keys = _cut(surv_keys)
-    return df.join(surv_keys, "arr")
+    out = df.join(surv_keys, "arr")
+    if return_tables:
+        return out, {"l1": l1, "l2": l2, "l3": l3, "story_map": smap, "counts": counts, "survivor_keys": surv_keys}
+    return out
 
 
 def story_map(l1: DataFrame, l2: DataFrame, l3: DataFrame, transitive: bool = False) -> DataFrame:

@@ -178,6 +178,21 @@ def primary_country(df: DataFrame, countries=P.COUNTRY_KEYWORDS, other=P.OTHER_C
     return df.withColumn("primary_country", _country_col("ner_entities" in df.columns, countries, other))
 
 
+def keyword_match(df: DataFrame, topics=P.TOPICS) -> DataFrame:
+    """One row (…, domain, keyword) per lexicon keyword contained in the text.
+
+    The lexicon is config-size, so the theta join is an ``explode`` of a literal
+    array followed by a ``contains`` filter inside the same task — no join,
+    no shuffle. (A table-size lexicon would be a broadcast nested-loop join.)
+    """
+    entries = ", ".join(f"named_struct('domain', {sql_lit(d)}, 'keyword', {sql_lit(k)})"
+                        for d, kws, _ in topics for k in kws)
+    out = with_text_lower(df).select("*", F.explode(F.expr(f"array({entries})")).alias("_lex"))
+    out = out.filter(F.contains(F.col(TEXT_LOWER), F.lower(F.col("_lex.keyword"))))
+    return out.select(*df.columns, F.col("_lex.domain").alias("domain_hit"), F.col("_lex.keyword").alias("keyword")) \
+        .withColumnRenamed("domain_hit", "domain" if "domain" not in df.columns else "keyword_domain")
+
+
 def enrich(df: DataFrame, topics=P.TOPICS, gazetteer=(), tagger=None,
            countries=P.COUNTRY_KEYWORDS, keep_text_lower: bool = False) -> DataFrame:
     """A31–A37 as three projections, no shuffle.
