@@ -34,21 +34,38 @@ def sql_lit(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _contains_count_sql(text: str, words: list[str]) -> str:
+def jvm_cond(w: str) -> str:
+    """``w`` occurs in the lower-cased text (one JVM scan per pattern)."""
+    return f"contains({TEXT_LOWER}, {sql_lit(w)})"
+
+
+def _count_sql(cond, words: list[str]) -> str:
     if not words:
         return "0"
-    return "(" + " + ".join(f"CASE WHEN contains({text}, {sql_lit(w.lower())}) THEN 1 ELSE 0 END"
-                            for w in words) + ")"
+    return "(" + " + ".join(f"CASE WHEN {cond(w.lower())} THEN 1 ELSE 0 END" for w in words) + ")"
 
 
-def _any_contains_sql(text: str, words: list[str]) -> str:
+def _any_sql(cond, words: list[str]) -> str:
     if not words:
         return "false"
-    return "(" + " OR ".join(f"contains({text}, {sql_lit(w)})" for w in words) + ")"
+    return "(" + " OR ".join(cond(w) for w in words) + ")"
+
+
+def _full_text_patterns(topics, major, regional) -> list[str]:
+    """Every pattern tested against the whole lower-cased text, deduplicated, in first-seen order."""
+    seen: dict[str, None] = {}
+    for _, kws, themes in topics:
+        for k in kws:
+            seen.setdefault(k.lower(), None)
+        for th in themes:
+            seen.setdefault(th.lower().replace("_", " "), None)
+    for a in list(major) + list(regional):
+        seen.setdefault(a, None)
+    return list(seen)
 
 
-def _counts_cols(topics) -> list[Column]:
-    return [F.expr(_contains_count_sql(TEXT_LOWER, kws)).alias(f"_ds_{i}") for i, (_, kws, _) in enumerate(topics)]
+def _counts_cols(topics, cond=jvm_cond) -> list[Column]:
+    return [F.expr(_count_sql(cond, kws)).alias(f"_ds_{i}") for i, (_, kws, _) in enumerate(topics)]
 
 
 def _scores_map_col(topics) -> Column:
@@ -66,13 +83,12 @@ def _route_col(has_domain: bool, topics, default=P.DEFAULT_DOMAIN) -> Column:
             .otherwise(F.lit(default)))
 
 
-def _themes_col(topics) -> Column:
+def _themes_col(topics, cond=jvm_cond) -> Column:
     branches = []
     for d, _, themes in topics:
         if not themes:
             continue
-        items = ", ".join(f"CASE WHEN contains({TEXT_LOWER}, {sql_lit(th.lower().replace('_', ' '))}) "
-                          f"THEN {sql_lit(th)} END" for th in themes)
+        items = ", ".join(f"CASE WHEN {cond(th.lower().replace('_', ' '))} THEN {sql_lit(th)} END" for th in themes)
         branches.append(f"WHEN primary_domain = {sql_lit(d)} THEN array_compact(array({items}))")
     if not branches:
         return F.array().cast("array<string>")
@@ -85,9 +101,9 @@ def _tags_col(mapping) -> Column:
     return F.expr(f"CASE {branches} ELSE CAST(array() AS ARRAY<STRING>) END")
 
 
-def _actor_col(major, regional) -> Column:
-    return F.expr(f"CASE WHEN {_any_contains_sql(TEXT_LOWER, major)} THEN 0.9D "
-                  f"WHEN {_any_contains_sql(TEXT_LOWER, regional)} THEN 0.7D ELSE 0.5D END")
+def _actor_col(major, regional, cond=jvm_cond) -> Column:
+    return F.expr(f"CASE WHEN {_any_sql(cond, major)} THEN 0.9D "
+                  f"WHEN {_any_sql(cond, regional)} THEN 0.7D ELSE 0.5D END")
 
 
 def _entities_col(gazetteer, max_chars, labels, tagger) -> Column:
@@ -194,26 +210,43 @@ def keyword_match(df: DataFrame, topics=P.TOPICS) -> DataFrame:
 
 
 def enrich(df: DataFrame, topics=P.TOPICS, gazetteer=(), tagger=None,
-           countries=P.COUNTRY_KEYWORDS, keep_text_lower: bool = False) -> DataFrame:
+           countries=P.COUNTRY_KEYWORDS, keep_text_lower: bool = False, matcher: str = "auto") -> DataFrame:
     """A31–A37 as three projections, no shuffle.
 
-    Stage 1: lower-cased text + per-domain keyword counts. Stage 2: map,
-    routing, actor, entities. Stage 3: themes, tags, country. Built with
-    ``select`` so the analyzer sees each large expression once.
+    Stage 1 matches every full-text pattern (keywords, theme phrases, actors)
+    in one Aho-Corasick pass (``matcher='auto'``) or with one JVM ``contains``
+    per pattern (``matcher='jvm'``). Stage 2: map, routing, actor, entities.
+    Stage 3: themes, tags, country. Built with ``select`` so the analyzer sees
+    each large expression once.
     """
+    from brieflow.functions.lexicon import HAVE_AC, lexicon_hits
+
     enriched = ["domain_scores", "primary_domain", "gdelt_themes", "pmesii_tags",
                 "actor_significance", "ner_entities", "primary_country"]
     base_cols = [c for c in df.columns if c not in enriched and c != TEXT_LOWER]
-    s1 = df.select(*base_cols, F.lower(article_text()).alias(TEXT_LOWER))
-    s1 = s1.select("*", *_counts_cols(topics))
-    s2 = s1.select(*base_cols, TEXT_LOWER,
+    use_ac = matcher == "ac" or (matcher == "auto" and HAVE_AC)
+    if use_ac:
+        pats = _full_text_patterns(topics, P.MAJOR_ACTORS, P.REGIONAL_ACTORS)
+        ids = {p: i for i, p in enumerate(pats)}
+
+        def cond(w: str) -> str:
+            return f"array_contains(_hits, {ids[w]})"
+
+        s1 = df.select(*base_cols, lexicon_hits(F.lower(article_text()), pats).alias("_hits"))
+        carry = ["_hits"]
+    else:
+        cond = jvm_cond
+        s1 = df.select(*base_cols, F.lower(article_text()).alias(TEXT_LOWER))
+        carry = [TEXT_LOWER]
+    s1 = s1.select("*", *_counts_cols(topics, cond))
+    s2 = s1.select(*base_cols, *carry,
                    _scores_map_col(topics).alias("domain_scores"),
                    _route_col("domain" in base_cols, topics).alias("primary_domain"),
-                   _actor_col(P.MAJOR_ACTORS, P.REGIONAL_ACTORS).alias("actor_significance"),
+                   _actor_col(P.MAJOR_ACTORS, P.REGIONAL_ACTORS, cond).alias("actor_significance"),
                    _entities_col(gazetteer, 1000, P.ENTITY_LABELS, tagger).alias("ner_entities"))
-    keep = [TEXT_LOWER] if keep_text_lower else []
+    keep = [F.lower(article_text()).alias(TEXT_LOWER)] if keep_text_lower else []
     return s2.select(*base_cols, *keep, "domain_scores", "primary_domain",
-                     _themes_col(topics).alias("gdelt_themes"),
+                     _themes_col(topics, cond).alias("gdelt_themes"),
                      _tags_col(P.DOMAIN_TAGS).alias("pmesii_tags"),
                      "actor_significance", "ner_entities",
                      _country_col(True, countries).alias("primary_country"))

@@ -44,14 +44,21 @@ def simhash_text(body_chars: int = 500) -> Column:
 
 
 def simhash64(df: DataFrame, key: str = "arr", text: Column | None = None,
-              out: str = "simhash") -> DataFrame:
+              out: str = "simhash", method: str = "arrow") -> DataFrame:
     """64-bit SimHash per row of ``df`` -> (key, simhash BIGINT).
 
     Lower-case, keep runs of word characters/CJK, concatenate, slide 4-char
     shingles (at least one), weight by occurrence, hash = low 64 bits of MD5,
     bit i set iff more than half of the shingle weight has bit i set.
+
+    ``method='arrow'`` (default): vectorised per-batch helper, map-only.
+    ``method='native'``: shingles exploded and reduced with 64 JVM sums
+    (partial aggregation per article before one shuffle); same result.
     """
     text = simhash_text() if text is None else text
+    if method == "arrow":
+        from brieflow.functions.fingerprint import simhash_col
+        return df.select(F.col(key), simhash_col(text).alias(out))
     s = F.array_join(F.regexp_extract_all(F.lower(text), F.lit(P.SIMHASH_TOKEN_PATTERN), 0), "")
     w = P.SIMHASH_SHINGLE
     base = df.select(F.col(key).alias("_k"), s.alias("_s"))

@@ -45,7 +45,10 @@ def source_registry(documents: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str, with_embedding: bool = False) -> DataFrame:
     """Articles of SURVEY §5 / FIXTURES §2 built from the driver tables."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    # Hash-partition by the join key: this is the exchange the doc_id join needs at
+    # scale anyway, and it spreads single-row-group files over all cores.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition(n, "doc_id")
     ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"),
                                                  F.col("ts").cast("timestamp").alias("published_at"))
     reg = source_registry(docs)
