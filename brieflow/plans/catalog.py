@@ -444,3 +444,184 @@ ON contains(lower(coalesce(a.title, '') || ' ' || coalesce(nullif(a.body, ''), a
 def q_kw(spark, sf_dir):
     a = articles(spark, sf_dir).select("arr", "title", "body", "summary")
     return enrich.keyword_match(a).select("arr", "domain", "keyword")
+
+
+# ---------------------------------------------------------------------------
+# Sources and declared operators
+# ---------------------------------------------------------------------------
+
+from brieflow.operators import declared as D  # noqa: E402
+from brieflow.sources.testbed import source_registry  # noqa: E402
+
+
+@register("a01_source_registry", O.with_(O.reg_cte()) + """SELECT source_id, source_name, domain, bias_rating,
+  factual_rating, credibility_score FROM reg""")
+def q_registry(spark, sf_dir):
+    reg = source_registry(table(spark, sf_dir, "documents"))
+    return reg.filter(F.coalesce("active", F.lit(True))).select(
+        "source_id", "source_name", "domain", "bias_rating", "factual_rating", "credibility_score")
+
+
+@register("b03_rating_to_credibility", O.with_(O.reg_cte()) + f"""SELECT source_id,
+  coalesce(CASE lower(factual_rating) {' '.join(f"WHEN {O.sql_lit(k)} THEN {O.dbl(v)}" for k, v in P.RATING_SCORES.items())}
+           END, {O.dbl(P.DEFAULT_CREDIBILITY)}) AS credibility_from_rating,
+  coalesce(CASE WHEN bias_rating = 'left' THEN NULL ELSE credibility_score END,
+           CASE lower(factual_rating) {' '.join(f"WHEN {O.sql_lit(k)} THEN {O.dbl(v)}" for k, v in P.RATING_SCORES.items())}
+           END, {O.dbl(P.DEFAULT_CREDIBILITY)}) AS credibility_resolved
+FROM reg""")
+def q_b03(spark, sf_dir):
+    reg = source_registry(table(spark, sf_dir, "documents"))
+    reg = reg.withColumn("credibility_score", F.when(F.col("bias_rating") == "left", F.lit(None))
+                         .otherwise(F.col("credibility_score")))
+    return D.rating_to_credibility(reg).select("source_id", "credibility_from_rating", "credibility_resolved")
+
+
+@register("b04_credibility_gate", O.with_(BASE, FRESH)
+          + f"SELECT arr FROM fresh WHERE coalesce(credibility_score, 0.5) >= {O.dbl(P.MIN_FACTUAL_SCORE)}")
+def q_b04(spark, sf_dir):
+    return D.credibility_gate(_fresh(spark, sf_dir)).select("arr")
+
+
+@register("b04_story_sources", O.with_(BASE, FRESH, O.cascade_ctes("fresh", L3_TEST_THRESHOLD))
+          + f"""SELECT coalesce(m.story_id, f.id) AS story_id, count(*) AS n_articles,
+  count(DISTINCT f.source_id) AS n_sources, count(DISTINCT f.source_id) >= {P.CORROBORATION_MIN_SOURCES} AS corroborated
+FROM fresh f LEFT JOIN smap m ON m.id = f.id GROUP BY 1""")
+def q_b04s(spark, sf_dir):
+    fresh = _fresh(spark, sf_dir)
+    _, t = dedup.dedup_cascade(fresh, embeddings_for(spark, sf_dir), P.Rules(cosine_threshold=L3_TEST_THRESHOLD),
+                               return_tables=True)
+    return D.story_sources(dedup.attach_story(fresh.select("arr", "id", "source_id"), t["story_map"]))
+
+
+@register("b05_story_window", O.with_(BASE, O.simhash_ctes("articles"))
+          + f"""SELECT e.u, e.v FROM (
+  SELECT DISTINCT least(ra.rep, rb.rep) AS u, greatest(ra.rep, rb.rep) AS v
+  FROM (SELECT simhash, min(arr) AS rep FROM fp GROUP BY simhash) ra
+  JOIN (SELECT simhash, min(arr) AS rep FROM fp GROUP BY simhash) rb
+    ON ra.simhash < rb.simhash AND bit_count(xor(ra.simhash, rb.simhash)) <= {P.SIMHASH_MAX_DISTANCE}) e
+JOIN articles a ON a.arr = e.u JOIN articles b ON b.arr = e.v
+WHERE abs(epoch_us(a.published_at) - epoch_us(b.published_at)) <= {P.STORY_WINDOW_HOURS * 3600 * 1_000_000}""")
+def q_b05(spark, sf_dir):
+    a = articles(spark, sf_dir)
+    fps = simhash64(a)
+    reps = fps.groupBy("simhash").agg(F.min("arr").alias("rep"))
+    pairs = hamming_pairs(fps)
+    ra = reps.select(F.col("simhash").alias("fp_a"), F.col("rep").alias("ra"))
+    rb = reps.select(F.col("simhash").alias("fp_b"), F.col("rep").alias("rb"))
+    edges = pairs.join(ra, "fp_a").join(rb, "fp_b").select(F.least("ra", "rb").alias("u"),
+                                                            F.greatest("ra", "rb").alias("v")).distinct()
+    return D.story_window(edges, a)
+
+
+@register("b06_domain_age_gate", O.with_(BASE) + f"""SELECT a.arr, lower(split_part(split_part(a.url, '://', 2), '/', 1)) AS host,
+  CAST(datediff('day', h.first_seen, (SELECT max(published_at) FROM articles)) AS INTEGER) AS host_age_days,
+  coalesce(datediff('day', h.first_seen, (SELECT max(published_at) FROM articles)) >= {P.DOMAIN_AGE_MIN_DAYS}, false)
+    AS domain_age_ok
+FROM articles a LEFT JOIN (SELECT lower(split_part(split_part(url, '://', 2), '/', 1)) AS host,
+  min(published_at) AS first_seen FROM articles GROUP BY 1) h
+  ON h.host = lower(split_part(split_part(a.url, '://', 2), '/', 1))""")
+def q_b06(spark, sf_dir):
+    a = articles(spark, sf_dir)
+    out = D.domain_age_gate(a, a, ingest.run_ts_of(a))
+    return out.select("arr", "host", "host_age_days", "domain_age_ok")
+
+
+@register("b07_novelty", f"""SELECT a.vec_id AS arr,
+  round(CASE WHEN max(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) IS NULL
+             THEN {O.dbl(P.DEFAULT_NOVELTY)}
+             ELSE greatest(0.0, least(1.0, 1 - max(list_dot_product(CAST(a.embedding AS DOUBLE[]),
+                                                                   CAST(b.embedding AS DOUBLE[]))))) END, 6) AS novelty
+FROM embeddings a LEFT JOIN embeddings b ON b.label = a.label AND b.vec_id < a.vec_id
+GROUP BY a.vec_id""")
+def q_b07(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("arr"), "embedding", "label")
+    out = D.novelty(e, e, part_col="label", earlier_only=True)
+    return out.select("arr", F.round("novelty", 6).alias("novelty"))
+
+
+@register("b08_chunk_text", f"""SELECT doc_id, CAST(i AS INTEGER) AS chunk_no,
+  CAST(i * {P.CHUNK_SIZE_CHARS - P.CHUNK_OVERLAP_CHARS} + 1 AS INTEGER) AS chunk_start,
+  md5(substring(coalesce(text, ''), CAST(i * {P.CHUNK_SIZE_CHARS - P.CHUNK_OVERLAP_CHARS} + 1 AS BIGINT),
+                {P.CHUNK_SIZE_CHARS})) AS chunk_md5
+FROM (SELECT doc_id, text, unnest(range(0, CAST(greatest(0, ceil((length(coalesce(text, '')) - {P.CHUNK_SIZE_CHARS})
+      / {O.dbl(P.CHUNK_SIZE_CHARS - P.CHUNK_OVERLAP_CHARS)})) AS BIGINT) + 1)) AS i FROM documents)""")
+def q_b08(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return D.chunk_text(d).select("doc_id", "chunk_no", "chunk_start", F.md5("chunk").alias("chunk_md5"))
+
+
+@register("b09_layer_tier", O.with_(BASE) + f"""SELECT arr,
+  CAST(datediff('day', published_at, (SELECT max(published_at) FROM articles)) AS INTEGER) AS age_days,
+  CASE WHEN datediff('day', published_at, (SELECT max(published_at) FROM articles)) <= {P.HOT_LAYER_DAYS} THEN 'hot'
+       WHEN datediff('day', published_at, (SELECT max(published_at) FROM articles)) <= {P.COLD_LAYER_DAYS} THEN 'cold'
+       ELSE 'expired' END AS tier
+FROM articles""")
+def q_b09(spark, sf_dir):
+    a = articles(spark, sf_dir)
+    return D.layer_tier(a, ingest.run_ts_of(a)).select("arr", "age_days", "tier")
+
+
+@register("b10_domain_topk_search", f"""SELECT query, rank, match, round(cos, 6) AS cos FROM (
+  SELECT a.vec_id AS query, b.vec_id AS match,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS cos,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY
+           list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) AS rank
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
+WHERE rank <= {P.CROSS_DOMAIN_TOP_K}""")
+def q_b10(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("arr"), "embedding",
+                                                  F.col("label").alias("domain"))
+    out = D.domain_topk_search(e, e)
+    return out.select("query", F.col("rank").cast("bigint").alias("rank"), "match", F.round("cos", 6).alias("cos"))
+
+
+LIVE_CHAINS = [c for c in FX.CORPUS_CHAINS if c["confidence"] >= P.CHAIN_MIN_CONFIDENCE]
+CHAIN_TRIG_SQL = "(VALUES " + ", ".join(
+    f"({O.sql_lit(c['id'])}, {O.sql_lit(c['trigger']['domain'])}, {O.sql_lit(c['trigger']['theme'])})"
+    for c in LIVE_CHAINS) + ") t(chain_id, tdom, theme)"
+CHAIN_EDGE_SQL = "(VALUES " + ", ".join(
+    f"({O.sql_lit(c['id'])}, {i}, {O.sql_lit(d['domain'])}, {O.sql_lit(d['query'])}, {O.dbl(c['confidence'])})"
+    for c in LIVE_CHAINS for i, d in enumerate(c["downstream"])) + ") t(chain_id, pos, domain, query, confidence)"
+FIRED_SQL = f"""fired AS (SELECT e.arr, t.chain_id FROM enr e JOIN {CHAIN_TRIG_SQL} ON e.primary_domain = t.tdom
+  WHERE len(list_filter(string_split(lower(t.theme), '_'), lambda w: NOT contains(e.tl, w))) = 0)"""
+
+
+def _chain_inputs(spark, sf_dir):
+    a = enrich.route_domain(articles(spark, sf_dir))
+    edges = D.chain_edges(D.chains_frame(spark, FX.CORPUS_CHAINS))
+    return a, edges
+
+
+@register("b12_chain_trigger", O.with_(BASE, O.enrich_ctes("articles"), FIRED_SQL) + "SELECT arr, chain_id FROM fired")
+def q_b12(spark, sf_dir):
+    a, edges = _chain_inputs(spark, sf_dir)
+    return D.chain_trigger(a, edges)
+
+
+@register("b13_chain_expand", O.with_(BASE, O.enrich_ctes("articles"), FIRED_SQL) + f"""SELECT chain_id, pos, domain,
+  rank, arr, matches, score FROM (
+  SELECT l.chain_id, CAST(l.pos AS INTEGER) AS pos, l.domain, e.arr, m.matches,
+         round(m.matches * l.confidence, 6) AS score,
+         row_number() OVER (PARTITION BY l.chain_id, l.pos ORDER BY m.matches DESC, e.arr) AS rank
+  FROM {CHAIN_EDGE_SQL.replace(' t(', ' l(')} JOIN enr e ON e.primary_domain = l.domain,
+  LATERAL (SELECT CAST(len(list_filter(string_split(lower(l.query), ' '), lambda w: contains(e.tl, w))) AS INTEGER)
+           AS matches) m
+  WHERE l.chain_id IN (SELECT chain_id FROM fired) AND m.matches > 0)
+WHERE rank <= {P.CROSS_DOMAIN_TOP_K}""")
+def q_b13(spark, sf_dir):
+    a, edges = _chain_inputs(spark, sf_dir)
+    fired = D.chain_trigger(a, edges)
+    out = D.chain_expand(fired, edges, a)
+    return out.select("chain_id", "pos", "domain", F.col("rank").cast("bigint").alias("rank"), "arr", "matches",
+                      "score")
+
+
+@register("b14_story_bias_mix", O.with_(BASE, FRESH, O.cascade_ctes("fresh", L3_TEST_THRESHOLD))
+          + """SELECT story_id, string_agg(bias || ':' || CAST(n AS VARCHAR), ',' ORDER BY bias || ':' || CAST(n AS VARCHAR))
+  AS bias_mix FROM (SELECT coalesce(m.story_id, f.id) AS story_id, coalesce(f.bias_rating, 'unknown') AS bias,
+  count(*) AS n FROM fresh f LEFT JOIN smap m ON m.id = f.id GROUP BY 1, 2) GROUP BY story_id""")
+def q_b14(spark, sf_dir):
+    fresh = _fresh(spark, sf_dir)
+    _, t = dedup.dedup_cascade(fresh, embeddings_for(spark, sf_dir), P.Rules(cosine_threshold=L3_TEST_THRESHOLD),
+                               return_tables=True)
+    return D.story_bias_mix(dedup.attach_story(fresh.select("arr", "id", "bias_rating"), t["story_map"]))
