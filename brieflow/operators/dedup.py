@@ -110,7 +110,8 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rules = P.DEFAULT_RULES,
-                  cosine_mode: str = "auto", transitive: bool | None = None, return_tables: bool = False):
+                  cosine_mode: str = "auto", transitive: bool | None = None, return_tables: bool = False,
+                  store: dict | None = None):
     """L1 -> L2 -> L3 -> counts. Returns the surviving rows of ``df`` with
     ``story_id`` and ``corroboration_count``.
 
@@ -119,15 +120,23 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     needs it, so nothing wide is written and plans stay short.
     """
     transitive = rules.transitive_counts if transitive is None else transitive
-    l1 = _cut(l1_url_dedup(df.select("arr", "id", "url")))
+    l1 = l1_url_dedup(df.select("arr", "id", "url"))
+    if store is not None:
+        # URLs seen in earlier batches are L1 duplicates (their story id is the URL hash)
+        seen = store["url_hashes"].select("url_hash").distinct().withColumn("_seen", F.lit(True))
+        l1 = (l1.join(seen, "url_hash", "left")
+                .withColumn("l1_keep", F.col("l1_keep") & F.col("_seen").isNull()).drop("_seen"))
+    l1 = _cut(l1)
     s1 = df.join(l1.filter("l1_keep").select("arr"), "arr", "left_semi")
     if rules.use_l2:
-        l2 = _cut(l2_near_dup(s1, rules.simhash_max_distance))
+        l2 = _cut(l2_near_dup(s1, rules.simhash_max_distance,
+                              leaders_store=store["l2_leaders"] if store is not None else None))
     else:
         l2 = l1.filter("l1_keep").select("arr", F.col("arr").alias("l2_leader_arr"))
     l2_leaders = l2.filter(F.col("arr") == F.col("l2_leader_arr")).select("arr")
     if rules.use_l3 and vectors is not None:
-        l3 = _cut(l3_semantic_dup(l2_leaders, vectors, rules.cosine_threshold, cosine_mode))
+        l3 = _cut(l3_semantic_dup(l2_leaders, vectors, rules.cosine_threshold, cosine_mode,
+                                  leaders_store=store["l3_leaders"] if store is not None else None))
     else:
         l3 = l2_leaders.select("arr", F.col("arr").alias("l3_leader_arr"))
     smap = story_map(l1, l2, l3, transitive)
@@ -145,10 +154,46 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     surv_keys = _cut(surv_keys)
     out = df.join(surv_keys, "arr")
     if return_tables:
-        return out, {"l1": l1, "l2": l2, "l3": l3, "story_map": smap, "counts": counts, "survivor_keys": surv_keys}
+        tables = {"l1": l1, "l2": l2, "l3": l3, "story_map": smap, "counts": counts, "survivor_keys": surv_keys}
+        tables["store"] = _next_store(store, l1, l2 if rules.use_l2 else None,
+                                      l3_leaders if (rules.use_l3 and vectors is not None) else None, vectors)
+        return out, tables
     return out
 
 
+def _next_store(store, l1, l2, l3_leaders, vectors) -> dict:
+    """Leader store after a batch: every URL hash seen, SimHash leaders, vector leaders."""
+    urls = l1.select("url_hash")
+    l2l = (l2.filter(F.col("arr") == F.col("l2_leader_arr")).select("arr", "simhash") if l2 is not None
+           else None)
+    l3l = (l3_leaders.join(vectors.select("arr", "embedding"), "arr") if l3_leaders is not None else None)
+    if store is not None:
+        urls = urls.unionByName(store["url_hashes"].select("url_hash"))
+        l2l = store["l2_leaders"] if l2l is None else l2l.unionByName(store["l2_leaders"].select("arr", "simhash"))
+        l3l = store["l3_leaders"] if l3l is None else l3l.unionByName(store["l3_leaders"].select("arr", "embedding"))
+    out = {"url_hashes": _cut(urls.distinct())}
+    out["l2_leaders"] = _cut(l2l) if l2l is not None else None
+    out["l3_leaders"] = _cut(l3l) if l3l is not None else None
+    return out
+
+
+def incremental_dedup(batch: DataFrame, store: dict | None, vectors: DataFrame | None = None,
+                      rules: P.Rules = P.DEFAULT_RULES, cosine_mode: str = "auto"):
+    """Dedup ``batch`` against the leaders of earlier batches.
+
+    ``store`` (None for the first batch) holds ``url_hashes``, ``l2_leaders``
+    (arr, simhash) and ``l3_leaders`` (arr, embedding); all earlier leaders must
+    have smaller ``arr`` than the batch. The story map is per batch: a late
+    duplicate of an old leader is dropped and adds to nobody's count.
+    Returns (survivors, new_store); the store tables are checkpointed in the
+    shared checkpoint folder (write them to a table to keep them across jobs).
+    """
+    if store is not None and store.get("l2_leaders") is None:
+        store = None
+    out, t = dedup_cascade(batch, vectors, rules, cosine_mode, return_tables=True, store=store)
+    return out, t["store"]
+
+
 def story_map(l1: DataFrame, l2: DataFrame, l3: DataFrame, transitive: bool = False) -> DataFrame:
     """One row per distinct ``id`` -> ``story_id`` (later stage wins).
 

@@ -625,3 +625,98 @@ def q_b14(spark, sf_dir):
     _, t = dedup.dedup_cascade(fresh, embeddings_for(spark, sf_dir), P.Rules(cosine_threshold=L3_TEST_THRESHOLD),
                                return_tables=True)
     return D.story_bias_mix(dedup.attach_story(fresh.select("arr", "id", "bias_rating"), t["story_map"]))
+
+
+# ---------------------------------------------------------------------------
+# A30 incremental dedup, A04 feeds, A06 page text, A05 safe map, B02 MinHash
+# ---------------------------------------------------------------------------
+
+from brieflow.sources import feeds as FD  # noqa: E402
+
+SPLIT_HOURS = 24
+
+
+@register("a30_incremental_dedup", O.with_(
+    BASE, f"""art2 AS (SELECT * FROM articles WHERE length(coalesce(nullif(body, ''), summary, '')) >= {P.MIN_ARTICLE_CHARS})""",
+    f"""cut AS (SELECT max(published_at) - INTERVAL {SPLIT_HOURS} HOUR AS t FROM art2)""",
+    O.cascade_ctes("art2", L3_TEST_THRESHOLD, scope="arr IN (SELECT arr FROM art2 WHERE published_at >= (SELECT t FROM cut))"))
+    + "SELECT arr, story_id, corroboration_count FROM surv")
+def q_incremental(spark, sf_dir):
+    a = ingest.min_length_filter(articles(spark, sf_dir))
+    cut = a.agg(F.max("published_at")).scalar() - F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0),
+                                                                 F.lit(SPLIT_HOURS))
+    b1, b2 = a.filter(F.col("published_at") < cut), a.filter(F.col("published_at") >= cut)
+    rules = P.Rules(cosine_threshold=L3_TEST_THRESHOLD)
+    vec = embeddings_for(spark, sf_dir)
+    _, store = dedup.incremental_dedup(b1, None, vec, rules)
+    out, _ = dedup.incremental_dedup(b2, store, vec, rules)
+    return out.select("arr", "story_id", "corroboration_count")
+
+
+def _page_feeds(spark, sf_dir):
+    """One stored feed document per page: RSS when the URL has no query string, else Atom."""
+    pg = table(spark, sf_dir, "pages")
+    rss = F.concat(F.lit("<rss version=\"2.0\"><channel><title>f</title><item><title>p"), F.col("page_id").cast("string"),
+                   F.lit("</title><link>"), F.regexp_replace("url", "&", "&amp;"),
+                   F.lit("</link><pubDate>Mon, 01 Jan 2024 00:00:00 +0000</pubDate></item></channel></rss>"))
+    atom = F.concat(F.lit("<feed xmlns=\"http://www.w3.org/2005/Atom\"><entry><title>p"),
+                    F.col("page_id").cast("string"), F.lit("</title><link href=\""),
+                    F.regexp_replace("url", "&", "&amp;"),
+                    F.lit("\"/><updated>2024-01-01T00:00:00Z</updated></entry></feed>"))
+    return pg.select(F.col("page_id").alias("source_id"),
+                     F.when(F.contains("url", F.lit("?")), atom).otherwise(rss).alias("xml"))
+
+
+@register("a04_feed_entries", """SELECT page_id AS feed, 0 AS pos, 'p' || CAST(page_id AS VARCHAR) AS title, url
+FROM pages""")
+def q_feeds(spark, sf_dir):
+    e = FD.feed_entries(_page_feeds(spark, sf_dir))
+    return e.select(F.col("feed").cast("bigint").alias("feed"), "pos", "title",
+                    entry_url("link", "links").alias("url"))
+
+
+def _page_text_sql() -> str:
+    h = "coalesce(html, '')"
+    h = f"regexp_replace({h}, '(?s)<!--.*?-->', '', 'g')"
+    for t in FD.DROP_BLOCKS:
+        h = f"regexp_replace({h}, '(?is)<{t}\\b[^>]*>.*?</{t}\\s*>', ' ', 'g')"
+    tags = "|".join(FD.BREAK_TAGS)
+    h = f"regexp_replace({h}, '(?i)<({tags})\\b[^>]*>', chr(10), 'g')"
+    h = f"regexp_replace({h}, '(?i)</({tags})\\s*>', chr(10), 'g')"
+    h = f"regexp_replace({h}, '<[^>]*>', '', 'g')"
+    for ent, ch in FD.ENTITIES:
+        h = f"replace({h}, {O.dlit(ent)}, {O.dlit(ch)})"
+    h = f"regexp_replace({h}, '[ \\t\\r\\f]+', ' ', 'g')"
+    kept = (f"list_filter(list_transform(string_split({h}, chr(10)), lambda l: trim(l, ' ')), "
+            f"lambda l: length(l) >= {FD.MIN_LINE_CHARS})")
+    return f"array_to_string({kept}, chr(10))"
+
+
+@register("a06_extract_page_text", f"""SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS text_len
+FROM (SELECT page_id, {_page_text_sql()} AS t FROM pages)""")
+def q_page_text(spark, sf_dir):
+    pg = FD.extract_page_text(table(spark, sf_dir, "pages"))
+    return pg.select("page_id", F.md5("page_text").alias("text_md5"), F.length("page_text").alias("text_len"))
+
+
+def _host_or_fail(rec):
+    """Example per-item function: host of the page URL; pages with a query string fail."""
+    url = rec["url"] or ""
+    if "?" in url:
+        return None
+    host = url.split("://", 1)[-1].split("/", 1)[0]
+    return [{"page_id": rec["page_id"], "host": host}]
+
+
+@register("a05_flat_map_safe", None)
+def q_flat_map(spark, sf_dir):
+    pg = table(spark, sf_dir, "pages").select("page_id", "url")
+    return ingest.flat_map_safe(pg, _host_or_fail, "page_id long, host string")
+
+
+@register("b02_minhash_near_dup", None)
+def q_minhash(spark, sf_dir):
+    from brieflow.operators.similarity import minhash_near_dup
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("arr"), F.lit("").alias("title"),
+                                                 F.col("text").alias("body"), F.lit("").alias("summary"))
+    return minhash_near_dup(d, threshold=0.8).select("a", "b", F.round("jaccard", 6).alias("jaccard"))

@@ -16,6 +16,11 @@ DOMAINS_SQL = "[" + ", ".join(sql_lit(d) for d in P.DOMAINS) + "]"
 TOKEN_RE = P.SIMHASH_TOKEN_PATTERN
 
 
+def dlit(value: str) -> str:
+    """DuckDB string literal (quotes doubled, backslashes literal)."""
+    return "'" + value.replace("'", "''") + "'"
+
+
 def dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
@@ -100,8 +105,12 @@ def cosine_near(threshold: float) -> str:
     return f"list_dot_product(CAST(l.k AS DOUBLE[]), CAST(n.k AS DOUBLE[])) >= {dbl(threshold)}"
 
 
-def cascade_ctes(src: str, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, transitive: bool = False) -> str:
-    """L1 -> L2 -> L3 -> story map -> counts over ``src`` (articles)."""
+def cascade_ctes(src: str, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, transitive: bool = False,
+                 scope: str = "true") -> str:
+    """L1 -> L2 -> L3 -> story map -> counts over ``src`` (articles).
+
+    ``scope``: predicate on ``arr`` selecting the batch whose story map, counts and
+    survivors are reported (sequential first-fit still runs over all of ``src``)."""
     later = "coalesce(i3.id, i3b.id, i2.id)" if transitive else "coalesce(i3.id, i2.id)"
     tjoin = ("LEFT JOIN ff3 m3b ON m3b.arr = m2.leader AND m3b.leader <> m3b.arr "
              "LEFT JOIN ids i3b ON i3b.arr = m3b.leader") if transitive else ""
@@ -115,10 +124,11 @@ l2lead AS (SELECT arr FROM ff2 WHERE leader = arr),
 vec AS (SELECT l.arr, e.embedding AS k FROM l2lead l JOIN embeddings e ON e.vec_id = l.arr
         WHERE e.embedding IS NOT NULL),
 {first_fit_ctes("ff3", "vec", "FLOAT[]", cosine_near(threshold))},
-l1v AS (SELECT id, max_by(CASE WHEN l1_keep THEN id ELSE url_hash END, arr) AS s1v FROM l1 GROUP BY id),
+l1v AS (SELECT id, max_by(CASE WHEN l1_keep THEN id ELSE url_hash END, arr) AS s1v FROM l1
+        WHERE {scope} GROUP BY id),
 per_art AS (
   SELECT a.id, {later} AS later
-  FROM ids a
+  FROM (SELECT * FROM ids WHERE {scope}) a
   LEFT JOIN ff2 m2 ON m2.arr = a.arr AND m2.leader <> m2.arr
   LEFT JOIN ids i2 ON i2.arr = m2.leader
   LEFT JOIN ff3 m3 ON m3.arr = a.arr AND m3.leader <> m3.arr
@@ -127,8 +137,8 @@ per_art AS (
 smap AS (SELECT v.id, coalesce(p.later, v.s1v) AS story_id
          FROM l1v v LEFT JOIN (SELECT id, max(later) AS later FROM per_art GROUP BY id) p USING (id)),
 counts AS (SELECT story_id, count(*) AS corroboration_count FROM smap GROUP BY story_id),
-surv_arr AS (SELECT arr FROM ff3 WHERE leader = arr
-             UNION SELECT arr FROM l2lead WHERE arr NOT IN (SELECT arr FROM vec)),
+surv_arr AS (SELECT arr FROM (SELECT arr FROM ff3 WHERE leader = arr
+             UNION SELECT arr FROM l2lead WHERE arr NOT IN (SELECT arr FROM vec)) WHERE {scope}),
 surv AS (
   SELECT s.*, coalesce(m.story_id, s.id) AS story_id,
          CAST(coalesce(c.corroboration_count, 1) AS BIGINT) AS corroboration_count
