@@ -720,3 +720,45 @@ def q_minhash(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("arr"), F.lit("").alias("title"),
                                                  F.col("text").alias("body"), F.lit("").alias("summary"))
     return minhash_near_dup(d, threshold=0.8).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming S1–S3 (replayed from staged article files, availableNow)
+# ---------------------------------------------------------------------------
+
+from brieflow.session import scratch_path  # noqa: E402
+from brieflow.streaming import streams as ST  # noqa: E402
+
+
+def _staged(spark, sf_dir, with_copies: bool = False):
+    a = articles(spark, sf_dir).select("arr", "id", "url", "title", "body", "summary", "published_at",
+                                       "source_id", "domain", "credibility_score")
+    if with_copies:
+        a = a.unionByName(a.withColumn("arr", F.col("arr") + 1_000_000_000).withColumn("url", F.upper("url")))
+    folder = ST.stage_article_files(a, scratch_path(spark, "staged-articles"))
+    return ST.replay(spark, folder, a.schema)
+
+
+@register("s1_stream_url_dedup", O.with_(BASE) + "SELECT DISTINCT sha256(lower(url)) AS url_hash FROM articles")
+def q_s1(spark, sf_dir):
+    out = ST.run_to_table(ST.stream_url_dedup(_staged(spark, sf_dir, with_copies=True)), "s1")
+    return out.select("url_hash")
+
+
+@register("s3_stream_story_counts", O.with_(BASE) + """SELECT strftime(date_trunc('day', published_at), '%Y-%m-%d %H:%M:%S')
+  AS window_start, source_id AS story_id, count(*) AS articles FROM articles GROUP BY 1, 2""")
+def q_s3(spark, sf_dir):
+    s = _staged(spark, sf_dir).withColumn("story_id", F.col("source_id"))
+    out = ST.run_to_table(ST.stream_story_counts(s), "s3", mode="complete")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "story_id",
+                      "articles")
+
+
+@register("s2_stream_leader_dedup", None)
+def q_s2(spark, sf_dir):
+    s = _staged(spark, sf_dir)
+    sink = scratch_path(spark, "s2-sink")
+    q = ST.stream_leader_dedup(s, sink, sink + "-ckpt", embeddings_for(spark, sf_dir),
+                               P.Rules(cosine_threshold=L3_TEST_THRESHOLD))
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("arr", "story_id", "corroboration_count")
