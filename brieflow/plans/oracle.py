@@ -57,7 +57,7 @@ def fresh_cte(src: str = "articles", name: str = "fresh", hours: int = P.MAX_AGE
 
 
 def l1_cte(src: str, name: str = "l1") -> str:
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT arr, id, url_hash, arr = min(arr) OVER (PARTITION BY url_hash) AS l1_keep
   FROM (SELECT arr, id, sha256(lower(regexp_replace(coalesce(url, ''), '^\\s+|\\s+$', '', 'g'))) AS url_hash
         FROM {src}))"""
@@ -77,7 +77,7 @@ def simhash_ctes(src: str, name: str = "fp") -> str:
 {name}_h AS (SELECT arr, CAST('0x' || substring(md5(g), 17, 16) AS UBIGINT) AS h FROM {name}_g),
 {name}_p AS (SELECT arr, count(*) AS n, {sums} FROM {name}_h GROUP BY arr),
 {name}_u AS (SELECT arr, ({bits}) AS u FROM {name}_p),
-{name} AS (SELECT arr, CAST(CASE WHEN u >= (CAST(1 AS UBIGINT) << 63)
+{name} AS MATERIALIZED (SELECT arr, CAST(CASE WHEN u >= (CAST(1 AS UBIGINT) << 63)
                                 THEN CAST(u AS HUGEINT) - CAST(18446744073709551616 AS HUGEINT)
                                 ELSE CAST(u AS HUGEINT) END AS BIGINT) AS simhash FROM {name}_u)"""
 
@@ -95,7 +95,7 @@ def first_fit_ctes(name: str, nodes: str, key_type: str, near: str) -> str:
          n.arr,
          coalesce(list_filter(f.leaders, lambda l: {near})[1].arr, n.arr)
   FROM {name}_r f JOIN {name}_n n ON n.rn = f.rn + 1),
-{name} AS (SELECT arr, leader FROM {name}_r WHERE rn > 0)"""
+{name} AS MATERIALIZED (SELECT arr, leader FROM {name}_r WHERE rn > 0)"""
 
 
 HAMMING_NEAR = f"bit_count(xor(l.k, n.k)) <= {P.SIMHASH_MAX_DISTANCE}"
@@ -134,7 +134,7 @@ per_art AS (
   LEFT JOIN ff3 m3 ON m3.arr = a.arr AND m3.leader <> m3.arr
   LEFT JOIN ids i3 ON i3.arr = m3.leader
   {tjoin}),
-smap AS (SELECT v.id, coalesce(p.later, v.s1v) AS story_id
+smap AS MATERIALIZED (SELECT v.id, coalesce(p.later, v.s1v) AS story_id
          FROM l1v v LEFT JOIN (SELECT id, max(later) AS later FROM per_art GROUP BY id) p USING (id)),
 counts AS (SELECT story_id, count(*) AS corroboration_count FROM smap GROUP BY story_id),
 surv_arr AS (SELECT arr FROM (SELECT arr FROM ff3 WHERE leader = arr
