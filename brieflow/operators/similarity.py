@@ -265,7 +265,9 @@ def minhash_near_dup(df: DataFrame, key: str = "arr", text: Column | None = None
     """
     text = article_text() if text is None else text
     k = bands * rows
-    words = df.select(F.col(key).alias("k"), words_of(text).alias("w"))
+    # Materialise the word arrays: otherwise the optimizer may inline the tokenizer into the
+    # shingle lambda and re-tokenise the whole text once per shingle.
+    words = df.select(F.col(key).alias("k"), words_of(text).alias("w")).checkpoint(eager=True)
     sets = words.select("k", shingle_set(F.col("w"), shingle).alias("sh")).filter(F.size("sh") > 0)
     sets = sets.checkpoint(eager=True)
     g = sets.select("k", F.explode("sh").alias("g"))
