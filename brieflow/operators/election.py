@@ -76,8 +76,8 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node",
         if rounds > max_rounds:
             raise RuntimeError(f"leader election did not converge in {max_rounds} rounds")
         heads = E.select(F.col("v").alias("n")).distinct()
-        # cheap to recompute from the checkpointed U and E, so not materialised itself
-        N = U.join(heads, "n", "left_anti")
+        # materialised: it feeds D, the U and E updates and the final union
+        N = cut(U.join(heads, "n", "left_anti"))
         D = E.join(N.withColumnRenamed("n", "u"), "u", "left_semi").select(F.col("v").alias("n")).distinct()
         leader_parts.append(N)
         U = cut(U.join(N, "n", "left_anti").join(D, "n", "left_anti"))
