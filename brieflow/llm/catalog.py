@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from brieflow.llm.bpe_lexicon import round_trip
 from brieflow.llm.common import table
+from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.exact_dedup import exact_groups
 from brieflow.llm.simhash_bk import near_groups
 
@@ -11,6 +13,17 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; only the driver reads it."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op2_decontaminate(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return contamination_digest(contamination(_documents(spark, sf_dir), items))
+
+
 def op6_simhash(spark, sf_dir):
     return near_groups(_documents(spark, sf_dir))
 
@@ -19,6 +32,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_groups(_documents(spark, sf_dir))
 
 
+def op9_bpe(spark, sf_dir):
+    return round_trip(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -32,6 +49,8 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 """
 
 QUERIES = {
+    "op2_decontaminate": (op2_decontaminate, None),
     "op6_simhash": (op6_simhash, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
+    "op9_bpe": (op9_bpe, None),
 }
