@@ -20,6 +20,7 @@ import heapq
 import json
 import mmap
 import os
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -69,6 +70,11 @@ class WordBPE:
         self.pattern = regex.compile(PRE_TOKEN)
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.marks = {s[:2] for s in self.special}
+        # characters that Python's Unicode tables do not know, as one character class
+        unknown = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+        cuts = [0, *(i for i in range(1, len(unknown)) if unknown[i] != unknown[i - 1] + 1), len(unknown)]
+        self.unknown = re.compile("[" + "".join(f"\\U{unknown[a]:08x}-\\U{unknown[z - 1]:08x}" for a, z in zip(cuts, cuts[1:])) + "]")
+        self.normal_form = json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []})
 
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens in order, special strings among them as they are."""
@@ -83,10 +89,20 @@ class WordBPE:
 
     def _plain_pre_tokens(self, text: str) -> list[str]:
         if not text.isascii():
+            if self.unknown.search(text):
+                return self._newer_pre_tokens(text)
             # each character is lowered by itself, so a sigma at a word's end stays an ordinary one
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.pattern.findall(text.lower())
 
+    def _newer_pre_tokens(self, text: str) -> list[str]:
+        """Pre-tokens of the rare text whose characters are newer than Python's tables, by the library's own tables."""
+        from tokenizers import Tokenizer
+        rules = Tokenizer.from_str(self.normal_form)
+        data = {c: b for b, c in enumerate(byte_letters())}
+        found = rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(text))
+        return [bytes(data[c] for c in w).decode() for w, _ in found]
+
     def encode_word(self, word: str) -> list[int]:
         if word in self.special:
             return [self.special[word]]

@@ -7,6 +7,7 @@ from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.exact_dedup import exact_groups
 from brieflow.llm.simhash_bk import near_groups
+from brieflow.llm.toxicity import toxicity
 
 
 def _documents(spark, sf_dir):
@@ -24,6 +25,10 @@ def op2_decontaminate(spark, sf_dir):
     return contamination_digest(contamination(_documents(spark, sf_dir), items))
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
 def op6_simhash(spark, sf_dir):
     return near_groups(_documents(spark, sf_dir))
 
@@ -50,6 +55,7 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 
 QUERIES = {
     "op2_decontaminate": (op2_decontaminate, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op6_simhash": (op6_simhash, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_bpe": (op9_bpe, None),
