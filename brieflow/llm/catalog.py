@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from brieflow.llm.bpe_lexicon import round_trip
+from brieflow.llm.chat_windows import chat_digest, chat_windows
 from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.exact_dedup import exact_groups
 from brieflow.llm.simhash_bk import near_groups
 from brieflow.llm.toxicity import toxicity
+from brieflow.llm.url_filter import Rule, judge_urls
 
 
 def _documents(spark, sf_dir):
@@ -29,6 +31,16 @@ def op4_toxicity(spark, sf_dir):
     return toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
+#: a turn that holds the template's own control strings, and its answer
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op5_chat(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
+    return chat_digest(chat_windows(given.unionByName(extra)))
+
+
 def op6_simhash(spark, sf_dir):
     return near_groups(_documents(spark, sf_dir))
 
@@ -41,6 +53,13 @@ def op9_bpe(spark, sf_dir):
     return round_trip(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+URL_RULES = [Rule("org", "/", True), Rule("example.org", "/es/", False), Rule("example.org", "/en/1", False), Rule("com", "/fr/", True), Rule("com", "/de/", False)]
+
+
+def op10_urls(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -56,7 +75,9 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 QUERIES = {
     "op2_decontaminate": (op2_decontaminate, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op5_chat": (op5_chat, None),
     "op6_simhash": (op6_simhash, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_bpe": (op9_bpe, None),
+    "op10_urls": (op10_urls, None),
 }

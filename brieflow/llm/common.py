@@ -50,14 +50,15 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` with one row per ``key`` of ``groups``.
+def attach_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with one row per ``key`` (a column or several) of ``groups``.
 
     ``size`` is the number of rows of the group. Fewer than ``HOT_PARTS`` groups can hold over
     ``total / HOT_PARTS`` rows; these are broadcast, so their many rows are not dealt to one task.
     All other groups join by shuffle.
     """
+    key = [key] if isinstance(key, str) else key
     limit = max(total // HOT_PARTS, HOT_LEAST)
     hot = F.broadcast(groups.filter(F.col(size) > limit))
     cold = groups.filter(F.col(size) <= limit)
-    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+    return rows.join(hot, key).unionByName(rows.join(hot.select(*key), key, "left_anti").join(cold, key))
