@@ -7,6 +7,7 @@ from brieflow.llm.chat_windows import chat_digest, chat_windows
 from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.exact_dedup import exact_groups
+from brieflow.llm.secret_scan import find_secrets, secrets_digest
 from brieflow.llm.simhash_bk import near_groups
 from brieflow.llm.toxicity import toxicity
 from brieflow.llm.url_filter import Rule, judge_urls
@@ -27,6 +28,10 @@ def op2_decontaminate(spark, sf_dir):
     return contamination_digest(contamination(_documents(spark, sf_dir), items))
 
 
+def op3_secrets(spark, sf_dir):
+    return secrets_digest(find_secrets(_documents(spark, sf_dir)))
+
+
 def op4_toxicity(spark, sf_dir):
     return toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
@@ -74,6 +79,7 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 
 QUERIES = {
     "op2_decontaminate": (op2_decontaminate, None),
+    "op3_secrets": (op3_secrets, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_chat": (op5_chat, None),
     "op6_simhash": (op6_simhash, None),

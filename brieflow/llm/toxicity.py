@@ -31,6 +31,9 @@ SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 #: n-grams of no meaning that count into every mean, so a few words do not speak louder than many
 CALM = 200
+#: the sum over n-grams is divided by their number to this power, scaled to a mean at ``TYPICAL`` n-grams
+DAMP = 0.7
+TYPICAL = 4000.0
 WIDTH = 8
 EPOCHS = 12
 BATCH = 32
@@ -40,6 +43,11 @@ PORTION = 1 << 19
 _U = np.uint64
 
 
+def pull(n):
+    """Weight of one n-gram among ``n``: a mean, damped for long texts, in which few words can decide."""
+    return TYPICAL ** (DAMP - 1) / (n + CALM) ** DAMP
+
+
 def letters(text: str | None) -> np.ndarray:
     """Code points of the distinct lower-case words, one blank before, between and after them."""
     words = dict.fromkeys((text or "").lower().split())
@@ -68,7 +76,7 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not found:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     at, n = np.unique(np.concatenate(found), return_counts=True)
-    return at.astype(np.int32), (n / (n.sum() + CALM)).astype(np.float32)
+    return at.astype(np.int32), (n * pull(n.sum())).astype(np.float32)
 
 
 def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> np.ndarray:
@@ -128,7 +136,7 @@ def logits(texts: list[str], weights: np.ndarray) -> np.ndarray:
             total += np.diff(sums, prepend=0.0)
             count += np.diff(cuts, prepend=0)
         for (k, _), t, n in zip(held, total, count):
-            out[k] += t / (n + CALM)
+            out[k] += t * pull(n)
 
     for k, text in enumerate(texts):
         points = letters(text)

@@ -57,9 +57,9 @@ def deciding_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def path_form(path: Column) -> Column:
-    """The path's segments, digits and hexadecimal ids generalised."""
+    """The path's segments without a slash at the end, digits and hexadecimal ids generalised."""
     form = lambda s: F.when(s.rlike("^(?=.*[0-9])[0-9a-fA-F-]{8,}$"), "*").otherwise(F.regexp_replace(s, "[0-9]+", "*"))
-    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), form)
+    return F.transform(F.split(F.regexp_replace(path, "^/|/$", ""), "/"), form)
 
 
 def _wildcards(forms: DataFrame) -> DataFrame:
