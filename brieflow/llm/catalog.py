@@ -7,6 +7,7 @@ from brieflow.llm.chat_windows import chat_digest, chat_windows
 from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.exact_dedup import exact_groups
+from brieflow.llm.pii import personal_data, personal_data_digest
 from brieflow.llm.secret_scan import find_secrets, secrets_digest
 from brieflow.llm.simhash_bk import near_groups
 from brieflow.llm.toxicity import toxicity
@@ -23,6 +24,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark, sf_dir):
+    return personal_data_digest(personal_data(_documents(spark, sf_dir)))
+
+
 def op2_decontaminate(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     return contamination_digest(contamination(_documents(spark, sf_dir), items))
@@ -78,6 +83,7 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 """
 
 QUERIES = {
+    "op1_pii": (op1_pii, None),
     "op2_decontaminate": (op2_decontaminate, None),
     "op3_secrets": (op3_secrets, None),
     "op4_toxicity": (op4_toxicity, None),

@@ -52,7 +52,9 @@ RULES = BASE_RULES + MORE_RULES
 
 
 #: alternatives that an expression may unfold to before it counts as one without literal text
-MOST_ALTERNATIVES = 64
+MOST_ALTERNATIVES = 256
+#: members of a character class that become alternatives
+MOST_MEMBERS = 8
 
 
 def _literals(tree) -> list[list[str]]:
@@ -63,6 +65,8 @@ def _literals(tree) -> list[list[str]]:
         name = str(op)
         if name == "LITERAL":
             more = [[chr(value).lower()]]
+        elif name == "IN" and len(value) <= MOST_MEMBERS and all(str(o) == "LITERAL" for o, _ in value):
+            more = [[chr(c).lower()] for _, c in value]
         elif name == "SUBPATTERN":
             more = _literals(value[-1])
         elif name == "BRANCH":
@@ -84,8 +88,8 @@ def _literals(tree) -> list[list[str]]:
 
 def trigram_query(pattern: str) -> list[set[str]] | None:
     """For each alternative the trigrams that its matches hold; None if one of them has none."""
-    alternatives = [{p[i:i + 3] for p in a for i in range(len(p) - 2)} for a in _literals(re._parser.parse(pattern))]
-    return None if any(not a for a in alternatives) else alternatives
+    alternatives = {frozenset(p[i:i + 3] for p in a for i in range(len(p) - 2)) for a in _literals(re._parser.parse(pattern))}
+    return None if any(not a for a in alternatives) else sorted(map(set, alternatives), key=sorted)
 
 
 def build_index(docs: DataFrame, trigrams: list[str], id_col: str, text_col: str) -> DataFrame:
