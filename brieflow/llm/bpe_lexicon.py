@@ -21,9 +21,12 @@ import json
 import mmap
 import os
 import re
+import sys
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,9 @@ LONG_WORD = 48
 #: The pre-token pattern of the vocabulary's file.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+_BEYOND = re.compile("[^\x00-\u0377]")
+_NO_MERGE = 1 << 60
+
 
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
@@ -54,6 +60,12 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+@lru_cache(maxsize=4)
+def _library_rules(spec: str):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_str(spec)
+
+
 class WordBPE:
     """Merges, pre-tokens and token strings of one vocabulary file."""
 
@@ -64,16 +76,13 @@ class WordBPE:
         self.plain = [vocab[c] for c in letters]
         self.final = [vocab[c + end] for c in letters]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # of each pair, one number that sorts by rank and ends with the new id
+        self.merges = {(vocab[a], vocab[b]): rank << 24 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.pattern = regex.compile(PRE_TOKEN)
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.marks = {s[:2] for s in self.special}
-        # characters that Python's Unicode tables do not know, as one character class
-        unknown = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
-        cuts = [0, *(i for i in range(1, len(unknown)) if unknown[i] != unknown[i - 1] + 1), len(unknown)]
-        self.unknown = re.compile("[" + "".join(f"\\U{unknown[a]:08x}-\\U{unknown[z - 1]:08x}" for a, z in zip(cuts, cuts[1:])) + "]")
         self.normal_form = json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []})
 
     def pre_tokens(self, text: str) -> list[str]:
@@ -89,7 +98,8 @@ class WordBPE:
 
     def _plain_pre_tokens(self, text: str) -> list[str]:
         if not text.isascii():
-            if self.unknown.search(text):
+            # Python's Unicode tables know every character up to here
+            if _BEYOND.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
                 return self._newer_pre_tokens(text)
             # each character is lowered by itself, so a sigma at a word's end stays an ordinary one
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
@@ -97,8 +107,7 @@ class WordBPE:
 
     def _newer_pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens of the rare text whose characters are newer than Python's tables, by the library's own tables."""
-        from tokenizers import Tokenizer
-        rules = Tokenizer.from_str(self.normal_form)
+        rules = _library_rules(self.normal_form)
         data = {c: b for b, c in enumerate(byte_letters())}
         found = rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(text))
         return [bytes(data[c] for c in w).decode() for w, _ in found]
@@ -112,37 +121,34 @@ class WordBPE:
         return self._merge_long(ids) if len(ids) > LONG_WORD else self._merge(ids)
 
     def _merge(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        found = [merges.get(p) for p in zip(ids, ids[1:])]
-        while True:
-            best = min((f for f in found if f), default=None)
-            if best is None:
-                return ids
+        look = self.merges.get
+        found = [look(p, _NO_MERGE) for p in zip(ids, ids[1:])]
+        while found and (best := min(found)) != _NO_MERGE:
             at = found.index(best)
-            ids[at:at + 2] = [best[1]]
-            del found[at]
+            ids[at] = best & 0xFFFFFF
+            del ids[at + 1], found[at]
             if at:
-                found[at - 1] = merges.get((ids[at - 1], ids[at]))
+                found[at - 1] = look((ids[at - 1], ids[at]), _NO_MERGE)
             if at < len(found):
-                found[at] = merges.get((ids[at], ids[at + 1]))
+                found[at] = look((ids[at], ids[at + 1]), _NO_MERGE)
+        return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        merges, n = self.merges, len(ids)
+        look, n = self.merges.get, len(ids)
         after, before = [*range(1, n), -1], list(range(-1, n - 1))
-        heap = [(*f, i) for i, p in enumerate(zip(ids, ids[1:])) if (f := merges.get(p))]
-        heap = [(rank, i, new) for rank, new, i in heap]
+        heap = [(f, i) for i, p in enumerate(zip(ids, ids[1:])) if (f := look(p)) is not None]
         heapq.heapify(heap)
 
         def offer(i: int) -> None:
-            if i >= 0 and after[i] >= 0 and (f := merges.get((ids[i], ids[after[i]]))):
-                heapq.heappush(heap, (f[0], i, f[1]))
+            if i >= 0 and after[i] >= 0 and (f := look((ids[i], ids[after[i]]))) is not None:
+                heapq.heappush(heap, (f, i))
 
         while heap:
-            rank, i, new = heapq.heappop(heap)
+            best, i = heapq.heappop(heap)
             j = after[i] if ids[i] >= 0 else -1
-            if j < 0 or merges.get((ids[i], ids[j])) != (rank, new):
+            if j < 0 or look((ids[i], ids[j])) != best:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = best & 0xFFFFFF, -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
@@ -264,14 +270,16 @@ class _Ids(dict):
     """Ids of words as bytes, little-endian; fills itself from the lexicon or by merging."""
 
     def __init__(self, bpe: WordBPE, lexicon: Lexicon) -> None:
-        self.bpe, self.lexicon, self.shown = bpe, lexicon, {}
+        self.bpe, self.lexicon = bpe, lexicon
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= HELD_WORDS:
             self.clear()
-            self.shown.clear()
         ids = (None if word in self.bpe.special else self.lexicon.get(word.encode())) or self.bpe.encode_word(word)
-        self[word] = data = np.array(ids, "<u4").tobytes()
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        self[word] = data = packed.tobytes()
         return data
 
 
