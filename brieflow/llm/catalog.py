@@ -10,6 +10,7 @@ from brieflow.llm.exact_dedup import exact_groups
 from brieflow.llm.pii import personal_data, personal_data_digest
 from brieflow.llm.secret_scan import find_secrets, secrets_digest
 from brieflow.llm.simhash_bk import near_groups
+from brieflow.llm.token_counts import Pieces, token_counts
 from brieflow.llm.toxicity import toxicity
 from brieflow.llm.url_filter import Rule, judge_urls
 
@@ -55,6 +56,10 @@ def op6_simhash(spark, sf_dir):
     return near_groups(_documents(spark, sf_dir))
 
 
+def op7_token_counts(spark, sf_dir):
+    return token_counts(_documents(spark, sf_dir), Pieces.from_file(vocabulary("piece_bpe_32k.model")))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_groups(_documents(spark, sf_dir))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op4_toxicity": (op4_toxicity, None),
     "op5_chat": (op5_chat, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_token_counts": (op7_token_counts, None),
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_bpe": (op9_bpe, None),
     "op10_urls": (op10_urls, None),
