@@ -1,4 +1,4 @@
-"""Column-level functions (JVM built-ins only, no Python UDFs)."""
+"""Column-level functions (JVM built-ins only, no Python UDFs but the SimHash helper)."""
 
 from brieflow.functions.text import (  # noqa: F401
     article_id,

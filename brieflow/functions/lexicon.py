@@ -1,53 +1,16 @@
-"""One-pass multi-pattern substring matching.
+"""Multi-pattern substring matching as one JVM expression."""
 
-The lexicon operators test a few hundred substrings per article. As JVM
-expressions that is one scan of the text per pattern; with an Aho-Corasick
-automaton it is one scan for all of them. ``lexicon_hits`` returns the sorted
-ids of the patterns that occur (overlaps included), and the operators turn
-those ids into counts/flags with ``array_contains`` inside whole-stage codegen.
+from __future__ import annotations
 
-The automaton is built per Arrow batch inside the Python worker (a few
-hundred patterns build in about a millisecond), so nothing but the pattern
-list is shipped with the closure. Without ``pyahocorasick`` the caller falls
-back to JVM ``contains``.
-"""
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-try:  # optional native dependency
-    import ahocorasick  # noqa: F401
-
-    HAVE_AC = True
-except ImportError:  # pragma: no cover
-    HAVE_AC = False
-
 
 def lexicon_hits(text: Column, patterns: list[str]) -> Column:
-    """array<int>: ids (positions in ``patterns``) of patterns contained in ``text``."""
-    pats = list(patterns)
-
-    @F.pandas_udf("array<int>")
-    def _hits(s: pd.Series) -> pd.Series:
-        import ahocorasick as ac
-
-        auto = ac.Automaton()
-        for i, p in enumerate(pats):
-            if p:
-                ids = auto.get(p, None)
-                auto.add_word(p, (ids or ()) + (i,))
-        auto.make_automaton()
-        empty_ids = [i for i, p in enumerate(pats) if not p]  # '' is in every string
-
-        def one(t):
-            if t is None:
-                return []
-            found = set(empty_ids)
-            for _, ids in auto.iter(t):
-                found.update(ids)
-            return sorted(found)
-
-        return s.map(one)
+    """array<int>: ids (positions in ``patterns``) of the patterns contained in ``text``, ascending.
 
-    return _hits(text)
+    The patterns are one literal array that is filtered by ``contains``, instead of a generated term per pattern.
+    Pass a materialised column: a lambda evaluates a captured expression for every element.
+    """
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(patterns)])
+    return F.transform(F.filter(entries, lambda e: F.contains(F.coalesce(text, F.lit("")), e["p"])), lambda e: e["i"])

@@ -6,12 +6,11 @@ each docstring.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brieflow import params as P
+from brieflow.session import broadcast_if_small
 
 
 def _ts(run_ts) -> Column:
@@ -58,20 +57,6 @@ def story_window(edges: DataFrame, nodes: DataFrame, hours: int = P.STORY_WINDOW
                  .filter(gap <= F.lit(int(hours) * 3600 * 1_000_000)).select("u", "v"))
 
 
-def time_bucket_pairs(df: DataFrame, key: str = "arr", ts_col: str = "published_at",
-                      hours: int = P.STORY_WINDOW_HOURS) -> DataFrame:
-    """B05 standalone interval self-join: pairs (u < v) within ``hours``, as an
-    equi-join on hour buckets (each row also probes the previous bucket)."""
-    width = int(hours) * 3600
-    b = F.floor(F.unix_seconds(F.col(ts_col)) / width)
-    left = df.select(F.col(key).alias("u"), F.col(ts_col).alias("_tu"), b.alias("bk"))
-    right = df.select(F.col(key).alias("v"), F.col(ts_col).alias("_tv"),
-                      F.explode(F.array(b, b + 1)).alias("bk"))
-    gap = F.abs(F.unix_micros("_tu") - F.unix_micros("_tv"))
-    return (left.join(right, "bk").filter((F.col("u") < F.col("v")) & (gap <= F.lit(width * 1_000_000)))
-                .select("u", "v").distinct())
-
-
 # B06 -----------------------------------------------------------------------
 def domain_age_gate(df: DataFrame, history: DataFrame, run_ts, min_days: int = P.DOMAIN_AGE_MIN_DAYS,
                     url_col: str = "url") -> DataFrame:
@@ -80,14 +65,26 @@ def domain_age_gate(df: DataFrame, history: DataFrame, run_ts, min_days: int = P
     host = F.lower(F.parse_url(F.col(url_col), F.lit("HOST")))
     first = (history.select(host.alias("host"), F.col("published_at"))
                     .groupBy("host").agg(F.min("published_at").alias("first_seen")))
-    out = df.withColumn("host", host).join(first, "host", "left")
+    # one row per host: broadcast where the hosts are few, so that a hot host's rows stay where they are
+    out = df.withColumn("host", host).join(broadcast_if_small(first), "host", "left")
     age = F.datediff(_ts(run_ts), F.col("first_seen"))
     return out.withColumn("host_age_days", age).withColumn("domain_age_ok", F.coalesce(age >= min_days, F.lit(False)))
 
 
 # B07 / B10 -----------------------------------------------------------------
-def _blocks(n: int, rows: int) -> int:
-    return max(1, math.ceil(n / rows))
+def _block_pairs(queries: DataFrame, corpus: DataFrame, q: str, c: str, block_rows: int):
+    """Both sides keyed by (p, i, j) so that every query of a partition ``p`` meets every corpus row of it
+    once and no group holds more than about ``block_rows`` rows of either side. A partition's own size sets
+    its numbers of blocks; partitions without corpus rows keep their queries."""
+    nq = queries.groupBy("p").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("ni"))
+    nc = corpus.groupBy("p").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("nj"))
+    cuts = nq.join(nc, "p", "left").select("p", "ni", F.coalesce("nj", F.lit(1)).alias("nj"))
+    cuts = broadcast_if_small(cuts)
+    left = (queries.join(cuts, "p").withColumn("i", F.pmod(F.xxhash64(q), F.col("ni")).cast("int"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1))).drop("ni", "nj"))
+    right = (corpus.join(cuts, "p").withColumn("j", F.pmod(F.xxhash64(c), F.col("nj")).cast("int"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1))).drop("ni", "nj"))
+    return left.groupBy("p", "i", "j"), right.groupBy("p", "i", "j")
 
 
 def novelty(new: DataFrame, history: DataFrame, key: str = "arr", vec_col: str = "embedding",
@@ -95,39 +92,31 @@ def novelty(new: DataFrame, history: DataFrame, key: str = "arr", vec_col: str =
             default: float = P.DEFAULT_NOVELTY) -> DataFrame:
     """B07 (ours): novelty = clamp(1 − max cosine to history), no history -> 0.7.
 
-    Block join (numpy per block pair) keeping only the per-row maximum inside
-    each task; ``part_col`` restricts history to the same partition (e.g. the
+    Blocks on both sides (numpy per block pair), of which only the per-row maximum leaves a
+    task; ``part_col`` restricts history to the same partition (e.g. the
     domain); ``earlier_only`` compares with history rows of smaller key only.
     """
     import numpy as np
     import pandas as pd
 
-    pc = part_col
-    nq = new.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"),
-                    (F.col(pc) if pc else F.lit(0)).alias("p")).filter(F.col("qv").isNotNull())
-    hc = history.select(F.col(key).alias("hk"), F.col(vec_col).alias("hv"),
-                        (F.col(pc) if pc else F.lit(0)).alias("p")).filter(F.col("hv").isNotNull())
-    nb = _blocks(max(nq.count(), hc.count()), block_rows)
-    qb = nq.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    hb = hc.withColumn("b", F.pmod(F.xxhash64("hk"), F.lit(nb)).cast("int"))
+    part = F.col(part_col) if part_col else F.lit(0)
+    nq = new.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"), part.alias("p")).filter(F.col("qv").isNotNull())
+    hc = history.select(F.col(key).alias("hk"), F.col(vec_col).alias("hv"), part.alias("p")).filter(F.col("hv").isNotNull())
 
     def best(q: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
         if q.empty:
             return pd.DataFrame({"qk": pd.Series([], dtype="int64"), "m": pd.Series([], dtype="float64")})
         if h.empty:
             return pd.DataFrame({"qk": q["qk"].astype("int64"), "m": np.nan})
-        A = np.stack(q["qv"].to_numpy()).astype(np.float64)
-        B = np.stack(h["hv"].to_numpy()).astype(np.float64)
-        S = A @ B.T
+        S = np.stack(q["qv"].to_numpy()).astype(np.float64) @ np.stack(h["hv"].to_numpy()).astype(np.float64).T
         qk = q["qk"].to_numpy(dtype=np.int64)
         hk = h["hk"].to_numpy(dtype=np.int64)
         mask = (hk[None, :] < qk[:, None]) if earlier_only else (hk[None, :] != qk[:, None])
-        S = np.where(mask, S, -np.inf)
-        m = S.max(axis=1)
+        m = np.where(mask, S, -np.inf).max(axis=1)
         return pd.DataFrame({"qk": qk, "m": np.where(np.isfinite(m), m, np.nan)})
 
-    per_block = (qb.groupBy("p", "b").cogroup(hb.groupBy("p", "b"))
-                   .applyInPandas(best, schema="qk long, m double"))
+    left, right = _block_pairs(nq, hc, "qk", "hk", block_rows)
+    per_block = left.cogroup(right).applyInPandas(best, schema="qk long, m double")
     mx = per_block.groupBy("qk").agg(F.max("m").alias("max_cos"))
     nov = F.when(F.col("max_cos").isNull(), F.lit(float(default))) \
         .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.col("max_cos"))))
@@ -148,34 +137,29 @@ def domain_topk_search(queries: DataFrame, corpus: DataFrame, k: int = P.CROSS_D
         .filter(F.col("qv").isNotNull())
     c = corpus.select(F.col(key).alias("ck"), F.col(vec_col).alias("cv"), F.col(part_col).alias("p")) \
         .filter(F.col("cv").isNotNull())
-    nb = _blocks(c.count(), block_rows)
-    qb = q.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    cb = c.withColumn("b", F.pmod(F.xxhash64("ck"), F.lit(nb)).cast("int"))
     kk = int(k)
 
     def local_topk(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
-        cols = {"qk": pd.Series([], dtype="int64"), "ck": pd.Series([], dtype="int64"),
-                "cos": pd.Series([], dtype="float64")}
         if qp.empty or cp.empty:
-            return pd.DataFrame(cols)
-        A = np.stack(qp["qv"].to_numpy()).astype(np.float64)
-        B = np.stack(cp["cv"].to_numpy()).astype(np.float64)
-        S = A @ B.T
+            return pd.DataFrame({"qk": pd.Series([], dtype="int64"), "ck": pd.Series([], dtype="int64"),
+                                 "cos": pd.Series([], dtype="float64")})
+        cp = cp.sort_values("ck")
+        S = np.stack(qp["qv"].to_numpy()).astype(np.float64) @ np.stack(cp["cv"].to_numpy()).astype(np.float64).T
         qk = qp["qk"].to_numpy(dtype=np.int64)
         ck = cp["ck"].to_numpy(dtype=np.int64)
         if exclude_self:
             S = np.where(ck[None, :] == qk[:, None], -np.inf, S)
-        out = []
-        for i in range(len(qk)):
-            row = S[i]
-            # order by cosine desc, then key asc; keep k
-            order = np.lexsort((ck, -row))[:kk]
-            order = order[np.isfinite(row[order])]
-            out.append(pd.DataFrame({"qk": qk[i], "ck": ck[order], "cos": row[order]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(cols)
-
-    cand = (qb.groupBy("p", "b").cogroup(cb.groupBy("p", "b"))
-              .applyInPandas(local_topk, schema="qk long, ck long, cos double"))
+        take = min(kk, S.shape[1])
+        # all rows at once: whatever reaches a query's k-th best value goes on; ties are settled by key later
+        floor = np.partition(S, S.shape[1] - take, axis=1)[:, S.shape[1] - take]
+        above = S > floor[:, None]
+        level = (S == floor[:, None]) & np.isfinite(S)
+        level &= np.cumsum(level, axis=1) <= (take - above.sum(axis=1))[:, None]  # keys ascend along a row
+        i, j = np.nonzero(above | level)
+        return pd.DataFrame({"qk": qk[i], "ck": ck[j], "cos": S[i, j]})
+
+    left, right = _block_pairs(q, c, "qk", "ck", block_rows)
+    cand = left.cogroup(right).applyInPandas(local_topk, schema="qk long, ck long, cos double")
     w = Window.partitionBy("qk").orderBy(F.col("cos").desc(), F.col("ck").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= kk)
                 .select(F.col("qk").alias("query"), "rank", F.col("ck").alias("match"), "cos"))
@@ -234,13 +218,13 @@ def chain_edges(chains: DataFrame, min_conf: float = P.CHAIN_MIN_CONFIDENCE) ->
 def chain_trigger(articles: DataFrame, edges: DataFrame) -> DataFrame:
     """B12 (ours): (arr, chain_id) where primary_domain = trigger domain and every
     ``_``-separated word of the theme occurs in the lower-cased text.
-    The chain table is config-size: explicit broadcast."""
+    The chain table is broadcast if a check finds it small."""
     from brieflow.operators.enrich import TEXT_LOWER, with_text_lower
 
     trig = edges.select("chain_id", "trigger_domain", "theme").distinct() \
         .withColumn("words", F.split(F.lower("theme"), "_"))
     a = with_text_lower(articles.select("arr", "primary_domain", "title", "body", "summary"))
-    j = a.join(F.broadcast(trig), a["primary_domain"] == trig["trigger_domain"])
+    j = a.join(broadcast_if_small(trig), a["primary_domain"] == trig["trigger_domain"])
     return j.filter(F.forall("words", lambda w: F.contains(F.col(TEXT_LOWER), w))).select("arr", "chain_id")
 
 
@@ -253,7 +237,7 @@ def chain_expand(fired: DataFrame, edges: DataFrame, articles: DataFrame, k: int
     live = edges.join(fired.select("chain_id").distinct(), "chain_id", "left_semi") \
         .withColumn("qwords", F.split(F.lower("query"), " "))
     a = with_text_lower(articles.select("arr", "primary_domain", "title", "body", "summary"))
-    j = a.join(F.broadcast(live), a["primary_domain"] == live["domain"])
+    j = a.join(broadcast_if_small(live), a["primary_domain"] == live["domain"])
     j = j.withColumn("matches", F.size(F.filter("qwords", lambda w: F.contains(F.col(TEXT_LOWER), w))))
     j = j.filter(F.col("matches") > 0)
     w = Window.partitionBy("chain_id", "pos").orderBy(F.col("matches").desc(), F.col("arr").asc())

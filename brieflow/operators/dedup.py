@@ -3,7 +3,8 @@
 Article rows carry ``arr`` (BIGINT, total arrival order) and ``id``.
 
 * L1 (A21) keeps the first article per URL hash: a hash aggregate
-  ``min(arr)`` per hash (partial aggregation absorbs a hot URL), joined back.
+  ``min(arr)`` per hash (partial aggregation absorbs a hot URL), joined back
+  on the unique ``arr``.
 * L2 (A24) runs SimHash on L1 survivors, collapses equal fingerprints to
   their earliest holder (copies share a neighbourhood, so the earliest copy
   decides for all of them), finds fingerprint pairs with the banded join and
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from brieflow import params as P
 from brieflow.functions.text import canonical_url
 from brieflow.operators.election import leader_election
-from brieflow.operators.similarity import choose_blocks, cosine_pairs, hamming_pairs, simhash64
+from brieflow.operators.similarity import cosine_cross_pairs, cosine_pairs, hamming_pairs, simhash64
+from brieflow.session import ensure_checkpoint_dir
 
 
 def url_hash(col="url"):
@@ -29,18 +31,23 @@ def url_hash(col="url"):
 
 
 def l1_url_dedup(df: DataFrame) -> DataFrame:
-    """Adds ``url_hash`` and ``l1_keep`` (first article per URL hash by ``arr``).
+    """Adds ``url_hash`` and ``l1_keep`` (first article per URL hash by ``arr``, which is unique).
 
-    A missing URL hashes like '' (all URL-less articles collapse into one).
+    A missing URL hashes like '' (all URL-less articles collapse into one). The kept rows are marked by a
+    join on ``arr``, so a URL that very many rows share is only ever a key of the pre-aggregated minimum.
     """
     h = df.withColumn("url_hash", url_hash("url"))
-    first = h.groupBy("url_hash").agg(F.min("arr").alias("_first_arr"))
-    return (h.join(first, "url_hash")
-             .withColumn("l1_keep", F.col("arr") == F.col("_first_arr")).drop("_first_arr"))
+    first = h.groupBy("url_hash").agg(F.min("arr").alias("arr")).select("arr", F.lit(True).alias("_first"))
+    return h.join(first, "arr", "left").withColumn("l1_keep", F.coalesce("_first", F.lit(False))).drop("_first")
 
 
-def _elect_on_keys(nodes: DataFrame, key_col: str, pairs: DataFrame, a: str, b: str,
-                   fixed: DataFrame | None = None) -> DataFrame:
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a narrow key table (shared checkpoint folder)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _elect_on_keys(nodes: DataFrame, key_col: str, pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Collapse nodes sharing ``key_col`` to their earliest holder, elect leaders on the
     collapsed graph and expand back: returns (arr, leader_arr) for every node."""
     reps = nodes.groupBy(key_col).agg(F.min("arr").alias("rep"))
@@ -49,99 +56,120 @@ def _elect_on_keys(nodes: DataFrame, key_col: str, pairs: DataFrame, a: str, b:
     edges = (pairs.join(ra, a).join(rb, b)
                   .select(F.least("ra", "rb").alias("u"), F.greatest("ra", "rb").alias("v"))
                   .filter(F.col("u") < F.col("v")).distinct())
-    fixed_nodes = None
-    if fixed is not None:
-        fixed_nodes = fixed.select(F.col("arr").alias("node"))
-    elected = leader_election(reps.select(F.col("rep").alias("node")), edges, fixed_leaders=fixed_nodes)
+    elected = leader_election(reps.select(F.col("rep").alias("node")), edges)
     rep_leader = reps.join(elected.withColumnRenamed("node", "rep"), "rep").select(key_col, "rep", "leader")
     # a copy of a leader is a duplicate of that leader; a copy of a duplicate follows it
     return nodes.join(rep_leader, key_col).select("arr", F.col("leader").alias("leader_arr"))
 
 
+def _stored_leader(near: DataFrame) -> DataFrame:
+    """(arr, stored_id): of each row of (arr, batch, l_arr, l_id) the earliest stored leader."""
+    first = F.min(F.struct("batch", "l_arr", "l_id"))
+    return near.groupBy("arr").agg(first.alias("f")).select("arr", F.col("f.l_id").alias("stored_id"))
+
+
+def _with_stored(own: DataFrame, elected: DataFrame, stored: DataFrame | None, leader: str) -> DataFrame:
+    """All rows of ``own`` (arr, ...) with their leader: (``leader``, ``leader``_id of a stored one, keep)."""
+    out = own.join(elected.withColumnRenamed("leader_arr", leader), "arr", "left")
+    out = out.join(stored, "arr", "left") if stored is not None else out.withColumn("stored_id", F.lit(None).cast("string"))
+    return out.withColumn("keep", F.coalesce(F.col(leader) == F.col("arr"), F.lit(False)))
+
+
 def l2_near_dup(df: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, blocks: int | None = None,
                 leaders_store: DataFrame | None = None) -> DataFrame:
-    """(arr, simhash, l2_leader_arr) for the rows of ``df`` (L1 survivors).
+    """(arr, simhash, l2_leader_arr, stored_id, keep) for the rows of ``df`` (L1 survivors).
 
-    ``leaders_store`` (arr, simhash) holds leaders of earlier batches (A30).
+    ``leaders_store`` (batch, arr, id, simhash) holds leaders of earlier batches (A30). They come before every
+    row of ``df`` whatever its ``arr``: a row near one of them is its duplicate (``stored_id`` is that leader's
+    id, ``l2_leader_arr`` NULL), and the others elect among themselves.
     """
-    fps = simhash64(df.select("arr", "title", "body", "summary"))
-    nodes = fps
-    fixed = None
+    fps = _cut(simhash64(df.select("arr", "title", "body", "summary")))
+    stored, nodes = None, fps
     if leaders_store is not None:
-        fixed = leaders_store.select("arr", "simhash")
-        nodes = fps.unionByName(fixed)
-    if blocks is None:
-        blocks = choose_blocks(nodes.select("simhash").distinct().count(), max_distance)
+        old = leaders_store.select("batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), F.col("simhash").alias("l_fp"))
+        values = fps.select("simhash").union(old.select("l_fp")).distinct()
+        pairs = hamming_pairs(values, max_distance, "simhash", blocks).select("fp_a", "fp_b")
+        near = pairs.union(pairs.select("fp_b", "fp_a")).toDF("simhash", "l_fp")
+        # of each stored fingerprint its earliest leader, then of each of ours the earliest near one
+        first = old.groupBy("l_fp").agg(F.min(F.struct("batch", "l_arr", "l_id")).alias("f"))
+        mine = fps.select("simhash").distinct()
+        met = (near.join(first, "l_fp").join(mine, "simhash", "left_semi").select("simhash", "f")
+               .union(mine.join(first.withColumnRenamed("l_fp", "simhash"), "simhash").select("simhash", "f")))
+        of_print = met.groupBy("simhash").agg(F.min("f").alias("f")).select("simhash", F.col("f.l_id").alias("stored_id"))
+        stored = _cut(fps.join(of_print, "simhash").select("arr", "stored_id"))
+        nodes = fps.join(stored, "arr", "left_anti")
     pairs = hamming_pairs(nodes, max_distance, "simhash", blocks)
-    res = _elect_on_keys(nodes, "simhash", pairs, "fp_a", "fp_b", fixed)
-    return fps.join(res, "arr").select("arr", "simhash", F.col("leader_arr").alias("l2_leader_arr"))
+    res = _elect_on_keys(nodes, "simhash", pairs, "fp_a", "fp_b")
+    return _with_stored(fps, res, stored, "l2_leader_arr")
 
 
 def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD,
-                    mode: str = "auto", leaders_store: DataFrame | None = None,
+                    mode: str = "exact", leaders_store: DataFrame | None = None,
                     embedder=None) -> DataFrame:
-    """(arr, l3_leader_arr) for rows of ``df`` (L2 leaders) that have a vector.
+    """(arr, l3_leader_arr, stored_id, keep) for rows of ``df`` (L2 leaders) that have a vector.
 
     ``vectors``: (arr, embedding) unit-norm. ``embedder``: optional pandas_udf
     mapping ``title + '. ' + (body or summary)[:300]`` to a vector (used when
-    ``vectors`` is None).
+    ``vectors`` is None). ``leaders_store``: (batch, arr, id, embedding), as in :func:`l2_near_dup`.
     """
     if vectors is None:
         if embedder is None:
-            return df.select("arr").withColumn("l3_leader_arr", F.col("arr"))
+            return _with_stored(df.select("arr"), df.select("arr", F.col("arr").alias("leader_arr")), None, "l3_leader_arr")
         from brieflow.functions.text import article_text
         vectors = df.select("arr", embedder(article_text(body_chars=300, sep=". ")).alias("embedding"))
     v = df.select("arr").join(vectors.select("arr", "embedding"), "arr").filter(F.col("embedding").isNotNull())
-    nodes = v
-    fixed = None
+    stored, nodes = None, v
     if leaders_store is not None:
-        fixed = leaders_store.select("arr", "embedding")
-        nodes = v.unionByName(fixed)
+        # stored keys may equal ours, so stored leaders are joined by a key of their own
+        old = leaders_store.withColumn("s", F.xxhash64("batch", "arr", "id"))
+        met = cosine_cross_pairs(v, old.select(F.col("s").alias("arr"), "embedding"), threshold)
+        near = met.select(F.col("l").alias("arr"), F.col("r").alias("s")).join(old.select("s", "batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id")), "s")
+        stored = _cut(_stored_leader(near))
+        nodes = v.join(stored, "arr", "left_anti")
     pairs = cosine_pairs(nodes, threshold, key="arr", mode=mode)
     # vectors are not collapsed by value: equal vectors are simply adjacent (cos = 1)
     keyed = nodes.select("arr", F.col("arr").alias("vk"))
-    res = _elect_on_keys(keyed, "vk", pairs, "a", "b", fixed)
-    return v.select("arr").join(res, "arr").select("arr", F.col("leader_arr").alias("l3_leader_arr"))
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a narrow key table (shared checkpoint folder)."""
-    return df.checkpoint(eager=True)
+    res = _elect_on_keys(keyed, "vk", pairs, "a", "b")
+    return _with_stored(v.select("arr"), res, stored, "l3_leader_arr")
 
 
 def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rules = P.DEFAULT_RULES,
-                  cosine_mode: str = "auto", transitive: bool | None = None, return_tables: bool = False,
-                  store: dict | None = None):
+                  cosine_mode: str = "exact", transitive: bool | None = None, return_tables: bool = False,
+                  store: dict | None = None, embedder=None):
     """L1 -> L2 -> L3 -> counts. Returns the surviving rows of ``df`` with
     ``story_id`` and ``corroboration_count``.
 
     Only narrow key tables (arr, id, hashes, leaders) are materialised between
     stages; article text is read again by a semi join on ``arr`` where a stage
-    needs it, so nothing wide is written and plans stay short.
+    needs it, so nothing wide is written and plans stay short. ``store`` holds what
+    earlier batches left (see :func:`incremental_dedup`); each part of it counts by itself.
     """
     transitive = rules.transitive_counts if transitive is None else transitive
+    store = store or {}
     l1 = l1_url_dedup(df.select("arr", "id", "url"))
-    if store is not None:
+    if store.get("url_hashes") is not None:
         # URLs seen in earlier batches are L1 duplicates (their story id is the URL hash)
         seen = store["url_hashes"].select("url_hash").distinct().withColumn("_seen", F.lit(True))
         l1 = (l1.join(seen, "url_hash", "left")
                 .withColumn("l1_keep", F.col("l1_keep") & F.col("_seen").isNull()).drop("_seen"))
     l1 = _cut(l1)
     s1 = df.join(l1.filter("l1_keep").select("arr"), "arr", "left_semi")
+    alone = F.lit(None).cast("string").alias("stored_id"), F.lit(True).alias("keep")
     if rules.use_l2:
-        l2 = _cut(l2_near_dup(s1, rules.simhash_max_distance,
-                              leaders_store=store["l2_leaders"] if store is not None else None))
+        l2 = _cut(l2_near_dup(s1, rules.simhash_max_distance, leaders_store=store.get("l2_leaders")))
     else:
-        l2 = l1.filter("l1_keep").select("arr", F.col("arr").alias("l2_leader_arr"))
-    l2_leaders = l2.filter(F.col("arr") == F.col("l2_leader_arr")).select("arr")
-    if rules.use_l3 and vectors is not None:
-        l3 = _cut(l3_semantic_dup(l2_leaders, vectors, rules.cosine_threshold, cosine_mode,
-                                  leaders_store=store["l3_leaders"] if store is not None else None))
+        l2 = l1.filter("l1_keep").select("arr", F.col("arr").alias("l2_leader_arr"), *alone)
+    l2_leaders = l2.filter("keep").select("arr")
+    semantic = rules.use_l3 and (vectors is not None or embedder is not None)
+    if semantic:
+        texts = l2_leaders if vectors is not None else df.join(l2_leaders, "arr", "left_semi")
+        l3 = _cut(l3_semantic_dup(texts, vectors, rules.cosine_threshold, cosine_mode,
+                                  leaders_store=store.get("l3_leaders"), embedder=embedder))
     else:
-        l3 = l2_leaders.select("arr", F.col("arr").alias("l3_leader_arr"))
+        l3 = l2_leaders.select("arr", F.col("arr").alias("l3_leader_arr"), *alone)
     smap = story_map(l1, l2, l3, transitive)
     counts = smap.groupBy("story_id").agg(F.count(F.lit(1)).alias("corroboration_count"))
-    l3_leaders = l3.filter(F.col("arr") == F.col("l3_leader_arr")).select("arr")
+    l3_leaders = l3.filter("keep").select("arr")
     # L2 leaders without a vector never enter L3 and stay leaders
     no_vec = l2_leaders.join(l3.select("arr"), "arr", "left_anti")
     surv_keys = (l1.join(l3_leaders.union(no_vec), "arr", "left_semi").select("arr", "id")
@@ -156,62 +184,65 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     if return_tables:
         tables = {"l1": l1, "l2": l2, "l3": l3, "story_map": smap, "counts": counts, "survivor_keys": surv_keys}
         tables["store"] = _next_store(store, l1, l2 if rules.use_l2 else None,
-                                      l3_leaders if (rules.use_l3 and vectors is not None) else None, vectors)
+                                      l3_leaders if semantic and vectors is not None else None, vectors)
         return out, tables
     return out
 
 
-def _next_store(store, l1, l2, l3_leaders, vectors) -> dict:
-    """Leader store after a batch: every URL hash seen, SimHash leaders, vector leaders."""
-    urls = l1.select("url_hash")
-    l2l = (l2.filter(F.col("arr") == F.col("l2_leader_arr")).select("arr", "simhash") if l2 is not None
-           else None)
-    l3l = (l3_leaders.join(vectors.select("arr", "embedding"), "arr") if l3_leaders is not None else None)
-    if store is not None:
-        urls = urls.unionByName(store["url_hashes"].select("url_hash"))
-        l2l = store["l2_leaders"] if l2l is None else l2l.unionByName(store["l2_leaders"].select("arr", "simhash"))
-        l3l = store["l3_leaders"] if l3l is None else l3l.unionByName(store["l3_leaders"].select("arr", "embedding"))
-    out = {"url_hashes": _cut(urls.distinct())}
-    out["l2_leaders"] = _cut(l2l) if l2l is not None else None
-    out["l3_leaders"] = _cut(l3l) if l3l is not None else None
+def batch_state(batch: int, l1: DataFrame, l2: DataFrame | None, l3_leaders: DataFrame | None,
+                vectors: DataFrame | None) -> dict:
+    """What one batch adds to the store: its URL hashes, SimHash leaders and vector leaders."""
+    number, ids = F.lit(batch).cast("long").alias("batch"), l1.select("arr", "id")
+    state = {"url_hashes": l1.select("url_hash").distinct(), "l2_leaders": None, "l3_leaders": None}
+    if l2 is not None:
+        state["l2_leaders"] = l2.filter("keep").join(ids, "arr").select(number, "arr", "id", "simhash")
+    if l3_leaders is not None:
+        state["l3_leaders"] = l3_leaders.join(vectors.select("arr", "embedding"), "arr").join(ids, "arr").select(number, "arr", "id", "embedding")
+    return state
+
+
+def _next_store(store: dict, l1, l2, l3_leaders, vectors) -> dict:
+    """The store after a batch; a part that the batch did not touch stays as it was."""
+    number = store.get("batch", -1) + 1
+    out = {"batch": number}
+    for part, new in batch_state(number, l1, l2, l3_leaders, vectors).items():
+        old = store.get(part)
+        both = new if old is None else old if new is None else new.unionByName(old)
+        out[part] = None if both is None else _cut(both.distinct() if part == "url_hashes" else both)
     return out
 
 
 def incremental_dedup(batch: DataFrame, store: dict | None, vectors: DataFrame | None = None,
-                      rules: P.Rules = P.DEFAULT_RULES, cosine_mode: str = "auto"):
+                      rules: P.Rules = P.DEFAULT_RULES, cosine_mode: str = "exact", return_tables: bool = False):
     """Dedup ``batch`` against the leaders of earlier batches.
 
-    ``store`` (None for the first batch) holds ``url_hashes``, ``l2_leaders``
-    (arr, simhash) and ``l3_leaders`` (arr, embedding); all earlier leaders must
-    have smaller ``arr`` than the batch. The story map is per batch: a late
-    duplicate of an old leader is dropped and adds to nobody's count.
-    Returns (survivors, new_store); the store tables are checkpointed in the
-    shared checkpoint folder (write them to a table to keep them across jobs).
+    ``store`` (None for the first batch) holds ``batch`` (the last batch's number), ``url_hashes``,
+    ``l2_leaders`` (batch, arr, id, simhash) and ``l3_leaders`` (batch, arr, id, embedding); a part is None
+    while no batch has run its stage. Stored leaders come before every row of the batch, whatever their
+    ``arr``. The story map is per batch: a late duplicate of a stored leader is dropped and has that leader's id
+    as its story. Returns (survivors, new_store) or, with ``return_tables``, (survivors, tables).
     """
-    if store is not None and store.get("l2_leaders") is None:
-        store = None
     out, t = dedup_cascade(batch, vectors, rules, cosine_mode, return_tables=True, store=store)
-    return out, t["store"]
+    return (out, t) if return_tables else (out, t["store"])
 
 
 def story_map(l1: DataFrame, l2: DataFrame, l3: DataFrame, transitive: bool = False) -> DataFrame:
     """One row per distinct ``id`` -> ``story_id`` (later stage wins).
 
     L1: survivor -> own id, duplicate -> URL hash (the last write per id wins);
-    L2/L3 duplicate -> leader's id. ``transitive`` also moves L2 members of an
-    article absorbed at L3 to the L3 leader.
+    L2/L3 duplicate -> leader's id, also of a leader stored by an earlier batch. ``transitive`` also moves L2
+    members of an article absorbed at L3 to the L3 leader.
     """
     ids = l1.select("arr", "id")
     l1v = (l1.select("id", "arr", F.when(F.col("l1_keep"), F.col("id")).otherwise(F.col("url_hash")).alias("s1"))
              .groupBy("id").agg(F.max_by("s1", "arr").alias("s1")))
-    l2d = (l2.filter(F.col("arr") != F.col("l2_leader_arr"))
-             .join(ids.withColumnRenamed("arr", "l2_leader_arr").withColumnRenamed("id", "l2_leader_id"),
-                   "l2_leader_arr")
-             .select("arr", "l2_leader_arr", "l2_leader_id"))
-    l3d = (l3.filter(F.col("arr") != F.col("l3_leader_arr"))
-             .join(ids.withColumnRenamed("arr", "l3_leader_arr").withColumnRenamed("id", "l3_leader_id"),
-                   "l3_leader_arr")
-             .select("arr", "l3_leader_id"))
+
+    def led(level: DataFrame, leader: str, name: str) -> DataFrame:
+        own = ids.select(F.col("arr").alias(leader), F.col("id").alias("_own"))
+        return (level.filter("not keep").join(own, leader, "left")
+                .select("arr", leader, F.coalesce("stored_id", "_own").alias(name)))
+
+    l2d, l3d = led(l2, "l2_leader_arr", "l2_leader_id"), led(l3, "l3_leader_arr", "l3_leader_id").select("arr", "l3_leader_id")
     per_article = ids.join(l2d, "arr", "left").join(l3d, "arr", "left")
     if transitive:
         moved = l3d.select(F.col("arr").alias("l2_leader_arr"), F.col("l3_leader_id").alias("l3_of_leader"))

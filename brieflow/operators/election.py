@@ -32,49 +32,29 @@ from pyspark.sql import functions as F
 from brieflow.session import ensure_checkpoint_dir
 
 
-def orient_edges(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Edges as (u, v) with u < v (u earlier), self-loops and repeats removed."""
-    return (edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-                 .filter(F.col("u") < F.col("v")).distinct())
-
-
-def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node",
-                    fixed_leaders: DataFrame | None = None, max_rounds: int = 10_000,
-                    checkpoint: bool = True) -> DataFrame:
+def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", checkpoint: bool = True) -> DataFrame:
     """Return (node, leader, is_leader) for every node of ``nodes``.
 
     ``nodes``: one column ``node`` (BIGINT order key, unique). ``edges``: (u, v)
-    with u < v. ``fixed_leaders`` (optional, column ``node``): nodes that are
-    leaders already (earlier batches); they must be earlier than every new node.
+    with u < v. The edges are materialised once; they feed every round and the final map.
     """
     spark = nodes.sparkSession
     if checkpoint:
         ensure_checkpoint_dir(spark)
     nd = nodes.select(F.col(node).alias("n")).distinct()
-    e0 = edges.select("u", "v")
 
     def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True) if checkpoint else df
 
-    in_graph = e0.select(F.col("u").alias("n")).union(e0.select(F.col("v").alias("n"))).distinct()
-    U = cut(nd.join(in_graph, "n", "left_semi"))
-    E = cut(e0)
+    e0 = cut(edges.select("u", "v"))
+    # only nodes with an edge are undecided; all others lead themselves
+    E = e0
+    U = cut(e0.select(F.col("u").alias("n")).union(e0.select(F.col("v").alias("n"))).distinct())
     leader_parts: list[DataFrame] = []
-    if fixed_leaders is not None:
-        fl = fixed_leaders.select(F.col(node).alias("n")).distinct()
-        dups0 = E.join(fl.withColumnRenamed("n", "u"), "u", "left_semi").select(F.col("v").alias("n")).distinct()
-        U = cut(U.join(fl, "n", "left_anti").join(dups0, "n", "left_anti"))
-        E = cut(E.join(dups0.withColumnRenamed("n", "v"), "v", "left_anti")
-                 .join(dups0.withColumnRenamed("n", "u"), "u", "left_anti")
-                 .join(fl.withColumnRenamed("n", "u"), "u", "left_anti"))
-    rounds = 0
     while True:
         if E.isEmpty():
             leader_parts.append(U)  # no edges left: every undecided node is a leader
             break
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"leader election did not converge in {max_rounds} rounds")
         heads = E.select(F.col("v").alias("n")).distinct()
         # materialised: it feeds D, the U and E updates and the final union
         N = cut(U.join(heads, "n", "left_anti"))
@@ -84,13 +64,9 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node",
         E = cut(E.join(D.withColumnRenamed("n", "v"), "v", "left_anti")
                  .join(D.withColumnRenamed("n", "u"), "u", "left_anti")
                  .join(N.withColumnRenamed("n", "u"), "u", "left_anti"))
-    graph_leaders = leader_parts[0]
+    all_leaders = leader_parts[0]
     for part in leader_parts[1:]:
-        graph_leaders = graph_leaders.union(part)
-    all_leaders = graph_leaders
-    if fixed_leaders is not None:
-        all_leaders = all_leaders.union(fixed_leaders.select(F.col(node).alias("n")))
-    all_leaders = cut(all_leaders.distinct())
+        all_leaders = all_leaders.union(part)
     # duplicate -> lowest adjacent leader (over the original edges)
     dup_map = (e0.join(all_leaders.withColumnRenamed("n", "u"), "u", "left_semi")
                  .join(all_leaders.withColumnRenamed("n", "v"), "v", "left_anti")
@@ -102,18 +78,4 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node",
     return out
 
 
-def first_fit_reference(order: list[int], adjacent) -> dict[int, int]:
-    """Plain sequential first-fit, written from the rule above (for tests only)."""
-    leaders: list[int] = []
-    out: dict[int, int] = {}
-    for x in sorted(order):
-        hit = next((ld for ld in leaders if adjacent(ld, x)), None)
-        if hit is None:
-            leaders.append(x)
-            out[x] = x
-        else:
-            out[x] = hit
-    return out
-
-
-__all__ = ["orient_edges", "leader_election", "first_fit_reference"]
+__all__ = ["leader_election"]

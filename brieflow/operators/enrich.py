@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brieflow import params as P
+from brieflow.functions.lexicon import lexicon_hits
 from brieflow.functions.text import article_text, effective_body, title_case
 
 TEXT_LOWER = "_text_lower"
@@ -114,12 +115,20 @@ def _entities_col(gazetteer, max_chars, labels, tagger) -> Column:
     if not entries:
         return F.array().cast(ENTITY_TYPE)
     head_lower = F.lower(head)
-    found = []
-    for s_, lab in entries:
-        pos = F.locate(s_.lower(), head_lower)
-        found.append(F.when(pos > 0, F.struct(pos.alias("pos"), F.substring(head, pos, len(s_)).alias("text"),
-                                              F.lit(lab).alias("label"))))
-    return F.transform(F.array_sort(F.array_compact(F.array(*found))),
+
+    def mentions(surface: str, label: str) -> Column:
+        """Every mention: the pieces between the mentions give their places."""
+        size = len(surface)
+        gaps = F.transform(F.split(head_lower, "\\Q" + surface.lower() + "\\E", -1), lambda g: F.length(g))
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+        places = F.aggregate(gaps, start, lambda p, g: F.struct((p["at"] + g + size).alias("at"),
+                                                                F.concat(p["found"], F.array(p["at"] + g)).alias("found")),
+                             lambda p: F.slice(p["found"], F.lit(1), F.size(p["found"]) - 1))
+        return F.transform(places, lambda p: F.struct(p.alias("pos"), F.substring(head, p, F.lit(size)).alias("text"),
+                                                      F.lit(label).alias("label")))
+
+    found = [mentions(s_, lab) for s_, lab in entries]
+    return F.transform(F.array_sort(F.concat(*found)),
                        lambda e: F.struct(e["text"].alias("text"), e["label"].alias("label")))
 
 
@@ -181,7 +190,7 @@ def extract_entities(df: DataFrame, gazetteer=(), max_chars: int = 1000,
     of ``title + ' ' + (body or summary)``.
 
     ``gazetteer`` is a config-size list of ``(surface, label)``; a surface
-    matches case-insensitively as a substring (first occurrence), entity text
+    matches case-insensitively as a substring (every mention), entity text
     keeps the original casing, order is document position. ``tagger`` may be
     a pandas_udf returning the same array type (pluggable model).
     """
@@ -197,47 +206,39 @@ def primary_country(df: DataFrame, countries=P.COUNTRY_KEYWORDS, other=P.OTHER_C
 def keyword_match(df: DataFrame, topics=P.TOPICS) -> DataFrame:
     """One row (…, domain, keyword) per lexicon keyword contained in the text.
 
-    The lexicon is config-size, so the theta join is an ``explode`` of a literal
-    array followed by a ``contains`` filter inside the same task — no join,
-    no shuffle. (A table-size lexicon would be a broadcast nested-loop join.)
+    The lexicon is config-size, so the theta join stays within a row: the literal array is filtered by
+    ``contains`` and only the hits are exploded — no join, no shuffle, no copy of a text per keyword.
     """
-    entries = ", ".join(f"named_struct('domain', {sql_lit(d)}, 'keyword', {sql_lit(k)})"
+    entries = ", ".join(f"named_struct('domain', {sql_lit(d)}, 'keyword', {sql_lit(k)}, 'low', {sql_lit(k.lower())})"
                         for d, kws, _ in topics for k in kws)
-    out = with_text_lower(df).select("*", F.explode(F.expr(f"array({entries})")).alias("_lex"))
-    out = out.filter(F.contains(F.col(TEXT_LOWER), F.lower(F.col("_lex.keyword"))))
+    hits = F.filter(F.expr(f"array({entries})"), lambda e: F.contains(F.col(TEXT_LOWER), e["low"]))
+    # the hits are kept as a column of their own, so the text does not pass the explode
+    out = with_text_lower(df).select(*df.columns, hits.alias("_hits")).select(*df.columns, F.explode("_hits").alias("_lex"))
     return out.select(*df.columns, F.col("_lex.domain").alias("domain_hit"), F.col("_lex.keyword").alias("keyword")) \
         .withColumnRenamed("domain_hit", "domain" if "domain" not in df.columns else "keyword_domain")
 
 
 def enrich(df: DataFrame, topics=P.TOPICS, gazetteer=(), tagger=None,
-           countries=P.COUNTRY_KEYWORDS, keep_text_lower: bool = False, matcher: str = "auto") -> DataFrame:
-    """A31–A37 as three projections, no shuffle.
-
-    Stage 1 matches every full-text pattern (keywords, theme phrases, actors)
-    in one Aho-Corasick pass (``matcher='auto'``) or with one JVM ``contains``
-    per pattern (``matcher='jvm'``). Stage 2: map, routing, actor, entities.
-    Stage 3: themes, tags, country. Built with ``select`` so the analyzer sees
-    each large expression once.
-    """
-    from brieflow.functions.lexicon import HAVE_AC, lexicon_hits
+           countries=P.COUNTRY_KEYWORDS, keep_text_lower: bool = False) -> DataFrame:
+    """A31–A37 as three projections, no shuffle, all in the JVM.
 
+    Stage 1 tests every full-text pattern (keywords, theme phrases, actors) against the lower-case text,
+    which is computed once, and keeps the numbers of those that occur. Stage 2: map, routing, actor,
+    entities. Stage 3: themes, tags, country. Built with ``select`` so the analyzer sees each large
+    expression once.
+    """
     enriched = ["domain_scores", "primary_domain", "gdelt_themes", "pmesii_tags",
                 "actor_significance", "ner_entities", "primary_country"]
     base_cols = [c for c in df.columns if c not in enriched and c != TEXT_LOWER]
-    use_ac = matcher == "ac" or (matcher == "auto" and HAVE_AC)
-    if use_ac:
-        pats = _full_text_patterns(topics, P.MAJOR_ACTORS, P.REGIONAL_ACTORS)
-        ids = {p: i for i, p in enumerate(pats)}
+    pats = _full_text_patterns(topics, P.MAJOR_ACTORS, P.REGIONAL_ACTORS)
+    ids = {p: i for i, p in enumerate(pats)}
 
-        def cond(w: str) -> str:
-            return f"array_contains(_hits, {ids[w]})"
+    def cond(w: str) -> str:
+        return f"array_contains(_hits, {ids[w]})"
 
-        s1 = df.select(*base_cols, lexicon_hits(F.lower(article_text()), pats).alias("_hits"))
-        carry = ["_hits"]
-    else:
-        cond = jvm_cond
-        s1 = df.select(*base_cols, F.lower(article_text()).alias(TEXT_LOWER))
-        carry = [TEXT_LOWER]
+    low = df.select(*base_cols, F.lower(article_text()).alias(TEXT_LOWER))
+    s1 = low.select(*base_cols, lexicon_hits(F.col(TEXT_LOWER), pats).alias("_hits"))
+    carry = ["_hits"]
     s1 = s1.select("*", *_counts_cols(topics, cond))
     s2 = s1.select(*base_cols, *carry,
                    _scores_map_col(topics).alias("domain_scores"),

@@ -55,7 +55,7 @@ def drop_missing_url(entries: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def project_articles(entries: DataFrame, sources: DataFrame) -> DataFrame:
-    """Entry + source attributes with defaults (unknown, unknown, 0.5, en).
+    """Entry (title stripped) + source attributes with defaults (unknown, unknown, 0.5, en).
 
     ``sources`` is a registry (one row per feed); AQE turns the join into a
     broadcast from runtime size statistics, otherwise it stays a shuffle join.
@@ -70,17 +70,20 @@ def project_articles(entries: DataFrame, sources: DataFrame) -> DataFrame:
         F.coalesce(F.col("language"), F.lit("en")).alias("language"),
     )
     drop = [c for c in src.columns if c != "source_id" and c in entries.columns]
-    return entries.drop(*drop).join(src, "source_id")
+    entries = entries.drop(*drop)
+    if "title" in entries.columns:
+        entries = entries.withColumn("title", F.regexp_replace(F.coalesce("title", F.lit("")), r"^\s+|\s+$", ""))
+    return entries.join(src, "source_id")
 
 
-def run_stats(**stages: DataFrame) -> DataFrame:
-    """One row per stage with its row count, as a union of one-row aggregates."""
-    frames = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-              for name, df in stages.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def run_stats(df: DataFrame, **stages: Column) -> DataFrame:
+    """One row per stage with its row count, in one pass over ``df``.
+
+    Each stage is a condition on the rows of ``df`` (a stage counts the rows on which it holds).
+    """
+    counts = df.agg(*[F.count_if(c).alias(name) for name, c in stages.items()])
+    pairs = F.array(*[F.struct(F.lit(name).alias("stage"), F.col(name).alias("rows")) for name in stages])
+    return counts.select(F.inline(pairs))
 
 
 def flat_map_safe(df: DataFrame, fn, schema: str, payload_cols: list[str] | None = None) -> DataFrame:
@@ -88,35 +91,36 @@ def flat_map_safe(df: DataFrame, fn, schema: str, payload_cols: list[str] | None
 
     ``None`` or an exception counts as a failure and yields one row with
     ``ok = false`` and the error text; a list is flattened; a dict is one row.
+    Values arrive as plain Python values (an integer stays exact beside nulls).
     Output schema = ``schema`` + ``ok boolean, error string``. Totals come from
     ``flat_map_totals``. This is the user-function surface (per-row Python).
     """
-    import pandas as pd
-    from pyspark.sql.types import StructType, _parse_datatype_string
-
-    out_schema = _parse_datatype_string(schema)
-    assert isinstance(out_schema, StructType)
-    names = out_schema.fieldNames()
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+    given = StructType.fromDDL(schema)
+    names = given.fieldNames()
+    out_schema = StructType([*given.fields, StructField("ok", BooleanType()), StructField("error", StringType())])
+    arrow_schema = to_arrow_schema(out_schema)
     cols = payload_cols or df.columns
 
     def run(batches):
-        for pdf in batches:
+        for b in batches:
             rows = []
-            for rec in pdf[cols].to_dict("records"):
+            for rec in b.to_pylist():
                 try:
                     res = fn(rec)
                 except Exception as exc:  # noqa: BLE001 - failures are data here
-                    rows.append({**{k: None for k in names}, "ok": False, "error": repr(exc)})
+                    rows.append({"ok": False, "error": repr(exc)})
                     continue
                 if res is None:
-                    rows.append({**{k: None for k in names}, "ok": False, "error": "none"})
-                elif isinstance(res, list):
-                    rows.extend({**{k: r.get(k) for k in names}, "ok": True, "error": None} for r in res)
+                    rows.append({"ok": False, "error": "none"})
                 else:
-                    rows.append({**{k: res.get(k) for k in names}, "ok": True, "error": None})
-            yield pd.DataFrame(rows, columns=names + ["ok", "error"])
+                    rows.extend({**{k: r.get(k) for k in names}, "ok": True} for r in (res if isinstance(res, list) else [res]))
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
-    return df.select(*cols).mapInPandas(run, schema=f"{schema}, ok boolean, error string")
+    return df.select(*cols).mapInArrow(run, schema=out_schema)
 
 
 def flat_map_totals(mapped: DataFrame, items: DataFrame) -> DataFrame:

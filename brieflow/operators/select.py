@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brieflow import params as P
+from brieflow.session import ensure_checkpoint_dir
 
 SCORE = "bias_adjusted_score"
 
@@ -78,13 +79,27 @@ def final_order(selected: DataFrame, fringe: DataFrame | None) -> DataFrame:
     return sel.withColumn("rank", F.row_number().over(w))
 
 
+#: what selection never looks at: dropped before the candidates are materialised
+WIDE_COLUMNS = ["title", "body", "summary", "content", "embedding", "ner_entities", "domain_scores", "gdelt_themes", "pmesii_tags"]
+
+
 def select(df: DataFrame, rules: P.Rules = P.DEFAULT_RULES) -> DataFrame:
-    """A45 -> A46 -> A47 -> A48 -> A49."""
-    cands = min_score_filter(df, rules.min_score)
+    """A45 -> A46 -> A47 -> A48 -> A49.
+
+    The candidates' narrow columns are checkpointed once (shared folder), as three consumers read them; texts
+    are joined to the few selected rows afterwards (:func:`with_texts`).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cands = min_score_filter(df.drop(*WIDE_COLUMNS), rules.min_score).checkpoint(eager=True)
     top = top_n_per_domain(cands, rules.top_n_per_domain)
     capped = country_cap(top, rules.max_per_country)
     fringe = best_fringe(cands, capped) if rules.include_fringe else None
     return final_order(capped, fringe)
 
 
-__all__ = ["min_score_filter", "top_n_per_domain", "country_cap", "best_fringe", "final_order", "select"]
+def with_texts(selected: DataFrame, articles: DataFrame, columns=("title", "body", "summary")) -> DataFrame:
+    """The selected rows (at most n × domains + 1, so they are broadcast) with columns of their articles."""
+    return articles.select("arr", *columns).join(F.broadcast(selected), "arr")
+
+
+__all__ = ["min_score_filter", "top_n_per_domain", "country_cap", "best_fringe", "final_order", "select", "with_texts"]

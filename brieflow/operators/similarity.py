@@ -2,24 +2,25 @@
 
 Design for scale:
 
-* SimHash (A22) is native Spark: shingles are exploded, hashed with ``md5``
-  and reduced by a hash aggregate keyed by the article. Partial aggregation
-  collapses each article to one row *before* the shuffle.
+* SimHash (A22) is map-only: one Arrow-batched helper per article text
+  (``method='native'`` is the same value from exploded shingles and JVM sums).
 * Hamming pairs (A17) never compare all pairs. A 64-bit fingerprint is cut
   into ``m`` blocks; two fingerprints within distance ``k`` agree on at least
   ``m - k`` blocks (pigeonhole), so an equi-join on every combination of
-  ``m - k`` blocks finds every pair exactly. ``m = k + 1`` gives ``k + 1``
-  single-block keys; a larger ``m`` gives longer keys (smaller buckets) at the
-  price of more key rows — :func:`choose_blocks` picks ``m`` from the number of
-  distinct fingerprints so buckets stay small at any scale. A pair is emitted
-  only under the first key it matches, so no ``distinct`` shuffle is needed.
-  Exact copies are collapsed to one fingerprint before the join, so a
-  fingerprint held by a third of all rows costs one row.
-* Cosine pairs (A18) ``exact``: block self-join — vectors are hashed into
-  ``B`` blocks, each upper-triangular block pair is one cogroup handled by a
-  numpy matrix product (Arrow batches); only pairs at or above the threshold
-  leave the task. ``lsh``: ``BucketedRandomProjectionLSH`` candidates, then the
-  exact dot product in the JVM. ``auto`` switches to LSH above ``exact_limit``.
+  ``m - k`` blocks finds every pair exactly. ``m`` is chosen from the number
+  of distinct fingerprints (:func:`choose_blocks`), so buckets stay small at any
+  scale; the pairs are the same for every ``m``. A pair is emitted only under
+  the first key it matches, so no ``distinct`` shuffle is needed. Exact copies
+  are one fingerprint before the join, so a fingerprint held by a third of all
+  rows costs one row.
+* Cosine pairs (A18) are exact at every size. Vectors are dealt to the cells of
+  their nearest pivots; by the triangle inequality of angles a vector can only
+  match a cell whose pivot is at most the cell's radius plus the threshold
+  angle away. Cells and the vectors that probe them are cut into blocks of
+  bounded size on both sides. ``mode='lsh'`` (approximate, recall below 1) runs
+  on explicit request only.
+* Jaccard pairs (B02) are exact: equal shingle sets are one class, and a prefix
+  filter over rare-first shingles finds every pair at or above the threshold.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.functions.text import article_text
+from brieflow.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------------------
@@ -110,11 +112,16 @@ def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp
     """All pairs of *distinct* fingerprints within ``max_distance`` bits.
 
     Returns (fp_a, fp_b, dist) with fp_a < fp_b. Exact (no false negatives,
-    no false positives).
+    no false positives) for any number of ``blocks``; None chooses it from the
+    number of distinct fingerprints, which are materialised once.
     """
     k = int(max_distance)
     d = fps.select(F.col(fp_col).alias("fp")).filter(F.col("fp").isNotNull()).distinct()
-    m = blocks or (k + 1)
+    if blocks is None:
+        ensure_checkpoint_dir(fps.sparkSession)
+        d = d.checkpoint(eager=True)
+        blocks = choose_blocks(d.count(), k)
+    m = blocks
     if m < k + 1:
         raise ValueError("blocks must be at least max_distance + 1")
     layout = _block_layout(m)
@@ -159,59 +166,115 @@ def _dot(a: str, b: str) -> Column:
 
 
 def cosine_pairs(vecs: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, key: str = "arr",
-                 vec_col: str = "embedding", mode: str = "auto", block_rows: int = 2048,
-                 exact_limit: int = 500_000, lsh_tables: int = 8, lsh_bucket_length: float | None = None,
-                 seed: int = 7) -> DataFrame:
+                 vec_col: str = "embedding", mode: str = "exact", block_rows: int = 2048,
+                 lsh_tables: int = 8, lsh_bucket_length: float | None = None, seed: int = 7) -> DataFrame:
     """Pairs (a, b, cos) with a < b (by ``key``) and dot product ≥ ``threshold``.
 
-    Vectors are expected unit-norm (the dot product is the cosine). ``exact``
-    is a block self-join evaluated with numpy; ``lsh`` is approximate (recall
-    < 1); ``auto`` = exact up to ``exact_limit`` vectors.
+    Vectors are unit-norm (the dot product is the cosine); ``key`` is unique. ``exact``
+    (the default at every size) finds all pairs; ``lsh`` is approximate and must be asked for.
     """
     v = vecs.select(F.col(key).alias("k"), F.col(vec_col).alias("v")).filter(F.col("v").isNotNull())
-    if mode == "auto":
-        n = v.count()
-        mode = "exact" if n <= exact_limit else "lsh"
     if mode == "exact":
-        return _cosine_exact(v, threshold, block_rows)
+        pairs = _cosine_join(v, None, threshold, block_rows)
+        return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"), "cos")
     if mode == "lsh":
         return _cosine_lsh(v, threshold, lsh_tables, lsh_bucket_length, seed)
     raise ValueError(mode)
 
 
-def _cosine_exact(v: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+def cosine_cross_pairs(left: DataFrame, right: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD,
+                       key: str = "arr", vec_col: str = "embedding", block_rows: int = 2048) -> DataFrame:
+    """All (l, r, cos) between two tables of vectors with dot product ≥ ``threshold`` (exact)."""
+    lv, rv = (d.select(F.col(key).alias("k"), F.col(vec_col).alias("v")).filter(F.col("v").isNotNull()) for d in (left, right))
+    return _cosine_join(lv, rv, threshold, block_rows)
+
+
+#: pivots of the exact cosine join (their vectors and the statistics of their cells are all the driver sees)
+MAX_PIVOTS = 1024
+
+
+def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, block_rows: int) -> DataFrame:
+    """Exact join on the dot product; ``right`` None joins ``left`` with itself, each pair once."""
     import numpy as np
     import pandas as pd
 
-    n = v.count()
-    nb = max(1, math.ceil(n / block_rows))
-    v = v.withColumn("blk", F.pmod(F.xxhash64("k"), F.lit(nb)).cast("int"))
-    # left copy of block i goes to pairs (i, j) for j >= i; right copy of block j to (i, j) for i <= j
-    left = v.select(F.col("k").alias("lk"), F.col("v").alias("lv"), F.col("blk").alias("i"),
-                    F.explode(F.sequence(F.col("blk"), F.lit(nb - 1))).alias("j"))
-    right = v.select(F.col("k").alias("rk"), F.col("v").alias("rv"),
-                     F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("i"), F.col("blk").alias("j"))
+    spark, itself = left.sparkSession, right is None
+    ensure_checkpoint_dir(spark)
+    base = left if itself else right
+    n = base.count()
+    empty = "l long, r long, cos double"
+    if n == 0:
+        return spark.createDataFrame([], empty)
+    size = min(MAX_PIVOTS, max(1, 2 * math.ceil(n / block_rows)))
+    chosen = base.orderBy(F.xxhash64("k", F.lit(3)), "k").limit(size).collect()  # at most MAX_PIVOTS vectors
+    pivots = np.array([r["v"] for r in chosen], np.float64)
+    norms = np.linalg.norm(pivots, axis=1, keepdims=True)
+    pivots = pivots / np.where(norms > 0, norms, 1.0)
+    # a vector's angle to each pivot; rounding is covered by SLACK
+    slack, reach = 1e-6, math.acos(max(-1.0, min(1.0, float(threshold))))
+
+    def angles(vectors) -> np.ndarray:
+        m = np.stack(vectors.to_numpy()).astype(np.float64)
+        length = np.linalg.norm(m, axis=1, keepdims=True)
+        return np.arccos(np.clip((m / np.where(length > 0, length, 1.0)) @ pivots.T, -1.0, 1.0))
+
+    def deal(batches):
+        for pdf in batches:
+            if len(pdf):
+                far = angles(pdf["v"])
+                cell = far.argmin(axis=1)
+                yield pdf.assign(cell=cell.astype(np.int32), far=far[np.arange(len(pdf)), cell])
+
+    home = base.mapInPandas(deal, "k long, v array<float>, cell int, far double").checkpoint(eager=True)
+    stats = {r["cell"]: r for r in home.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect()}
+    radius = np.full(size, -np.inf)
+    for c, r in stats.items():
+        radius[c] = r["radius"]
+    chunks = {c: max(1, math.ceil(r["n"] / block_rows)) for c, r in stats.items()}
+
+    def probe(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            far = angles(pdf["v"])
+            may = far <= radius[None, :] + reach + slack
+            if itself:  # a cell is probed from the cells of lower number and by itself
+                own = pdf["cell"].to_numpy()
+                may &= np.arange(size)[None, :] >= own[:, None]
+                may[np.arange(len(pdf)), own] = True
+            yield pdf[["k", "v"]].assign(cells=[np.flatnonzero(m).astype(np.int32) for m in may],
+                                         own=pdf["cell"].astype(np.int32) if itself else np.int32(-1))
+
+    probes = (home if itself else left).mapInPandas(probe, "k long, v array<float>, cells array<int>, own int")
+    probes = probes.checkpoint(eager=True)
+    met = {r["c"]: r["n"] for r in probes.select(F.explode("cells").alias("c")).groupBy("c").agg(F.count("*").alias("n")).collect()}
+    cuts = {c: max(1, math.ceil(met.get(c, 0) / block_rows)) for c in chunks}
+
+    def of_cell(values: dict[int, int], cell: Column) -> Column:
+        return F.get(F.array(*[F.lit(values.get(c, 1)) for c in range(size)]), cell)
+
+    h = (home.withColumn("chunk", F.pmod(F.xxhash64("k", F.lit(1)), of_cell(chunks, F.col("cell"))))
+         .withColumn("part", F.explode(F.sequence(F.lit(0), of_cell(cuts, F.col("cell")) - 1)))
+         .select(F.col("k").alias("rk"), F.col("v").alias("rv"), "cell", "chunk", "part"))
+    q = (probes.select("k", "v", "own", F.explode("cells").alias("cell"))
+         .withColumn("part", F.pmod(F.xxhash64("k", F.lit(2)), of_cell(cuts, F.col("cell"))).cast("int"))
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), (of_cell(chunks, F.col("cell")) - 1).cast("long"))))
+         .select(F.col("k").alias("lk"), F.col("v").alias("lv"), "own", "cell", "chunk", "part"))
     t = float(threshold)
 
-    def pair_block(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        if lpdf.empty or rpdf.empty:
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
-                                 "cos": pd.Series([], dtype="float64")})
-        A = np.stack(lpdf["lv"].to_numpy()).astype(np.float64)
-        B = np.stack(rpdf["rv"].to_numpy()).astype(np.float64)
-        ka = lpdf["lk"].to_numpy(dtype=np.int64)
-        kb = rpdf["rk"].to_numpy(dtype=np.int64)
-        S = A @ B.T
-        ii, jj = np.nonzero((S >= t) & (ka[:, None] != kb[None, :]))
-        a, b = ka[ii], kb[jj]
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        out = pd.DataFrame({"a": lo, "b": hi, "cos": S[ii, jj]})
-        if int(lpdf["i"].iloc[0]) == int(lpdf["j"].iloc[0]):
-            out = out[a < b]  # same block on both sides: each unordered pair once
-        return out
-
-    return (left.groupBy("i", "j").cogroup(right.groupBy("i", "j"))
-            .applyInPandas(pair_block, schema="a long, b long, cos double"))
+    def block(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        if lp.empty or rp.empty:
+            return pd.DataFrame({"l": pd.Series([], dtype="int64"), "r": pd.Series([], dtype="int64"), "cos": pd.Series([], dtype="float64")})
+        lk, rk = lp["lk"].to_numpy(dtype=np.int64), rp["rk"].to_numpy(dtype=np.int64)
+        dots = np.stack(lp["lv"].to_numpy()).astype(np.float64) @ np.stack(rp["rv"].to_numpy()).astype(np.float64).T
+        good = dots >= t
+        if itself:  # within its own cell a vector meets the larger keys only
+            inside = lp["own"].to_numpy() == lp["cell"].to_numpy()
+            good &= ~inside[:, None] | (lk[:, None] < rk[None, :])
+        i, j = np.nonzero(good)
+        return pd.DataFrame({"l": lk[i], "r": rk[j], "cos": dots[i, j]})
+
+    return q.groupBy("cell", "chunk", "part").cogroup(h.groupBy("cell", "chunk", "part")).applyInPandas(block, schema=empty)
 
 
 def _cosine_lsh(v: DataFrame, threshold: float, tables: int, bucket_length, seed: int) -> DataFrame:
@@ -244,49 +307,53 @@ def shingle_set(words: Column, width: int = 4) -> Column:
     """Distinct word ``width``-grams of a *materialised* word-array column.
 
     Pass a column reference, not an expression: a lambda re-evaluates captured
-    expressions for every element.
+    expressions for every element. Fewer words than ``width`` are one gram; no words, none.
     """
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (width - 1), F.lit(1))),
                         lambda i: F.array_join(F.slice(words, i, width), " "))
-    return F.array_distinct(grams)
+    return F.when(F.size(words) > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
 def minhash_near_dup(df: DataFrame, key: str = "arr", text: Column | None = None, shingle: int = 4,
-                     threshold: float = 0.8, bands: int = 8, rows: int = 4) -> DataFrame:
-    """Pairs (a, b, jaccard) of word-``shingle`` sets with exact Jaccard ≥ ``threshold``.
-
-    Banded MinHash LSH: ``bands × rows`` min-hashes per document (one hash
-    aggregate keyed by document, partial aggregation before the shuffle), one
-    signature per band, an equi-join on (band, signature) — a pair is emitted
-    only under the first band on which it agrees, so no ``distinct`` — then the
-    exact Jaccard on the shingle sets. A pair with Jaccard J is a candidate with
-    probability 1 − (1 − J^rows)^bands (0.985 at J = 0.8 with 8 × 4); no false
-    positives.
+                     threshold: float = 0.8) -> DataFrame:
+    """Pairs (a, b, jaccard) of word-``shingle`` sets with Jaccard ≥ ``threshold``, exact.
+
+    Shingles are kept as 64-bit hashes. Documents with equal sets are one class, named by its least
+    key: a class member is paired with that name only (jaccard 1), and other pairs are between names, so
+    copies never multiply into all their pairs and no link is lost. Texts without words are left out.
+
+    Two sets with Jaccard ≥ t share one of the ``|s| - ceil(t |s|) + 1`` first shingles of each, in any
+    common order; in rare-first order a shingle that many documents hold is hardly ever among these.
+    The sets themselves are fetched for candidates of fitting size only.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     text = article_text() if text is None else text
-    k = bands * rows
     # Materialise the word arrays: otherwise the optimizer may inline the tokenizer into the
     # shingle lambda and re-tokenise the whole text once per shingle.
     words = df.select(F.col(key).alias("k"), words_of(text).alias("w")).checkpoint(eager=True)
-    sets = words.select("k", shingle_set(F.col("w"), shingle).alias("sh")).filter(F.size("sh") > 0)
-    sets = sets.checkpoint(eager=True)
-    g = sets.select("k", F.explode("sh").alias("g"))
-    mins = g.groupBy("k").agg(*[F.min(F.xxhash64(F.col("g"), F.lit(i))).alias(f"m{i}") for i in range(k)])
-    sig_exprs = [F.xxhash64(*[F.col(f"m{j * rows + r}") for r in range(rows)]) for j in range(bands)]
-    sigs = mins.select("k", F.array(*sig_exprs).alias("sigs"))
-    keyed = sigs.select("k", "sigs", F.posexplode("sigs").alias("band", "sig"))
-    a = keyed.select(F.col("k").alias("a"), F.col("sigs").alias("sa"), "band", "sig")
-    b = keyed.select(F.col("k").alias("b"), F.col("sigs").alias("sb"), "band", "sig")
-    cand = a.join(b, ["band", "sig"]).filter(F.col("a") < F.col("b"))
-    # first agreeing band only
-    first = F.array_position(F.zip_with("sa", "sb", lambda x, y: x == y), F.lit(True)) - 1
-    cand = cand.filter(first == F.col("band")).select("a", "b")
-    sa = sets.select(F.col("k").alias("a"), F.col("sh").alias("sha"))
-    sb = sets.select(F.col("k").alias("b"), F.col("sh").alias("shb"))
-    pairs = cand.join(sa, "a").join(sb, "b")
-    jac = F.size(F.array_intersect("sha", "shb")) / F.size(F.array_union("sha", "shb"))
-    return pairs.withColumn("jaccard", jac).filter(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
-
-
-__all__ = ["simhash64", "hamming_distance", "hamming_pairs", "choose_blocks", "cosine_pairs",
+    hashes = F.transform(shingle_set(F.col("w"), shingle), lambda g: F.xxhash64(g))
+    sets = words.select("k", F.array_sort(F.array_distinct(hashes)).alias("s")).filter(F.size("s") > 0)
+    sets = sets.withColumn("c", F.sha2(F.array_join(F.transform("s", lambda h: h.cast("string")), ","), 256)).checkpoint(eager=True)
+    names = sets.groupBy("c").agg(F.min("k").alias("name"))
+    member = (sets.select("k", "c").join(names, "c").filter("k != name")
+              .select(F.col("name").alias("a"), F.col("k").alias("b"), F.lit(1.0).alias("jaccard")))
+    classes = sets.join(names, "c").filter("k = name").select("k", "s", F.size("s").alias("n")).checkpoint(eager=True)
+    grams = classes.select("k", "n", F.explode("s").alias("g"))
+    common = grams.groupBy("g").agg(F.count("*").alias("held"))
+    ranked = grams.join(common, "g").select("k", "n", F.struct("held", "g").alias("x"))
+    t = float(threshold)
+    need = F.ceil(F.lit(t) * F.col("n") - F.lit(1e-9)).cast("int")
+    prefix = (ranked.groupBy("k", "n").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+              .select("k", "n", F.explode(F.slice("xs", F.lit(1), F.col("n") - need + 1)).alias("x")).select("k", "n", F.col("x.g").alias("g")))
+    left, right = prefix.toDF("a", "na", "g"), prefix.toDF("b", "nb", "g")
+    fits = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(t) * F.greatest("na", "nb") - F.lit(1e-9))
+    cand = left.join(right, "g").filter(fits).select("a", "b").distinct()
+    sa, sb = classes.select(F.col("k").alias("a"), F.col("s").alias("sa")), classes.select(F.col("k").alias("b"), F.col("s").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    jaccard = both / (F.size("sa") + F.size("sb") - both)
+    pairs = cand.join(sa, "a").join(sb, "b").withColumn("jaccard", jaccard).filter(F.col("jaccard") >= t - 1e-12)
+    return pairs.select("a", "b", "jaccard").unionByName(member)
+
+
+__all__ = ["simhash64", "hamming_distance", "hamming_pairs", "choose_blocks", "cosine_pairs", "cosine_cross_pairs",
            "minhash_near_dup", "shingle_set"]

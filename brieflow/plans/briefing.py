@@ -1,31 +1,34 @@
-"""Collect -> dedup -> enrich -> score -> select, as one lazy plan.
+"""Articles -> dedup -> enrich -> score -> select.
 
-The scored candidate set feeds three consumers in selection (top-N, domain
-first arrival, fringe). It is persisted once (narrow columns only after
-enrichment, MEMORY_AND_DISK) so the upstream text work runs once; lost
-partitions are recomputed from lineage.
+Articles come from any table of their columns, or from stored feeds and pages through
+``brieflow.sources.feeds.collect``. The dedup stages checkpoint narrow key tables as they are built; the scored
+candidates are materialised once without their texts. Nothing is cached on executors.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.operators import dedup, enrich, ingest, score, select
 
 
 def briefing(articles: DataFrame, vectors: DataFrame | None = None, rules: P.Rules = P.DEFAULT_RULES,
-             run_ts=None, gazetteer=(), countries=P.COUNTRY_KEYWORDS, cosine_mode: str = "auto",
-             persist: bool = True) -> DataFrame:
+             run_ts=None, gazetteer=(), countries=P.COUNTRY_KEYWORDS, embedder=None, tagger=None, texts: bool = False) -> DataFrame:
+    """The selected articles in order (``BRIEFING_COLUMNS`` and the article's other narrow columns).
+
+    Without ``run_ts`` ages count from the newest article; its time is looked up once (one row).
+    ``texts`` joins title, body and summary to the selected rows.
+    """
+    if run_ts is None:
+        run_ts = articles.agg(F.max("published_at")).first()[0]
     fresh = ingest.min_length_filter(ingest.freshness_filter(articles, run_ts, rules.max_age_hours),
                                      rules.min_article_chars)
-    survivors = dedup.dedup_cascade(fresh, vectors, rules, cosine_mode)
-    enriched = enrich.enrich(survivors, gazetteer=gazetteer, countries=countries)
-    scored = score.score(enriched, rules)
-    if persist:
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    return select.select(scored, rules)
+    survivors = dedup.dedup_cascade(fresh, vectors, rules, embedder=embedder)
+    enriched = enrich.enrich(survivors, gazetteer=gazetteer, countries=countries, tagger=tagger)
+    chosen = select.select(score.score(enriched, rules), rules)
+    return select.with_texts(chosen, articles) if texts else chosen
 
 
 BRIEFING_COLUMNS = ["rank", "arr", "id", "primary_domain", "primary_country", "corroboration_count",

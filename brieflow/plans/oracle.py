@@ -106,11 +106,14 @@ def cosine_near(threshold: float) -> str:
 
 
 def cascade_ctes(src: str, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, transitive: bool = False,
-                 scope: str = "true") -> str:
+                 scope: str = "true", vec_on: str = "e.vec_id = l.arr", use_l2: bool = True) -> str:
     """L1 -> L2 -> L3 -> story map -> counts over ``src`` (articles).
 
     ``scope``: predicate on ``arr`` selecting the batch whose story map, counts and
-    survivors are reported (sequential first-fit still runs over all of ``src``)."""
+    survivors are reported (sequential first-fit still runs over all of ``src``). ``vec_on``
+    joins embeddings ``e`` to articles ``l``."""
+    ff2 = (first_fit_ctes("ff2", "fpn", "BIGINT", HAMMING_NEAR) if use_l2
+           else "ff2 AS (SELECT arr, arr AS leader FROM s1)")
     later = "coalesce(i3.id, i3b.id, i2.id)" if transitive else "coalesce(i3.id, i2.id)"
     tjoin = ("LEFT JOIN ff3 m3b ON m3b.arr = m2.leader AND m3b.leader <> m3b.arr "
              "LEFT JOIN ids i3b ON i3b.arr = m3b.leader") if transitive else ""
@@ -119,9 +122,9 @@ ids AS (SELECT arr, id FROM l1),
 s1 AS (SELECT s.* FROM {src} s JOIN l1 USING (arr) WHERE l1.l1_keep),
 {simhash_ctes("s1", "fp")},
 fpn AS (SELECT arr, simhash AS k FROM fp),
-{first_fit_ctes("ff2", "fpn", "BIGINT", HAMMING_NEAR)},
+{ff2},
 l2lead AS (SELECT arr FROM ff2 WHERE leader = arr),
-vec AS (SELECT l.arr, e.embedding AS k FROM l2lead l JOIN embeddings e ON e.vec_id = l.arr
+vec AS (SELECT l.arr, e.embedding AS k FROM l2lead l JOIN embeddings e ON {vec_on}
         WHERE e.embedding IS NOT NULL),
 {first_fit_ctes("ff3", "vec", "FLOAT[]", cosine_near(threshold))},
 l1v AS (SELECT id, max_by(CASE WHEN l1_keep THEN id ELSE url_hash END, arr) AS s1v FROM l1
@@ -169,10 +172,11 @@ def entities_list_sql(gazetteer, max_chars: int = 1000) -> str:
     for s_, lab in gazetteer:
         if lab not in P.ENTITY_LABELS:
             continue
-        pos = f"strpos(lower({head}), {sql_lit(s_.lower())})"
-        items.append(f"CASE WHEN {pos} > 0 THEN {{'pos': CAST({pos} AS BIGINT), 'text': substring({head}, {pos}, "
-                     f"{len(s_)}), 'label': {sql_lit(lab)}}} END")
-    return f"list_sort(list_filter([{', '.join(items)}], lambda x: x IS NOT NULL))"
+        # a surface never overlaps itself here, so every place where it stands is a mention
+        at = f"list_filter(range(1, length({head}) + 1), lambda i: substring(lower({head}), i, {len(s_)}) = {sql_lit(s_.lower())})"
+        items.append(f"list_transform({at}, lambda i: {{'pos': CAST(i AS BIGINT), 'text': substring({head}, i, {len(s_)}), "
+                     f"'label': {sql_lit(lab)}}})")
+    return f"list_sort(flatten([{', '.join(items)}]))"
 
 
 def enrich_ctes(src: str, name: str = "enr", topics=P.TOPICS, gazetteer=(), countries=P.COUNTRY_KEYWORDS) -> str:

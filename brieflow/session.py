@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="brieflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -66,3 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     import uuid
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+#: rows up to which a small side is broadcast
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df, most: int = BROADCAST_ROWS):
+    """``df`` marked for broadcast if it has at most ``most`` rows (looked up here), else as it is."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

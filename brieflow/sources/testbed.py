@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.functions.text import article_id
+from brieflow.session import broadcast_if_small
 
 BIAS_CYCLE = ["center", "center-left", "center-right", "left", "right"]
 FACTUAL_CYCLE = ["high", "mixed", "low"]
@@ -45,18 +46,16 @@ def source_registry(documents: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str, with_embedding: bool = False) -> DataFrame:
     """Articles of SURVEY §5 / FIXTURES §2 built from the driver tables."""
-    # Hash-partition by the join key: this is the exchange the doc_id join needs at
-    # scale anyway, and it spreads single-row-group files over all cores.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition(n, "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"),
                                                  F.col("ts").cast("timestamp").alias("published_at"))
     reg = source_registry(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("doc_id").cast("string"))
-    # Registry is one row per feed; AQE turns this into a broadcast join from runtime size stats.
-    art = (docs.join(ev, "doc_id")
-               .join(reg, docs["source"] == reg["source_id"])
+    # The registry has one row per feed; where that is a checked small number it is broadcast, so the
+    # text is never dealt by source. Only the doc_id join shuffles it.
+    art = (docs.join(broadcast_if_small(reg), docs["source"] == reg["source_id"])
+               .join(ev, "doc_id")
                .select(F.col("doc_id").alias("arr"),
                        article_id(url).alias("id"),
                        url.alias("url"),

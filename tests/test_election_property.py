@@ -2,7 +2,8 @@
 
 import random
 
-from brieflow.operators.election import first_fit_reference, leader_election
+from brieflow.operators.election import leader_election
+from first_fit import first_fit_reference
 
 
 def test_random_graphs(spark):

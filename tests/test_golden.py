@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.operators import dedup, enrich, score, select
-from brieflow.operators.election import first_fit_reference, leader_election
+from brieflow.operators.election import leader_election
+from first_fit import first_fit_reference
 
 
 def test_scores_golden(spark):
@@ -76,14 +77,6 @@ def test_first_leader_wins(spark):
     assert got == {1: 1, 3: 3, 4: 1}
 
 
-def test_fixed_leaders_absorb(spark):
-    nodes = spark.createDataFrame([(10,), (11,)], "node long")
-    edges = spark.createDataFrame([(1, 10), (10, 11)], "u long, v long")
-    fixed = spark.createDataFrame([(1,)], "node long")
-    got = {r["node"]: r["leader"] for r in leader_election(nodes, edges, fixed_leaders=fixed).collect()}
-    assert got == {10: 1, 11: 11}
-
-
 def test_enrichment_cases(spark):
     rows = [(1, "", "refund", "all"), (2, "", "summit and drone", "all"), (3, "", "GDP grows", "military"),
             (4, "", "nothing here", "all"), (5, "", "NATO meets", "all"), (6, "", "virus in brazil", "all")]
