@@ -95,9 +95,10 @@ def trigram_query(pattern: str) -> list[set[str]] | None:
 def build_index(docs: DataFrame, trigrams: list[str], id_col: str, text_col: str) -> DataFrame:
     """Postings (``trigram``, ``_id``) of the given trigrams in all texts, without regard to case."""
     low = F.lower(F.coalesce(text_col, F.lit("")))
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), low.alias("_low"))
-    held = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in trigrams]))
-    return texts.select("_id", held.alias("_held")).filter(F.size("_held") > 0).select("_id", F.explode("_held").alias("trigram")).distinct()
+    texts = docs.filter(F.col(id_col).isNotNull())
+    # a variable of its own, so that the lower-case text is made once and not for every trigram
+    held = F.get(F.transform(F.array(low), lambda x: F.array_compact(F.array(*[F.when(F.contains(x, F.lit(t)), F.lit(t)) for t in trigrams]))), F.lit(0))
+    return texts.select(F.col(id_col).alias("_id"), held.alias("_held")).filter(F.size("_held") > 0).select("_id", F.explode("_held").alias("trigram")).distinct()
 
 
 def candidates(index: DataFrame, queries: dict[str, list[set[str]]]) -> DataFrame:
