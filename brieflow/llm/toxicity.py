@@ -3,13 +3,14 @@
 A text is the bag of the character n-grams (3 to 6) of its distinct lower-case words, a blank at each end of a
 word counted as a character. Every n-gram is hashed to a row of the embedding table; a text's vector is the mean
 of its rows and of ``CALM`` zero rows, damped for long texts (see ``pull``), and a linear softmax of that vector
-gives the classes. Misspelt words share most n-grams with their
-models, so they lie near them without having been seen.
+gives the classes. Misspelt words share most n-grams with their models, so they lie near them without having
+been seen.
 
 The model is fitted in one task on a bounded sample of labelled rows: of each class the ``PER_CLASS`` ids of
 least hash among the training ids, texts of over ``FIT_CHARS`` characters left out. The classes' true shares
-enter as the prior, and a missed toxic text weighs as much as ``MISS_COST`` clean ones. Every document is then scored on its whole text: as the softmax is linear, a text's score
-needs only one number for each n-gram, so a score is one pass over the text.
+enter as the prior, and a missed toxic text weighs as much as ``MISS_COST`` clean ones. Every document is then
+scored on its whole text: as the softmax is linear, a text's score needs only one number for each n-gram, so a
+score is one pass over the text.
 
 Defined cases: null counts as empty; an empty text scores the prior; several labels of an id count as toxic if
 one is; null labels are no labels; without labels of both classes every text scores the smoothed prior (0.25
@@ -169,8 +170,8 @@ def _fit_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     found = (texts.join(F.broadcast(chosen), "_id").filter(F.length(F.coalesce("_text", F.lit(""))) <= FIT_CHARS)
              .dropDuplicates(["_id"]).select("_order", "_id", "_toxic", "_text"))
-    shares = known.agg(F.sum("_toxic").alias("_ones"), F.count("*").alias("_all"))
-    return found.join(F.broadcast(shares), how="cross").withColumn("_task", F.lit(0))
+    shares = known.agg(F.coalesce(F.sum("_toxic"), F.lit(0)).alias("ones"), F.count("*").alias("rows")).first()
+    return found.withColumns({"_task": F.lit(0), "_ones": F.lit(shares["ones"]), "_all": F.lit(shares["rows"])})
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> np.ndarray:
