@@ -211,7 +211,8 @@ def keyword_match(df: DataFrame, topics=P.TOPICS) -> DataFrame:
     """
     entries = ", ".join(f"named_struct('domain', {sql_lit(d)}, 'keyword', {sql_lit(k)}, 'low', {sql_lit(k.lower())})"
                         for d, kws, _ in topics for k in kws)
-    hits = F.filter(F.expr(f"array({entries})"), lambda e: F.contains(F.col(TEXT_LOWER), e["low"]))
+    table = F.expr(f"array({entries})")
+    hits = F.get(F.transform(F.array(F.col(TEXT_LOWER)), lambda t: F.filter(table, lambda e: F.contains(t, e["low"]))), F.lit(0))
     # the hits are kept as a column of their own, so the text does not pass the explode
     out = with_text_lower(df).select(*df.columns, hits.alias("_hits")).select(*df.columns, F.explode("_hits").alias("_lex"))
     return out.select(*df.columns, F.col("_lex.domain").alias("domain_hit"), F.col("_lex.keyword").alias("keyword")) \

@@ -879,31 +879,44 @@ from brieflow.session import scratch_path  # noqa: E402
 from brieflow.streaming import streams as ST  # noqa: E402
 
 
+STREAM_COLS = ["arr", "id", "url", "title", "body", "summary", "published_at", "source_id", "domain", "credibility_score"]
+
+
 def _staged(spark, sf_dir, with_copies: bool = False):
-    a = articles(spark, sf_dir).select("arr", "id", "url", "title", "body", "summary", "published_at",
-                                       "source_id", "domain", "credibility_score")
+    a = articles(spark, sf_dir).select(*STREAM_COLS)
     if with_copies:
         a = a.unionByName(a.withColumn("arr", F.col("arr") + 1_000_000_000).withColumn("url", F.upper("url")))
-    folder = ST.stage_article_files(a, scratch_path(spark, "staged-articles"))
+    # read once, then dealt out by day
+    path = scratch_path(spark, "stream-articles")
+    a.write.parquet(path)
+    folder = ST.stage_article_files(spark.read.schema(a.schema).parquet(path), scratch_path(spark, "staged-articles"))
     return ST.replay(spark, folder, a.schema)
 
 
-@register("s1_stream_url_dedup", O.with_(BASE) + "SELECT DISTINCT sha256(lower(url)) AS url_hash FROM articles")
+@register("s1_stream_url_dedup", O.with_(BASE) + "SELECT min(arr) AS arr, sha256(lower(url)) AS url_hash FROM articles GROUP BY 2")
 def q_s1(spark, sf_dir):
     out = ST.run_to_table(ST.stream_url_dedup(_staged(spark, sf_dir, with_copies=True)), "s1")
-    return out.select("url_hash")
+    return out.select("arr", "url_hash")
 
 
-@register("s3_stream_story_counts", O.with_(BASE) + """SELECT strftime(date_trunc('day', published_at), '%Y-%m-%d %H:%M:%S')
-  AS window_start, source_id AS story_id, count(*) AS articles FROM articles GROUP BY 1, 2""")
+@register("s3_stream_story_counts", O.with_(BASE, O.cascade_ctes("articles", L3_TEST_THRESHOLD))
+          + f"""SELECT strftime(day, '%Y-%m-%d %H:%M:%S') AS window_start, story_id, articles
+FROM (SELECT date_trunc('day', a.published_at) AS day, coalesce(m.story_id, a.id) AS story_id, count(*) AS articles
+      FROM articles a LEFT JOIN smap m ON m.id = a.id GROUP BY 1, 2)
+WHERE day + INTERVAL {P.STORY_WINDOW_HOURS} HOUR <= (SELECT max(published_at) FROM articles) - INTERVAL {P.MAX_AGE_HOURS} HOUR""")
 def q_s3(spark, sf_dir):
-    s = _staged(spark, sf_dir).withColumn("story_id", F.col("source_id"))
-    out = ST.run_to_table(ST.stream_story_counts(s), "s3", mode="complete")
+    _, t = dedup.dedup_cascade(articles(spark, sf_dir), embeddings_for(spark, sf_dir), P.Rules(cosine_threshold=L3_TEST_THRESHOLD),
+                               return_tables=True)
+    s = dedup.attach_story(_staged(spark, sf_dir), t["story_map"])
+    out = ST.run_to_table(ST.stream_story_counts(s), "s3")
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "story_id",
                       "articles")
 
 
-@register("s2_stream_leader_dedup", None)
+@register("s2_stream_leader_dedup", O.with_(BASE, O.cascade_ctes("articles", L3_TEST_THRESHOLD)) + """SELECT s.arr, s.story_id,
+  1 + (SELECT count(*) FROM articles b JOIN smap m ON m.id = b.id WHERE m.story_id = s.id AND b.id <> s.id
+       AND date_trunc('day', b.published_at) = date_trunc('day', s.published_at)) AS corroboration_count
+FROM surv s""")
 def q_s2(spark, sf_dir):
     s = _staged(spark, sf_dir)
     sink = scratch_path(spark, "s2-sink")

@@ -1,13 +1,14 @@
 """Structured Streaming operators.
 
-S1 ``stream_url_dedup``: watermark on ``published_at`` and
-``dropDuplicatesWithinWatermark`` on the URL hash — state is bounded by the
-48-hour watermark, not by history.
-S2 ``stream_leader_dedup``: ``foreachBatch`` running the batch cascade against
-the leader store of earlier micro-batches (A30); each batch writes its
-survivors to ``<sink>/batch_id=<n>`` with overwrite, so a replayed batch is
-idempotent.
-S3 ``stream_story_counts``: tumbling 24-hour event-time windows per story.
+S1 ``stream_url_dedup``: keyed state per URL hash that emits the first article (least ``arr`` of the
+micro-batch in which the URL first appears) and expires by the 48-hour watermark, so state is bounded by the
+watermark, not by history.
+S2 ``stream_leader_dedup``: ``foreachBatch`` running the batch cascade against the leaders of earlier
+micro-batches (A30). Leaders are tables partitioned by batch id in shared storage; batch ``n`` reads the
+batches below ``n`` only and overwrites its own partitions, so a restart goes on where it was and a replayed
+batch gives the same rows again.
+S3 ``stream_story_counts``: tumbling 24-hour event-time windows per story, in append mode: a window is
+emitted once, when the watermark has passed its end, and its state is dropped.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from brieflow import params as P
 from brieflow.operators import dedup
@@ -23,10 +26,29 @@ from brieflow.session import scratch_path
 
 
 def stream_url_dedup(stream: DataFrame, watermark_hours: int = P.MAX_AGE_HOURS) -> DataFrame:
-    """Exact-URL dedup over an article stream; rows later than the watermark are dropped."""
-    return (stream.withColumn("url_hash", dedup.url_hash("url"))
-                  .withWatermark("published_at", f"{int(watermark_hours)} hours")
-                  .dropDuplicatesWithinWatermark(["url_hash"]))
+    """Exact-URL dedup over an article stream, the first article of each URL kept; rows later than the
+    watermark are dropped. Returns (arr, url_hash, published_at)."""
+    keep_ms = int(watermark_hours) * 3_600_000
+
+    def first(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = None
+        for pdf in frames:  # one Arrow batch at a time: a hot URL is never held whole
+            row = pdf.loc[[pdf["arr"].idxmin()]]
+            if best is None or row["arr"].iloc[0] < best["arr"].iloc[0]:
+                best = row
+        if best is not None and not state.exists:
+            seen = int(best["published_at"].iloc[0].timestamp() * 1000)
+            state.update((seen,))
+            state.setTimeoutTimestamp(max(seen + keep_ms, state.getCurrentWatermarkMs() + 1))
+            yield best[["arr", "url_hash", "published_at"]]
+
+    keyed = (stream.select("arr", dedup.url_hash("url").alias("url_hash"), "published_at")
+                   .withWatermark("published_at", f"{int(watermark_hours)} hours"))
+    return keyed.groupBy("url_hash").applyInPandasWithState(
+        first, "arr long, url_hash string, published_at timestamp", "seen long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_story_counts(stream: DataFrame, story_col: str = "story_id", window_hours: int = P.STORY_WINDOW_HOURS,
@@ -38,22 +60,46 @@ def stream_story_counts(stream: DataFrame, story_col: str = "story_id", window_h
                   .select(F.col("w.start").alias("window_start"), story_col, "articles"))
 
 
+STATE_PARTS = ("url_hashes", "l2_leaders", "l3_leaders")
+
+
+def _load_state(spark: SparkSession, folder: str, before: int) -> dict | None:
+    """The store of all batches below ``before``; None if there is none."""
+    store: dict = {"batch": before - 1}
+    for part in STATE_PARTS:
+        try:
+            store[part] = spark.read.parquet(os.path.join(folder, part)).filter(F.col("batch_id") < before).drop("batch_id")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            store[part] = None
+    return store
+
+
 def stream_leader_dedup(stream: DataFrame, sink: str, checkpoint: str, vectors: DataFrame | None = None,
-                        rules: P.Rules = P.DEFAULT_RULES, trigger: dict | None = None):
+                        rules: P.Rules = P.DEFAULT_RULES, trigger: dict | None = None, state: str | None = None):
     """Per micro-batch, dedup against the leaders of all earlier batches.
 
-    Returns the started query; survivors land in ``sink``. The leader store
-    lives in the shared checkpoint folder between batches.
+    Returns the started query; survivors land in ``sink``, leaders in ``state`` (by default beside the
+    checkpoint), both partitioned by batch id.
     """
-    state: dict = {"store": None}
+    folder = state or checkpoint.rstrip("/") + "-state"
+
+    def put(df: DataFrame, path: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        out, store = dedup.incremental_dedup(batch, state["store"], vectors, rules)
-        (out.select("arr", "id", "story_id", "corroboration_count")
-            .write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}")))
-        state["store"] = store
+        store = _load_state(batch.sparkSession, folder, batch_id)
+        out, t = dedup.incremental_dedup(batch, store, vectors, rules, return_tables=True)
+        semantic = rules.use_l3 and vectors is not None
+        leaders = t["l3"].filter("keep").select("arr") if semantic else None
+        new = dedup.batch_state(batch_id, t["l1"], t["l2"] if rules.use_l2 else None, leaders, vectors)
+        for part, df in new.items():
+            if df is not None:
+                put(df, os.path.join(folder, part), batch_id)
+        put(out.select("arr", "id", "story_id", "corroboration_count"), sink, batch_id)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
@@ -64,10 +110,13 @@ def stream_leader_dedup(stream: DataFrame, sink: str, checkpoint: str, vectors:
 # helpers for running a stream over stored articles (tests and registered queries)
 # ---------------------------------------------------------------------------
 
-def stage_article_files(articles: DataFrame, folder: str, by: str = "day") -> str:
-    """Write articles as Parquet files, one directory per publication day, to replay as a stream."""
-    (articles.withColumn(by, F.date_format("published_at", "yyyy-MM-dd"))
-             .repartition(by).write.mode("overwrite").partitionBy(by).parquet(folder))
+def stage_article_files(articles: DataFrame, folder: str) -> str:
+    """Write articles as one Parquet file per publication day, day after day, to replay as a stream (files are
+    replayed by modification time). A helper for tests and registered queries over short periods."""
+    days = articles.select(F.date_format("published_at", "yyyy-MM-dd").alias("day")).distinct().orderBy("day")
+    for (day,) in days.collect():  # a row per day
+        one = articles.filter(F.date_format("published_at", "yyyy-MM-dd") == day)
+        one.repartition(1).write.mode("overwrite").parquet(os.path.join(folder, f"day={day}"))
     return folder
 
 
@@ -76,14 +125,12 @@ def replay(spark: SparkSession, folder: str, schema, max_files: int = 1) -> Data
                  .option("recursiveFileLookup", True).parquet(folder))
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming frame to completion (availableNow) into Parquet; return the result as a table."""
+def run_to_table(df: DataFrame, name: str) -> DataFrame:
+    """Run a streaming frame to completion (availableNow, append) into Parquet; return the result as a table."""
     spark = df.sparkSession
     out = scratch_path(spark, f"stream-{name}")
     q = (df.writeStream.format("parquet").option("path", out)
-           .option("checkpointLocation", out + "-ckpt").outputMode(mode)
-           .trigger(availableNow=True).start()) if mode == "append" else \
-        (df.writeStream.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
-           .option("checkpointLocation", out + "-ckpt").outputMode(mode).trigger(availableNow=True).start())
+           .option("checkpointLocation", out + "-ckpt").outputMode("append")
+           .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(df.schema).parquet(out)

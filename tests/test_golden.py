@@ -101,11 +101,12 @@ def test_country_order_and_title_case(spark):
 
 
 def test_matchers_agree(spark):
+    """One pass over all patterns gives what the single operators give."""
     from brieflow.sources.testbed import articles
     a = articles(spark, "/root/testdata/sf0.001")
     cols = ["arr", "primary_domain", "actor_significance", "gdelt_themes"]
-    x = enrich.enrich(a, matcher="ac").select(*cols)
-    y = enrich.enrich(a, matcher="jvm").select(*cols)
+    x = enrich.enrich(a).select(*cols)
+    y = enrich.theme_match(enrich.actor_significance(enrich.route_domain(a))).select(*cols)
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
 
 
