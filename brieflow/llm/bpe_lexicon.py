@@ -35,6 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from brieflow.llm.common import slices
 
 #: words in the lexicon, and how often a task must have met a word to name it for the lexicon
 LEXICON_WORDS = 1 << 15
@@ -48,6 +49,7 @@ LONG_WORD = 48
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _BEYOND = re.compile("[^\x00-\u0377]")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 _NO_MERGE = 1 << 60
 
 
@@ -96,14 +98,27 @@ class WordBPE:
             at = m.end()
         return out + self._plain_pre_tokens(text[at:])
 
-    def _plain_pre_tokens(self, text: str) -> list[str]:
+    def normal(self, text: str) -> str | None:
+        """NFC and lower case; None if the text has characters that Python's Unicode tables lack."""
         if not text.isascii():
-            # Python's Unicode tables know every character up to here
+            # these tables know every character up to there
             if _BEYOND.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
-                return self._newer_pre_tokens(text)
+                return None
             # each character is lowered by itself, so a sigma at a word's end stays an ordinary one
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.pattern.findall(text.lower())
+        return text.lower()
+
+    def _plain_pre_tokens(self, text: str) -> list[str]:
+        normal = self.normal(text)
+        return self._newer_pre_tokens(text) if normal is None else self.pattern.findall(normal)
+
+    def pieces(self, text: str) -> list[str] | None:
+        """The normal text between white space, which no pre-token crosses; None for the rare text that has to be
+        split as a whole (special strings, newer characters, separators that only Python takes for white space)."""
+        if self.specials is not None and any(m in text for m in self.marks) or _SEPARATORS.search(text):
+            return None
+        normal = self.normal(text)
+        return None if normal is None else normal.split()
 
     def _newer_pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens of the rare text whose characters are newer than Python's tables, by the library's own tables."""
@@ -236,12 +251,16 @@ def frequent_words(docs: DataFrame, text_col: str, bpe: WordBPE, limit: int = LE
         own, held = shared.value, Counter()
 
         def batch() -> pa.RecordBatch:
-            kept = [(w, n) for w, n in held.items() if n >= LEAST_IN_TASK]
-            return pa.RecordBatch.from_pydict({"w": pa.array([w for w, _ in kept], pa.string()), "n": pa.array([n for _, n in kept], pa.int64())})
-
-        for b in batches:
+            kept: Counter = Counter()
+            for piece, n in held.items():
+                if n >= LEAST_IN_TASK:
+                    for w in own.pattern.findall(piece):
+                        kept[w] += n
+            return pa.RecordBatch.from_pydict({"w": pa.array(list(kept), pa.string()), "n": pa.array(list(kept.values()), pa.int64())})
+
+        for b in slices(batches):
             for t in b.column(0).to_pylist():
-                held.update(own.pre_tokens(t or ""))
+                held.update(own.pieces(t or "") or ())
                 if len(held) > HELD_WORDS:
                     yield batch()
                     held.clear()
@@ -283,6 +302,25 @@ class _Ids(dict):
         return data
 
 
+class _PieceIds(dict):
+    """Ids of what stands between white space, from those of its words."""
+
+    def __init__(self, words: _Ids) -> None:
+        self.words, self.split = words, words.bpe.pattern.findall
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        self[piece] = data = b"".join(map(self.words.__getitem__, self.split(piece)))
+        return data
+
+    def of_text(self, text: str) -> bytes:
+        pieces = self.words.bpe.pieces(text)
+        if pieces is None:
+            return b"".join(map(self.words.__getitem__, self.words.bpe.pre_tokens(text)))
+        return b"".join(map(self.__getitem__, pieces))
+
+
 def load_bpe(path: str) -> WordBPE:
     with open(path, encoding="utf-8") as f:
         return WordBPE(json.load(f))
@@ -296,9 +334,9 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", limit: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        ids = _Ids(own, Lexicon(SparkFiles.get(name)))
-        for b in batches:
-            out = [b"".join(map(ids.__getitem__, own.pre_tokens(t or ""))) for t in b.column(at).to_pylist()]
+        ids = _PieceIds(_Ids(own, Lexicon(SparkFiles.get(name))))
+        for b in slices(batches):
+            out = [ids.of_text(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "_ids"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_ids", T.BinaryType())]))
@@ -313,7 +351,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "_ids", name: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for b in batches:
+        for b in slices(batches):
             out = [" ".join([own[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, name])
 

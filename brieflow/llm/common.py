@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brieflow.session import scratch_path
@@ -36,18 +38,11 @@ def texts_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def text_list(column: pa.Array) -> list[str]:
-    return [t or "" for t in column.to_pylist()]
-
-
-def spans_text(spans: Column) -> Column:
-    """``kind:start:end`` of each struct in an ordered array, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
-def same(left: Column, right: Column) -> Column:
-    """Equality under which null equals null."""
-    return left.eqNullSafe(right)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in portions, so a task holds the Python values of few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:

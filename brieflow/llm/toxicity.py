@@ -38,6 +38,8 @@ DAMP = 0.6
 TYPICAL = 4000.0
 WIDTH = 8
 EPOCHS = 14
+#: n-grams of fewer sample texts are not learned from
+LEAST_TEXTS = 3
 BATCH = 32
 #: so many clean texts may be lost for one toxic text that is found
 MISS_COST = 4.0
@@ -88,10 +90,15 @@ def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> np.n
     over the n-grams. ``share`` is the share of toxic rows among all labelled ones."""
     y = np.array(toxic, np.int64)
     rng = np.random.default_rng(seed)
-    table = rng.normal(0, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
-    head, bias = rng.normal(0, 1 / WIDTH, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
+    # rows start at zero, so an n-gram that was never learned from says nothing
+    table = np.zeros((BUCKETS, WIDTH), np.float32)
+    head, bias = rng.normal(0, 1, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_head, seen_bias = np.full((BUCKETS, 1), 1e-8, np.float32), np.full_like(head, 1e-8), np.full_like(bias, 1e-8)
     bags = [bag(t) for t in texts]
+    in_texts = np.zeros(BUCKETS, np.int32)
+    for at, _ in bags:
+        in_texts[at] += 1
+    bags = [(at[k], share[k]) for at, share in bags for k in [in_texts[at] >= LEAST_TEXTS]]
     for _ in range(EPOCHS):
         order = rng.permutation(len(bags))
         for k in range(0, len(order), BATCH):

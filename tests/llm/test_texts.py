@@ -188,6 +188,20 @@ def test_encoding_equals_the_library(bpe, library, text):
     assert [i for w in bpe.pre_tokens(text) for i in bpe.encode_word(w)] == library.encode(text, add_special_tokens=False).ids
 
 
+def test_white_space_is_what_splits_pre_tokens(bpe):
+    for c in map(chr, range(0x3100)):
+        pieces = bpe.pieces(f"a{c}b")
+        if pieces is not None:
+            assert [w for p in pieces for w in bpe.pattern.findall(p)] == bpe.pre_tokens(f"a{c}b"), hex(ord(c))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(ALPHABET), max_size=30).map("".join))
+def test_pieces_give_the_same_pre_tokens(bpe, text):
+    pieces = bpe.pieces(text)
+    assert pieces is None or [w for p in pieces for w in bpe.pattern.findall(p)] == bpe.pre_tokens(text)
+
+
 def test_long_words_merge_alike(bpe, library):
     for text in ("qwertyuiopasdfghjkl" * 200, "a" * 3000, "!?" * 500):
         assert [i for w in bpe.pre_tokens(text) for i in bpe.encode_word(w)] == library.encode(text, add_special_tokens=False).ids
