@@ -39,7 +39,7 @@ TYPICAL = 4000.0
 WIDTH = 8
 EPOCHS = 14
 #: n-grams of fewer sample texts are not learned from
-LEAST_TEXTS = 3
+LEAST_TEXTS = 5
 BATCH = 32
 #: so many clean texts may be lost for one toxic text that is found
 MISS_COST = 4.0
