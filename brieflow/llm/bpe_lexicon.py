@@ -41,7 +41,7 @@ from brieflow.llm.common import slices
 LEXICON_WORDS = 1 << 15
 LEAST_IN_TASK = 8
 #: distinct words that a task counts or keeps ids of before it starts anew
-HELD_WORDS = 1 << 18
+HELD_WORDS = 1 << 17
 #: words of more bytes are merged by a heap
 LONG_WORD = 48
 
@@ -326,17 +326,34 @@ def load_bpe(path: str) -> WordBPE:
         return WordBPE(json.load(f))
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
-    """``docs`` with ``_ids``: the token ids of each text, as little-endian unsigned 32-bit integers."""
+def _encoder(docs: DataFrame, vocabulary: str, text_col: str, limit: int):
+    """What a task calls to get its own function from a text to its ids as bytes."""
     spark, bpe = docs.sparkSession, load_bpe(vocabulary)
     name = ship_lexicon(spark, frequent_words(docs, text_col, bpe, limit), bpe)
-    shared, at = spark.sparkContext.broadcast(bpe), docs.columns.index(text_col)
+    shared = spark.sparkContext.broadcast(bpe)
+    return lambda: _PieceIds(_Ids(shared.value, Lexicon(SparkFiles.get(name)))).of_text
+
+
+def _decoder(spark, vocabulary: str):
+    """What a task calls to get its own function from ids as bytes to their text."""
+    bpe = load_bpe(vocabulary)
+    shared = spark.sparkContext.broadcast([bpe.tokens.get(i, "") for i in range(max(bpe.tokens) + 1)])
+
+    def make():
+        tokens = shared.value
+        return lambda data: " ".join([tokens[i] for i in np.frombuffer(data, "<u4").tolist()])
+
+    return make
+
+
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
+    """``docs`` with ``_ids``: the token ids of each text, as little-endian unsigned 32-bit integers."""
+    make, at = _encoder(docs, vocabulary, text_col, limit), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        ids = _PieceIds(_Ids(own, Lexicon(SparkFiles.get(name))))
+        ids_of = make()
         for b in slices(batches):
-            out = [ids.of_text(t or "") for t in b.column(at).to_pylist()]
+            out = [ids_of(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "_ids"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_ids", T.BinaryType())]))
@@ -345,23 +362,34 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", limit: int
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "_ids", name: str = "_decoded") -> DataFrame:
     """``encoded`` with the text of its ids, special tokens included (token strings joined by a blank, as the
     file names no decoder)."""
-    bpe = load_bpe(vocabulary)
-    tokens = [bpe.tokens.get(i, "") for i in range(max(bpe.tokens) + 1)]
-    shared, at = encoded.sparkSession.sparkContext.broadcast(tokens), encoded.columns.index(ids_col)
+    make, at = _decoder(encoded.sparkSession, vocabulary), encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        text_of = make()
         for b in slices(batches):
-            out = [" ".join([own[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in b.column(at).to_pylist()]
+            out = [text_of(x or b"") for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, name])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())]))
 
 
-def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: the id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``."""
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    coded = encode(texts, vocabulary, "_text").drop("_text")
-    return decode(coded, vocabulary).select(
-        F.col("_id").alias(id_col), (F.octet_length("_ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("_ids", 256).alias("ids_sha256"), F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"))
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
+    """Per row of ``docs``: the id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``. Texts are encoded and decoded
+    in the same task, so neither ids nor decoded texts leave it."""
+    texts = docs.select(F.col(id_col), F.col(text_col))
+    encoder, decoder = _encoder(texts, vocabulary, text_col, limit), _decoder(docs.sparkSession, vocabulary)
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, text_of = encoder(), decoder()
+        for b in slices(batches):
+            n, ids_sha, text_sha = [], [], []
+            for text in b.column(1).to_pylist():
+                data = ids_of(text or "")
+                n.append(len(data) // 4)
+                ids_sha.append(hashlib.sha256(data).hexdigest())
+                text_sha.append(hashlib.sha256(text_of(data).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=names)
+
+    return texts.mapInArrow(run, T.StructType([docs.schema[id_col], T.StructField("n_tokens", T.LongType()),
+                                               T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brieflow.llm.common import stored, texts_utf8
+from brieflow.llm.common import slices, stored, texts_utf8
 
 WINDOW = 10
 KGRAM = 5
@@ -33,7 +33,7 @@ MAX_BITS = 1 << 27
 MIN_BITS = 1 << 16
 BITS_PER_PRINT = 64
 #: bytes of text that are hashed at once (a longer text is a portion of its own)
-PORTION = 1 << 20
+PORTION = 1 << 19
 
 _LOWER = np.zeros(256, np.uint8)
 _LOWER[0x30:0x3A] = np.arange(0x30, 0x3A)
@@ -166,7 +166,7 @@ def scan(df: DataFrame, text_col: str, window: int, kgram: int, short: list[int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         kind = pa.list_(pa.struct([("print", pa.int64()), ("before", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))]))
-        for b in batches:
+        for b in slices(batches):
             data, offsets = texts_utf8(b.column(at))
             counts, found, a = [], [], 0
             while a < b.num_rows:

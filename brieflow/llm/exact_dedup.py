@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brieflow.llm.common import attach_groups, stored
+from brieflow.llm.common import attach_groups, slices, stored
 
 WHITE_SPACE = b" \t\n\v\f\r"
 MAX_BITS = 1 << 27
@@ -36,19 +36,32 @@ BLOCK_BITS = 1 << 15
 FLUSH_ROWS = 1 << 20
 
 
-def hash_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_sha`` (SHA-256 of the normalised text) and ``_chars`` (code points of the original)."""
+def hash_texts(docs: DataFrame, text_col: str = "text", table: np.ndarray | None = None) -> DataFrame:
+    """``docs`` with ``_sha`` (SHA-256 of the normalised text) and ``_chars`` (code points of the original); with
+    the ``table`` of the first pass also ``_again`` (see ``flag_repeats``), and without the text itself."""
     at = docs.columns.index(text_col)
+    kept = [i for i in range(len(docs.columns)) if table is None or i != at]
+    shared = None if table is None else docs.sparkSession.sparkContext.broadcast(table)
+    fields = [*(docs.schema.fields[i] for i in kept), T.StructField("_sha", T.BinaryType()), T.StructField("_chars", T.LongType())]
+    if table is not None:
+        fields.append(T.StructField("_again", T.BooleanType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(at).to_pylist()]
-            sha = [hashlib.sha256(t.encode().translate(None, WHITE_SPACE)).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(sha, pa.binary()), pa.array([len(t) for t in texts], pa.int64())],
-                names=[*b.schema.names, "_sha", "_chars"])
+            sha = pa.array([hashlib.sha256(t.encode().translate(None, WHITE_SPACE)).digest() for t in texts], pa.binary())
+            own = [sha, pa.array([len(t) for t in texts], pa.int64())]
+            if shared is not None:
+                own.append(pa.array(_is_again(sha, shared.value)))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), *own], names=[f.name for f in fields])
+
+    return docs.mapInArrow(run, T.StructType(fields))
+
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_sha", T.BinaryType()), T.StructField("_chars", T.LongType())]))
+def _is_again(sha: pa.Array, table: np.ndarray) -> np.ndarray:
+    """Whether all bits of each hash are set."""
+    p = bit_positions(sha, len(table) * 8)
+    return np.all((table[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1, axis=0).astype(bool)
 
 
 def bit_positions(sha: pa.Array, bits: int) -> np.ndarray:
@@ -100,17 +113,12 @@ def seen_again(hashed: DataFrame, bits: int) -> np.ndarray:
 
 def flag_repeats(hashed: DataFrame, table: np.ndarray) -> DataFrame:
     """Second pass: adds ``_again``, true where the row's hash may occur in another row."""
-    bits, shared = len(table) * 8, hashed.sparkSession.sparkContext.broadcast(table)
-    at = hashed.columns.index("_sha")
+    shared, at = hashed.sparkSession.sparkContext.broadcast(table), hashed.columns.index("_sha")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for b in batches:
-            if not b.num_rows:
-                continue
-            p = bit_positions(b.column(at), bits)
-            hit = np.all((own[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1, axis=0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hit)], names=[*b.schema.names, "_again"])
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_is_again(b.column(at), shared.value))], names=[*b.schema.names, "_again"])
 
     return hashed.mapInArrow(run, T.StructType([*hashed.schema.fields, T.StructField("_again", T.BooleanType())]))
 
@@ -147,13 +155,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     own = docs.columns
-    full = hash_texts(docs.select(F.struct(*own).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text")
-    keys = stored(full.select("_id", "_sha", "_chars"), "exact")
+    keys = stored(hash_texts(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text").drop("_text"), "exact")
     total = keys.count()
     table = seen_again(keys, _table_bits(total))
     members = flag_repeats(keys, table).filter("_again").groupBy("_sha", "_id", "_chars").agg(F.count("*").alias("_n"))
     winners = stored(_groups(members).select(F.col("_sha").alias("_g"), "_keep", "_keep_chars"), "winners")
-    flagged = flag_repeats(full.drop("_text"), table)
+    flagged = hash_texts(docs.select(F.struct(*own).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", table)
     chosen = (flagged.filter("_again")
               .join(winners, (F.col("_sha") == F.col("_g")) & F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_chars") == F.col("_keep_chars")))
               .dropDuplicates(["_sha"]))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brieflow.llm.common import stored
+from brieflow.llm.common import slices, stored
 
 KINDS = ["email", "ip", "card", "phone"]
 NEAR = 6
@@ -143,7 +143,7 @@ def find_base(docs: DataFrame, text_col: str, near: int = NEAR) -> DataFrame:
         return f"{KINDS[span[1]]}:{said.lower() if span[1] < 2 else ''.join(_DIGIT.findall(said))}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             all_spans, all_around = [], []
             for text in b.column(at).to_pylist():
                 spans = base_spans(text or "")
@@ -176,7 +176,7 @@ def _term_counts(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame
             known[w] = hit = bool(own[p >> 3] >> (p & 7) & 1)
             return hit
 
-        for b in batches:
+        for b in slices(batches):
             for text in set(b.column(0).to_pylist()):
                 for w in set(_WORD.findall((text or "").lower())):
                     if known.get(w) or (w not in known and asked(w)):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brieflow.llm.common import attach_groups, stored
+from brieflow.llm.common import attach_groups, slices, stored
 
 SEED = 42
 SHARD_MEAN = 64
@@ -60,7 +60,7 @@ def fingerprint_texts(docs: DataFrame, text_col: str = "text", shingle: int = 4,
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([simhash(t, shingle) for t in b.column(at).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps)], names=[*b.schema.names, name])
 

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brieflow.llm.common import slices
+
 PER_CLASS = 1500
 FIT_CHARS = 20_000
 SIZES = (3, 4, 5, 6)
@@ -42,9 +44,9 @@ EPOCHS = 14
 LEAST_TEXTS = 5
 BATCH = 32
 #: so many clean texts may be lost for one toxic text that is found
-MISS_COST = 4.0
+MISS_COST = 2.5
 #: characters of text that are scored at once (a longer text is a portion of its own)
-PORTION = 1 << 19
+PORTION = 1 << 18
 
 _U = np.uint64
 
@@ -206,7 +208,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray, text_col: str = "text", na
     shared, at = docs.sparkSession.sparkContext.broadcast(weights), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             z = logits(b.column(at).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=[*b.schema.names, name])
 
