@@ -105,6 +105,34 @@ def test_every_mention_of_an_entity(spark):
     assert [e.text for e in r.ner_entities] == ["Orre", "Eriner", "Orre"]
 
 
+def test_novelty_counts_in_the_briefing(spark):
+    from brieflow.plans.briefing import briefing
+    from brieflow.sources.testbed import articles, embeddings_for
+    sf = "/root/testdata/sf0.001"
+    a, v = articles(spark, sf), embeddings_for(spark, sf)
+    plain = {r.arr: r.importance_score for r in briefing(a, v).collect()}
+    known = {r.arr: r.importance_score for r in briefing(a, v, history=v.withColumn("arr", F.col("arr") + 10**6)).collect()}
+    both = plain.keys() & known.keys()
+    assert both and all(known[k] < plain[k] for k in both)  # everything has been seen: novelty 0 instead of 0.7
+
+
+def test_embedder_and_tagger_are_used(spark):
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<float>")
+    def embed(s):
+        return s.map(lambda t: [1.0, 0.0] if "rain" in t else [0.0, 1.0])
+
+    @pandas_udf("array<struct<text:string,label:string>>")
+    def tag(s):
+        return s.map(lambda t: [{"text": t[:3], "label": "ORG"}])
+
+    rows = [article(1, "u1", "rain falls in the north of the country this week"), article(2, "u2", "heavy rain was seen by everyone who was outside"), article(3, "u3", "quite different things are told in this one here")]
+    df = spark.createDataFrame(rows, ART)
+    assert sorted(r.arr for r in dedup.dedup_cascade(df, None, embedder=embed).collect()) == [1, 3]
+    assert enrich.extract_entities(df, tagger=tag).filter("arr = 1").first().ner_entities[0].label == "ORG"
+
+
 def test_short_paragraphs_stay_and_menus_go(spark):
     html = "<nav>x</nav><div><a href='a'>Home</a> <a href='b'>News</a></div><p>Short one.</p><p>See <a href='c'>this</a> for more about it.</p>"
     (r,) = feeds.extract_page_text(spark.createDataFrame([(html,)], "html string")).collect()
