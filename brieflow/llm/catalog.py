@@ -8,7 +8,9 @@ from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.exact_dedup import exact_groups
 from brieflow.llm.pii import personal_data, personal_data_digest
-from brieflow.llm.secret_scan import find_secrets, secrets_digest
+from brieflow.llm.secret_scan import BASE_RULES, find_secrets, secrets_digest
+from brieflow.llm.secret_scan import RULES as SECRET_RULES
+from brieflow.llm.secret_scan import Rule as SecretRule
 from brieflow.llm.simhash_bk import near_groups
 from brieflow.llm.token_counts import Pieces, token_counts
 from brieflow.llm.toxicity import toxicity
@@ -75,6 +77,47 @@ def op10_urls(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+WORDS = rf"""regexp_extract_all(translate(coalesce(text, ''), '{ASCII}', '{ASCII.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP2_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+i AS (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark),
+t AS MATERIALIZED (
+  SELECT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+o AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM t) WHERE len(w) >= n)),
+h AS MATERIALIZED (SELECT r, o.n, k, item_id FROM o JOIN t ON o.n = t.n AND o.win = t.win),
+c AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS q FROM h) GROUP BY r),
+m AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)
+"""
+
+
+def _spans_sql(rule: SecretRule, rank: int) -> str:
+    """List of a rule's spans: the text between the matches and the matches summed up in turn."""
+    re = "'" + rule.pattern.replace("'", "''") + "'"
+    m, g, p = f"regexp_extract_all(t, {re})", f"regexp_extract_all(t, {re}, {rule.group})", f"string_split_regex(t, {re})"
+    before = "coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
+    return f"""(SELECT list_filter(list_transform(range(1, len(m) + 1), lambda i: {{'start': CAST({before} AS BIGINT), 'rank': {rank},
+      'kind': '{rule.kind}', 'size': length(m[i]), 'own': length(g[i])}}), lambda s: s.own >= {rule.least})
+    FROM (SELECT {m} AS m, {g} AS g, {p} AS p))"""
+
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS MATERIALIZED (SELECT doc_id, list_sort(flatten([{", ".join(_spans_sql(r, k) for k, r in enumerate(SECRET_RULES))}])) AS f FROM d),
+b AS (SELECT doc_id, f, list_filter(f, lambda s: s.rank < {len(BASE_RULES)}) AS b FROM f)
+SELECT doc_id, {", ".join(f"CAST(len(list_filter(b, lambda s: s.rank = {k})) AS BIGINT) AS n_{r.kind}" for k, r in enumerate(BASE_RULES))},
+  sha256(array_to_string(list_transform(b, lambda s: s.kind || ':' || s.start || ':' || (s.start + s.size)), ',')) AS base_sha256,
+  array_to_string(list_transform(f, lambda s: s.kind || ':' || s.start || ':' || (s.start + s.size)), ',') AS spans
+FROM b
+"""
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -89,8 +132,8 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 
 QUERIES = {
     "op1_pii": (op1_pii, None),
-    "op2_decontaminate": (op2_decontaminate, None),
-    "op3_secrets": (op3_secrets, None),
+    "op2_decontaminate": (op2_decontaminate, OP2_SQL),
+    "op3_secrets": (op3_secrets, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_chat": (op5_chat, None),
     "op6_simhash": (op6_simhash, None),
