@@ -83,14 +83,17 @@ def final_order(selected: DataFrame, fringe: DataFrame | None) -> DataFrame:
 WIDE_COLUMNS = ["title", "body", "summary", "content", "embedding", "ner_entities", "domain_scores", "gdelt_themes", "pmesii_tags"]
 
 
-def select(df: DataFrame, rules: P.Rules = P.DEFAULT_RULES) -> DataFrame:
-    """A45 -> A46 -> A47 -> A48 -> A49.
-
-    The candidates' narrow columns are checkpointed once (shared folder), as three consumers read them; texts
-    are joined to the few selected rows afterwards (:func:`with_texts`).
-    """
+def candidates(df: DataFrame, min_score: float = P.MIN_SCORE) -> DataFrame:
+    """A45 as the input of the later steps: narrow columns only, checkpointed once (shared folder), as several
+    steps read them."""
     ensure_checkpoint_dir(df.sparkSession)
-    cands = min_score_filter(df.drop(*WIDE_COLUMNS), rules.min_score).checkpoint(eager=True)
+    return min_score_filter(df.drop(*WIDE_COLUMNS), min_score).checkpoint(eager=True)
+
+
+def select(df: DataFrame, rules: P.Rules = P.DEFAULT_RULES) -> DataFrame:
+    """A45 -> A46 -> A47 -> A48 -> A49. Texts are joined to the few selected rows afterwards
+    (:func:`with_texts`)."""
+    cands = candidates(df, rules.min_score)
     top = top_n_per_domain(cands, rules.top_n_per_domain)
     capped = country_cap(top, rules.max_per_country)
     fringe = best_fringe(cands, capped) if rules.include_fringe else None
@@ -102,4 +105,4 @@ def with_texts(selected: DataFrame, articles: DataFrame, columns=("title", "body
     return articles.select("arr", *columns).join(F.broadcast(selected), "arr")
 
 
-__all__ = ["min_score_filter", "top_n_per_domain", "country_cap", "best_fringe", "final_order", "select", "with_texts"]
+__all__ = ["min_score_filter", "top_n_per_domain", "country_cap", "best_fringe", "final_order", "candidates", "select", "with_texts"]

@@ -415,19 +415,19 @@ def q_minscore(spark, sf_dir):
 @register("a46_top_n_per_domain", SEL_BASE + """SELECT t.arr, t.primary_domain, d.domain_first_arr
 FROM top_n t JOIN dom_first d ON d.pdom = coalesce(t.primary_domain, 'politics')""")
 def q_topn(spark, sf_dir):
-    c = select.min_score_filter(_scored_all(spark, sf_dir))
+    c = select.candidates(_scored_all(spark, sf_dir))
     return select.top_n_per_domain(c).select("arr", "primary_domain", "domain_first_arr")
 
 
 @register("a47_country_cap", SEL_BASE + "SELECT arr, primary_country FROM capped")
 def q_cap(spark, sf_dir):
-    c = select.min_score_filter(_scored_all(spark, sf_dir))
+    c = select.candidates(_scored_all(spark, sf_dir))
     return select.country_cap(select.top_n_per_domain(c)).select("arr", "primary_country")
 
 
 @register("a48_best_fringe", SEL_BASE + "SELECT arr FROM fringe")
 def q_fringe(spark, sf_dir):
-    c = select.min_score_filter(_scored_all(spark, sf_dir))
+    c = select.candidates(_scored_all(spark, sf_dir))
     capped = select.country_cap(select.top_n_per_domain(c))
     return select.best_fringe(c, capped).select("arr")
 
