@@ -40,8 +40,9 @@ from brieflow.llm.common import slices
 #: words in the lexicon, and how often a task must have met a word to name it for the lexicon
 LEXICON_WORDS = 1 << 15
 LEAST_IN_TASK = 8
-#: distinct words that a task counts or keeps ids of before it starts anew
-HELD_WORDS = 1 << 17
+#: distinct words that a task counts, and keeps the ids of, before it starts anew
+COUNTED_WORDS = 1 << 17
+HELD_WORDS = 1 << 19
 #: words of more bytes are merged by a heap
 LONG_WORD = 48
 
@@ -261,7 +262,7 @@ def frequent_words(docs: DataFrame, text_col: str, bpe: WordBPE, limit: int = LE
         for b in slices(batches):
             for t in b.column(0).to_pylist():
                 held.update(own.pieces(t or "") or ())
-                if len(held) > HELD_WORDS:
+                if len(held) > COUNTED_WORDS:
                     yield batch()
                     held.clear()
         yield batch()
