@@ -4,8 +4,9 @@ Personal data of fixed form (mail and IP addresses, card and phone numbers) are
 are the protected entities. A term discloses an entity if the corpus shows them together: with probabilities as
 shares of distinct contexts, the pointwise mutual information ``log p(entity, term) / (p(entity) p(term))`` is
 what reading the term tells of the entity, and the entity's own information ``-log p(entity)`` is all there is to
-tell. A term next to an entity is sensitive if for some entity the part told reaches ``DISCLOSED`` and at least
-``SUPPORT`` distinct contexts show both. Sensitive terms get a span of kind ``term`` wherever they stand within
+tell. A term next to an entity is sensitive if for some entity the part told reaches ``DISCLOSED``. How often the
+entity stands where the term does is an estimate from few places, so its lower confidence bound (Wilson's, ``SURE``
+standard errors) is used: a pair seen once or twice is judged like any other, and tells less than one seen often. Sensitive terms get a span of kind ``term`` wherever they stand within
 ``NEAR`` words of that entity. Sanitising a text replaces base spans by their kind (generalisation) and removes
 the sensitive terms, which have no general form.
 
@@ -29,7 +30,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,9 @@ from brieflow.llm.common import slices, stored
 
 KINDS = ["email", "ip", "card", "phone"]
 NEAR = 6
-SUPPORT = 3
 DISCLOSED = 0.8
+#: one-sided confidence of 95 %
+SURE = 1.645
 TABLE_BITS = 1 << 24
 #: distinct terms that a task counts before it sends them on
 HELD_TERMS = 1 << 18
@@ -205,10 +207,16 @@ def _table(terms: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
     return table.view(np.uint8)
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
+def _at_least(hits: Column, n: Column, sure: float) -> Column:
+    """Wilson's lower confidence bound of a share of which ``hits`` of ``n`` are seen."""
+    p, z2 = hits / n, sure * sure
+    return (p + z2 / (2 * n) - sure * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, disclosed: float = DISCLOSED, sure: float = SURE) -> DataFrame:
     """The sensitive pairs (``entity``, ``term``) with ``told``, the share of the entity's information."""
     met = found.select(F.explode("_around").alias("a")).select("a.entity", "a.context", F.explode(F.array_distinct(F.transform("a.words", lambda w: w["term"]))).alias("term")).distinct()
-    both = stored(met.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support), "together")
+    both = stored(met.groupBy("entity", "term").agg(F.count("*").alias("n_both")), "together")
     contexts = found.select(F.explode("_around").alias("a")).select("a.entity", "a.context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     if both.isEmpty():  # nothing to count over the corpus
         return both.select("entity", "term", F.lit(0.0).alias("told"))
@@ -219,18 +227,18 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, support:
     joined = both.join(contexts, "entity").join(counts, "term")
     # a term stands in at least as many places as it was seen with the entity
     own = F.greatest("in_docs", "n_both")
-    pmi = F.log(F.col("n_both") * F.lit(float(max(places, 1))) / (F.col("n_entity") * own))
+    pmi = F.log(_at_least(F.col("n_both").cast("double"), own.cast("double"), sure) * F.lit(float(max(places, 1))) / F.col("n_entity"))
     all_of_it = F.log(F.lit(float(max(places, 1))) / F.col("n_entity"))
     told = F.when(all_of_it > 0, pmi / all_of_it).otherwise(F.lit(0.0))
     return joined.withColumn("told", told).filter(F.col("told") >= disclosed).select("entity", "term", "told")
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosed: float = DISCLOSED, sure: float = SURE) -> DataFrame:
     """One row per row of ``docs``: the id, ``text_key`` (a hash of the text), and the ordered ``spans`` (``start``,
     ``rank``, ``kind``, ``end``)."""
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_key"))
     found = stored(find_base(texts, "_text").drop("_text").withColumn("_row", F.monotonically_increasing_id()), "personal-data")
-    sensitive = stored(disclosing_terms(found.filter(F.size("_around") > 0), texts, "_text", support, disclosed).select("entity", "term").distinct(), "sensitive")
+    sensitive = stored(disclosing_terms(found.filter(F.size("_around") > 0), texts, "_text", disclosed, sure).select("entity", "term").distinct(), "sensitive")
     near = (found.filter(F.size("_around") > 0).select("_row", F.explode("_around").alias("a")).select("_row", "a.entity", F.explode("a.words").alias("w"))
             .select("_row", "entity", F.col("w.term").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
             .join(sensitive, ["entity", "term"]).groupBy("_row").agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), "end")).alias("_terms")))

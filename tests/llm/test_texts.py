@@ -115,6 +115,17 @@ def test_terms_that_disclose_an_entity(spark):
     assert "kestrel" not in clean[0] and secret not in clean[0] and "<email>" in clean[0] and clean[100] == texts[100]
 
 
+def test_terms_seen_with_an_entity_once_or_twice(spark):
+    rng = random.Random(8)
+    rows = [(i, f"{words_of(rng, 20)} the board {words_of(rng, 20)}") for i in range(1200)]
+    rows += [(2000, f"the board kestrel one@mail.example.com {rows[0][1]}")]
+    rows += [(2001 + i, f"the board merlin two@mail.example.com {rows[1 + i][1]}") for i in range(2)]
+    found = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    said = {i: {t[s.start:s.end] for s in found[i] if s.kind == "term"} for i, t in rows}
+    assert "kestrel" in said[2000] and "merlin" in said[2001] and "merlin" in said[2002]
+    assert not any({"the", "board"} & x for x in said.values())
+
+
 def test_personal_data_of_odd_rows(spark, odd_docs, no_docs):
     got = personal_data(odd_docs).collect()
     assert len(got) == odd_docs.count() and not any(r.spans for r in got)
