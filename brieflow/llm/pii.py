@@ -2,27 +2,27 @@
 
 Personal data of fixed form (mail and IP addresses, card and phone numbers) are found by their patterns; these
 are the protected entities. A term discloses an entity if the corpus shows them together: with probabilities as
-shares of distinct contexts, the pointwise mutual information ``log p(entity, term) / (p(entity) p(term))`` is
+shares of distinct texts, the pointwise mutual information ``log p(entity, term) / (p(entity) p(term))`` is
 what reading the term tells of the entity, and the entity's own information ``-log p(entity)`` is all there is to
-tell. A term next to an entity is sensitive if for some entity the part told reaches ``DISCLOSED``. How often the
-entity stands where the term does is an estimate from few places, so its lower confidence bound (Wilson's, ``SURE``
-standard errors) is used: a pair seen once or twice is judged like any other, and tells less than one seen often. Sensitive terms get a span of kind ``term`` wherever they stand within
-``NEAR`` words of that entity. Sanitising a text replaces base spans by their kind (generalisation) and removes
-the sensitive terms, which have no general form.
+tell. A term is sensitive if for some entity the part told reaches ``DISCLOSED``. How often the entity stands
+where the term does is an estimate from few texts, so its lower confidence bound (Wilson's, ``SURE`` standard
+errors) is used: a pair seen once or twice is judged like any other, and tells less than one seen often. Sensitive
+terms get a span of kind ``term`` wherever they stand, also in texts without the entity. Sanitising a text replaces
+base spans by their kind (generalisation) and removes the sensitive terms, which have no general form.
 
-A context is the ``NEAR`` words on both sides of an entity; contexts that are equal count once, so copies of a
-document prove nothing. All documents are read, and only terms that stand near an entity are counted over the
-corpus; a bit table of fixed size (``TABLE_BITS``) picks them out while the texts are read, and a join settles
-which of them are meant.
+An entity and a term are together where one text holds both, at any distance. Entities that stand in the same texts
+tell the same, so pairs are made for each such class. As the bound is at most one, only terms of at most
+``places ** (1 - DISCLOSED) * texts of the class ** DISCLOSED`` texts can reach it; others need no pair. A bit table
+picks out the asked terms while the texts are read, and a join settles which of them are meant.
 
 Defined cases: null text is empty, without spans; repeated rows each get a row; spans count code points, ends are
-exclusive; equal starts are ordered email, ip, card, phone, term.
+exclusive; equal starts are ordered email, ip, card, phone, term; a word that touches a base span is no term.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -34,14 +34,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brieflow.llm.common import slices, stored
+from brieflow.llm.common import attach_groups, slices, stored
 
 KINDS = ["email", "ip", "card", "phone"]
-NEAR = 6
 DISCLOSED = 0.8
 #: one-sided confidence of 95 %
 SURE = 1.645
+#: bits of a table: at least so many, and ``BITS_EACH`` times the terms up to the largest
 TABLE_BITS = 1 << 24
+BITS_EACH = 64
+MOST_BITS = 1 << 28
 #: distinct terms that a task counts before it sends them on
 HELD_TERMS = 1 << 18
 
@@ -95,34 +97,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _between(text: str, spans: list[tuple[int, int, int]], reached: list[int], a: int, b: int) -> list[tuple[int, int]]:
-    """Words of ``text[a:b]`` that touch no span. ``reached``: the largest end up to each span."""
-    taken = [(s, e) for s, _, e in spans[bisect_right(reached, a):bisect_left(spans, (b,))]]
-    return [(m.start(), m.end()) for m in _WORD.finditer(text, a, b) if not any(m.start() < e and s < m.end() for s, e in taken)]
-
-
-#: characters on either side of an entity in which its ``NEAR`` words are looked for; a word is as long as it is
-_REACH = 40
-
-
-def neighbours(text: str, spans: list[tuple[int, int, int]], reached: list[int], at: int, near: int) -> list[tuple[int, int]]:
-    """The ``near`` words before and after the span with number ``at``, whole, in order."""
-    start, _, end = spans[at]
-    out: list[tuple[int, int]] = []
-    for before in (True, False):
-        reach = _REACH * near
-        while True:
-            a, b = (max(0, start - reach), start) if before else (end, min(len(text), end + reach))
-            words = _between(text, spans, reached, a, b)
-            whole = a == 0 if before else b == len(text)
-            # the word that the border may have cut does not count, unless it is the text's border
-            if not whole and words and (words[0][0] == a if before else words[-1][1] == b):
-                words = words[1:] if before else words[:-1]
-            if whole or len(words) >= near:
-                out += words[-near:] if before else words[:near]
-                break
-            reach *= 2
-    return out
+def _free(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """Words of ``text`` that touch no span, in order."""
+    reached, at = list(accumulate((z for _, _, z in spans), max)), 0
+    for m in _WORD.finditer(text):
+        while at < len(spans) and reached[at] <= m.start():
+            at += 1
+        # the spans from ``at`` on that start before the word ends; ``reached`` may stem from an earlier one
+        if not any(s < m.end() and m.start() < z for s, _, z in spans[at:bisect_left(spans, (m.end(),))]):
+            yield m
 
 
 def _bit(term: str, bits: int) -> int:
@@ -130,35 +113,86 @@ def _bit(term: str, bits: int) -> int:
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+_PLACES = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+
 
+def _entity(text: str, span: tuple[int, int, int]) -> str:
+    said = text[span[0]:span[2]]
+    return f"{KINDS[span[1]]}:{said.lower() if span[1] < 2 else ''.join(_DIGIT.findall(said))}"
 
-def find_base(docs: DataFrame, text_col: str, near: int = NEAR) -> DataFrame:
-    """``docs`` with ``_spans`` and, of each, the entity and the words around it (``_around``)."""
-    at = docs.columns.index(text_col)
-    around = T.ArrayType(T.StructType([T.StructField("entity", T.StringType()), T.StructField("context", T.LongType()),
-                                       T.StructField("words", T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))]))
-    kind_of = {"spans": pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])),
-               "around": pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("words", pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))]))}
 
-    def entity(text: str, span: tuple[int, int, int]) -> str:
-        said = text[span[0]:span[2]]
-        return f"{KINDS[span[1]]}:{said.lower() if span[1] < 2 else ''.join(_DIGIT.findall(said))}"
+def find_entities(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` without the text but with its distinct entities (``_entities``) and, where there are any, its
+    distinct terms (``_words``)."""
+    at, kept = docs.columns.index(text_col), [c for c in docs.columns if c != text_col]
+    strings = pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            all_spans, all_around = [], []
+            entities, words = [], []
             for text in b.column(at).to_pylist():
                 spans = base_spans(text or "")
-                met, reached = [], list(accumulate((z for _, _, z in spans), max))
-                for i, s in enumerate(spans):
-                    words = [(text[a:z].lower(), a, z) for a, z in neighbours(text, spans, reached, i, near)]
-                    context = xxhash.xxh64_intdigest("\n".join(w for w, _, _ in words), 3)
-                    met.append({"entity": entity(text, s), "context": context - (1 << 63), "words": [{"term": w, "start": a, "end": z} for w, a, z in words]})
+                entities.append(sorted({_entity(text, s) for s in spans}))
+                words.append(sorted({m.group().lower() for m in _free(text, spans)}) if spans else [])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(entities, strings), pa.array(words, strings)], names=[*kept, "_entities", "_words"])
+
+    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), T.StructField("_entities", T.ArrayType(T.StringType())), T.StructField("_words", T.ArrayType(T.StringType()))]))
+
+
+def find_places(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame:
+    """``docs`` without the text but with its base spans (``_spans``) and all places of terms whose bit is set in
+    the table (``_places``)."""
+    at, kept = docs.columns.index(text_col), [c for c in docs.columns if c != text_col]
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    spans_of = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+    places_of = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = _Asked(shared.value)
+        for b in slices(batches):
+            all_spans, all_places = [], []
+            for text in b.column(at).to_pylist():
+                text = text or ""
+                spans, places = base_spans(text), []
+                if not asked.words(text).isdisjoint(asked.hits):
+                    for m in _free(text, spans):
+                        term = m.group().lower()
+                        if asked(term):
+                            places.append({"term": term, "start": m.start(), "end": m.end()})
                 all_spans.append([{"start": a, "kind": k, "end": z} for a, k, z in spans])
-                all_around.append(met)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(all_spans, kind_of["spans"]), pa.array(all_around, kind_of["around"])], names=[*b.schema.names, "_spans", "_around"])
+                all_places.append(places)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(all_spans, spans_of), pa.array(all_places, places_of)], names=[*kept, "_spans", "_places"])
+
+    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), T.StructField("_spans", _FOUND), T.StructField("_places", _PLACES)]))
+
+
+class _Asked:
+    """Whether the bits of terms are set, with the answers for some terms at hand."""
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_spans", _FOUND), T.StructField("_around", around)]))
+    def __init__(self, table: np.ndarray):
+        self.table, self.bits = table, len(table) * 8
+        self.hits: set[str] = set()
+        self.others: set[str] = set()
+
+    def __call__(self, term: str) -> bool:
+        if term in self.others:
+            return False
+        if term in self.hits:
+            return True
+        p = _bit(term, self.bits)
+        hit = bool(self.table[p >> 3] >> (p & 7) & 1)
+        (self.hits if hit else self.others).add(term)
+        return hit
+
+    def words(self, text: str) -> set[str]:
+        """The distinct terms of a text, all of them asked."""
+        if len(self.hits) + len(self.others) > HELD_TERMS:
+            self.hits.clear()
+            self.others.clear()
+        found = {w.lower() for w in set(_WORD.findall(text))}
+        for w in found - self.others:
+            self(w)
+        return found
 
 
 def _term_counts(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame:
@@ -167,24 +201,14 @@ def _term_counts(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, bits, held = shared.value, len(shared.value) * 8, Counter()
-        known: dict[str, bool] = {}
+        asked, held = _Asked(shared.value), Counter()
 
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({"term": pa.array(list(held), pa.string()), "n": pa.array(list(held.values()), pa.int64())})
 
-        def asked(w: str) -> bool:
-            p = _bit(w, bits)
-            known[w] = hit = bool(own[p >> 3] >> (p & 7) & 1)
-            return hit
-
         for b in slices(batches):
             for text in set(b.column(0).to_pylist()):
-                for w in set(_WORD.findall((text or "").lower())):
-                    if known.get(w) or (w not in known and asked(w)):
-                        held[w] += 1
-                if len(known) > HELD_TERMS:
-                    known.clear()
+                held.update(asked.words(text or "") & asked.hits)
                 if len(held) > HELD_TERMS:
                     yield batch()
                     held.clear()
@@ -193,8 +217,9 @@ def _term_counts(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame
     return docs.select(text_col).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("in_docs"))
 
 
-def _table(terms: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
-    """Bits of the terms. Positions that are set are gathered on the executors; at most one for each bit arrives."""
+def _table(terms: DataFrame) -> np.ndarray:
+    """Bits of distinct terms. Positions that are set are gathered on the executors; at most one for each bit arrives."""
+    bits = max(TABLE_BITS, min(MOST_BITS, 1 << (BITS_EACH * terms.count()).bit_length()))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -213,40 +238,55 @@ def _at_least(hits: Column, n: Column, sure: float) -> Column:
     return (p + z2 / (2 * n) - sure * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
+def _classes(entities: DataFrame) -> DataFrame:
+    """``_key`` and the classes of its entities: ``class``, with ``n_entity``, the number of its texts. Entities are of
+    one class if they stand in the same texts."""
+    sizes = entities.groupBy("entity").agg(F.count("*").alias("n_entity"), F.bit_xor(F.xxhash64("_key", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("_key", F.lit(2))).alias("y"))
+    sizes = stored(sizes.select("entity", "n_entity", F.struct("n_entity", "x", "y").alias("class")), "entities")
+    return attach_groups(entities, sizes, "entity", "n_entity", entities.count()).select("_key", "class", "n_entity").distinct()
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, disclosed: float = DISCLOSED, sure: float = SURE) -> DataFrame:
-    """The sensitive pairs (``entity``, ``term``) with ``told``, the share of the entity's information."""
-    met = found.select(F.explode("_around").alias("a")).select("a.entity", "a.context", F.explode(F.array_distinct(F.transform("a.words", lambda w: w["term"]))).alias("term")).distinct()
-    both = stored(met.groupBy("entity", "term").agg(F.count("*").alias("n_both")), "together")
-    contexts = found.select(F.explode("_around").alias("a")).select("a.entity", "a.context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    if both.isEmpty():  # nothing to count over the corpus
-        return both.select("entity", "term", F.lit(0.0).alias("told"))
-    terms = both.select("term").distinct()
-    counts = _term_counts(docs, text_col, _table(terms))
-    # every context and every document without one is a place where a term can stand
-    places = docs.count()
-    joined = both.join(contexts, "entity").join(counts, "term")
-    # a term stands in at least as many places as it was seen with the entity
-    own = F.greatest("in_docs", "n_both")
-    pmi = F.log(_at_least(F.col("n_both").cast("double"), own.cast("double"), sure) * F.lit(float(max(places, 1))) / F.col("n_entity"))
-    all_of_it = F.log(F.lit(float(max(places, 1))) / F.col("n_entity"))
+    """The sensitive terms (``term``) with ``told``, the largest share of an entity's information that one tells."""
+    held = stored(found.filter(F.size("_entities") > 0).select("_key", "_entities", "_words").dropDuplicates(["_key"]), "with-entities")
+    if held.isEmpty():  # nothing to count over the corpus
+        return held.select(F.lit("").alias("term"), F.lit(0.0).alias("told"))
+    classes = stored(_classes(stored(held.select("_key", F.explode("_entities").alias("entity")), "entity-texts")), "classes")
+    words = held.select("_key", F.explode("_words").alias("term"))
+    counts = stored(_term_counts(docs, text_col, _table(stored(words.select("term").distinct(), "asked-terms"))), "term-counts")
+    places = float(docs.count())
+    # a common term's rows are not dealt to one task
+    rare = attach_groups(words, counts, "term", "in_docs", counts.agg(F.coalesce(F.sum("in_docs"), F.lit(0))).first()[0])
+    limits = classes.withColumn("_most", F.pow(F.lit(places), F.lit(1 - disclosed)) * F.pow(F.col("n_entity"), F.lit(disclosed)) * 1.000001)
+    rare, limits = rare.alias("w"), limits.alias("c")
+    pairs = (rare.join(limits, (F.col("w._key") == F.col("c._key")) & (F.col("w.in_docs") <= F.col("c._most")))
+             .groupBy("c.class", "w.term").agg(F.count("*").alias("n_both"), F.first("c.n_entity").alias("n_entity"), F.first("w.in_docs").alias("in_docs")))
+    # a term stands in at least as many texts as it was seen with the entity
+    own = F.greatest("in_docs", "n_both").cast("double")
+    pmi = F.log(_at_least(F.col("n_both").cast("double"), own, sure) * F.lit(places) / F.col("n_entity"))
+    all_of_it = F.log(F.lit(places) / F.col("n_entity"))
     told = F.when(all_of_it > 0, pmi / all_of_it).otherwise(F.lit(0.0))
-    return joined.withColumn("told", told).filter(F.col("told") >= disclosed).select("entity", "term", "told")
+    return pairs.withColumn("told", told).filter(F.col("told") >= disclosed).groupBy("term").agg(F.max("told").alias("told"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosed: float = DISCLOSED, sure: float = SURE) -> DataFrame:
     """One row per row of ``docs``: the id, ``text_key`` (a hash of the text), and the ordered ``spans`` (``start``,
     ``rank``, ``kind``, ``end``)."""
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_key"))
-    found = stored(find_base(texts, "_text").drop("_text").withColumn("_row", F.monotonically_increasing_id()), "personal-data")
-    sensitive = stored(disclosing_terms(found.filter(F.size("_around") > 0), texts, "_text", disclosed, sure).select("entity", "term").distinct(), "sensitive")
-    near = (found.filter(F.size("_around") > 0).select("_row", F.explode("_around").alias("a")).select("_row", "a.entity", F.explode("a.words").alias("w"))
-            .select("_row", "entity", F.col("w.term").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-            .join(sensitive, ["entity", "term"]).groupBy("_row").agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), "end")).alias("_terms")))
+    found = stored(find_entities(texts.select("_text", "_key"), "_text"), "entities-of-texts")
+    sensitive = stored(disclosing_terms(found, texts, "_text", disclosed, sure).select("term"), "sensitive")
+    placed = stored(find_places(texts, "_text", _table(sensitive)).withColumn("_row", F.monotonically_increasing_id()), "personal-data")
+    asked = placed.select("_row", F.explode("_places").alias("p")).select("_row", "p.*")
+    # every term that the table let through, with its number of places and whether it is meant
+    meant = stored(asked.groupBy("term").agg(F.count("*").alias("n")).join(sensitive.withColumn("_meant", F.lit(True)), "term", "left"), "asked")
+    total = meant.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    terms = (attach_groups(asked, meant, "term", "n", total).filter("_meant").groupBy("_row")
+             .agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), "end")).alias("_terms")))
     kinds = F.array(*map(F.lit, KINDS))
     base = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("rank"), F.get(kinds, s["kind"]).alias("kind"), s["end"].alias("end")))
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
-    plain = found.filter(F.size("_around") == 0).select("_id", "_key", none.alias("spans"))
-    rest = (found.filter(F.size("_around") > 0).join(near, "_row", "left")
+    plain = placed.filter(F.size("_places") == 0).select("_id", "_key", base.alias("spans"))
+    rest = (placed.filter(F.size("_places") > 0).join(terms, "_row", "left")
             .select("_id", "_key", F.array_sort(F.concat(base, F.coalesce("_terms", none))).alias("spans")))
     return plain.unionByName(rest).select(F.col("_id").alias(id_col), F.col("_key").alias("text_key"), "spans")
 

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from brieflow.llm import pii
 from brieflow.llm.bpe_lexicon import Lexicon, compile_lexicon, load_bpe, round_trip
 from brieflow.llm.catalog import vocabulary
 from brieflow.llm.decontaminate import contamination, contamination_digest, drop_contaminated
@@ -126,6 +127,23 @@ def test_terms_seen_with_an_entity_once_or_twice(spark):
     assert not any({"the", "board"} & x for x in said.values())
 
 
+def test_disclosing_terms_far_from_the_entity(spark):
+    rng = random.Random(9)
+    rows = [(i, f"{words_of(rng, 30)} the board") for i in range(300)]
+    rows += [(1000 + i, f"Kestrel {words_of(rng, 50)} ann.lee@mail.example.com {words_of(rng, 9)} the board kestrel") for i in range(6)]
+    rows += [(2000, f"{words_of(rng, 5)} a kestrel without the address")]
+    found = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    said = {i: [t[s.start:s.end] for s in found[i]] for i, t in rows}
+    assert all(said[1000 + i] == ["Kestrel", "ann.lee@mail.example.com", "kestrel"] for i in range(6))
+    assert said[2000] == ["kestrel"] and not any(said[i] for i in range(300))
+
+
+def test_words_beside_long_and_nested_spans():
+    text = "ab 10.0.0.1 cd 4111-1111-1111-1111 x@y.zz. ef"
+    spans = base_spans(text) + [(0, 3, 9)]
+    assert [m.group() for m in pii._free(text, sorted(spans))] == ["cd", "ef"]
+
+
 def test_personal_data_of_odd_rows(spark, odd_docs, no_docs):
     got = personal_data(odd_docs).collect()
     assert len(got) == odd_docs.count() and not any(r.spans for r in got)
