@@ -44,6 +44,7 @@ SURE = 1.645
 TABLE_BITS = 1 << 24
 BITS_EACH = 64
 MOST_BITS = 1 << 28
+BITS_OF_TERM = 4
 #: distinct terms that a task counts before it sends them on
 HELD_TERMS = 1 << 18
 
@@ -108,8 +109,15 @@ def _free(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
             yield m
 
 
-def _bit(term: str, bits: int) -> int:
-    return xxhash.xxh64_intdigest(term, 5) & (bits - 1)
+def _places_of(term: str, bits: int) -> list[int]:
+    """The ``BITS_OF_TERM`` bits of a term. With one bit each, the terms let through by mistake would grow with the
+    number of asked terms times the number of words read."""
+    h = xxhash.xxh128_intdigest(term, 5)
+    return [h >> 32 * k & (bits - 1) for k in range(BITS_OF_TERM)]
+
+
+def _all_set(table: np.ndarray, bits: int, term: str) -> bool:
+    return all(table[p >> 3] >> (p & 7) & 1 for p in _places_of(term, bits))
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -140,7 +148,7 @@ def find_entities(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def find_places(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame:
-    """``docs`` without the text but with its base spans (``_spans``) and all places of terms whose bit is set in
+    """``docs`` without the text but with its base spans (``_spans``) and all places of terms whose bits are set in
     the table (``_places``)."""
     at, kept = docs.columns.index(text_col), [c for c in docs.columns if c != text_col]
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -179,8 +187,7 @@ class _Asked:
             return False
         if term in self.hits:
             return True
-        p = _bit(term, self.bits)
-        hit = bool(self.table[p >> 3] >> (p & 7) & 1)
+        hit = _all_set(self.table, self.bits, term)
         (self.hits if hit else self.others).add(term)
         return hit
 
@@ -195,10 +202,9 @@ class _Asked:
         return found
 
 
-def _term_counts(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame:
-    """Number of documents with each term whose bit is set in the table (``term``, ``in_docs``); texts that are
-    equal count once for each task that reads them at most."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def _term_counts(texts: DataFrame, text_col: str, table: np.ndarray) -> DataFrame:
+    """Number of rows with each term whose bits are set in the table (``term``, ``in_docs``)."""
+    shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, held = _Asked(shared.value), Counter()
@@ -207,23 +213,39 @@ def _term_counts(docs: DataFrame, text_col: str, table: np.ndarray) -> DataFrame
             return pa.RecordBatch.from_pydict({"term": pa.array(list(held), pa.string()), "n": pa.array(list(held.values()), pa.int64())})
 
         for b in slices(batches):
-            for text in set(b.column(0).to_pylist()):
+            for text in b.column(0).to_pylist():
                 held.update(asked.words(text or "") & asked.hits)
                 if len(held) > HELD_TERMS:
                     yield batch()
                     held.clear()
         yield batch()
 
-    return docs.select(text_col).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("in_docs"))
+    return texts.select(text_col).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("in_docs"))
+
+
+def _once(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Each distinct text of ``texts`` (with ``_key``) once. Only texts whose key has copies are shuffled, and the few
+    whose key has its bits set by others. ``keys``: ``_key`` with its number of rows, ``n``."""
+    copied = keys.filter("n > 1").select("_key")
+    shared, at = texts.sparkSession.sparkContext.broadcast(_table(copied.select(F.col("_key").cast("string")))), texts.columns.index("_key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, bits = shared.value, len(shared.value) * 8
+        for b in batches:
+            marks = [_all_set(own, bits, str(k)) for k in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.bool_())], names=[*b.schema.names, "_copied"])
+
+    marked = texts.mapInArrow(run, T.StructType([*texts.schema.fields, T.StructField("_copied", T.BooleanType())]))
+    return marked.filter("not _copied").unionByName(marked.filter("_copied").dropDuplicates(["_key"])).drop("_copied")
 
 
 def _table(terms: DataFrame) -> np.ndarray:
-    """Bits of distinct terms. Positions that are set are gathered on the executors; at most one for each bit arrives."""
+    """Bits of distinct terms. Positions that are set are gathered on the executors; at most one for each 64 bits arrives."""
     bits = max(TABLE_BITS, min(MOST_BITS, 1 << (BITS_EACH * terms.count()).bit_length()))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_pydict({"at": pa.array([_bit(t, bits) for t in b.column(0).to_pylist()], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"at": pa.array([p for t in b.column(0).to_pylist() for p in _places_of(t, bits)], pa.int64())})
 
     slots = (terms.mapInArrow(place, "at long").groupBy(F.shiftright("at", 6).alias("slot"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("m")).toArrow())
@@ -247,14 +269,16 @@ def _classes(entities: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str, disclosed: float = DISCLOSED, sure: float = SURE) -> DataFrame:
-    """The sensitive terms (``term``) with ``told``, the largest share of an entity's information that one tells."""
+    """The sensitive terms (``term``) with ``told``, the largest share of an entity's information that one tells.
+    Every number is one of distinct texts, so copies and the layout of the table change nothing."""
     held = stored(found.filter(F.size("_entities") > 0).select("_key", "_entities", "_words").dropDuplicates(["_key"]), "with-entities")
     if held.isEmpty():  # nothing to count over the corpus
         return held.select(F.lit("").alias("term"), F.lit(0.0).alias("told"))
+    keys = stored(found.groupBy("_key").agg(F.count("*").alias("n")), "keys")
     classes = stored(_classes(stored(held.select("_key", F.explode("_entities").alias("entity")), "entity-texts")), "classes")
     words = held.select("_key", F.explode("_words").alias("term"))
-    counts = stored(_term_counts(docs, text_col, _table(stored(words.select("term").distinct(), "asked-terms"))), "term-counts")
-    places = float(docs.count())
+    counts = stored(_term_counts(_once(docs.select(text_col, "_key"), keys), text_col, _table(stored(words.select("term").distinct(), "asked-terms"))), "term-counts")
+    places = float(keys.count())
     # a common term's rows are not dealt to one task
     rare = attach_groups(words, counts, "term", "in_docs", counts.agg(F.coalesce(F.sum("in_docs"), F.lit(0))).first()[0])
     limits = classes.withColumn("_most", F.pow(F.lit(places), F.lit(1 - disclosed)) * F.pow(F.col("n_entity"), F.lit(disclosed)) * 1.000001)

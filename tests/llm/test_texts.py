@@ -138,6 +138,25 @@ def test_disclosing_terms_far_from_the_entity(spark):
     assert said[2000] == ["kestrel"] and not any(said[i] for i in range(300))
 
 
+def test_copies_and_layout_change_no_spans(spark):
+    rng = random.Random(10)
+    rows = [f"{words_of(rng, 20)} the board" for _ in range(400)]
+    rows += [f"kestrel ann.lee@mail.example.com {words_of(rng, 9)} the board" for _ in range(5)]
+    rows += [f"{words_of(rng, 5)} the board met in {w}" for w in ("Oslo", "Rome")]
+
+    def spans(texts, parts):
+        docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(parts)
+        got = {}
+        for r in personal_data(docs).collect():
+            got.setdefault(texts[r.doc_id], set()).add(tuple((s.start, s.kind, s.end) for s in r.spans))
+        assert all(len(x) == 1 for x in got.values())
+        return got
+
+    copied = rows + [rows[400]] * 300
+    once = spans(rows, 1)
+    assert spans(copied, 40) == once and any(k == "term" for _, k, _ in next(iter(once[rows[400]])))
+
+
 def test_words_beside_long_and_nested_spans():
     text = "ab 10.0.0.1 cd 4111-1111-1111-1111 x@y.zz. ef"
     spans = base_spans(text) + [(0, 3, 9)]
