@@ -6,8 +6,11 @@ from brieflow.llm.bpe_lexicon import round_trip
 from brieflow.llm.chat_windows import chat_digest, chat_windows
 from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
+from brieflow.llm.divergence import divergence
 from brieflow.llm.exact_dedup import exact_groups
 from brieflow.llm.pii import personal_data, personal_data_digest
+from brieflow.llm.quality_rules import ERROR, RISK, quality
+from brieflow.llm.quality_rules import RULES as QUALITY_RULES
 from brieflow.llm.secret_scan import BASE_RULES, find_secrets, secrets_digest
 from brieflow.llm.secret_scan import RULES as SECRET_RULES
 from brieflow.llm.secret_scan import Rule as SecretRule
@@ -77,6 +80,15 @@ def op10_urls(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op12_divergence(spark, sf_dir):
+    return divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
 ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORDS = rf"""regexp_extract_all(translate(coalesce(text, ''), '{ASCII}', '{ASCII.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 OP2_SQL = rf"""
@@ -130,6 +142,66 @@ r AS (
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 """
 
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{ASCII}', '{ASCII.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term FROM (SELECT lang, term, count(DISTINCT r) AS held FROM o GROUP BY ALL) WHERE held >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+p AS MATERIALIZED (
+  SELECT lang, source, term, n, 1 + (1000000000 * (CAST(n AS HUGEINT) + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+  FROM (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term)
+  JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + (1000000000 * (CAST(n AS HUGEINT) + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM p GROUP BY ALL) JOIN v USING (lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM f QUALIFY part = 'pair' OR rank <= 10
+"""
+
+_MEASURES = {
+    "symbols_per_word": "n_symbols / greatest(n_words, 1)", "upper_share": "n_upper / greatest(word_chars, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)", "mark_share": "n_marks / greatest(n_words, 1)"}
+_TAIL = (f"list_sum(list_transform(range(0, good_lost + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) "
+         f"+ i * ln({RISK / len(QUALITY_RULES)!r}) + (good - i) * ln(1 - {RISK / len(QUALITY_RULES)!r}))))")
+OP13_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+d AS MATERIALIZED (
+  SELECT r, doc_id, lang, sha256(t) AS sha, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l, t FROM t),
+o AS (SELECT r, k, array_to_string(w[k:k + 4], ' ') AS win FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)),
+h AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, win) AS n FROM o) WHERE n > 1),
+c AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(k, k + 5)) AS q FROM h) GROUP BY r),
+m AS (SELECT d.*, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS n_upper,
+        length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_marks FROM d LEFT JOIN c USING (r)),
+b AS MATERIALIZED (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+x AS MATERIALIZED (SELECT r, doc_id, lang, sha, base_failed, unnest([{", ".join(f"{{'measure': '{k}', 'value': CAST({e} AS DOUBLE)}}" for k, e in _MEASURES.items())}], recursive := true) FROM b),
+y AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+z AS (SELECT lang, sha, measure, min(good) AS good, min(value) AS value FROM x JOIN y USING (doc_id) WHERE NOT base_failed GROUP BY lang, sha, measure),
+u AS (SELECT * FROM (VALUES {", ".join(f"('{q.measure}', {i}, {float(c)!r})" for q in QUALITY_RULES for i, c in enumerate(q.cutoffs))}) u(measure, step, cutoff)),
+n AS (SELECT lang, measure, step, cutoff, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad,
+        count(*) FILTER (good AND value > cutoff) AS good_lost, count(*) FILTER (NOT good AND value > cutoff) AS bad_lost
+      FROM z JOIN u USING (measure) GROUP BY ALL),
+e AS (SELECT *, {_TAIL} > {ERROR!r} / ((SELECT greatest(count(DISTINCT coalesce('_' || lang, '')), 1) FROM n) * {len(QUALITY_RULES)}) AS failed FROM n),
+s AS (SELECT *, bad_lost / greatest(bad, 1) - good_lost / greatest(good, 1) AS surplus
+      FROM (SELECT *, bool_or(failed) OVER (PARTITION BY lang, measure ORDER BY step) AS out FROM e) WHERE NOT out),
+a AS (SELECT lang, measure, cutoff FROM s WHERE surplus > 0 QUALIFY row_number() OVER (PARTITION BY lang, measure ORDER BY surplus DESC, step) = 1),
+j AS (SELECT r, string_agg(x.measure, ',' ORDER BY list_position([{", ".join(f"'{q.measure}'" for q in QUALITY_RULES)}], x.measure)) AS failed_rules
+      FROM x JOIN a ON a.lang IS NOT DISTINCT FROM x.lang AND a.measure = x.measure AND x.value > a.cutoff GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND j.r IS NULL AS kept,
+       coalesce(failed_rules, '') AS failed_rules
+FROM b LEFT JOIN j USING (r)
+"""
+
 QUERIES = {
     "op1_pii": (op1_pii, None),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
@@ -141,4 +213,6 @@ QUERIES = {
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_bpe": (op9_bpe, None),
     "op10_urls": (op10_urls, None),
+    "op12_divergence": (op12_divergence, OP12_SQL),
+    "op13_quality": (op13_quality, OP13_SQL),
 }
