@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from brieflow.llm.bpe_lexicon import round_trip
 from brieflow.llm.chat_windows import chat_digest, chat_windows
+from brieflow.llm.collocations import collocations
 from brieflow.llm.common import table
 from brieflow.llm.decontaminate import contamination, contamination_digest
 from brieflow.llm.divergence import divergence
@@ -80,6 +81,10 @@ def op10_urls(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_divergence(spark, sf_dir):
     return divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -142,6 +147,26 @@ r AS (
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 """
 
+OP11_SQL = rf"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{ASCII}', '{ASCII.lower()}'), '[.,;:!?\x0A-\x0D]')) AS s
+  FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM s),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, size, array_to_string(w[k:k + size - 1], ' ') AS phrase
+      FROM (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS k FROM w, range(1, 6) t(size) WHERE len(w) >= size)),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+i AS (SELECT lang, size, f, string_split(phrase, ' ') AS p FROM f WHERE size > 2),
+x AS (SELECT lang, array_to_string(p[b:e], ' ') AS phrase, max(f) AS most
+      FROM (SELECT lang, size, f, p, b, unnest(range(b + 1, size + 1)) AS e FROM (SELECT *, unnest(range(1, size)) AS b FROM i)) WHERE e - b + 1 < size GROUP BY ALL),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS p FROM f LEFT JOIN x USING (lang, phrase) WHERE size > 1 AND (most IS NULL OR 100 * most < 100 * f)),
+k AS (SELECT lang, phrase, a, k, array_to_string(p[1:k], ' ') AS lp, array_to_string(p[k + 1:], ' ') AS rp FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+z AS (SELECT k.lang, k.phrase, a, l.f AS l, r.f AS r, n, 1000 * CAST(a AS HUGEINT) * n // (CAST(l.f AS HUGEINT) * r.f) AS score, k
+      FROM k JOIN f l ON l.lang = k.lang AND l.phrase = lp JOIN f r ON r.lang = k.lang AND r.phrase = rp JOIN n ON n.lang = k.lang),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM b QUALIFY rank <= 2000
+"""
+
 OP12_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
          regexp_extract_all(translate(coalesce(text, ''), '{ASCII}', '{ASCII.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -213,6 +238,7 @@ QUERIES = {
     "op8_exact_dedup": (op8_exact_dedup, OP8_SQL),
     "op9_bpe": (op9_bpe, None),
     "op10_urls": (op10_urls, None),
+    "op11_collocations": (op11_collocations, OP11_SQL),
     "op12_divergence": (op12_divergence, OP12_SQL),
     "op13_quality": (op13_quality, OP13_SQL),
 }
