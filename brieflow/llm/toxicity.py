@@ -1,20 +1,25 @@
 """Toxicity scores from averaged subword-bag embeddings and a linear softmax, trained jointly in numpy.
 
 A text is the bag of the character n-grams (3 to 6) of its distinct lower-case words, a blank at each end of a
-word counted as a character. Every n-gram is hashed to a row of the embedding table; a text's vector is the mean
-of its rows and of ``CALM`` zero rows, damped for long texts (see ``pull``), and a linear softmax of that vector
-gives the classes. Misspelt words share most n-grams with their models, so they lie near them without having
-been seen.
+word counted as a character. Every n-gram is hashed to a row of the embedding table; a text's vector is the sum of its rows over
+the root of their number (and of ``CALM`` more, so a few words do not speak louder than many): a mean that is damped for long texts, in which few
+words decide. A linear softmax of that vector gives the classes. Misspelt words share most n-grams with their models, so they lie near them
+without having been seen.
 
-The model is fitted in one task on a bounded sample of labelled rows: of each class the ``PER_CLASS`` ids of
-least hash among the training ids, texts of over ``FIT_CHARS`` characters left out. The classes' true shares
-enter as the prior, and a missed toxic text weighs as much as ``MISS_COST`` clean ones. Every document is then
-scored on its whole text: as the softmax is linear, a text's score needs only one number for each n-gram, so a
-score is one pass over the text.
+Table and softmax are trained jointly, text by text (AdaGrad). After each step a row is shrunk towards zero by ``SHRINK`` times its
+own step (the proximal form of a penalty on the rows' lengths), so an n-gram speaks only if texts ask for it again and again: what stands in few
+texts, or in both classes, falls to zero by evidence and not by a count. Classes weigh the same in total, so a missed toxic text costs
+as much as many clean ones where toxic texts are rare.
+
+The model is fitted in one task on a bounded sample of labelled rows, ``2 * PER_CLASS`` at most: the ``PER_CLASS`` toxic training ids of
+least hash, and clean ones up to that number. Whole texts are turned into bags where they are; a bag has at most ``BUCKETS`` n-grams, however
+long its text. Every document is then scored on its whole text: as the softmax is linear, a text's score needs only one number for
+each n-gram, so a score is one pass over the text.
 
 Defined cases: null counts as empty; an empty text scores the prior; several labels of an id count as toxic if
 one is; null labels are no labels; without labels of both classes every text scores the smoothed prior (0.25
-with no label at all), so nothing is rejected for lack of evidence.
+with no label at all), so nothing is rejected for lack of evidence; repeated rows and copies each get their score, and of rows with one labelled id
+one is learned from; very long texts are scored whole; an empty table gives no rows; further columns, whatever their names, pass by.
 """
 
 from __future__ import annotations
@@ -30,21 +35,16 @@ from pyspark.sql import types as T
 from brieflow.llm.common import slices
 
 PER_CLASS = 1500
-FIT_CHARS = 20_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 18
-#: n-grams of no meaning that count into every mean, so a few words do not speak louder than many
-CALM = 200
-#: the sum over n-grams is divided by their number to this power, scaled to a mean at ``TYPICAL`` n-grams
-DAMP = 0.6
-TYPICAL = 4000.0
-WIDTH = 8
-EPOCHS = 14
-#: n-grams of fewer sample texts are not learned from
-LEAST_TEXTS = 5
-BATCH = 32
-#: so many clean texts may be lost for one toxic text that is found
-MISS_COST = 2.5
+#: n-grams of no meaning that count into every text's number
+CALM = 50
+#: scale of a text's vector, so that its rows learn at the pace of the softmax
+SCALE = 20.0
+WIDTH = 4
+EPOCHS = 8
+#: steps of the rows and of the softmax, and how much of a step a row is shrunk
+STEP, HEAD_STEP, SHRINK = 0.1, 0.05, 0.01
 #: characters of text that are scored at once (a longer text is a portion of its own)
 PORTION = 1 << 18
 
@@ -52,8 +52,8 @@ _U = np.uint64
 
 
 def pull(n):
-    """Weight of one n-gram among ``n``: a mean, damped for long texts, in which few words can decide."""
-    return TYPICAL ** (DAMP - 1) / (n + CALM) ** DAMP
+    """Weight of one n-gram among ``n``."""
+    return SCALE / np.sqrt(n + CALM)
 
 
 def letters(text: str | None) -> np.ndarray:
@@ -79,7 +79,7 @@ def subwords(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and the share of each in its n-grams."""
+    """Buckets of a text and the weight of each in its vector."""
     found = [b for _, b in subwords(letters(text))]
     if not found:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
@@ -87,52 +87,38 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int32), (n * pull(n.sum())).astype(np.float32)
 
 
-def fit(texts: list[str], toxic: list[int], share: float, seed: int = 7) -> np.ndarray:
-    """One number for each bucket and, last, the constant: the logit of toxic is the constant plus the mean
-    over the n-grams. ``share`` is the share of toxic rows among all labelled ones."""
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: list[int], seed: int = 7) -> np.ndarray:
+    """One number for each bucket and, last, the constant: the logit of toxic is the constant plus the weighted sum
+    over the n-grams. ``bags``: buckets and weights of each text."""
     y = np.array(toxic, np.int64)
+    of_class = np.array([y.sum() / max((1 - y).sum(), 1), 1.0], np.float32)
     rng = np.random.default_rng(seed)
     # rows start at zero, so an n-gram that was never learned from says nothing
-    table = np.zeros((BUCKETS, WIDTH), np.float32)
+    table, seen = np.zeros((BUCKETS, WIDTH), np.float32), np.full(BUCKETS, 1e-6, np.float32)
     head, bias = rng.normal(0, 1, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
-    seen, seen_head, seen_bias = np.full((BUCKETS, 1), 1e-8, np.float32), np.full_like(head, 1e-8), np.full_like(bias, 1e-8)
-    bags = [bag(t) for t in texts]
-    in_texts = np.zeros(BUCKETS, np.int32)
-    for at, _ in bags:
-        in_texts[at] += 1
-    bags = [(at[k], share[k]) for at, share in bags for k in [in_texts[at] >= LEAST_TEXTS]]
+    seen_head, seen_bias = np.full_like(head, 1e-3), np.full_like(bias, 1e-3)
     for _ in range(EPOCHS):
-        order = rng.permutation(len(bags))
-        for k in range(0, len(order), BATCH):
-            own = order[k:k + BATCH]
-            at = np.concatenate([bags[i][0] for i in own])
-            share_of = np.concatenate([bags[i][1] for i in own])[:, None]
-            row = np.repeat(np.arange(len(own)), [len(bags[i][0]) for i in own])
-            cuts = np.flatnonzero(np.diff(row, prepend=-1))
-            mean = np.zeros((len(own), WIDTH), np.float32)
-            if len(at):
-                mean[row[cuts]] = np.add.reduceat(table[at] * share_of, cuts)
-            logits = mean @ head + bias
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(own)), y[own]] -= 1
-            of_head, of_bias, of_mean = mean.T @ p, p.sum(axis=0), p @ head.T
-            if len(at):
-                rows, inverse = np.unique(at, return_inverse=True)
-                grad = np.zeros((len(rows), WIDTH), np.float32)
-                step = of_mean[row] * share_of
-                for d in range(WIDTH):
-                    grad[:, d] = np.bincount(inverse, step[:, d], len(rows))
-                seen[rows] += (grad * grad).mean(axis=1, keepdims=True)
-                table[rows] -= 0.5 * grad / np.sqrt(seen[rows])
+        for i in rng.permutation(len(bags)):
+            at, weight = bags[i]
+            rows = table[at]
+            vector = weight @ rows
+            z = vector @ head + bias
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            p[y[i]] -= 1
+            p *= of_class[y[i]]
+            of_vector = head @ p
+            seen[at] += weight * weight * (of_vector @ of_vector / WIDTH)
+            step = STEP / np.sqrt(seen[at])
+            rows -= (step * weight)[:, None] * of_vector
+            length = np.sqrt((rows * rows).sum(axis=1)) + 1e-12
+            table[at] = rows * np.maximum(0, 1 - step * SHRINK / length)[:, None]
+            of_head = np.outer(vector, p)
             seen_head += of_head * of_head
-            head -= 0.1 * of_head / np.sqrt(seen_head)
-            seen_bias += of_bias * of_bias
-            bias -= 0.1 * of_bias / np.sqrt(seen_bias)
-    way = head[:, 1] - head[:, 0]
-    half = min(max(y.mean(), 1e-6), 1 - 1e-6)
-    prior = np.log(share / (1 - share)) - np.log(half / (1 - half))  # the sample's classes are of equal size
-    return np.append(table @ way, bias[1] - bias[0] + prior + np.log(MISS_COST)).astype(np.float32)
+            head -= HEAD_STEP * of_head / np.sqrt(seen_head)
+            seen_bias += p * p
+            bias -= HEAD_STEP * p / np.sqrt(seen_bias)
+    return np.append(table @ (head[:, 1] - head[:, 0]), bias[1] - bias[0]).astype(np.float32)
 
 
 def logits(texts: list[str], weights: np.ndarray) -> np.ndarray:
@@ -170,17 +156,25 @@ def held_out(id_col: Column) -> Column:
 
 
 def _fit_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_class: int) -> DataFrame:
-    """Texts and labels to fit on, with the numbers of labelled training rows."""
+    """Bags and labels to fit on, with the numbers of labelled training rows."""
     known = (labels.select(F.col(id_col).alias("_id"), F.col("toxic").cast("int").alias("_toxic")).filter("_toxic is not null and _id is not null")
              .filter(~held_out(F.col("_id"))).groupBy("_id").agg((F.max("_toxic") > 0).cast("int").alias("_toxic")))
     known = known.withColumn("_order", F.xxhash64("_id", F.lit(11)))
-    chosen = [known.filter(F.col("_toxic") == c).orderBy("_order", "_id").limit(per_class) for c in (0, 1)]
+    counts = known.agg(F.coalesce(F.sum("_toxic"), F.lit(0)).alias("ones"), F.count("*").alias("rows")).first()
+    ones = min(counts["ones"], per_class)
+    chosen = [known.filter(F.col("_toxic") == c).orderBy("_order", "_id").limit(n) for c, n in ((0, 2 * per_class - ones), (1, ones))]
     chosen = chosen[0].unionByName(chosen[1])  # at most 2 * per_class rows
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    found = (texts.join(F.broadcast(chosen), "_id").filter(F.length(F.coalesce("_text", F.lit(""))) <= FIT_CHARS)
-             .dropDuplicates(["_id"]).select("_order", "_id", "_toxic", "_text"))
-    shares = known.agg(F.coalesce(F.sum("_toxic"), F.lit(0)).alias("ones"), F.count("*").alias("rows")).first()
-    return found.withColumns({"_task": F.lit(0), "_ones": F.lit(shares["ones"]), "_all": F.lit(shares["rows"])})
+    found = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select("_order", "_id", "_toxic", "_text")
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 64):
+            own = [bag(t) for t in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *(pa.array([x[k].tobytes() for x in own], pa.binary()) for k in (0, 1))],
+                                             names=["_order", "_id", "_toxic", "_at", "_weight"])
+
+    schema = T.StructType([*found.schema.fields[:3], T.StructField("_at", T.BinaryType()), T.StructField("_weight", T.BinaryType())])
+    return found.mapInArrow(bags, schema).withColumns({"_task": F.lit(0), "_ones": F.lit(counts["ones"]), "_all": F.lit(counts["rows"])})
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> np.ndarray:
@@ -190,9 +184,8 @@ def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
         t = t.sort_by([("_order", "ascending"), ("_id", "ascending")])
         toxic = t["_toxic"].to_pylist()
         ones, rows = t["_ones"][0].as_py(), t["_all"][0].as_py()
-        share = (ones + 0.5) / (rows + 2)
-        texts = [x or "" for x in t["_text"].to_pylist()]
-        weights = fit(texts, toxic, share) if len(set(toxic)) == 2 else _prior_only(share)
+        bags = [(np.frombuffer(a, np.int32), np.frombuffer(w, np.float32)) for a, w in zip(t["_at"].to_pylist(), t["_weight"].to_pylist())]
+        weights = fit(bags, toxic) if len(set(toxic)) == 2 else _prior_only((ones + 0.5) / (rows + 2))
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary())})
 
     rows = _fit_sample(docs, labels, id_col, text_col, per_class).groupBy("_task").applyInArrow(learn, "weights binary").collect()

@@ -44,8 +44,8 @@ def test_learns_words_and_unseen_misspellings(spark):
     rng = random.Random(3)
     bad = ["grumblefop", "snarkwit", "blatherskite"]
     rows, labels = [], []
-    for i in range(900):
-        text, toxic = words_of(rng, 60).split(), i % 3 == 0
+    for i in range(500):
+        text, toxic = words_of(rng, 60).split(), i % 5 == 0
         if toxic:
             text[rng.randrange(60)] = rng.choice(bad)
         rows.append((i, " ".join(text)))
@@ -56,7 +56,7 @@ def test_learns_words_and_unseen_misspellings(spark):
     held = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert {i for i, r in got.items() if r.held_out} >= set(held)
     right = sum(got[i].predicted == labels[i][1] for i in held) / len(held)
-    assert right >= 0.9
+    assert right >= 0.95
     assert [got[9000 + k].predicted for k in range(4)] == [1, 1, 1, 0]
 
 
@@ -79,8 +79,8 @@ def test_held_out_accuracy_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     judged = tx.toxicity(docs, labels).filter("held_out").join(labels, "doc_id")
     n, wrong, toxic, found = judged.agg(F.count("*"), F.sum((1 - F.col("toxic")) * F.col("predicted")), F.sum("toxic"), F.sum(F.col("toxic") * F.col("predicted"))).first()
-    # about 350 toxic texts in four languages to learn from; ten times as many give 0.96 found, under 0.001 wrong
-    assert wrong / (n - toxic) < 0.03 and found / toxic > 0.55
+    # about 350 toxic texts in four languages to learn from
+    assert wrong / (n - toxic) < 0.03 and found / toxic > 0.75
 
 
 # --- chats -------------------------------------------------------------------------------------------------------
