@@ -48,7 +48,8 @@ def story_sources(df: DataFrame, min_sources: int = P.CORROBORATION_MIN_SOURCES)
 # B05 -----------------------------------------------------------------------
 def story_window(edges: DataFrame, nodes: DataFrame, hours: int = P.STORY_WINDOW_HOURS,
                  key: str = "arr", ts_col: str = "published_at") -> DataFrame:
-    """B05 (ours): keep pair edges (u, v) whose articles were published within ``hours``."""
+    """B05 (ours), for given pairs: keep edges (u, v) whose articles were published within ``hours``. Where leaders are to be
+    elected, every member counts, copies included: see ``window_hours`` of :func:`brieflow.operators.dedup.l2_near_dup`."""
     t = nodes.select(F.col(key), F.col(ts_col))
     tu = t.select(F.col(key).alias("u"), F.col(ts_col).alias("_tu"))
     tv = t.select(F.col(key).alias("v"), F.col(ts_col).alias("_tv"))
@@ -57,31 +58,6 @@ def story_window(edges: DataFrame, nodes: DataFrame, hours: int = P.STORY_WINDOW
                  .filter(gap <= F.lit(int(hours) * 3600 * 1_000_000)).select("u", "v"))
 
 
-def story_links(pairs: DataFrame, members: DataFrame, hours: int = P.STORY_WINDOW_HOURS,
-                key: str = "arr", ts_col: str = "published_at") -> DataFrame:
-    """B05 on members: edges (u, v), u < v, of articles within ``hours`` whose fingerprints are equal or in
-    ``pairs`` (fp_a, fp_b). Not every such edge is made, but those made connect the same articles as all would:
-    articles of one fingerprint and one bucket of ``hours`` are linked to the bucket's first one, and of two
-    buckets one edge stands for all. ``members``: (key, simhash, ts_col); rows without a time have no edge."""
-    width = F.lit(int(hours) * 3600 * 1_000_000)
-    m = (members.select(F.col(key).alias("_k"), F.col("simhash").alias("fp"), F.unix_micros(F.col(ts_col)).alias("_t"))
-                .filter("_t is not null and fp is not null").withColumn("b", F.floor(F.col("_t") / width)))
-    order = F.struct("_t", "_k")
-    buckets = m.groupBy("fp", "b").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    own = m.join(broadcast_if_small(buckets), ["fp", "b"]).select(F.col("first._k").alias("a"), F.col("_k").alias("z"))
-    fps = pairs.select(F.col("fp_a").alias("fp"), F.col("fp_b").alias("fp_z"))
-    both = fps.unionByName(fps.select(F.col("fp_z").alias("fp"), F.col("fp").alias("fp_z")))
-    later = buckets.select(F.col("fp").alias("fp_z"), F.col("b").alias("b_z"), F.col("first").alias("first_z"))
-    same = buckets.join(both, "fp").join(later.withColumnRenamed("b_z", "b"), ["fp_z", "b"])
-    same = same.select(F.col("first._k").alias("a"), F.col("first_z._k").alias("z"))
-    met = both.unionByName(buckets.select("fp", F.col("fp").alias("fp_z")).distinct())
-    following = (buckets.join(met, "fp").withColumn("b_z", F.col("b") + 1).join(later, ["fp_z", "b_z"])
-                        .filter(F.col("first_z._t") - F.col("last._t") <= width)
-                        .select(F.col("last._k").alias("a"), F.col("first_z._k").alias("z")))
-    edges = own.unionByName(same).unionByName(following).filter("a <> z")
-    return edges.select(F.least("a", "z").alias("u"), F.greatest("a", "z").alias("v")).distinct()
-
-
 # B06 -----------------------------------------------------------------------
 def domain_age_gate(df: DataFrame, history: DataFrame, run_ts, min_days: int = P.DOMAIN_AGE_MIN_DAYS,
                     url_col: str = "url") -> DataFrame:

@@ -7,22 +7,24 @@ Article rows carry ``arr`` (BIGINT, total arrival order) and ``id``.
   on the unique ``arr``.
 * L2 (A24) runs SimHash on L1 survivors, collapses equal fingerprints to
   their earliest holder (copies share a neighbourhood, so the earliest copy
-  decides for all of them), finds fingerprint pairs with the banded join and
-  elects leaders among the collapsed nodes.
+  decides for all of them) and elects leaders among them by their bands, without a list of pairs.
 * L3 (A25) does the same on L2 leaders with vectors, using cosine pairs.
+* With a story window (B05) only articles published within the window of each other are near, in both stages; copies then
+  collapse by fingerprint and time, and bands are cut into overlapping time buckets of two windows.
 * The story map (A27) has one row per distinct ``id``; a later stage wins.
   Corroboration (A28) counts map rows per story id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.functions.text import canonical_url
-from brieflow.operators.election import leader_election
-from brieflow.operators.similarity import cosine_cross_pairs, cosine_pairs, hamming_pairs, simhash64
+from brieflow.operators.election import first_fit, leader_election
+from brieflow.operators.similarity import (band_keys, choose_blocks, cosine_cross_pairs, cosine_pairs, hamming_distance, hamming_pairs,
+                                           simhash64)
 from brieflow.session import ensure_checkpoint_dir
 
 
@@ -75,38 +77,81 @@ def _with_stored(own: DataFrame, elected: DataFrame, stored: DataFrame | None, l
     return out.withColumn("keep", F.coalesce(F.col(leader) == F.col("arr"), F.lit(False)))
 
 
+def _micros(hours: int | None) -> int | None:
+    return None if hours is None else int(hours) * 3600 * 1_000_000
+
+
+def _within(a: str, b: str, window: int) -> Column:
+    """Two times (microseconds) at most ``window`` apart."""
+    return F.coalesce(F.abs(F.col(a) - F.col(b)) <= window, F.lit(False))
+
+
+def first_fit_prints(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, blocks: int | None = None,
+                     window_hours: int | None = None) -> DataFrame:
+    """(arr, leader_arr) of rows (arr, simhash, t): first-fit by fingerprints within ``max_distance`` bits and, with a
+    window, times ``t`` (microseconds; null is near nothing) within it."""
+    window = _micros(window_hours)
+    keys = ["simhash"] if window is None else ["simhash", "t"]
+    timed = fps if window is None else fps.filter("t is not null")
+    reps = timed.groupBy(*keys).agg(F.min("arr").alias("node"))
+    m = blocks or choose_blocks(timed.select("simhash").distinct().count(), max_distance)
+    gs = band_keys("simhash", m, max_distance)
+    if window is not None:
+        # times within a window of each other share a bucket or lie in following ones
+        at = F.floor(F.col("t") / F.lit(window))
+        gs = F.flatten(F.transform(gs, lambda x: F.array(*[F.struct(x["c"].alias("c"), x["v"].alias("v"), (at + i).alias("w")) for i in (0, 1)])))
+
+    def near(a: str, b: str) -> Column:
+        close = hamming_distance(f"{a}_simhash", f"{b}_simhash") <= max_distance
+        return close if window is None else close & _within(f"{a}_t", f"{b}_t", window)
+
+    elected = first_fit(reps.select("node", gs.alias("gs"), *keys), near)
+    # a copy of a leader is a duplicate of that leader; a copy of a duplicate follows it
+    led = timed.select("arr", *keys).join(reps.join(elected, "node").select(*keys, "leader"), keys).select("arr", F.col("leader").alias("leader_arr"))
+    return led if window is None else led.unionByName(fps.filter("t is null").select("arr", F.col("arr").alias("leader_arr")))
+
+
 def l2_near_dup(df: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, blocks: int | None = None,
-                leaders_store: DataFrame | None = None) -> DataFrame:
-    """(arr, simhash, l2_leader_arr, stored_id, keep) for the rows of ``df`` (L1 survivors).
+                leaders_store: DataFrame | None = None, window_hours: int | None = None, ts_col: str = "published_at") -> DataFrame:
+    """(arr, simhash, l2_leader_arr, stored_id, keep) for the rows of ``df`` (L1 survivors), with
+    ``window_hours`` also their time ``t``.
 
-    ``leaders_store`` (batch, arr, id, simhash) holds leaders of earlier batches (A30). They come before every
+    ``leaders_store`` (batch, arr, id, simhash, and t with a window) holds leaders of earlier batches (A30). They come before every
     row of ``df`` whatever its ``arr``: a row near one of them is its duplicate (``stored_id`` is that leader's
     id, ``l2_leader_arr`` NULL), and the others elect among themselves.
     """
-    fps = _cut(simhash64(df.select("arr", "title", "body", "summary")))
+    window = _micros(window_hours)
+    if window is None:
+        fps = simhash64(df.select("arr", "title", "body", "summary"))
+    else:
+        fps = simhash64(df.select("arr", "title", "body", "summary", ts_col), carry=(F.unix_micros(F.col(ts_col)).alias("t"),))
+    fps = _cut(fps)
+    keys = ["simhash"] if window is None else ["simhash", "t"]
     stored, nodes = None, fps
     if leaders_store is not None:
-        old = leaders_store.select("batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), F.col("simhash").alias("l_fp"))
+        old = leaders_store.select("batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), F.col("simhash").alias("l_fp"),
+                                   *([] if window is None else [F.col("t").alias("l_t")]))
         values = fps.select("simhash").union(old.select("l_fp")).distinct()
         pairs = hamming_pairs(values, max_distance, "simhash", blocks).select("fp_a", "fp_b")
         near = pairs.union(pairs.select("fp_b", "fp_a")).toDF("simhash", "l_fp")
-        # of each stored fingerprint its earliest leader, then of each of ours the earliest near one
-        first = old.groupBy("l_fp").agg(F.min(F.struct("batch", "l_arr", "l_id")).alias("f"))
-        mine = fps.select("simhash").distinct()
-        met = (near.join(first, "l_fp").join(mine, "simhash", "left_semi").select("simhash", "f")
-               .union(mine.join(first.withColumnRenamed("l_fp", "simhash"), "simhash").select("simhash", "f")))
-        of_print = met.groupBy("simhash").agg(F.min("f").alias("f")).select("simhash", F.col("f.l_id").alias("stored_id"))
-        stored = _cut(fps.join(of_print, "simhash").select("arr", "stored_id"))
+        # of each stored fingerprint (and time) its earliest leader, then of each of ours the earliest near one
+        first = old.groupBy(*["l_fp", "l_t"][:len(keys)]).agg(F.min(F.struct("batch", "l_arr", "l_id")).alias("f"))
+        mine = fps.select(*keys).distinct()
+        met = near.join(first, "l_fp").join(mine, "simhash").drop("l_fp").unionByName(mine.join(first.withColumnRenamed("l_fp", "simhash"), "simhash"))
+        if window is not None:
+            met = met.filter(_within("t", "l_t", window))
+        of_print = met.groupBy(*keys).agg(F.min("f").alias("f")).select(*keys, F.col("f.l_id").alias("stored_id"))
+        stored = _cut(fps.join(of_print, keys).select("arr", "stored_id"))
         nodes = fps.join(stored, "arr", "left_anti")
-    pairs = hamming_pairs(nodes, max_distance, "simhash", blocks)
-    res = _elect_on_keys(nodes, "simhash", pairs, "fp_a", "fp_b")
+    res = first_fit_prints(nodes, max_distance, blocks, window_hours)
     return _with_stored(fps, res, stored, "l2_leader_arr")
 
 
 def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD,
                     mode: str = "exact", leaders_store: DataFrame | None = None,
-                    embedder=None) -> DataFrame:
-    """(arr, l3_leader_arr, stored_id, keep) for rows of ``df`` (L2 leaders) that have a vector.
+                    embedder=None, window_hours: int | None = None) -> DataFrame:
+    """(arr, l3_leader_arr, stored_id, keep) for rows of ``df`` (L2 leaders) that have a vector. With ``window_hours``
+    ``df`` has their times ``t`` (microseconds), which the result keeps, and only articles within the window are near.
 
     ``vectors``: (arr, embedding) unit-norm. ``embedder``: optional pandas_udf
     mapping ``title + '. ' + (body or summary)[:300]`` to a vector (used when
@@ -117,20 +162,28 @@ def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMA
             return _with_stored(df.select("arr"), df.select("arr", F.col("arr").alias("leader_arr")), None, "l3_leader_arr")
         from brieflow.functions.text import article_text
         vectors = df.select("arr", embedder(article_text(body_chars=300, sep=". ")).alias("embedding"))
-    v = df.select("arr").join(vectors.select("arr", "embedding"), "arr").filter(F.col("embedding").isNotNull())
+    window = _micros(window_hours)
+    timed = [] if window is None else ["t"]
+    v = df.select("arr", *timed).join(vectors.select("arr", "embedding"), "arr").filter(F.col("embedding").isNotNull())
     stored, nodes = None, v
     if leaders_store is not None:
         # stored keys may equal ours, so stored leaders are joined by a key of their own
         old = leaders_store.withColumn("s", F.xxhash64("batch", "arr", "id"))
         met = cosine_cross_pairs(v, old.select(F.col("s").alias("arr"), "embedding"), threshold)
-        near = met.select(F.col("l").alias("arr"), F.col("r").alias("s")).join(old.select("s", "batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id")), "s")
+        near = met.select(F.col("l").alias("arr"), F.col("r").alias("s")).join(
+            old.select("s", "batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), *(F.col(c).alias("l_t") for c in timed)), "s")
+        if window is not None:
+            near = near.join(v.select("arr", "t"), "arr").filter(_within("t", "l_t", window))
         stored = _cut(_stored_leader(near))
         nodes = v.join(stored, "arr", "left_anti")
     pairs = cosine_pairs(nodes, threshold, key="arr", mode=mode)
+    if window is not None:
+        a, b = (nodes.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for c in "ab")
+        pairs = pairs.join(a, "a").join(b, "b").filter(_within("t_a", "t_b", window)).select("a", "b", "cos")
     # vectors are not collapsed by value: equal vectors are simply adjacent (cos = 1)
     keyed = nodes.select("arr", F.col("arr").alias("vk"))
     res = _elect_on_keys(keyed, "vk", pairs, "a", "b")
-    return _with_stored(v.select("arr"), res, stored, "l3_leader_arr")
+    return _with_stored(v.select("arr", *timed), res, stored, "l3_leader_arr")
 
 
 def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rules = P.DEFAULT_RULES,
@@ -143,6 +196,7 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     stages; article text is read again by a semi join on ``arr`` where a stage
     needs it, so nothing wide is written and plans stay short. ``store`` holds what
     earlier batches left (see :func:`incremental_dedup`); each part of it counts by itself.
+    With ``rules.window_stories`` near articles are one story only if they were published within ``rules.story_window_hours``.
     """
     transitive = rules.transitive_counts if transitive is None else transitive
     store = store or {}
@@ -155,24 +209,26 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     l1 = _cut(l1)
     s1 = df.join(l1.filter("l1_keep").select("arr"), "arr", "left_semi")
     alone = F.lit(None).cast("string").alias("stored_id"), F.lit(True).alias("keep")
+    window = rules.story_window_hours if rules.window_stories else None
+    timed = [] if window is None else ["t"]
     if rules.use_l2:
-        l2 = _cut(l2_near_dup(s1, rules.simhash_max_distance, leaders_store=store.get("l2_leaders")))
+        l2 = _cut(l2_near_dup(s1, rules.simhash_max_distance, leaders_store=store.get("l2_leaders"), window_hours=window))
     else:
-        l2 = l1.filter("l1_keep").select("arr", F.col("arr").alias("l2_leader_arr"), *alone)
-    l2_leaders = l2.filter("keep").select("arr")
+        l2 = s1.select("arr", F.col("arr").alias("l2_leader_arr"), *alone, *(F.unix_micros("published_at").alias(c) for c in timed))
+    l2_leaders = l2.filter("keep").select("arr", *timed)
     semantic = rules.use_l3 and (vectors is not None or embedder is not None)
     if semantic:
-        texts = l2_leaders if vectors is not None else df.join(l2_leaders, "arr", "left_semi")
+        texts = l2_leaders if vectors is not None else df.join(l2_leaders, "arr")
         l3 = _cut(l3_semantic_dup(texts, vectors, rules.cosine_threshold, cosine_mode,
-                                  leaders_store=store.get("l3_leaders"), embedder=embedder))
+                                  leaders_store=store.get("l3_leaders"), embedder=embedder, window_hours=window))
     else:
         l3 = l2_leaders.select("arr", F.col("arr").alias("l3_leader_arr"), *alone)
     smap = story_map(l1, l2, l3, transitive)
     counts = smap.groupBy("story_id").agg(F.count(F.lit(1)).alias("corroboration_count"))
-    l3_leaders = l3.filter("keep").select("arr")
+    l3_leaders = l3.filter("keep").select("arr", *(c for c in timed if c in l3.columns))
     # L2 leaders without a vector never enter L3 and stay leaders
-    no_vec = l2_leaders.join(l3.select("arr"), "arr", "left_anti")
-    surv_keys = (l1.join(l3_leaders.union(no_vec), "arr", "left_semi").select("arr", "id")
+    no_vec = l2_leaders.select("arr").join(l3.select("arr"), "arr", "left_anti")
+    surv_keys = (l1.join(l3_leaders.select("arr").union(no_vec), "arr", "left_semi").select("arr", "id")
                    .join(smap, "id", "left")
                    .withColumn("story_id", F.coalesce("story_id", "id"))
                    .join(counts, "story_id", "left")
@@ -195,9 +251,10 @@ def batch_state(batch: int, l1: DataFrame, l2: DataFrame | None, l3_leaders: Dat
     number, ids = F.lit(batch).cast("long").alias("batch"), l1.select("arr", "id")
     state = {"url_hashes": l1.select("url_hash").distinct(), "l2_leaders": None, "l3_leaders": None}
     if l2 is not None:
-        state["l2_leaders"] = l2.filter("keep").join(ids, "arr").select(number, "arr", "id", "simhash")
+        state["l2_leaders"] = l2.filter("keep").join(ids, "arr").select(number, "arr", "id", "simhash", *(c for c in ("t",) if c in l2.columns))
     if l3_leaders is not None:
-        state["l3_leaders"] = l3_leaders.join(vectors.select("arr", "embedding"), "arr").join(ids, "arr").select(number, "arr", "id", "embedding")
+        of = l3_leaders.join(vectors.select("arr", "embedding"), "arr").join(ids, "arr")
+        state["l3_leaders"] = of.select(number, "arr", "id", "embedding", *(c for c in ("t",) if c in l3_leaders.columns))
     return state
 
 

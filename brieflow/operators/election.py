@@ -22,16 +22,55 @@ residual is checkpointed to the shared checkpoint folder each round so
 lineage stays short and a lost executor only replays one round. Finally each
 duplicate maps to its lowest adjacent leader via one aggregate over the
 original edges (``min`` over leader neighbours).
+
+:func:`first_fit` elects without an edge list. Nodes carry *groups*, such that any two adjacent nodes share one (the bands
+of a fingerprint). In each pass only the first ``head`` undecided nodes of every group are compared with each other, so a
+cluster of m nodes in which all are adjacent costs rows for its first nodes, not m squared: whoever of them leads then meets
+the rest of its groups, one row for each node that it takes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brieflow.session import ensure_checkpoint_dir
 
 
+def _rounds(U: DataFrame, E: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(leaders, duplicates), in parts, of the undecided nodes ``U`` (n) over the edges ``E`` (u, v).
+
+    An edge may come from a node outside ``U``, which stays undecided: its heads then stay undecided as well,
+    unless a leader takes them."""
+    leaders: list[DataFrame] = []
+    duplicates: list[DataFrame] = []
+    while True:
+        if E.isEmpty():
+            leaders.append(U)  # no edges left: every undecided node is a leader
+            return leaders, duplicates
+        heads = E.select(F.col("v").alias("n")).distinct()
+        # materialised: it feeds D, the U and E updates and the final union
+        N = cut(U.join(heads, "n", "left_anti"))
+        if N.isEmpty():
+            return leaders, duplicates
+        D = E.join(N.withColumnRenamed("n", "u"), "u", "left_semi").select(F.col("v").alias("n")).distinct()
+        leaders.append(N)
+        duplicates.append(D)
+        U = cut(U.join(N, "n", "left_anti").join(D, "n", "left_anti"))
+        E = cut(E.join(D.withColumnRenamed("n", "v"), "v", "left_anti")
+                 .join(D.withColumnRenamed("n", "u"), "u", "left_anti")
+                 .join(N.withColumnRenamed("n", "u"), "u", "left_anti"))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    return whole
+
+
 def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", checkpoint: bool = True) -> DataFrame:
     """Return (node, leader, is_leader) for every node of ``nodes``.
 
@@ -48,25 +87,8 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", chec
 
     e0 = cut(edges.select("u", "v"))
     # only nodes with an edge are undecided; all others lead themselves
-    E = e0
     U = cut(e0.select(F.col("u").alias("n")).union(e0.select(F.col("v").alias("n"))).distinct())
-    leader_parts: list[DataFrame] = []
-    while True:
-        if E.isEmpty():
-            leader_parts.append(U)  # no edges left: every undecided node is a leader
-            break
-        heads = E.select(F.col("v").alias("n")).distinct()
-        # materialised: it feeds D, the U and E updates and the final union
-        N = cut(U.join(heads, "n", "left_anti"))
-        D = E.join(N.withColumnRenamed("n", "u"), "u", "left_semi").select(F.col("v").alias("n")).distinct()
-        leader_parts.append(N)
-        U = cut(U.join(N, "n", "left_anti").join(D, "n", "left_anti"))
-        E = cut(E.join(D.withColumnRenamed("n", "v"), "v", "left_anti")
-                 .join(D.withColumnRenamed("n", "u"), "u", "left_anti")
-                 .join(N.withColumnRenamed("n", "u"), "u", "left_anti"))
-    all_leaders = leader_parts[0]
-    for part in leader_parts[1:]:
-        all_leaders = all_leaders.union(part)
+    all_leaders = _union(_rounds(U, e0, cut)[0])
     # duplicate -> lowest adjacent leader (over the original edges)
     dup_map = (e0.join(all_leaders.withColumnRenamed("n", "u"), "u", "left_semi")
                  .join(all_leaders.withColumnRenamed("n", "v"), "v", "left_anti")
@@ -78,4 +100,75 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", chec
     return out
 
 
-__all__ = ["leader_election"]
+#: undecided nodes of a group that are compared with each other in a pass
+HEAD = 16
+
+
+def first_fit(nodes: DataFrame, near: Callable[[str, str], Column], head: int = HEAD) -> DataFrame:
+    """(node, leader) for every row of ``nodes``: ``node`` (BIGINT order key, unique), ``gs`` (array of its groups) and what
+    ``near`` looks at. ``near(a, b)`` says whether two nodes, their columns prefixed ``a_`` and ``b_``, are adjacent; adjacent
+    nodes must share a group (a node without groups leads itself).
+
+    A pass takes the nodes that are among the first ``head`` undecided ones of *all* their groups: all their earlier undecided
+    neighbours are among the first of a shared group, so the edges between the groups' first nodes are all that can decide them.
+    The rounds above decide them, except those that wait for a node which is not taken. New leaders then take whoever is near them in their groups.
+    The lowest undecided node is always decided. A pass that decides less than half doubles ``head``. At the end a duplicate's leader is
+    the lowest one among its edges, or, where a leader took it, among all leaders in its groups.
+    """
+    ensure_checkpoint_dir(nodes.sparkSession)
+    own = [c for c in nodes.columns if c not in ("node", "gs")]
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True)
+
+    def members(df: DataFrame) -> DataFrame:
+        return df.select("node", *own, F.explode("gs").alias("g"), F.size("gs").alias("groups"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("g", *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in ("g", "groups")])
+
+    def meetings(leaders: DataFrame, others: DataFrame) -> DataFrame:
+        """(u, v): nodes of ``others`` near a leader before them."""
+        met = side(members(nodes.join(leaders, "node", "left_semi")), "a").join(side(members(others), "b"), "g")
+        return met.filter((F.col("a_node") < F.col("b_node")) & near("a", "b")).select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
+
+    nodes = cut(nodes)
+    leaders = [nodes.filter(F.size("gs") == 0).select("node")]
+    edges: list[DataFrame] = []
+    taken: list[DataFrame] = []
+    left = nodes.filter(F.size("gs") > 0)
+    remaining = left.count()
+    while remaining:
+        first = Window.partitionBy("g").orderBy("node")
+        heads = cut(members(left).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= head))
+        whole = cut(heads.groupBy("node").agg(F.count("*").alias("found"), F.first("groups").alias("groups")).filter("found = groups").select(F.col("node").alias("n")))
+        met = side(heads, "a").join(side(heads, "b"), "g").filter((F.col("a_rank") < F.col("b_rank")) & near("a", "b"))
+        met = cut(met.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct().join(whole.withColumnRenamed("n", "v"), "v", "left_semi").select("u", "v"))
+        edges.append(met)
+        bound = met.select(F.col("u").alias("n")).union(met.select(F.col("v").alias("n"))).distinct()
+        alone = whole.join(bound, "n", "left_anti")
+        new, duplicates = _rounds(cut(whole.join(bound, "n", "left_semi")), met, cut)
+        new = cut(_union([alone, *new]).withColumnRenamed("n", "node"))
+        leaders.append(new)
+        if whole.count() == remaining:  # all were taken, so none waits
+            break
+        gone = _union([new, *(d.withColumnRenamed("n", "node") for d in duplicates)])
+        left = left.join(gone, "node", "left_anti")
+        reached = cut(meetings(new, left).select(F.col("v").alias("node")).distinct())
+        taken.append(reached)
+        left = cut(left.join(reached, "node", "left_anti"))
+        before, remaining = remaining, left.count()
+        if 2 * remaining > before:
+            head *= 2
+    all_leaders = cut(_union(leaders))
+    found = [e.join(all_leaders.withColumnRenamed("node", "u"), "u", "left_semi").select("u", "v") for e in edges]
+    if taken:
+        found.append(meetings(all_leaders, nodes.join(_union(taken), "node", "left_semi")))
+    if not found:
+        return all_leaders.withColumn("leader", F.col("node"))
+    of = _union(found).groupBy("v").agg(F.min("u").alias("leader")).withColumnRenamed("v", "node")
+    of = of.join(all_leaders, "node", "left_anti")
+    return all_leaders.withColumn("leader", F.col("node")).unionByName(of)
+
+
+__all__ = ["leader_election", "first_fit"]

@@ -46,8 +46,8 @@ def simhash_text(body_chars: int = 500) -> Column:
 
 
 def simhash64(df: DataFrame, key: str = "arr", text: Column | None = None,
-              out: str = "simhash", method: str = "arrow") -> DataFrame:
-    """64-bit SimHash per row of ``df`` -> (key, simhash BIGINT).
+              out: str = "simhash", method: str = "arrow", carry: tuple[Column, ...] = ()) -> DataFrame:
+    """64-bit SimHash per row of ``df`` -> (key, simhash BIGINT), with the columns ``carry`` (arrow only).
 
     Lower-case, keep runs of word characters/CJK, concatenate, slide 4-char
     shingles (at least one), weight by occurrence, hash = low 64 bits of MD5,
@@ -60,7 +60,7 @@ def simhash64(df: DataFrame, key: str = "arr", text: Column | None = None,
     text = simhash_text() if text is None else text
     if method == "arrow":
         from brieflow.functions.fingerprint import simhash_col
-        return df.select(F.col(key), simhash_col(text).alias(out))
+        return df.select(F.col(key), *carry, simhash_col(text).alias(out))
     s = F.array_join(F.regexp_extract_all(F.lower(text), F.lit(P.SIMHASH_TOKEN_PATTERN), 0), "")
     w = P.SIMHASH_SHINGLE
     base = df.select(F.col(key).alias("_k"), s.alias("_s"))
@@ -107,6 +107,28 @@ def choose_blocks(n_distinct: int, max_distance: int = P.SIMHASH_MAX_DISTANCE,
     return 2 * k + 2
 
 
+def _combinations(m: int, k: int) -> list[tuple[int, ...]]:
+    return list(combinations(range(m), m - k))
+
+
+def _block_value(col: str, offset: int, width: int) -> str:
+    return f"(shiftrightunsigned({col}, {offset}) & {(1 << width) - 1}L)"
+
+
+def band_keys(col: str, blocks: int, max_distance: int) -> Column:
+    """array<struct<c,v>>: for every combination of ``blocks - max_distance`` blocks of a fingerprint, its number and the
+    packed bits of its blocks. Fingerprints within ``max_distance`` bits share at least one."""
+    layout = _block_layout(blocks)
+    keys = []
+    for ci, c in enumerate(_combinations(blocks, max_distance)):
+        parts, shift = [], 0
+        for b in c:
+            parts.append(f"shiftleft({_block_value(col, *layout[b])}, {shift})")
+            shift += layout[b][1]
+        keys.append(f"named_struct('c', {ci}, 'v', {' | '.join(parts)})")
+    return F.expr(f"array({', '.join(keys)})")
+
+
 def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp_col: str = "simhash",
                   blocks: int | None = None) -> DataFrame:
     """All pairs of *distinct* fingerprints within ``max_distance`` bits.
@@ -124,23 +146,14 @@ def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp
     m = blocks
     if m < k + 1:
         raise ValueError("blocks must be at least max_distance + 1")
-    layout = _block_layout(m)
-    combos = list(combinations(range(m), m - k))
+    layout, combos = _block_layout(m), _combinations(m, k)
     masks = [sum(1 << b for b in c) for c in combos]
 
     def block_val(col: str, b: int) -> str:
-        off, wdt = layout[b]
-        return f"(shiftrightunsigned({col}, {off}) & {(1 << wdt) - 1}L)"
+        return _block_value(col, *layout[b])
 
-    # key = packed bits of the chosen blocks; one row per (fingerprint, combination)
-    key_exprs = []
-    for ci, c in enumerate(combos):
-        parts, shift = [], 0
-        for b in c:
-            parts.append(f"shiftleft({block_val('fp', b)}, {shift})")
-            shift += layout[b][1]
-        key_exprs.append(f"named_struct('c', {ci}, 'v', {' | '.join(parts)})")
-    keyed = d.select("fp", F.explode(F.expr(f"array({', '.join(key_exprs)})")).alias("key")) \
+    # one row per (fingerprint, combination)
+    keyed = d.select("fp", F.explode(band_keys("fp", m, k)).alias("key")) \
         .select("fp", F.col("key.c").alias("c"), F.col("key.v").alias("v"))
     a = keyed.select(F.col("fp").alias("fp_a"), "c", "v")
     b = keyed.select(F.col("fp").alias("fp_b"), "c", "v")

@@ -185,6 +185,7 @@ class Rules:
     simhash_max_distance: int = SIMHASH_MAX_DISTANCE
     cosine_threshold: float = SEMANTIC_COSINE_THRESHOLD
     story_window_hours: int = STORY_WINDOW_HOURS
+    window_stories: bool = False  # hold near articles against the window above before leaders are elected (B05)
     importance_weights: dict = field(default_factory=lambda: dict(IMPORTANCE_WEIGHTS))
     risk_weights: dict = field(default_factory=lambda: dict(RISK_WEIGHTS))
     single_source_penalty: float = SINGLE_SOURCE_PENALTY

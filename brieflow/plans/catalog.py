@@ -516,6 +516,24 @@ def q_b05(spark, sf_dir):
     return D.story_window(edges, a)
 
 
+# The window held against every member before leaders are elected (first-fit over articles, not over fingerprints), on all
+# articles: copies and near copies days apart are stories of their own.
+
+@register("b05_story_leaders", O.with_(
+    BASE, O.simhash_ctes("articles"), "fpn AS (SELECT arr, {'x': simhash, 't': epoch_us(published_at)} AS k FROM fp JOIN articles USING (arr))",
+    O.first_fit_ctes("ff2", "fpn", "STRUCT(x BIGINT, t BIGINT)", O.within(O.HAMMING_NEAR, P.STORY_WINDOW_HOURS))) + "SELECT arr, leader AS l2_leader_arr FROM ff2")
+def q_b05_leaders(spark, sf_dir):
+    return dedup.l2_near_dup(articles(spark, sf_dir), window_hours=P.STORY_WINDOW_HOURS).select("arr", "l2_leader_arr")
+
+
+@register("a29_dedup_cascade_windowed", O.with_(BASE, O.cascade_ctes("articles", L3_TEST_THRESHOLD, window_hours=P.STORY_WINDOW_HOURS))
+          + "SELECT arr, story_id, corroboration_count FROM surv")
+def q_cascade_windowed(spark, sf_dir):
+    rules = P.Rules(cosine_threshold=L3_TEST_THRESHOLD, window_stories=True)
+    out = dedup.dedup_cascade(articles(spark, sf_dir), embeddings_for(spark, sf_dir), rules)
+    return out.select("arr", "story_id", "corroboration_count")
+
+
 @register("b06_domain_age_gate", O.with_(BASE) + f"""SELECT a.arr, lower(split_part(split_part(a.url, '://', 2), '/', 1)) AS host,
   CAST(datediff('day', h.first_seen, (SELECT max(published_at) FROM articles)) AS INTEGER) AS host_age_days,
   coalesce(datediff('day', h.first_seen, (SELECT max(published_at) FROM articles)) >= {P.DOMAIN_AGE_MIN_DAYS}, false)

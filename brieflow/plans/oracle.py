@@ -105,15 +105,29 @@ def cosine_near(threshold: float) -> str:
     return f"list_dot_product(CAST(l.k AS DOUBLE[]), CAST(n.k AS DOUBLE[])) >= {dbl(threshold)}"
 
 
+def within(near: str, hours: int) -> str:
+    """``near`` on the part ``x`` of the keys, and their times ``t`` (microseconds) within ``hours``."""
+    near = near.replace("l.k", "l.k.x").replace("n.k", "n.k.x")
+    return f"{near} AND abs(l.k.t - n.k.t) <= {int(hours) * 3600 * 1_000_000}"
+
+
 def cascade_ctes(src: str, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, transitive: bool = False,
-                 scope: str = "true", vec_on: str = "e.vec_id = l.arr", use_l2: bool = True) -> str:
+                 scope: str = "true", vec_on: str = "e.vec_id = l.arr", use_l2: bool = True,
+                 window_hours: int | None = None) -> str:
     """L1 -> L2 -> L3 -> story map -> counts over ``src`` (articles).
 
     ``scope``: predicate on ``arr`` selecting the batch whose story map, counts and
     survivors are reported (sequential first-fit still runs over all of ``src``). ``vec_on``
-    joins embeddings ``e`` to articles ``l``."""
+    joins embeddings ``e`` to articles ``l``. ``window_hours``: near articles must be published within it."""
     ff2 = (first_fit_ctes("ff2", "fpn", "BIGINT", HAMMING_NEAR) if use_l2
            else "ff2 AS (SELECT arr, arr AS leader FROM s1)")
+    ff3 = first_fit_ctes("ff3", "vec", "FLOAT[]", cosine_near(threshold))
+    fpn, vec_k, times = "fpn AS (SELECT arr, simhash AS k FROM fp)", "e.embedding", ""
+    if window_hours is not None:
+        fpn = f"fpn AS (SELECT arr, {{'x': simhash, 't': epoch_us(published_at)}} AS k FROM fp JOIN s1 USING (arr))"
+        vec_k, times = "{'x': e.embedding, 't': epoch_us(a.published_at)}", f"JOIN {src} a ON a.arr = l.arr"
+        ff2 = first_fit_ctes("ff2", "fpn", "STRUCT(x BIGINT, t BIGINT)", within(HAMMING_NEAR, window_hours))
+        ff3 = first_fit_ctes("ff3", "vec", "STRUCT(x FLOAT[], t BIGINT)", within(cosine_near(threshold), window_hours))
     later = "coalesce(i3.id, i3b.id, i2.id)" if transitive else "coalesce(i3.id, i2.id)"
     tjoin = ("LEFT JOIN ff3 m3b ON m3b.arr = m2.leader AND m3b.leader <> m3b.arr "
              "LEFT JOIN ids i3b ON i3b.arr = m3b.leader") if transitive else ""
@@ -121,12 +135,12 @@ def cascade_ctes(src: str, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, trans
 ids AS (SELECT arr, id FROM l1),
 s1 AS (SELECT s.* FROM {src} s JOIN l1 USING (arr) WHERE l1.l1_keep),
 {simhash_ctes("s1", "fp")},
-fpn AS (SELECT arr, simhash AS k FROM fp),
+{fpn},
 {ff2},
 l2lead AS (SELECT arr FROM ff2 WHERE leader = arr),
-vec AS (SELECT l.arr, e.embedding AS k FROM l2lead l JOIN embeddings e ON {vec_on}
+vec AS (SELECT l.arr, {vec_k} AS k FROM l2lead l JOIN embeddings e ON {vec_on} {times}
         WHERE e.embedding IS NOT NULL),
-{first_fit_ctes("ff3", "vec", "FLOAT[]", cosine_near(threshold))},
+{ff3},
 l1v AS (SELECT id, max_by(CASE WHEN l1_keep THEN id ELSE url_hash END, arr) AS s1v FROM l1
         WHERE {scope} GROUP BY id),
 per_art AS (

@@ -94,7 +94,7 @@ def stream_leader_dedup(stream: DataFrame, sink: str, checkpoint: str, vectors:
         store = _load_state(batch.sparkSession, folder, batch_id)
         out, t = dedup.incremental_dedup(batch, store, vectors, rules, return_tables=True)
         semantic = rules.use_l3 and vectors is not None
-        leaders = t["l3"].filter("keep").select("arr") if semantic else None
+        leaders = t["l3"].filter("keep").select("arr", *(c for c in ("t",) if c in t["l3"].columns)) if semantic else None
         new = dedup.batch_state(batch_id, t["l1"], t["l2"] if rules.use_l2 else None, leaders, vectors)
         for part, df in new.items():
             if df is not None:

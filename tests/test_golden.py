@@ -113,24 +113,3 @@ def test_matchers_agree(spark):
 def test_first_fit_reference_rule():
     got = first_fit_reference([1, 2, 3], lambda a, b: abs(a - b) == 1)
     assert got == {1: 1, 2: 1, 3: 3}
-
-
-def test_story_links_hold_for_members(spark):
-    from brieflow.operators import declared as D
-
-    hours = {1: (7, 0), 2: (7, 120), 3: (9, 121), 4: (7, 143), 5: (9, 300), 6: (8, 1), 7: (7, 160), 8: (7, None)}
-    rows = [(k, fp, None if h is None else h * 3600) for k, (fp, h) in hours.items()]
-    members = spark.createDataFrame(rows, "arr long, simhash long, s long").selectExpr("arr", "simhash", "timestamp_seconds(s) as published_at")
-    pairs = spark.createDataFrame([(7, 9)], "fp_a long, fp_b long")
-    got = {(r.u, r.v) for r in D.story_links(pairs, members).collect()}
-    allowed = {(a, b) for a in hours for b in hours if a < b and None not in (hours[a][1], hours[b][1])
-               and {hours[a][0], hours[b][0]} <= {7, 9} and abs(hours[a][1] - hours[b][1]) <= 24}
-
-    def groups(edges):
-        of = {k: k for k in hours}
-        for _ in hours:
-            for a, b in edges:
-                of[a] = of[b] = min(of[a], of[b])
-        return of
-
-    assert got <= allowed and (2, 3) in got and groups(got) == groups(allowed)
