@@ -41,11 +41,11 @@ KIND = np.zeros(256, np.uint8)
 KIND[list(b" \t")] = 1
 KIND[list(b".,;:!?\n\v\f\r")] = 2
 #: bytes of text that are hashed at once (a longer piece is a portion of its own)
-PORTION = 1 << 21
+PORTION = 1 << 19
 #: fingerprints that a task gathers before it sends them
-HELD = 1 << 21
+HELD = 1 << 20
 #: phrases that a task gathers before it sends them
-HELD_PHRASES = 1 << 18
+HELD_PHRASES = 1 << 17
 #: fingerprints (about) that a task adds up at once
 PART_SIZE = 1 << 22
 #: bits of a table for each fingerprint in it, and the most that a table has (32 MiB, broadcast)
@@ -97,25 +97,25 @@ class Portion:
 
     def __init__(self, texts: list[bytes], langs: list[int]):
         """``langs``: a number for each text's language, the same in every task."""
-        raw = np.frombuffer(b"\n".join(texts).translate(LOWER), np.uint8)
+        raw = np.frombuffer((b"\n".join(texts) + b"\n").translate(LOWER), np.uint8)
         kind = KIND[raw]
-        in_word = np.zeros(len(raw) + 2, np.int8)
-        in_word[1:-1] = kind == 0
-        edge = np.diff(in_word)
-        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        self.piece = np.cumsum(kind == 2)[start] if len(start) else start
-        size = end - start
+        word = kind == 0
+        after = np.zeros(len(raw), bool)
+        after[1:] = word[:-1] & ~word[1:]
+        start, end = np.flatnonzero(word & ~np.concatenate([[False], word[:-1]])), np.flatnonzero(after)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[start]
+        self.size = end - start
         # the words once more with one blank after each, so that a phrase is a run of bytes
-        self.at = np.cumsum(size + 1) - size - 1
-        self.size = size
-        self.text = np.full(int(size.sum()) + len(size), 32, np.uint8)
-        where = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        self.text[np.repeat(self.at, size) + where] = raw[np.repeat(start, size) + where]
+        self.text = np.where(after, np.uint8(32), raw)[word | after]
+        self.at = np.cumsum(self.size + 1) - self.size - 1
         ends = np.cumsum([len(t) + 1 for t in texts])
         self.doc = np.searchsorted(ends, start, "right")
         self.lang = np.array(langs, np.uint64)[self.doc] if len(start) else np.zeros(0, np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.text.astype(np.uint64) + _U(1)) * _powers(_BASE, len(self.text)), dtype=np.uint64)])
-        own = _mix((sums[self.at + size] - sums[self.at]) * _powers(_BASE_INVERSE, len(self.text) + 1)[self.at] + size.astype(np.uint64))
+        terms = _powers(_BASE, len(self.text))
+        terms *= self.text.astype(np.uint64) + _U(1)
+        sums = np.zeros(len(self.text) + 1, np.uint64)
+        np.cumsum(terms, out=sums[1:])
+        own = _mix((sums[self.at + self.size] - sums[self.at]) * _powers(_BASE_INVERSE, len(self.text) + 1)[self.at] + self.size.astype(np.uint64))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * _powers(_STEP, len(own)), dtype=np.uint64)])
         self.back = _powers(_STEP_INVERSE, len(own) + 1)
 
