@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brieflow import params as P
+from brieflow.operators.nearest import nearest_join
 from brieflow.session import broadcast_if_small
 
 
@@ -73,97 +74,44 @@ def domain_age_gate(df: DataFrame, history: DataFrame, run_ts, min_days: int = P
 
 
 # B07 / B10 -----------------------------------------------------------------
-def _block_pairs(queries: DataFrame, corpus: DataFrame, q: str, c: str, block_rows: int):
-    """Both sides keyed by (p, i, j) so that every query of a partition ``p`` meets every corpus row of it
-    once and no group holds more than about ``block_rows`` rows of either side. A partition's own size sets
-    its numbers of blocks; partitions without corpus rows keep their queries."""
-    nq = queries.groupBy("p").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("ni"))
-    nc = corpus.groupBy("p").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("nj"))
-    cuts = nq.join(nc, "p", "left").select("p", "ni", F.coalesce("nj", F.lit(1)).alias("nj"))
-    cuts = broadcast_if_small(cuts)
-    left = (queries.join(cuts, "p").withColumn("i", F.pmod(F.xxhash64(q), F.col("ni")).cast("int"))
-            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1))).drop("ni", "nj"))
-    right = (corpus.join(cuts, "p").withColumn("j", F.pmod(F.xxhash64(c), F.col("nj")).cast("int"))
-             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1))).drop("ni", "nj"))
-    return left.groupBy("p", "i", "j"), right.groupBy("p", "i", "j")
-
-
 def novelty(new: DataFrame, history: DataFrame, key: str = "arr", vec_col: str = "embedding",
             part_col: str | None = None, earlier_only: bool = False, block_rows: int = 2048,
             default: float = P.DEFAULT_NOVELTY) -> DataFrame:
     """B07 (ours): novelty = clamp(1 − max cosine to history), no history -> 0.7.
 
-    Blocks on both sides (numpy per block pair), of which only the per-row maximum leaves a
-    task; ``part_col`` restricts history to the same partition (e.g. the
+    The greatest cosine is that of the nearest row (:func:`brieflow.operators.nearest.nearest_join`, k = 1), which looks only into cells of
+    the history that may hold it. ``part_col`` restricts history to the same partition (e.g. the
     domain); ``earlier_only`` compares with history rows of smaller key only.
     """
-    import numpy as np
-    import pandas as pd
-
-    part = F.col(part_col) if part_col else F.lit(0)
+    part = F.coalesce(F.col(part_col).cast("string"), F.lit("")) if part_col else F.lit("")
     nq = new.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"), part.alias("p")).filter(F.col("qv").isNotNull())
-    hc = history.select(F.col(key).alias("hk"), F.col(vec_col).alias("hv"), part.alias("p")).filter(F.col("hv").isNotNull())
-
-    def best(q: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
-        if q.empty:
-            return pd.DataFrame({"qk": pd.Series([], dtype="int64"), "m": pd.Series([], dtype="float64")})
-        if h.empty:
-            return pd.DataFrame({"qk": q["qk"].astype("int64"), "m": np.nan})
-        S = np.stack(q["qv"].to_numpy()).astype(np.float64) @ np.stack(h["hv"].to_numpy()).astype(np.float64).T
-        qk = q["qk"].to_numpy(dtype=np.int64)
-        hk = h["hk"].to_numpy(dtype=np.int64)
-        mask = (hk[None, :] < qk[:, None]) if earlier_only else (hk[None, :] != qk[:, None])
-        m = np.where(mask, S, -np.inf).max(axis=1)
-        return pd.DataFrame({"qk": qk, "m": np.where(np.isfinite(m), m, np.nan)})
-
-    left, right = _block_pairs(nq, hc, "qk", "hk", block_rows)
-    per_block = left.cogroup(right).applyInPandas(best, schema="qk long, m double")
-    mx = per_block.groupBy("qk").agg(F.max("m").alias("max_cos"))
+    hc = history.select(F.col(key).alias("ck"), F.col(vec_col).alias("cv"), part.alias("p"))
+    met = nearest_join(nq, hc, 1, own_part=True, earlier_only=earlier_only, block_rows=block_rows)
+    mx = met.select(F.col("qk").alias(key), F.col("cos").alias("max_cos"))
     nov = F.when(F.col("max_cos").isNull(), F.lit(float(default))) \
         .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.col("max_cos"))))
-    return nq.select(F.col("qk").alias(key)).join(mx.withColumnRenamed("qk", key), key, "left") \
-        .select(key, "max_cos", nov.alias("novelty"))
+    return nq.select(F.col("qk").alias(key)).join(mx, key, "left").select(key, "max_cos", nov.alias("novelty"))
 
 
 def domain_topk_search(queries: DataFrame, corpus: DataFrame, k: int = P.CROSS_DOMAIN_TOP_K, key: str = "arr",
                        vec_col: str = "embedding", part_col: str = "domain", exclude_self: bool = True,
                        block_rows: int = 2048) -> DataFrame:
-    """For each query and its partition (domain), the ``k`` nearest corpus rows by
-    cosine (ties by key). Each block pair keeps its local top-k per query; a
-    final ranked window (partial ``WindowGroupLimit``) merges them."""
-    import numpy as np
-    import pandas as pd
-
-    q = queries.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"), F.col(part_col).alias("p")) \
-        .filter(F.col("qv").isNotNull())
-    c = corpus.select(F.col(key).alias("ck"), F.col(vec_col).alias("cv"), F.col(part_col).alias("p")) \
-        .filter(F.col("cv").isNotNull())
-    kk = int(k)
-
-    def local_topk(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
-        if qp.empty or cp.empty:
-            return pd.DataFrame({"qk": pd.Series([], dtype="int64"), "ck": pd.Series([], dtype="int64"),
-                                 "cos": pd.Series([], dtype="float64")})
-        cp = cp.sort_values("ck")
-        S = np.stack(qp["qv"].to_numpy()).astype(np.float64) @ np.stack(cp["cv"].to_numpy()).astype(np.float64).T
-        qk = qp["qk"].to_numpy(dtype=np.int64)
-        ck = cp["ck"].to_numpy(dtype=np.int64)
-        if exclude_self:
-            S = np.where(ck[None, :] == qk[:, None], -np.inf, S)
-        take = min(kk, S.shape[1])
-        # all rows at once: whatever reaches a query's k-th best value goes on; ties are settled by key later
-        floor = np.partition(S, S.shape[1] - take, axis=1)[:, S.shape[1] - take]
-        above = S > floor[:, None]
-        level = (S == floor[:, None]) & np.isfinite(S)
-        level &= np.cumsum(level, axis=1) <= (take - above.sum(axis=1))[:, None]  # keys ascend along a row
-        i, j = np.nonzero(above | level)
-        return pd.DataFrame({"qk": qk[i], "ck": ck[j], "cos": S[i, j]})
-
-    left, right = _block_pairs(q, c, "qk", "ck", block_rows)
-    cand = left.cogroup(right).applyInPandas(local_topk, schema="qk long, ck long, cos double")
-    w = Window.partitionBy("qk").orderBy(F.col("cos").desc(), F.col("ck").asc())
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= kk)
-                .select(F.col("qk").alias("query"), "rank", F.col("ck").alias("match"), "cos"))
+    """B10 within the query's own domain: the ``k`` nearest corpus rows of its domain by cosine (ties by key)."""
+    q = queries.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"), F.col(part_col).alias("p"))
+    c = corpus.select(F.col(key).alias("ck"), F.col(vec_col).alias("cv"), F.col(part_col).alias("p"))
+    out = nearest_join(q, c, int(k), own_part=True, exclude_self=exclude_self, block_rows=block_rows)
+    return out.select(F.col("qk").alias("query"), "rank", F.col("ck").alias("match"), "cos")
+
+
+def cross_domain_search(queries: DataFrame, corpus: DataFrame, k: int = P.CROSS_DOMAIN_TOP_K, key: str = "arr",
+                        vec_col: str = "embedding", part_col: str = "domain", exclude_self: bool = True, block_rows: int = 2048,
+                        probes: dict | None = None) -> DataFrame:
+    """For each query and each domain of ``corpus`` the ``k`` nearest rows by cosine (ties by key): (query, domain, rank, match,
+    cos), the domain as text. Exact; see :func:`brieflow.operators.nearest.nearest_join`."""
+    q = queries.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"))
+    c = corpus.select(F.col(key).alias("ck"), F.col(vec_col).alias("cv"), F.col(part_col).alias("p"))
+    out = nearest_join(q, c, int(k), exclude_self=exclude_self, block_rows=block_rows, probes=probes)
+    return out.select(F.col("qk").alias("query"), F.col("p").alias("domain"), "rank", F.col("ck").alias("match"), "cos")
 
 
 # B08 -----------------------------------------------------------------------

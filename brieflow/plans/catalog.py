@@ -596,6 +596,19 @@ def q_b10(spark, sf_dir):
     return out.select("query", F.col("rank").cast("bigint").alias("rank"), "match", F.round("cos", 6).alias("cos"))
 
 
+@register("b10_cross_domain_search", f"""SELECT query, domain, rank, match, round(cos, 6) AS cos FROM (
+  SELECT a.vec_id AS query, CAST(b.label AS VARCHAR) AS domain, b.vec_id AS match,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS cos,
+         row_number() OVER (PARTITION BY a.vec_id, b.label ORDER BY
+           list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) AS rank
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+WHERE rank <= {P.CROSS_DOMAIN_TOP_K}""")
+def q_b10_cross(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("arr"), "embedding", F.col("label").alias("domain"))
+    out = D.cross_domain_search(e, e)
+    return out.select("query", "domain", F.col("rank").cast("bigint").alias("rank"), "match", F.round("cos", 6).alias("cos"))
+
+
 LIVE_CHAINS = [c for c in FX.CORPUS_CHAINS if c["confidence"] >= P.CHAIN_MIN_CONFIDENCE]
 CHAIN_TRIG_SQL = "(VALUES " + ", ".join(
     f"({O.sql_lit(c['id'])}, {O.sql_lit(c['trigger']['domain'])}, {O.sql_lit(c['trigger']['theme'])})"
