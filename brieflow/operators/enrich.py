@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from brieflow import params as P
 from brieflow.functions.lexicon import lexicon_hits
 from brieflow.functions.text import article_text, effective_body, title_case
+from brieflow.operators.text_join import substring_join
 
 TEXT_LOWER = "_text_lower"
 
@@ -197,6 +198,38 @@ def extract_entities(df: DataFrame, gazetteer=(), max_chars: int = 1000,
     return df.withColumn("ner_entities", _entities_col(gazetteer, max_chars, labels, tagger))
 
 
+def extract_entities_table(df: DataFrame, gazetteer: DataFrame, max_chars: int = 1000, labels=P.ENTITY_LABELS,
+                           longest_only: bool = False, key: str = "arr") -> DataFrame:
+    """A36 with a table of surfaces (surface, label) of any size: (key, ner_entities) for every row of ``df``; ``key`` is unique.
+
+    The same mentions in the same order as :func:`extract_entities` gives for a list. Texts' heads meet surfaces by rare trigrams
+    (:func:`brieflow.operators.text_join.substring_join`), so no surface is part of the plan. With ``longest_only`` a mention inside a longer one is left out.
+    """
+    head = F.substring(article_text(), 1, max_chars)
+    heads = df.select(F.col(key).alias("k"), head.alias("head")).withColumn("t", F.lower("head"))
+    known = (gazetteer.select("surface", "label").filter(F.col("label").isin(list(labels)) & (F.col("surface") != "")).distinct()
+             .withColumn("pattern", F.lower("surface")))
+    found = substring_join(heads, known).join(known.select("pattern", "label").distinct(), "pattern").join(heads, "k")
+    # the pieces between the mentions give their places
+    gaps = F.transform(F.split("t", F.concat(F.lit("\\Q"), F.replace("pattern", F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")), -1), lambda g: F.length(g))
+    size = F.length("pattern")
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+    places = F.aggregate(gaps, start, lambda a, g: F.struct((a["at"] + g + size).alias("at"), F.concat(a["found"], F.array(a["at"] + g)).alias("found")),
+                         lambda a: F.slice(a["found"], F.lit(1), F.size(a["found"]) - 1))
+    one = (found.select("k", "head", "label", size.alias("size"), F.explode(places).alias("pos"))
+           .select("k", F.struct("pos", F.expr("substring(head, pos, size)").alias("text"), "label").alias("e")))
+    # at most a head's mentions are gathered
+    per = one.groupBy("k").agg(F.array_sort(F.collect_list("e")).alias("es"))
+    if longest_only:
+        def inside(e: Column) -> Column:
+            end = e["pos"] + F.length(e["text"])
+            return F.exists("es", lambda x: (F.length(x["text"]) > F.length(e["text"])) & (x["pos"] <= e["pos"]) & (x["pos"] + F.length(x["text"]) >= end))
+        per = per.withColumn("es", F.filter("es", lambda e: ~inside(e)))
+    entities = F.transform("es", lambda e: F.struct(e["text"].alias("text"), e["label"].alias("label")))
+    out = df.select(F.col(key).alias("k")).join(per.select("k", entities.alias("ner_entities")), "k", "left")
+    return out.select(F.col("k").alias(key), F.coalesce("ner_entities", F.array().cast(ENTITY_TYPE)).alias("ner_entities"))
+
+
 def primary_country(df: DataFrame, countries=P.COUNTRY_KEYWORDS, other=P.OTHER_COUNTRY) -> DataFrame:
     """First GPE entity, title-cased; else the first *lexicon-order* key found in
     lower(title + ' ' + body[:200]) (summary not used); else ``Other``."""
@@ -219,6 +252,15 @@ def keyword_match(df: DataFrame, topics=P.TOPICS) -> DataFrame:
         .withColumnRenamed("domain_hit", "domain" if "domain" not in df.columns else "keyword_domain")
 
 
+def keyword_match_table(df: DataFrame, lexicon: DataFrame, key: str = "arr") -> DataFrame:
+    """A16 with a lexicon table (domain, keyword) of any size: (key, domain, keyword) for each of its rows whose keyword
+    the lower-cased text contains; ``key`` is unique. Texts and keywords meet by rare trigrams, see
+    :func:`brieflow.operators.text_join.substring_join`; null and empty keywords match nothing."""
+    texts = df.select(F.col(key).alias("k"), F.lower(article_text()).alias("t"))
+    known = lexicon.select("domain", "keyword", F.lower("keyword").alias("pattern"))
+    return substring_join(texts, known).join(known, "pattern").select(F.col("k").alias(key), "domain", "keyword")
+
+
 def enrich(df: DataFrame, topics=P.TOPICS, gazetteer=(), tagger=None,
            countries=P.COUNTRY_KEYWORDS, keep_text_lower: bool = False) -> DataFrame:
     """A31–A37 as three projections, no shuffle, all in the JVM.

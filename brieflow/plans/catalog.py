@@ -449,6 +449,40 @@ def q_kw(spark, sf_dir):
     return enrich.keyword_match(a).select("arr", "domain", "keyword")
 
 
+# A16 and A36 with tables: every word of the benchmark items is a keyword and, from four letters on, a surface.
+
+WORDS_SQL = """words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\\p{L}]+')) AS w FROM benchmark)"""
+
+
+def _benchmark_words(spark, sf_dir) -> DataFrame:
+    words = F.regexp_extract_all("text", F.lit(r"[\p{L}]+"), F.lit(0))
+    return table(spark, sf_dir, "benchmark").select(F.explode(words).alias("w")).distinct()
+
+
+@register("a16_keyword_match_table", O.with_(BASE, WORDS_SQL) + """SELECT a.arr, 'd' || (length(w) % 3) AS domain, w AS keyword
+FROM articles a JOIN words ON contains(lower(coalesce(a.title, '') || ' ' || coalesce(nullif(a.body, ''), a.summary, '')), lower(w))""")
+def q_kw_table(spark, sf_dir):
+    lexicon = _benchmark_words(spark, sf_dir).select(F.concat(F.lit("d"), F.length("w") % 3).alias("domain"), F.col("w").alias("keyword"))
+    return enrich.keyword_match_table(articles(spark, sf_dir), lexicon)
+
+
+ENTITY_TABLE_SQL = O.with_(BASE, WORDS_SQL, """h AS (SELECT arr, substring(coalesce(title, '') || ' ' || coalesce(nullif(body, ''), summary, ''), 1, 1000) AS head FROM articles)""",
+    """s AS (SELECT DISTINCT lower(w) AS w, CASE WHEN length(w) % 2 = 0 THEN 'GPE' ELSE 'ORG' END AS label FROM words WHERE length(w) >= 4)""",
+    """m AS (SELECT arr, head, label, length(w) AS size, string_split(lower(head), w) AS p FROM h JOIN s ON contains(lower(head), w))""",
+    """e AS (SELECT arr, label, size, head, 1 + list_sum(list_transform(p[1:i], lambda x: length(x))) + (i - 1) * size AS pos
+  FROM (SELECT *, unnest(range(1, len(p))) AS i FROM m))""",
+    """l AS (SELECT arr, list_sort(list({'pos': CAST(pos AS BIGINT), 'text': substring(head, CAST(pos AS BIGINT), size), 'label': label})) AS es FROM e GROUP BY arr)""")
+
+
+@register("a36_extract_entities_table", ENTITY_TABLE_SQL + """SELECT arr,
+  coalesce(array_to_string(list_transform(es, lambda x: x.text || ':' || x.label), '|'), '') AS entities_s FROM articles LEFT JOIN l USING (arr)""")
+def q_ents_table(spark, sf_dir):
+    gazetteer = (_benchmark_words(spark, sf_dir).filter(F.length("w") >= 4)
+                 .select(F.col("w").alias("surface"), F.when(F.length("w") % 2 == 0, "GPE").otherwise("ORG").alias("label")))
+    d = enrich.extract_entities_table(articles(spark, sf_dir), gazetteer)
+    return d.select("arr", _str_cols()["entities_s"].alias("entities_s"))
+
+
 # ---------------------------------------------------------------------------
 # Sources and declared operators
 # ---------------------------------------------------------------------------
