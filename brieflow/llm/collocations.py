@@ -45,12 +45,14 @@ PORTION = 1 << 19
 #: fingerprints that a task gathers before it sends them
 HELD = 1 << 20
 #: phrases that a task gathers before it sends them
-HELD_PHRASES = 1 << 17
+HELD_PHRASES = 1 << 18
 #: fingerprints (about) that a task adds up at once
 PART_SIZE = 1 << 22
 #: bits of a table for each fingerprint in it, and the most that a table has (32 MiB, broadcast)
 BITS_PER_KEY = 32
 MOST_BITS = 1 << 28
+#: a fingerprint's places in a table are the upper bits of its products with these (a false yes: one in 5,000 at most)
+PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 _U = np.uint64
 _BASE, _BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -70,8 +72,15 @@ class BitTable(NamedTuple):
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         """Whether each fingerprint (of this shard) may be frequent."""
-        p = _range_of(keys, self.shards * len(self.bits) * 8) & (len(self.bits) * 8 - 1)
-        return ((self.bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).astype(bool)
+        held = np.ones(len(keys), bool)
+        for p in _places(keys, len(self.bits) * 8):
+            held &= ((self.bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).astype(bool)
+        return held
+
+
+def _places(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    for factor in PLACES:
+        yield _range_of(keys * _U(factor), bits)
 
 
 def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -273,7 +282,7 @@ def bit_tables(blocks: DataFrame, n: int, most_bits: int) -> Iterator[BitTable]:
                 for body in b.column(0).to_pylist():
                     keys = np.frombuffer(body, np.uint64)
                     keys = keys[_range_of(keys, shards) == shard]
-                    at = np.unique(_range_of(keys, shards * bits) & (bits - 1)).astype(np.uint32)
+                    at = np.unique(np.concatenate(list(_places(keys, bits)))).astype(np.uint32)
                     if len(at):
                         yield pa.RecordBatch.from_pydict({"at": pa.array([at.tobytes()], pa.binary())})
 
