@@ -4,9 +4,13 @@ Same definition as the native-Spark form in ``operators.similarity``: lower
 case, keep runs of ``[\\p{L}\\p{N}_\\x{4e00}-\\x{9fcc}]``, concatenate, slide
 4-character shingles (at least one), hash each with MD5 and keep the low 8
 bytes big-endian, set bit i iff more than half of the shingles have it set.
+
+Texts share most of their shingles, so a task keeps the hashes of those it has met (``KEPT`` at most; the others are
+hashed again). Bits are counted for a whole batch at once.
 """
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,31 +19,47 @@ from pyspark.sql import functions as F
 from brieflow import params as P
 
 
+#: hashes of shingles that a task keeps, and texts whose bits it counts at once
+KEPT, ROWS = 1 << 18, 256
+
+
 def simhash_col(text: Column) -> Column:
     # Java/RE2 write code points as \x{hhhh}; Python's regex module wants \uhhhh
     pattern = re.sub(r"\\x\{([0-9a-fA-F]{4})\}", r"\\u\1", P.SIMHASH_TOKEN_PATTERN)
     width = P.SIMHASH_SHINGLE
 
     @F.pandas_udf("long")
-    def _simhash(s: pd.Series) -> pd.Series:
+    def _simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import hashlib
 
         import numpy as np
         import regex
 
         tok = regex.compile(pattern)
+        seen: dict[str, bytes] = {}
+
+        def digest(g):
+            h = hashlib.md5(g.encode("utf-8")).digest()[8:]
+            if len(seen) < KEPT:
+                seen[g] = h
+            return h
 
-        def one(t):
-            if t is None:
-                t = ""
-            c = "".join(tok.findall(t.lower()))
-            n = max(len(c) - width + 1, 1)
-            buf = b"".join(hashlib.md5(c[i:i + width].encode("utf-8")).digest()[8:] for i in range(n))
-            bits = np.unpackbits(np.frombuffer(buf, dtype=np.uint8).reshape(n, 8), axis=1)
-            ones = bits.sum(axis=0, dtype=np.int64)
-            packed = np.packbits((2 * ones > n).astype(np.uint8)).tobytes()
-            return int.from_bytes(packed, "big", signed=True)
-
-        return s.map(one).astype("int64")
+        for s in batches:
+            out = np.zeros(len(s), np.int64)
+            for at in range(0, len(s), ROWS):
+                own, sizes = [], []
+                for t in s.iloc[at:at + ROWS]:
+                    c = "".join(tok.findall((t or "").lower()))
+                    n = max(len(c) - width + 1, 1)
+                    sizes.append(n)
+                    for i in range(n):
+                        g = c[i:i + width]
+                        own.append(seen.get(g) or digest(g))
+                bits = np.unpackbits(np.frombuffer(b"".join(own), dtype=np.uint8).reshape(-1, 8), axis=1)
+                n = np.array(sizes)
+                ones = np.add.reduceat(bits, np.cumsum(n) - n, axis=0, dtype=np.int32)
+                packed = np.packbits(2 * ones > n[:, None], axis=1)
+                out[at:at + ROWS] = packed.view(">i8").ravel()
+            yield pd.Series(out)
 
     return _simhash(text)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from brieflow import params as P
 from brieflow.functions.text import canonical_url
 from brieflow.operators.election import first_fit, leader_election
-from brieflow.operators.similarity import (band_keys, choose_blocks, cosine_cross_pairs, cosine_pairs, hamming_distance, hamming_pairs,
+from brieflow.operators.similarity import (_dot, band_keys, choose_blocks, cosine_cross_pairs, cosine_pairs, hamming_distance, hamming_pairs,
                                            simhash64)
 from brieflow.session import ensure_checkpoint_dir
 
@@ -176,13 +176,19 @@ def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMA
             near = near.join(v.select("arr", "t"), "arr").filter(_within("t", "l_t", window))
         stored = _cut(_stored_leader(near))
         nodes = v.join(stored, "arr", "left_anti")
+    # equal vectors (and, with a window, times) are one class under their earliest holder, if they are near each other at all
+    nodes = nodes.withColumn("_near", F.coalesce(_dot("embedding", "embedding") >= threshold, F.lit(False)))
+    if window is not None:
+        nodes = nodes.withColumn("_near", F.col("_near") & F.col("t").isNotNull())
+    named = nodes.filter("_near").groupBy("embedding", *timed).agg(F.min("arr").alias("vk"))
+    classes = nodes.filter("_near").join(named, ["embedding", *timed]).select("arr", "vk", "embedding", *timed)
+    classes = _cut(classes.unionByName(nodes.filter("not _near").select("arr", F.col("arr").alias("vk"), "embedding", *timed)))
+    nodes = classes.filter("arr = vk").drop("vk")
     pairs = cosine_pairs(nodes, threshold, key="arr", mode=mode)
     if window is not None:
         a, b = (nodes.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for c in "ab")
         pairs = pairs.join(a, "a").join(b, "b").filter(_within("t_a", "t_b", window)).select("a", "b", "cos")
-    # vectors are not collapsed by value: equal vectors are simply adjacent (cos = 1)
-    keyed = nodes.select("arr", F.col("arr").alias("vk"))
-    res = _elect_on_keys(keyed, "vk", pairs, "a", "b")
+    res = _elect_on_keys(classes.select("arr", "vk"), "vk", pairs, "a", "b")
     return _with_stored(v.select("arr", *timed), res, stored, "l3_leader_arr")
 
 

@@ -61,9 +61,11 @@ def nearest_join(queries: DataFrame, corpus: DataFrame, k: int, own_part: bool =
         return np.arccos(np.clip((m / np.where(length > 0, length, 1.0)) @ shared.value.T, -1.0, 1.0))
 
     def slices(batches):
+        """So few rows that their angles to all pivots are at most four million."""
+        rows = max(1, min(block_rows, (1 << 22) // pivots_n))
         for pdf in batches:
-            for at in range(0, len(pdf), block_rows):
-                yield pdf.iloc[at:at + block_rows]
+            for at in range(0, len(pdf), rows):
+                yield pdf.iloc[at:at + rows]
 
     def deal(batches):
         for pdf in slices(batches):

@@ -85,9 +85,10 @@ WIDE_COLUMNS = ["title", "body", "summary", "content", "embedding", "ner_entitie
 
 def candidates(df: DataFrame, min_score: float = P.MIN_SCORE) -> DataFrame:
     """A45 as the input of the later steps: narrow columns only, checkpointed once (shared folder), as several
-    steps read them."""
+    steps read them. The score is filtered on the stored rows: a filter on top of the scoring would be pushed
+    below it, with a copy of the lexicon match for every score that it is made of."""
     ensure_checkpoint_dir(df.sparkSession)
-    return min_score_filter(df.drop(*WIDE_COLUMNS), min_score).checkpoint(eager=True)
+    return min_score_filter(df.drop(*WIDE_COLUMNS).checkpoint(eager=True), min_score)
 
 
 def select(df: DataFrame, rules: P.Rules = P.DEFAULT_RULES) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.functions.text import article_text
-from brieflow.session import ensure_checkpoint_dir
+from brieflow.session import broadcast_if_small, ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------------------
@@ -202,8 +202,8 @@ def cosine_cross_pairs(left: DataFrame, right: DataFrame, threshold: float = P.S
     return _cosine_join(lv, rv, threshold, block_rows)
 
 
-#: pivots of the exact cosine join (their vectors and the statistics of their cells are all the driver sees)
-MAX_PIVOTS = 1024
+#: bytes of the pivots' vectors, of which every task holds a copy (with the statistics of their cells, all that the driver sees)
+PIVOT_BYTES = 1 << 28
 
 
 def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, block_rows: int) -> DataFrame:
@@ -218,37 +218,42 @@ def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, blo
     empty = "l long, r long, cos double"
     if n == 0:
         return spark.createDataFrame([], empty)
-    size = min(MAX_PIVOTS, max(1, 2 * math.ceil(n / block_rows)))
-    chosen = base.orderBy(F.xxhash64("k", F.lit(3)), "k").limit(size).collect()  # at most MAX_PIVOTS vectors
+    # cells of half a block, until there are so many that meeting the pivots would cost more than meeting a cell
+    width = len(base.select("v").first()["v"])
+    size = max(1, min(2 * math.ceil(n / block_rows), 4 * math.ceil(math.sqrt(n)), PIVOT_BYTES // (8 * max(width, 1))))
+    chosen = base.orderBy(F.xxhash64("k", F.lit(3)), "k").limit(size).collect()
     pivots = np.array([r["v"] for r in chosen], np.float64)
     norms = np.linalg.norm(pivots, axis=1, keepdims=True)
-    pivots = pivots / np.where(norms > 0, norms, 1.0)
+    shared = spark.sparkContext.broadcast(pivots / np.where(norms > 0, norms, 1.0))
     # a vector's angle to each pivot; rounding is covered by SLACK
     slack, reach = 1e-6, math.acos(max(-1.0, min(1.0, float(threshold))))
 
     def angles(vectors) -> np.ndarray:
         m = np.stack(vectors.to_numpy()).astype(np.float64)
         length = np.linalg.norm(m, axis=1, keepdims=True)
-        return np.arccos(np.clip((m / np.where(length > 0, length, 1.0)) @ pivots.T, -1.0, 1.0))
+        return np.arccos(np.clip((m / np.where(length > 0, length, 1.0)) @ shared.value.T, -1.0, 1.0))
 
-    def deal(batches):
+    def portions(batches):
+        """So few rows that their angles to all pivots are at most four million."""
+        rows = max(1, (1 << 22) // size)
         for pdf in batches:
-            if len(pdf):
-                far = angles(pdf["v"])
-                cell = far.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype(np.int32), far=far[np.arange(len(pdf)), cell])
+            for at in range(0, len(pdf), rows):
+                yield pdf.iloc[at:at + rows]
+
+    def deal(batches):
+        for pdf in portions(batches):
+            far = angles(pdf["v"])
+            cell = far.argmin(axis=1)
+            yield pdf.assign(cell=cell.astype(np.int32), far=far[np.arange(len(pdf)), cell])
 
     home = base.mapInPandas(deal, "k long, v array<float>, cell int, far double").checkpoint(eager=True)
     stats = {r["cell"]: r for r in home.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect()}
     radius = np.full(size, -np.inf)
     for c, r in stats.items():
         radius[c] = r["radius"]
-    chunks = {c: max(1, math.ceil(r["n"] / block_rows)) for c, r in stats.items()}
 
     def probe(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in portions(batches):
             far = angles(pdf["v"])
             may = far <= radius[None, :] + reach + slack
             if itself:  # a cell is probed from the cells of lower number and by itself
@@ -260,18 +265,15 @@ def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, blo
 
     probes = (home if itself else left).mapInPandas(probe, "k long, v array<float>, cells array<int>, own int")
     probes = probes.checkpoint(eager=True)
-    met = {r["c"]: r["n"] for r in probes.select(F.explode("cells").alias("c")).groupBy("c").agg(F.count("*").alias("n")).collect()}
-    cuts = {c: max(1, math.ceil(met.get(c, 0) / block_rows)) for c in chunks}
-
-    def of_cell(values: dict[int, int], cell: Column) -> Column:
-        return F.get(F.array(*[F.lit(values.get(c, 1)) for c in range(size)]), cell)
-
-    h = (home.withColumn("chunk", F.pmod(F.xxhash64("k", F.lit(1)), of_cell(chunks, F.col("cell"))))
-         .withColumn("part", F.explode(F.sequence(F.lit(0), of_cell(cuts, F.col("cell")) - 1)))
+    met = probes.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    cuts = home.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("chunks")).join(met, "cell").checkpoint(eager=True)
+    cuts = broadcast_if_small(cuts)  # a row for each cell
+    h = (home.join(cuts, "cell").withColumn("chunk", F.pmod(F.xxhash64("k", F.lit(1)), F.col("chunks")).cast("int"))
+         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
          .select(F.col("k").alias("rk"), F.col("v").alias("rv"), "cell", "chunk", "part"))
-    q = (probes.select("k", "v", "own", F.explode("cells").alias("cell"))
-         .withColumn("part", F.pmod(F.xxhash64("k", F.lit(2)), of_cell(cuts, F.col("cell"))).cast("int"))
-         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), (of_cell(chunks, F.col("cell")) - 1).cast("long"))))
+    q = (probes.select("k", "v", "own", F.explode("cells").alias("cell")).join(cuts, "cell")
+         .withColumn("part", F.pmod(F.xxhash64("k", F.lit(2)), F.col("parts")).cast("int"))
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
          .select(F.col("k").alias("lk"), F.col("v").alias("lv"), "own", "cell", "chunk", "part"))
     t = float(threshold)
 
