@@ -10,7 +10,8 @@ What the lexicon holds changes the speed only, never an id.
 The vocabulary is a parameter: a BPE file of the tokenizers library with word ends, whose normaliser is NFC and
 lower case, and whose special strings are found in the raw text.
 
-Defined cases: null text is empty, with no tokens and an empty decoded text; repeated rows each get a row.
+Defined cases: null text is empty, with no tokens and an empty decoded text; repeated rows, and rows with a
+null id, each get a row; very long texts are encoded whole; an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ numbers first, then by block, and windows are cut within chunks of ``CHUNK`` tur
 are folded. (The digest query does gather each conversation, as one hash over all its text has to.)
 
 Defined cases: null text and null role count as empty; a null conversation id is a conversation; a null turn
-number comes first; turns of equal number are ordered by role and text, and repeated rows are repeated turns.
+number comes first; turns of equal number are ordered by role and text, and repeated rows are repeated turns;
+very long texts are turns like others; an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

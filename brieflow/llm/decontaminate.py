@@ -12,7 +12,9 @@ fingerprints (at most ``MAX_BITS`` bits, so it is broadcast at any size; a dense
 through to the join). Items shorter than a window are looked up by the hash of all their words.
 
 Defined cases: null text has no words; repeated rows each get a row; an item with a null id contaminates but
-is not counted among the items; a repeated item id counts once; no items: nothing is hit.
+is not counted among the items; a repeated item id counts once; no items: nothing is hit;
+very long texts are read whole; an empty table of documents gives no rows; further columns, whatever their names, are not read
+(``drop_contaminated`` keeps them).
 """
 
 from __future__ import annotations

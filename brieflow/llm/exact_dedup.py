@@ -11,7 +11,8 @@ block is merged where its positions meet. The merged table is sized by the numbe
 false positives grows, and more rows shuffle.
 
 Defined cases: null text counts as empty; rows with the same id and the same text are one document seen
-several times, of which one row stays; a null id sorts after all others; an empty table gives no rows.
+several times, of which one row stays; a null id sorts after all others; very long texts are
+hashed whole; an empty table gives no rows; further columns, whatever their names, are not read (``drop_exact_copies`` keeps them).
 """
 
 from __future__ import annotations

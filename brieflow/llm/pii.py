@@ -16,7 +16,9 @@ tell the same, so pairs are made for each such class. As the bound is at most on
 picks out the asked terms while the texts are read, and a join settles which of them are meant.
 
 Defined cases: null text is empty, without spans; repeated rows each get a row; spans count code points, ends are
-exclusive; equal starts are ordered email, ip, card, phone, term; a word that touches a base span is no term.
+exclusive; equal starts are ordered email, ip, card, phone, term; a word that touches a base span is no term;
+very long texts are read whole; a null id gives its row all the same; an empty table gives no rows; further columns, whatever their names, are not read
+(``sanitise`` keeps them).
 """
 
 from __future__ import annotations

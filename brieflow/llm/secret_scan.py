@@ -10,7 +10,8 @@ Matches are leftmost and do not overlap within a rule; those that fail the rule'
 retry. Start and end count code points, the end is exclusive.
 
 Defined cases: null text is empty, without matches; repeated rows each get a row; a null id is scanned by every
-rule (a posting cannot name it).
+rule (a posting cannot name it); very long texts are read whole; an empty table gives no rows; further columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations

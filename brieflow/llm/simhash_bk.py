@@ -14,7 +14,8 @@ chance. Only the links of a spanning forest leave a shard: they connect what all
 for every pair. Components of the links are found by alternating star contraction on checkpointed tables.
 
 Defined cases: null and blank texts have fingerprint zero and link like any other; repeated rows share a class;
-null ids never name a component unless all its ids are null (then the component id is null).
+null ids never name a component unless all its ids are null (then the component id is null);
+very long texts are read whole; an empty table gives no rows; further columns, whatever their names, are not read (``drop_near_copies`` keeps them).
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ UTF-8 bytes.
 A task settles its trie when ``TRIE_WORDS`` words are in it, keeps the counts of about ``HELD_WORDS`` words and
 then starts anew; that bounds its memory and changes no count. Words of over ``LONG_WORD`` characters are scored by themselves.
 
-Defined cases: null and empty texts have no words and no tokens; repeated rows each get a row.
+Defined cases: null and empty texts have no words and no tokens; repeated rows, and rows
+with a null id, each get a row; very long texts are read whole; an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ Pages meet only the templates; the tree is built on the distinct templates with
 they shuffle.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and no rule; repeated rows each get a
-row; without labels nothing is blocked by the tree.
+row; without labels nothing is blocked by the tree; very long urls are read whole (a level of the tree for each of their segments);
+an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
