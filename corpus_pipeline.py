@@ -2,6 +2,10 @@
 
 Every stage's result is written as Parquet to the shared scratch folder and read again by the next one.
 All stages but the last return the columns of ``documents``.
+
+Defined cases: null texts count as empty and repeated rows are copies, of which exact dedup keeps one; a null id keeps its row as far as it is no
+copy; empty and very long texts pass like others; ties go to the smallest id; an empty table gives an empty result; further columns of ``documents``,
+whatever their names, reach the last stage.
 """
 
 from __future__ import annotations
