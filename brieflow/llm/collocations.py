@@ -11,7 +11,7 @@ fingerprints are cut into shards by range, each with its own table and its own p
 
 The last pass materialises frequent phrases only: in each portion every fingerprint that may be frequent points to its first occurrence, all its
 other occurrences are compared with that one byte by byte (those that differ, a collision, point to a first one of their own), and the phrase's text is
-taken from the pointer once. Texts and exact counts are then summed by (lang, phrase), so fingerprints decide what is looked at and never what is counted.
+taken from the pointer once. Texts and exact counts travel as blocks again and are summed by (lang, phrase), so fingerprints decide what is looked at and never what is counted.
 
 Scores: each candidate of n >= 2 words is cut after each of its first n-1 words; l and r are the counts of the parts, which are frequent
 as they occur wherever the candidate does. Arithmetic is in decimals of 38 digits: a, l, r below 10^15 and n below 10^16 are exact.
@@ -27,9 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -293,14 +295,21 @@ def bit_tables(blocks: DataFrame, n: int, most_bits: int) -> Iterator[BitTable]:
         yield BitTable(n, shard, shards, table)
 
 
-def phrase_counts(texts: DataFrame, tables: list[BitTable], with_total: bool) -> DataFrame:
-    """Partial counts (lang, words, phrase, f) of the phrases that ``tables`` hold; ``words`` 0 counts all word occurrences of a language."""
+def phrase_counts(texts: DataFrame, tables: list[BitTable], parts: int, with_total: bool) -> DataFrame:
+    """Blocks (``part``, ``lang``, ``words``, ``phrase``, ``f``) of partial counts of the phrases that ``tables`` hold, by a range of
+    the phrases' checksums; ``words`` 0 counts all word occurrences of a language."""
     shared = texts.sparkSession.sparkContext.broadcast(tables)
 
     def send(held: dict) -> pa.RecordBatch:
+        part = np.array([crc32(phrase) & (parts - 1) for _, _, phrase in held])
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        ends = pa.array(np.append(cuts, len(part)), pa.int32())
         lang, words, phrase = zip(*held)
-        return pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.string()), "words": pa.array(words, pa.int32()),
-                                           "phrase": pa.array(phrase, pa.binary()).cast(pa.string()), "f": pa.array(held.values(), pa.int64())})
+        columns = [pa.array(lang, pa.string()), pa.array(words, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())]
+        lists = [pa.ListArray.from_arrays(ends, c.take(pa.array(order))) for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int64()), *lists], names=["part", "lang", "words", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
@@ -324,7 +333,19 @@ def phrase_counts(texts: DataFrame, tables: list[BitTable], with_total: bool) ->
         if held:
             yield send(held)
 
-    return texts.mapInArrow(run, "lang string, words int, phrase string, f long")
+    return texts.mapInArrow(run, "part long, lang array<string>, words array<int>, phrase array<string>, f array<long>")
+
+
+def _sum_phrases(blocks: DataFrame, least: int) -> DataFrame:
+    """(lang, words, phrase, f): the blocks' counts added up, of phrases that occur ``least`` times."""
+
+    def add(t: pa.Table) -> pa.Table:
+        names = ["lang", "words", "phrase", "f"]
+        whole = pa.table([pa.chunked_array([c.flatten() for c in t[n].chunks]) for n in names], names=names)
+        whole = whole.group_by(names[:3]).aggregate([("f", "sum")]).select(["lang", "words", "phrase", "f_sum"]).rename_columns(names)
+        return whole.filter((pc.field("f") >= least) | (pc.field("words") == 0))
+
+    return blocks.groupBy("part").applyInArrow(add, "lang string, words int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", most_words: int = 5, least: int = 100,
@@ -342,7 +363,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
         """Tables share the last passes as far as they fit into ``most_bits`` together."""
         nonlocal room, tables
         if tables and len(t.bits) * 8 > room:
-            counted.append(phrase_counts(texts, tables, not counted))
+            counted.append(phrase_counts(texts, tables, parts, not counted))
             tables, room = [], most_bits
         tables.append(t)
         room -= len(t.bits) * 8
@@ -358,11 +379,11 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
         if longer is None:
             break
         blocks = longer
-    counted.append(phrase_counts(texts, tables, not counted))
+    counted.append(phrase_counts(texts, tables, parts, not counted))
     whole = counted[0]
     for c in counted[1:]:
         whole = whole.unionByName(c)
-    return stored(whole.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("words") == 0)), "phrases")
+    return stored(_sum_phrases(whole, least), "phrases")
 
 
 def _words(phrase: str, n: Column) -> Column:
