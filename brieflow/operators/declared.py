@@ -148,8 +148,8 @@ def chains_frame(spark, chains: list[dict]) -> DataFrame:
 
 
 def scan_chains(spark, path: str) -> DataFrame:
-    """Read a chain file ``{"chains": [...]}``."""
-    raw = spark.read.option("multiLine", True).json(path)
+    """Read a chain file ``{"chains": [...]}``, or a folder of files with an object ``{"chains": [...]}`` on each line."""
+    raw = spark.read.option("multiLine", path.endswith(".json")).json(path)
     return raw.select(F.explode("chains").alias("c")).select("c.*")
 
 

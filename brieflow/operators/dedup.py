@@ -77,6 +77,11 @@ def _with_stored(own: DataFrame, elected: DataFrame, stored: DataFrame | None, l
     return out.withColumn("keep", F.coalesce(F.col(leader) == F.col("arr"), F.lit(False)))
 
 
+def _stored_for(keys: DataFrame, part) -> DataFrame:
+    """A part of the store: a table, or a function that gives the stored rows that ``keys`` can meet."""
+    return part(keys) if callable(part) else part
+
+
 def _micros(hours: int | None) -> int | None:
     return None if hours is None else int(hours) * 3600 * 1_000_000
 
@@ -112,7 +117,7 @@ def first_fit_prints(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE,
 
 
 def l2_near_dup(df: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, blocks: int | None = None,
-                leaders_store: DataFrame | None = None, window_hours: int | None = None, ts_col: str = "published_at") -> DataFrame:
+                leaders_store=None, window_hours: int | None = None, ts_col: str = "published_at") -> DataFrame:
     """(arr, simhash, l2_leader_arr, stored_id, keep) for the rows of ``df`` (L1 survivors), with
     ``window_hours`` also their time ``t``.
 
@@ -129,7 +134,7 @@ def l2_near_dup(df: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, block
     keys = ["simhash"] if window is None else ["simhash", "t"]
     stored, nodes = None, fps
     if leaders_store is not None:
-        old = leaders_store.select("batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), F.col("simhash").alias("l_fp"),
+        old = _stored_for(fps, leaders_store).select("batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), F.col("simhash").alias("l_fp"),
                                    *([] if window is None else [F.col("t").alias("l_t")]))
         values = fps.select("simhash").union(old.select("l_fp")).distinct()
         pairs = hamming_pairs(values, max_distance, "simhash", blocks).select("fp_a", "fp_b")
@@ -168,7 +173,7 @@ def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMA
     stored, nodes = None, v
     if leaders_store is not None:
         # stored keys may equal ours, so stored leaders are joined by a key of their own
-        old = leaders_store.withColumn("s", F.xxhash64("batch", "arr", "id"))
+        old = _cut(_stored_for(v, leaders_store).withColumn("s", F.xxhash64("batch", "arr", "id")))
         met = cosine_cross_pairs(v, old.select(F.col("s").alias("arr"), "embedding"), threshold)
         near = met.select(F.col("l").alias("arr"), F.col("r").alias("s")).join(
             old.select("s", "batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), *(F.col(c).alias("l_t") for c in timed)), "s")
@@ -209,7 +214,7 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     l1 = l1_url_dedup(df.select("arr", "id", "url"))
     if store.get("url_hashes") is not None:
         # URLs seen in earlier batches are L1 duplicates (their story id is the URL hash)
-        seen = store["url_hashes"].select("url_hash").distinct().withColumn("_seen", F.lit(True))
+        seen = _stored_for(l1, store["url_hashes"]).select("url_hash").distinct().withColumn("_seen", F.lit(True))
         l1 = (l1.join(seen, "url_hash", "left")
                 .withColumn("l1_keep", F.col("l1_keep") & F.col("_seen").isNull()).drop("_seen"))
     l1 = _cut(l1)
@@ -245,7 +250,8 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     out = df.join(surv_keys, "arr")
     if return_tables:
         tables = {"l1": l1, "l2": l2, "l3": l3, "story_map": smap, "counts": counts, "survivor_keys": surv_keys}
-        tables["store"] = _next_store(store, l1, l2 if rules.use_l2 else None,
+        by_function = any(callable(p) for p in store.values())
+        tables["store"] = None if by_function else _next_store(store, l1, l2 if rules.use_l2 else None,
                                       l3_leaders if semantic and vectors is not None else None, vectors)
         return out, tables
     return out
@@ -282,7 +288,8 @@ def incremental_dedup(batch: DataFrame, store: dict | None, vectors: DataFrame |
     ``store`` (None for the first batch) holds ``batch`` (the last batch's number), ``url_hashes``,
     ``l2_leaders`` (batch, arr, id, simhash) and ``l3_leaders`` (batch, arr, id, embedding); a part is None
     while no batch has run its stage. Stored leaders come before every row of the batch, whatever their
-    ``arr``. The story map is per batch: a late duplicate of a stored leader is dropped and has that leader's id
+    ``arr``. A part may also be a function from the batch's keys to the stored rows that these can meet; such a store
+    (:class:`brieflow.operators.leader_store.LeaderStore`) writes its next state itself. The story map is per batch: a late duplicate of a stored leader is dropped and has that leader's id
     as its story. Returns (survivors, new_store) or, with ``return_tables``, (survivors, tables).
     """
     out, t = dedup_cascade(batch, vectors, rules, cosine_mode, return_tables=True, store=store)

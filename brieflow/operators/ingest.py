@@ -8,7 +8,7 @@ join (one row per feed).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brieflow import params as P
@@ -86,6 +86,52 @@ def run_stats(df: DataFrame, **stages: Column) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
+class RunStats:
+    """A07 while the stages run: each watched frame counts its own rows, and those that failed, as they pass (``DataFrame.observe``), so
+    the counts cost no scan of their own.
+
+    ``watch`` returns the frame to go on with. After an action that ran all watched frames, ``table`` has a row (stage, rows, failed) for each, in the
+    order of watching. A frame that several actions run keeps the counts of the first one.
+    """
+
+    def __init__(self):
+        self._seen: list[tuple[str, Observation]] = []
+
+    def watch(self, stage: str, df: DataFrame, failed: Column | None = None) -> DataFrame:
+        seen = Observation(f"{stage}-{len(self._seen)}")
+        self._seen.append((stage, seen))
+        bad = F.lit(0).cast("long") if failed is None else F.count_if(F.coalesce(failed, F.lit(False)))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), (F.max(bad) if failed is None else bad).alias("failed"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(stage, seen.get["rows"], seen.get["failed"] or 0) for stage, seen in self._seen]  # a row per stage
+        return spark.createDataFrame(rows, "stage string, rows long, failed long")
+
+
+def register_flat_map(spark: SparkSession, name: str, fn, schema: str, columns: list[str]) -> None:
+    """A05 as a table function for SQL: ``SELECT t.* FROM items i, LATERAL name(i.a, i.b) t`` gives the rows of
+    ``flat_map_safe(items, fn, schema, ["a", "b"])``, with ``ok`` and ``error``. ``columns`` name the arguments for ``fn``; values arrive in Arrow batches.
+    """
+    from pyspark.sql.types import StructType
+
+    names = StructType.fromDDL(schema).fieldNames()
+
+    class FlatMap:
+        def eval(self, *values):
+            try:
+                res = fn(dict(zip(columns, values)))
+            except Exception as exc:  # noqa: BLE001 - failures are data here
+                yield (*[None] * len(names), False, repr(exc))
+                return
+            if res is None:
+                yield (*[None] * len(names), False, "none")
+                return
+            for r in res if isinstance(res, list) else [res]:
+                yield (*[r.get(k) for k in names], True, None)
+
+    spark.udtf.register(name, F.udtf(FlatMap, returnType=f"{schema}, ok boolean, error string", useArrow=True))
+
+
 def flat_map_safe(df: DataFrame, fn, schema: str, payload_cols: list[str] | None = None) -> DataFrame:
     """Map each row through ``fn(row_dict) -> None | dict | list[dict]`` in Arrow batches.
 
@@ -130,4 +176,4 @@ def flat_map_totals(mapped: DataFrame, items: DataFrame) -> DataFrame:
 
 
 __all__ = ["run_ts_of", "freshness_filter", "min_length_filter", "feed_cap", "drop_missing_url",
-           "project_articles", "run_stats", "flat_map_safe", "flat_map_totals"]
+           "project_articles", "run_stats", "RunStats", "register_flat_map", "flat_map_safe", "flat_map_totals"]

@@ -286,6 +286,19 @@ def q_stats(spark, sf_dir):
     return ingest.run_stats(a, articles=F.lit(True), fresh=fresh, long_enough=fresh & long_enough)
 
 
+@register("a07_run_stats_observed", QUERIES["a07_run_stats"][1])
+def q_stats_observed(spark, sf_dir):
+    """The counts of the stages themselves, taken while they run into a table."""
+    from brieflow.session import scratch_path
+    stats = ingest.RunStats()
+    a = stats.watch("articles", articles(spark, sf_dir).select("arr", "published_at", "body", "summary"))
+    newest = articles(spark, sf_dir).agg(F.max("published_at")).first()[0]
+    fresh = stats.watch("fresh", ingest.freshness_filter(a, newest))
+    done = stats.watch("long_enough", ingest.min_length_filter(fresh))
+    done.write.parquet(scratch_path(spark, "observed"))
+    return stats.table(spark).select("stage", "rows")
+
+
 # ---------------------------------------------------------------------------
 # Enrichment and scoring (all articles, corroboration 1)
 # ---------------------------------------------------------------------------
@@ -763,6 +776,21 @@ def q_incremental_no_l2(spark, sf_dir):
     return out.select("arr", "story_id", "corroboration_count")
 
 
+@register("a30_leader_store", QUERIES["a30_incremental_dedup"][1])
+def q_leader_store(spark, sf_dir):
+    """The second batch of a30_incremental_dedup against a store on files; the first comes in two batches."""
+    from brieflow.operators.leader_store import LeaderStore
+    a = ingest.min_length_filter(articles(spark, sf_dir))
+    ends = a.agg(F.max("published_at").alias("t")).select("t", (F.col("t") - F.make_interval(hours=F.lit(SPLIT_HOURS))).alias("cut"),
+                                                         (F.col("t") - F.make_interval(hours=F.lit(3 * SPLIT_HOURS))).alias("first")).first()
+    at, vec = F.col("published_at"), embeddings_for(spark, sf_dir)
+    store = LeaderStore(spark, scratch_path(spark, "leader-store"), buckets=16, compact_every=1, rules=P.Rules(cosine_threshold=L3_TEST_THRESHOLD))
+    for n, part in enumerate((a.filter(at < ends["first"]), a.filter((at >= ends["first"]) & (at < ends["cut"])))):
+        store.run(n, part, vec)
+    out, _ = store.run(2, a.filter(at >= ends["cut"]), vec)
+    return out.select("arr", "story_id", "corroboration_count")
+
+
 def _page_feeds(spark, sf_dir):
     """One stored feed document per page: RSS when the URL has no query string, else Atom."""
     pg = table(spark, sf_dir, "pages")
@@ -834,6 +862,12 @@ def q_flat_map(spark, sf_dir):
     return ingest.flat_map_safe(pg, _host_or_fail, "page_id long, host string")
 
 
+@register("a05_flat_map_udtf", QUERIES["a05_flat_map_safe"][1])
+def q_flat_map_udtf(spark, sf_dir):
+    ingest.register_flat_map(spark, "page_hosts", _host_or_fail, "page_id long, host string", ["page_id", "url"])
+    return spark.sql("SELECT t.* FROM {pages} p, LATERAL page_hosts(p.page_id, p.url) t", pages=table(spark, sf_dir, "pages"))
+
+
 B02_SQL = f"""WITH w AS (SELECT doc_id AS k, list_filter(regexp_split_to_array(lower(' ' || coalesce(text, '')), '[^\\p{{L}}\\p{{N}}_]+'), lambda x: x <> '') AS w
   FROM documents),
 s AS MATERIALIZED (SELECT k, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' ')))) AS s
@@ -859,8 +893,8 @@ def q_minhash(spark, sf_dir):
 def q_scan_sources(spark, sf_dir):
     reg = source_registry(table(spark, sf_dir, "documents")).withColumn("active", F.when(F.col("source_id").endswith("3"), False))
     path = scratch_path(spark, "sources")
-    # one file of one object, as the registry has a row for each feed
-    reg.agg(F.collect_list(F.struct(*reg.columns)).alias("sources")).coalesce(1).write.json(path)
+    # a registry file holds a list of sources; here each part of the folder is a file with an object per source
+    reg.select(F.array(F.struct(*reg.columns)).alias("sources")).write.json(path)
     return FD.scan_sources(spark, path).select("source_id", "source_name", "domain", "credibility_score")
 
 
@@ -889,7 +923,7 @@ def q_scan_chains(spark, sf_dir):
         F.concat(F.lit("c_"), "source").alias("id"), F.struct(F.col("lang").alias("domain"), F.lit("THEME").alias("theme")).alias("trigger"),
         F.array(F.struct(F.col("source").alias("domain"), F.concat(F.lit("q "), "lang").alias("query"))).alias("downstream"), "confidence")
     path = scratch_path(spark, "chains")
-    chains.agg(F.collect_list(F.struct(*chains.columns)).alias("chains")).coalesce(1).write.json(path)
+    chains.select(F.array(F.struct(*chains.columns)).alias("chains")).write.json(path)  # an object per chain, in many files
     return D.chain_edges(D.scan_chains(spark, path)).select("chain_id", "trigger_domain", "theme", "pos", "domain", "query", "confidence")
 
 

@@ -19,8 +19,9 @@ from brieflow.operators import ingest
 
 
 def scan_sources(spark: SparkSession, path: str) -> DataFrame:
-    """``{"sources": [...]}`` -> one row per source with ``active`` true or missing."""
-    raw = spark.read.option("multiLine", True).json(path)
+    """``{"sources": [...]}`` -> one row per source with ``active`` true or missing. A path that ends in ``.json`` is a file of
+    one object; any other is a folder of files with such an object on each line, which are read in parallel."""
+    raw = spark.read.option("multiLine", path.endswith(".json")).json(path)
     src = raw.select(F.explode("sources").alias("s")).select("s.*")
     if "active" in src.columns:
         src = src.filter(F.coalesce(F.col("active"), F.lit(True)))

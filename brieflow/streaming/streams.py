@@ -4,9 +4,8 @@ S1 ``stream_url_dedup``: keyed state per URL hash that emits the first article (
 micro-batch in which the URL first appears) and expires by the 48-hour watermark, so state is bounded by the
 watermark, not by history.
 S2 ``stream_leader_dedup``: ``foreachBatch`` running the batch cascade against the leaders of earlier
-micro-batches (A30). Leaders are tables partitioned by batch id in shared storage; batch ``n`` reads the
-batches below ``n`` only and overwrites its own partitions, so a restart goes on where it was and a replayed
-batch gives the same rows again.
+micro-batches (A30). The leaders are kept by a ``LeaderStore`` in shared storage; batch ``n`` reads what the batches below ``n``
+left and overwrites its own generation, so a restart goes on where it was and a replayed batch gives the same rows again.
 S3 ``stream_story_counts``: tumbling 24-hour event-time windows per story, in append mode: a window is
 emitted once, when the watermark has passed its end, and its state is dropped.
 """
@@ -16,12 +15,12 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from brieflow import params as P
 from brieflow.operators import dedup
+from brieflow.operators.leader_store import LeaderStore
 from brieflow.session import scratch_path
 
 
@@ -60,46 +59,23 @@ def stream_story_counts(stream: DataFrame, story_col: str = "story_id", window_h
                   .select(F.col("w.start").alias("window_start"), story_col, "articles"))
 
 
-STATE_PARTS = ("url_hashes", "l2_leaders", "l3_leaders")
-
-
-def _load_state(spark: SparkSession, folder: str, before: int) -> dict | None:
-    """The store of all batches below ``before``; None if there is none."""
-    store: dict = {"batch": before - 1}
-    for part in STATE_PARTS:
-        try:
-            store[part] = spark.read.parquet(os.path.join(folder, part)).filter(F.col("batch_id") < before).drop("batch_id")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            store[part] = None
-    return store
-
-
 def stream_leader_dedup(stream: DataFrame, sink: str, checkpoint: str, vectors: DataFrame | None = None,
-                        rules: P.Rules = P.DEFAULT_RULES, trigger: dict | None = None, state: str | None = None):
-    """Per micro-batch, dedup against the leaders of all earlier batches.
+                        rules: P.Rules = P.DEFAULT_RULES, trigger: dict | None = None, state: str | None = None,
+                        keep_hours: int | None = None, store_options: dict | None = None):
+    """Per micro-batch, dedup against the leaders of all earlier batches, which a
+    :class:`brieflow.operators.leader_store.LeaderStore` keeps: a batch reads the buckets that its keys fall into.
 
-    Returns the started query; survivors land in ``sink``, leaders in ``state`` (by default beside the
-    checkpoint), both partitioned by batch id.
+    Returns the started query; survivors land in ``sink`` by batch id, the store in ``state`` (by default beside the
+    checkpoint). ``keep_hours`` forgets leaders that much older than a batch's newest article. A replayed batch gives the same rows again.
     """
     folder = state or checkpoint.rstrip("/") + "-state"
 
-    def put(df: DataFrame, path: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
-
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        store = _load_state(batch.sparkSession, folder, batch_id)
-        out, t = dedup.incremental_dedup(batch, store, vectors, rules, return_tables=True)
-        semantic = rules.use_l3 and vectors is not None
-        leaders = t["l3"].filter("keep").select("arr", *(c for c in ("t",) if c in t["l3"].columns)) if semantic else None
-        new = dedup.batch_state(batch_id, t["l1"], t["l2"] if rules.use_l2 else None, leaders, vectors)
-        for part, df in new.items():
-            if df is not None:
-                put(df, os.path.join(folder, part), batch_id)
-        put(out.select("arr", "id", "story_id", "corroboration_count"), sink, batch_id)
+        store = LeaderStore(batch.sparkSession, folder, rules=rules, keep_hours=keep_hours, **(store_options or {}))
+        out, _ = store.run(batch_id, batch, vectors)
+        out.select("arr", "id", "story_id", "corroboration_count").write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
