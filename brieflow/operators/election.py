@@ -101,7 +101,7 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", chec
 
 
 #: undecided nodes of a group that are compared with each other in a pass
-HEAD = 16
+HEAD = 64
 
 
 def first_fit(nodes: DataFrame, near: Callable[[str, str], Column], head: int = HEAD) -> DataFrame:
@@ -112,7 +112,7 @@ def first_fit(nodes: DataFrame, near: Callable[[str, str], Column], head: int =
     A pass takes the nodes that are among the first ``head`` undecided ones of *all* their groups: all their earlier undecided
     neighbours are among the first of a shared group, so the edges between the groups' first nodes are all that can decide them.
     The rounds above decide them, except those that wait for a node which is not taken. New leaders then take whoever is near them in their groups.
-    The lowest undecided node is always decided. A pass that decides less than half doubles ``head``. At the end a duplicate's leader is
+    The lowest undecided node is always decided. Each pass doubles ``head``, as leaders have thinned the groups out. At the end a duplicate's leader is
     the lowest one among its edges, or, where a leader took it, among all leaders in its groups.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
@@ -157,9 +157,8 @@ def first_fit(nodes: DataFrame, near: Callable[[str, str], Column], head: int =
         reached = cut(meetings(new, left).select(F.col("v").alias("node")).distinct())
         taken.append(reached)
         left = cut(left.join(reached, "node", "left_anti"))
-        before, remaining = remaining, left.count()
-        if 2 * remaining > before:
-            head *= 2
+        remaining = left.count()
+        head *= 2
     all_leaders = cut(_union(leaders))
     found = [e.join(all_leaders.withColumnRenamed("node", "u"), "u", "left_semi").select("u", "v") for e in edges]
     if taken:
