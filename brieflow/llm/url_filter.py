@@ -9,11 +9,14 @@ statistical branch; the others keep their own counts. A template's purity is the
 the purity of its parent, from the host's root (smoothed towards the share of all labels) down to the leaf;
 templates of at least ``REJECT`` are blocked.
 
+The tree has ``LEVELS`` levels. What a longer path holds from the last level on is one segment, its tail, which is
+compared whole and becomes a wildcard like any other segment; so the number of steps does not follow the deepest url.
+
 Pages meet only the templates; the tree is built on the distinct templates with their counts, summed before
 they shuffle.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and no rule; repeated rows each get a
-row; without labels nothing is blocked by the tree; very long urls are read whole (a level of the tree for each of their segments);
+row; without labels nothing is blocked by the tree; very long urls are read whole (a deep path's tail is one segment of the last level);
 an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 
 from brieflow.llm.common import attach_groups, stored
 
+#: levels of the tree; the last one holds the whole tail of a deeper path
+LEVELS = 8
 #: children from which a branch's segments can be variable, and how often a child then occurs at most on average
 MANY_CHILDREN = 16
 RARE_CHILD = 4.0
@@ -63,9 +68,15 @@ def path_form(path: Column) -> Column:
     return F.transform(F.split(F.regexp_replace(path, "^/|/$", ""), "/"), form)
 
 
+def fold_tail(segments: Column) -> Column:
+    """At most ``LEVELS`` segments: those from the last level on are joined to one."""
+    tail = F.array_join(F.slice(segments, LEVELS, F.greatest(F.size(segments) - (LEVELS - 1), F.lit(0))), "/")
+    return F.when(F.size(segments) > LEVELS, F.concat(F.slice(segments, 1, LEVELS - 1), F.array(tail))).otherwise(segments)
+
+
 def _wildcards(forms: DataFrame) -> DataFrame:
-    """``forms`` with the variable segments of ``segments`` made wildcards, level by level."""
-    depth = forms.agg(F.max(F.size("segments"))).first()[0] or 0
+    """``forms`` with the variable segments of ``segments`` made wildcards, level by level from the root."""
+    depth = forms.agg(F.max(F.size("segments"))).first()[0] or 0  # at most LEVELS
     for d in range(depth):
         head = F.slice("segments", 1, d)
         children = forms.filter(F.size("segments") > d).groupBy("host", head.alias("head"), F.get("segments", F.lit(d)).alias("child")).agg(F.sum("n").alias("n"))
@@ -111,7 +122,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     host, path = url_parts(F.col("_url"))
     parts = (pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url")).select("_id", host.alias("host"), path.alias("path"))
              .withColumn("_rule", deciding_rule(F.col("host"), F.col("path"), rules)).withColumn("segments", path_form(F.col("path")))
-             .withColumn("raw", F.array_join("segments", "/")))
+             .withColumn("raw", F.array_join("segments", "/")).withColumn("segments", fold_tail(F.col("segments"))))
     parts = stored(parts, "urls")
     blocked = F.col("_rule").isin([i for i, r in enumerate(rules) if not r.allow])
     forms = stored(parts.groupBy("host", "raw", "segments").agg(

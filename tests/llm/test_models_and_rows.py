@@ -1,16 +1,18 @@
 """Toxicity, chat windows, url filter and the pipeline."""
 
 import hashlib
+import itertools
+import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brieflow.llm import catalog, chat_windows as cw, toxicity as tx
+from brieflow.llm import catalog, chat_windows as cw, toxicity as tx, url_filter
 from brieflow.llm.url_filter import Rule, judge_urls
 
 from llm_helpers import words_of
@@ -179,6 +181,75 @@ def test_templates_and_purity(spark):
     assert got["http://shop.com/offer/zzq"].verdict == "block" and got["http://else.net/offer/b"].verdict == "allow"
 
 
+def purity_by_hand(forms):
+    """``{(host, raw): (template, purity)}`` of ``forms``: ``{(host, raw): (segments, n, known, bad)}``, one branch after the other."""
+    now = {k: list(s) for k, (s, *_) in forms.items()}
+    for d in range(url_filter.LEVELS):
+        branches = defaultdict(Counter)
+        for k, s in now.items():
+            if len(s) > d and "*" not in s[d]:
+                branches[k[0], tuple(s[:d])][s[d]] += forms[k][1]
+        variable = {b for b, c in branches.items() if len(c) >= url_filter.MANY_CHILDREN and sum(c.values()) <= url_filter.RARE_CHILD * len(c)}
+        for k, s in now.items():
+            if len(s) > d and "*" not in s[d] and (k[0], tuple(s[:d])) in variable:
+                s[d] = "*"
+    known, bad = Counter(), Counter()
+    for k, s in now.items():
+        for d in range(len(s) + 1):
+            known[k[0], tuple(s[:d])] += forms[k][2]
+            bad[k[0], tuple(s[:d])] += forms[k][3]
+
+    def own(node):
+        host, s = node
+        if not s:
+            return True
+        n, rate = known[node], bad[host, s[:-1]] / known[host, s[:-1]] if known[host, s[:-1]] else None
+        return n > 0 and rate is not None and abs(bad[node] - n * rate) > url_filter.DIFFERS * math.sqrt(n * rate * (1 - rate))
+
+    pooled = defaultdict(lambda: [0, 0])
+    for node in known:
+        if not own(node):
+            pooled[node[0], node[1][:-1]][0] += known[node]
+            pooled[node[0], node[1][:-1]][1] += bad[node]
+    prior = (sum(f[3] for f in forms.values()) + 0.5) / (sum(f[2] for f in forms.values()) + 2.0)
+    found = {}
+    for k, s in now.items():
+        p = prior
+        for d in range(len(s) + 1):
+            node = k[0], tuple(s[:d])
+            n, b = (known[node], bad[node]) if own(node) else pooled[node[0], node[1][:-1]]
+            p = (b + url_filter.WEIGHT * p) / (n + url_filter.WEIGHT)
+        found[k] = "/" + "/".join(s), p
+    return found
+
+
+def test_purity_matches_brute_force(spark):
+    rng = random.Random(12)
+    forms = {}
+    for host in ("a.org", "b.org", "c.net"):
+        for _ in range(250):
+            s = [rng.choice(["x", "y", "z*"]), rng.choice(["k", "".join(rng.choices("abcdefgh", k=5))]), *rng.choices(["p", "q", "*"], k=rng.randrange(4))]
+            s = s[:rng.randrange(1, 6)]
+            known = rng.randrange(4)
+            forms[host, "/".join(s)] = s, known + rng.randrange(1, 3), known, rng.randrange(known + 1) if s[0] == "x" else 0
+    df = spark.createDataFrame([(h, raw, s, n, k, b) for (h, raw), (s, n, k, b) in forms.items()], "host string, raw string, segments array<string>, n long, known long, bad long")
+    got = {(r.host, r.raw): (r.template, r.purity) for r in url_filter.template_purity(url_filter._wildcards(df)).collect()}
+    want = purity_by_hand(forms)
+    assert got.keys() == want.keys() and any("/*" in t for t, _ in want.values())
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
+def test_deep_paths_have_a_tail(spark):
+    deep = "http://d.org/" + "s/" * 2000
+    rows = [deep + "end", deep + "end", deep, "http://d.org/a/b/c/d/e/f/g", "http://d.org/a/b/c/d/e/f/g/h", "http://d.org/a/b/c/d/e/f/g/h/i"]
+    rows += [f"http://d.org/a/b/c/d/e/f/g/{''.join(c)}/i" for c in itertools.product("klmn", "opqrs")]
+    urls = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r for r in judge_urls(urls, catalog.URL_RULES).collect()}
+    assert len(got) == len(rows) and got[0].template == got[1].template == "/" + "s/" * 2000 + "end"
+    assert got[0].path == rows[0][len("http://d.org"):] and got[3].template == "/a/b/c/d/e/f/g"
+    assert {got[i].template for i in range(6, len(rows))} == {"/a/b/c/d/e/f/g/*"}  # tails vary, so they are one branch
+
+
 def test_no_urls_and_no_labels(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert judge_urls(none, catalog.URL_RULES).count() == 0
