@@ -127,6 +127,60 @@ def test_windows_keep_to_the_budget(spark):
     assert later and all(sum(len(t.text.split()) for t in r.turns[:r.n_repeated]) <= 120 for r in later)
 
 
+def windows_by_hand(turns, budget, history):
+    """``[(own, repeated)]`` turn numbers of each window of one conversation, whose turns are ``(role, tokens)``; -1 is the repeated system turn."""
+    sums = list(itertools.accumulate((n for _, n in turns), initial=0))
+    system = turns[0][1] if turns[0][0] == "system" and turns[0][1] <= budget - budget // 4 else 0
+    most = min(history, budget - budget // 4 - system)
+    room = budget - system - most
+    inside, over = defaultdict(list), []
+    for i, (_, n) in enumerate(turns):
+        a, b = sums[i] // room, (sums[i] + n - 1) // room
+        if a == b:
+            inside[a].append(i)
+        else:
+            over.append((i, a, b))
+    used = {a: sum(turns[i][1] for i in own) for a, own in inside.items()}
+    windows, left = {2 * a + 1: list(own) for a, own in inside.items()}, []
+    for i, a, b in over:
+        if a in used and used[a] + turns[i][1] <= room:
+            windows[2 * a + 1].append(i)
+            used[a] += turns[i][1]
+        else:
+            left.append((i, a, b))
+    for i, a, b in left:
+        windows.setdefault(2 * b + 1 if b in used and used[b] + turns[i][1] <= room else 2 * a + 2, []).insert(0, i)
+    out = []
+    for _, own in sorted(windows.items()):
+        total = sum(turns[i][1] for i in own)
+        again = own[0] > 0 and system > 0 and total + system <= budget
+        fits = max(min(most, budget - total - again * system), 0)
+        out.append((own, [-1] * again + [i for i in range(again, own[0]) if sums[i] >= sums[own[0]] - fits]))
+    return out
+
+
+@pytest.mark.parametrize("budget,history", [(120, 30), (400, 120), (400, 0), (64, 60)])
+def test_windows_match_brute_force(spark, budget, history):
+    rng = random.Random(budget)
+    chats = {c: [(rng.choice(["user", "assistant"]), rng.choice([1, 3, 8, 20, 60, 150])) for _ in range(rng.choice([1, 5, 40, 300]))] for c in range(12)}
+    for c in range(0, 12, 2):  # system turns from short to longer than the budget
+        chats[c][0] = ("system", [2, 15, 40, 90, 310, 500][c // 2])
+    chats[20] = [("user", 1)] * 700  # many short turns in a window
+    rows = [(c, t, r, f"{t} " + "w " * (n - 1)) for c, own in chats.items() for t, (r, n) in enumerate(own)]
+    got = cw.chat_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5), budget=budget, history=history)
+    got = got.select("conv_id", "window", "n_repeated", cw.read_turns(F.col("formatted")).alias("turns")).orderBy("conv_id", "window").collect()
+    by_chat = defaultdict(list)
+    for r in got:
+        of = [int(t.text.split()[0]) for t in r.turns]
+        by_chat[r.conv_id].append((of[r.n_repeated:], of[:r.n_repeated]))
+        size = [len(t.text.split()) + cw.MARKS for t in r.turns]
+        assert sum(size) <= budget or len(size) == 1
+    for c, own in chats.items():
+        want = windows_by_hand([(r, n + cw.MARKS) for r, n in own], budget, history)
+        assert by_chat[c] == [(o, [max(i, 0) for i in again]) for o, again in want]
+    assert budget < 400 or max(len(o) for o, _ in by_chat[20]) > 48
+
+
 def test_no_conversations(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert cw.chat_digest(cw.chat_windows(none)).count() == 0
