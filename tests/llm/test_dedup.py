@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from brieflow.llm import exact_dedup, simhash_bk
 from brieflow.llm.exact_dedup import drop_exact_copies, exact_groups
@@ -47,6 +48,30 @@ def test_bloom_flags_every_repeat(spark):
     assert {i for i in range(1000) if i < 300 or i >= 700} <= flagged and len(flagged) < 640
 
 
+def test_shards_have_tables_of_their_own(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_BITS", 1 << 15)
+    monkeypatch.setattr(exact_dedup, "MIN_BITS", 1 << 15)
+    rows = [(i, f"a text of its own, number {i}") for i in range(6000)] + [(10_000 + i, f"copied text {i % 900}") for i in range(1800)] + [(20_000 + i, "hot") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert exact_dedup._shards(len(rows)) == 5
+    assert sorted(map(tuple, exact_groups(df).collect()), key=str) == exact_by_hand(rows)
+    kept = {r[0] for r in exact_by_hand(rows) if r[3]}
+    got = drop_exact_copies(df.withColumn("_row", F.lit(1)).withColumn("_shard", F.lit(2)))
+    assert got.columns == ["doc_id", "text", "_row", "_shard"] and sorted(r.doc_id for r in got.collect()) == sorted(kept)
+
+    flagged = []
+    flag = exact_dedup.flag_repeats
+    monkeypatch.setattr(exact_dedup, "flag_repeats", lambda *a: flagged.append(flag(*a)) or flagged[-1])
+    exact_groups(df)
+    alone = sum(f.filter("_again and _id < 6000").count() for f in flagged)
+    assert len(flagged) == 5 and alone < 0.02 * 6000  # rows without a copy that would shuffle
+
+    monkeypatch.setattr(exact_dedup, "_shards", lambda total: 3)
+    want = exact_by_hand([(r.doc_id, r.text) for r in odd_docs.collect()])
+    assert sorted((tuple(r) for r in exact_groups(odd_docs).collect()), key=str) == want
+    assert sorted(r["_row"] for r in drop_exact_copies(odd_docs).collect() if r.doc_id != 4) == [2, 5, 7, 8, 9, 10]
+
+
 def test_drop_exact_copies_keeps_columns_and_one_row_each(spark, odd_docs, no_docs):
     kept = drop_exact_copies(odd_docs)
     assert kept.columns == odd_docs.columns
