@@ -135,13 +135,13 @@ def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp
 
     Returns (fp_a, fp_b, dist) with fp_a < fp_b. Exact (no false negatives,
     no false positives) for any number of ``blocks``; None chooses it from the
-    number of distinct fingerprints, which are materialised once.
+    number of distinct fingerprints. These are materialised once. The keys meet by a sort-merge join: Spark would judge their
+    size by the fingerprints before the explode, and broadcast a table of up to 70 times that size.
     """
     k = int(max_distance)
-    d = fps.select(F.col(fp_col).alias("fp")).filter(F.col("fp").isNotNull()).distinct()
+    ensure_checkpoint_dir(fps.sparkSession)
+    d = fps.select(F.col(fp_col).alias("fp")).filter(F.col("fp").isNotNull()).distinct().checkpoint(eager=True)
     if blocks is None:
-        ensure_checkpoint_dir(fps.sparkSession)
-        d = d.checkpoint(eager=True)
         blocks = choose_blocks(d.count(), k)
     m = blocks
     if m < k + 1:
@@ -157,7 +157,7 @@ def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp
         .select("fp", F.col("key.c").alias("c"), F.col("key.v").alias("v"))
     a = keyed.select(F.col("fp").alias("fp_a"), "c", "v")
     b = keyed.select(F.col("fp").alias("fp_b"), "c", "v")
-    cand = a.join(b, ["c", "v"]).filter(F.col("fp_a") < F.col("fp_b"))
+    cand = a.join(b.hint("merge"), ["c", "v"]).filter(F.col("fp_a") < F.col("fp_b"))
     dist = hamming_distance("fp_a", "fp_b")
     # bitmask of equal blocks; emit only under the first combination fully contained in it
     eq = " | ".join(f"CASE WHEN {block_val('_x', b)} = 0 THEN {1 << b} ELSE 0 END" for b in range(m))
