@@ -75,7 +75,7 @@ def domain_age_gate(df: DataFrame, history: DataFrame, run_ts, min_days: int = P
 
 # B07 / B10 -----------------------------------------------------------------
 def novelty(new: DataFrame, history: DataFrame, key: str = "arr", vec_col: str = "embedding",
-            part_col: str | None = None, earlier_only: bool = False, block_rows: int = 2048,
+            part_col: str | None = None, earlier_only: bool = False, block_rows: int = 1 << 15,
             default: float = P.DEFAULT_NOVELTY) -> DataFrame:
     """B07 (ours): novelty = clamp(1 − max cosine to history), no history -> 0.7.
 
@@ -95,7 +95,7 @@ def novelty(new: DataFrame, history: DataFrame, key: str = "arr", vec_col: str =
 
 def domain_topk_search(queries: DataFrame, corpus: DataFrame, k: int = P.CROSS_DOMAIN_TOP_K, key: str = "arr",
                        vec_col: str = "embedding", part_col: str = "domain", exclude_self: bool = True,
-                       block_rows: int = 2048) -> DataFrame:
+                       block_rows: int = 1 << 15) -> DataFrame:
     """B10 within the query's own domain: the ``k`` nearest corpus rows of its domain by cosine (ties by key)."""
     q = queries.select(F.col(key).alias("qk"), F.col(vec_col).alias("qv"), F.col(part_col).alias("p"))
     c = corpus.select(F.col(key).alias("ck"), F.col(vec_col).alias("cv"), F.col(part_col).alias("p"))
@@ -104,7 +104,7 @@ def domain_topk_search(queries: DataFrame, corpus: DataFrame, k: int = P.CROSS_D
 
 
 def cross_domain_search(queries: DataFrame, corpus: DataFrame, k: int = P.CROSS_DOMAIN_TOP_K, key: str = "arr",
-                        vec_col: str = "embedding", part_col: str = "domain", exclude_self: bool = True, block_rows: int = 2048,
+                        vec_col: str = "embedding", part_col: str = "domain", exclude_self: bool = True, block_rows: int = 1 << 15,
                         probes: dict | None = None) -> DataFrame:
     """For each query and each domain of ``corpus`` the ``k`` nearest rows by cosine (ties by key): (query, domain, rank, match,
     cos), the domain as text. Exact; see :func:`brieflow.operators.nearest.nearest_join`."""

@@ -65,6 +65,19 @@ def test_bounds_rule_cells_out(spark):
     assert probes["first"] + probes["second"] < 0.25 * probes["all"]
 
 
+def test_a_query_is_sent_once_to_a_block(spark):
+    """Vectors without clusters: bounds rule out hardly any cell, and yet a query does not travel to each cell."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(400, 24))
+    t = table(spark, (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32), lambda i: f"d{i % 3}")
+    probes = {}
+    got = {(r["query"], r["domain"], r["rank"], r["match"]) for r in cross_domain_search(t, t, 2, probes=probes).collect()}
+    rows = t.collect()
+    assert got == brute(rows, rows, 2, lambda q, c: q["arr"] != c["arr"])
+    queries = sum(r["embedding"] is not None for r in rows)
+    assert probes["second"] > 20 * queries and probes["sent"] == queries
+
+
 def test_empty_sides(spark):
     t = table(spark, vectors(np.random.default_rng(4), 10, 2, 0.1), lambda i: "d")
     q, c = t.selectExpr("arr qk", "embedding qv", "domain p"), t.selectExpr("arr ck", "embedding cv", "domain p")
