@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.operators import enrich
-from brieflow.operators.text_join import substring_join
+from brieflow.operators.text_join import pattern_rows, substring_join
 from brieflow.plans import fixtures as FX
 from brieflow.sources.testbed import articles
 
@@ -25,6 +25,29 @@ def test_equals_brute_force_with_short_and_odd_patterns(spark):
     assert sorted((r["k"], r["pattern"]) for r in got.collect()) == sorted((k, p) for k, t in texts if t for p in patterns if p in t)
 
 
+def test_patterns_beyond_the_broadcast_and_places(spark):
+    rng = random.Random(2)
+    texts = [(k, "".join(rng.choices("abé😀 ", k=rng.randrange(40)))) for k in range(60)]
+    patterns = ["a", "ab", "aa", "é😀", "bab", " a b", "zz"]
+    t, p = spark.createDataFrame(texts, "k long, t string"), spark.createDataFrame([(x,) for x in patterns], "pattern string")
+    want = sorted((k, x) for k, s in texts for x in patterns if x in s)
+    for most in (0, 100):
+        assert sorted((r["k"], r["pattern"]) for r in substring_join(t, p, most).collect()) == want
+    of = dict(texts)
+    got = {}
+    for r in pattern_rows(t, patterns, "t").collect():
+        assert r["text"] == r["pattern"] and of[r["k"]][r["pos"] - 1:].startswith(r["text"])
+        got.setdefault((r["k"], r["pattern"]), []).append(r["pos"])
+    assert sorted(got) == want and all(len(at) == of[k].count(x) for (k, x), at in got.items())
+
+
+def test_few_patterns_shuffle_no_text(spark):
+    texts = spark.range(50).select(F.col("id").alias("k"), F.concat(F.lit("text w"), F.col("id").cast("string")).alias("t"))
+    patterns = spark.createDataFrame([(f"w{i}",) for i in range(50)], "pattern string")
+    plan = substring_join(texts, patterns)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_no_nested_loop_and_no_pattern_in_the_plan(spark):
     texts = spark.createDataFrame([(k, f"some text number {k} about w{k * 7}") for k in range(200)], "k long, t string")
     patterns = spark.range(100_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("pattern"))
