@@ -49,21 +49,6 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _elect_on_keys(nodes: DataFrame, key_col: str, pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Collapse nodes sharing ``key_col`` to their earliest holder, elect leaders on the
-    collapsed graph and expand back: returns (arr, leader_arr) for every node."""
-    reps = nodes.groupBy(key_col).agg(F.min("arr").alias("rep"))
-    ra = reps.select(F.col(key_col).alias(a), F.col("rep").alias("ra"))
-    rb = reps.select(F.col(key_col).alias(b), F.col("rep").alias("rb"))
-    edges = (pairs.join(ra, a).join(rb, b)
-                  .select(F.least("ra", "rb").alias("u"), F.greatest("ra", "rb").alias("v"))
-                  .filter(F.col("u") < F.col("v")).distinct())
-    elected = leader_election(reps.select(F.col("rep").alias("node")), edges)
-    rep_leader = reps.join(elected.withColumnRenamed("node", "rep"), "rep").select(key_col, "rep", "leader")
-    # a copy of a leader is a duplicate of that leader; a copy of a duplicate follows it
-    return nodes.join(rep_leader, key_col).select("arr", F.col("leader").alias("leader_arr"))
-
-
 def _stored_leader(near: DataFrame) -> DataFrame:
     """(arr, stored_id): of each row of (arr, batch, l_arr, l_id) the earliest stored leader."""
     first = F.min(F.struct("batch", "l_arr", "l_id"))
@@ -152,6 +137,56 @@ def l2_near_dup(df: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, block
     return _with_stored(fps, res, stored, "l2_leader_arr")
 
 
+#: vectors among which leaders are elected first, and how many times as many follow in the next portion
+PORTION, PORTION_GROWTH = 1 << 14, 8
+
+
+def _leaders_by_portion(nodes: DataFrame, threshold: float, mode: str, window: int | None) -> DataFrame:
+    """(vk, leader_arr): first-fit leaders among vectors (arr, embedding, and t with a window).
+
+    Pairs grow with the square of the vectors, leaders do not. So the vectors come in portions by ``arr``: a portion first meets the leaders of those before
+    it, which are before all of its vectors, and only what is near none of these is paired and elected by itself. An approximate join is not cut.
+    """
+    timed = [] if window is None else ["t"]
+    n = nodes.count()
+    share, cuts = PORTION, []
+    while mode == "exact" and share < n:
+        cuts.append(share / n)
+        share *= PORTION_GROWTH
+    ends = nodes.agg(F.percentile_approx("arr", F.array(*map(F.lit, cuts)), 10_000).alias("e")).first()["e"] if cuts else []
+    ends = [e for e in sorted(set(ends or [])) if e is not None]
+    leaders, found = None, []
+    for after, upto in zip([None, *ends], [*ends, None]):
+        portion = nodes
+        if after is not None:
+            portion = portion.filter(F.col("arr") > after)
+        if upto is not None:
+            portion = portion.filter(F.col("arr") <= upto)
+        if leaders is not None:
+            met = cosine_cross_pairs(portion, leaders, threshold)
+            if window is not None:
+                l, r = (d.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for d, c in ((portion, "l"), (leaders, "r")))
+                met = met.join(l, "l").join(r, "r").filter(_within("t_l", "t_r", window))
+            taken = _cut(met.groupBy("l").agg(F.min("r").alias("leader_arr")).withColumnRenamed("l", "vk"))
+            found.append(taken)
+            portion = _cut(portion.join(taken.select(F.col("vk").alias("arr")), "arr", "left_anti"))
+        pairs = cosine_pairs(portion, threshold, key="arr", mode=mode)
+        if window is not None:
+            a, b = (portion.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for c in "ab")
+            pairs = pairs.join(a, "a").join(b, "b").filter(_within("t_a", "t_b", window)).select("a", "b", "cos")
+        elected = leader_election(portion.select("arr"), pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u < v").distinct(), "arr")
+        elected = elected.select(F.col("arr").alias("vk"), F.col("leader").alias("leader_arr"))
+        if upto is not None:
+            elected = _cut(elected)
+            new = portion.join(elected.filter("vk = leader_arr").select(F.col("vk").alias("arr")), "arr", "left_semi").select("arr", "embedding", *timed)
+            leaders = _cut(new if leaders is None else leaders.unionByName(new))
+        found.append(elected)
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD,
                     mode: str = "exact", leaders_store: DataFrame | None = None,
                     embedder=None, window_hours: int | None = None) -> DataFrame:
@@ -189,11 +224,8 @@ def l3_semantic_dup(df: DataFrame, vectors: DataFrame, threshold: float = P.SEMA
     classes = nodes.filter("_near").join(named, ["embedding", *timed]).select("arr", "vk", "embedding", *timed)
     classes = _cut(classes.unionByName(nodes.filter("not _near").select("arr", F.col("arr").alias("vk"), "embedding", *timed)))
     nodes = classes.filter("arr = vk").drop("vk")
-    pairs = cosine_pairs(nodes, threshold, key="arr", mode=mode)
-    if window is not None:
-        a, b = (nodes.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for c in "ab")
-        pairs = pairs.join(a, "a").join(b, "b").filter(_within("t_a", "t_b", window)).select("a", "b", "cos")
-    res = _elect_on_keys(classes.select("arr", "vk"), "vk", pairs, "a", "b")
+    led = _leaders_by_portion(nodes, threshold, mode, window)
+    res = classes.select("arr", "vk").join(led, "vk").select("arr", "leader_arr")
     return _with_stored(v.select("arr", *timed), res, stored, "l3_leader_arr")
 
 

@@ -48,6 +48,28 @@ def test_leaders_with_copies_times_and_vectors_that_are_not_near_themselves(spar
         assert got == first_fit_reference(list(of), near)
 
 
+def test_portions_elect_the_same_leaders_and_pair_less(spark, monkeypatch):
+    rng = random.Random(5)
+    v = unit(rng, 240, 3)
+    rows = [(k, [float(x) for x in e], None if k % 19 == 0 else rng.randrange(72) * HOUR) for k, e in enumerate(v)]
+    t = spark.createDataFrame(rows, "arr long, embedding array<float>, t long")
+    of = {a: (np.array(e, np.float64), s) for a, e, s in rows}
+    met, real = [], similarity.cosine_pairs
+    monkeypatch.setattr("brieflow.operators.dedup.cosine_pairs", lambda d, *a, **kw: (met.append(d.count()), real(d, *a, **kw))[1])
+    monkeypatch.setattr("brieflow.operators.dedup.PORTION", 60, raising=False)
+    monkeypatch.setattr("brieflow.operators.dedup.PORTION_GROWTH", 3, raising=False)
+    for window in (None, 24):
+        def near(a, b):
+            (x, s), (y, u) = of[a], of[b]
+            return x @ y >= 0.8 and (window is None or (s is not None and u is not None and abs(s - u) <= window * HOUR))
+
+        met.clear()
+        got = {r["arr"]: r["l3_leader_arr"] for r in l3_semantic_dup(t.select("arr", "t"), t, 0.8, window_hours=window).collect()}
+        assert got == first_fit_reference(list(of), near)
+        if window is None:
+            assert sum(n * n for n in met) < 240 * 240 / 2
+
+
 def test_pairs_are_the_same_for_any_number_of_pivots(spark, monkeypatch):
     rng = random.Random(3)
     v = unit(rng, 300, 4)
