@@ -12,7 +12,9 @@ emitted once, when the watermark has passed its end, and its state is dropped.
 
 from __future__ import annotations
 
+import math
 import os
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,17 +88,37 @@ def stream_leader_dedup(stream: DataFrame, sink: str, checkpoint: str, vectors:
 # helpers for running a stream over stored articles (tests and registered queries)
 # ---------------------------------------------------------------------------
 
-def stage_article_files(articles: DataFrame, folder: str) -> str:
-    """Write articles as one Parquet file per publication day, day after day, to replay as a stream (files are
-    replayed by modification time). A helper for tests and registered queries over short periods."""
-    days = articles.select(F.date_format("published_at", "yyyy-MM-dd").alias("day")).distinct().orderBy("day")
-    for (day,) in days.collect():  # a row per day
-        one = articles.filter(F.date_format("published_at", "yyyy-MM-dd") == day)
-        one.repartition(1).write.mode("overwrite").parquet(os.path.join(folder, f"day={day}"))
+#: rows of a staged file at most, about
+FILE_ROWS = 20_000
+
+
+def stage_article_files(articles: DataFrame, folder: str, file_rows: int = FILE_ROWS) -> str:
+    """Write articles by publication day, day after day, to replay as a stream (files are replayed by modification time). Every day has
+    the same number of files, so that the largest day's hold ``file_rows`` each; :func:`replay` takes a day's files as one micro-batch.
+    A helper for tests and registered queries over short periods."""
+    spark, dealt = articles.sparkSession, folder.rstrip("/") + "-dealt"
+    articles.withColumn("_day", F.date_format("published_at", "yyyy-MM-dd")).filter("_day is not null").write.mode("overwrite").partitionBy("_day").parquet(dealt)
+    by_day = spark.read.schema(f"{_ddl(articles)}, _day string").parquet(dealt)
+    days = by_day.groupBy("_day").count().orderBy("_day").collect()  # a row per day
+    files = max([1, *(math.ceil(r["count"] / file_rows) for r in days)])
+    for day, _ in days:
+        path = os.path.join(folder, f"day={day}")
+        one = by_day.filter(F.col("_day") == day).drop("_day")  # reads this day's folder only
+        one.repartition(files).write.mode("overwrite").parquet(path)
+        for _ in range(files - len(spark.read.schema(articles.schema).parquet(path).inputFiles())):  # partitions without rows leave no file
+            one.limit(0).coalesce(1).write.mode("append").parquet(path)
     return folder
 
 
-def replay(spark: SparkSession, folder: str, schema, max_files: int = 1) -> DataFrame:
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def replay(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
+    """The staged files as a stream; ``max_files`` a micro-batch, by default those of a day."""
+    if max_files is None:
+        staged = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder).inputFiles()
+        max_files = max([1, *Counter(os.path.dirname(f) for f in staged).values()])
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
                  .option("recursiveFileLookup", True).parquet(folder))
 
