@@ -41,6 +41,13 @@ def test_patterns_beyond_the_broadcast_and_places(spark):
     assert sorted(got) == want and all(len(at) == of[k].count(x) for (k, x), at in got.items())
 
 
+def test_repeated_keys_count_as_in_the_join(spark):
+    t = spark.createDataFrame([(1, "ab"), (1, "ab"), (2, "ab"), (None, "ab")], "k long, t string")
+    p = spark.createDataFrame([("ab",)], "pattern string")
+    few, many = (sorted(r["k"] for r in substring_join(t, p, most).collect()) for most in (10, 0))
+    assert few == many == [1, 1, 1, 1, 2]
+
+
 def test_few_patterns_shuffle_no_text(spark):
     texts = spark.range(50).select(F.col("id").alias("k"), F.concat(F.lit("text w"), F.col("id").cast("string")).alias("t"))
     patterns = spark.createDataFrame([(f"w{i}",) for i in range(50)], "pattern string")
