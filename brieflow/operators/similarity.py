@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.functions.text import article_text
-from brieflow.session import broadcast_if_small, ensure_checkpoint_dir
+from brieflow.session import broadcast_if_small, ensure_checkpoint_dir, scratch_path
 
 
 # ---------------------------------------------------------------------------
@@ -329,6 +329,142 @@ def shingle_set(words: Column, width: int = 4) -> Column:
     return F.when(F.size(words) > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
+#: shingles a hash bucket in which they are counted for their order, and buckets at most; their counts (4 bytes each) are all that the driver sees
+BUCKET_SHINGLES, MOST_BUCKETS, BUCKET_PARTS = 64, 1 << 24, 256
+#: so many shingles of a set give one more that must be met among the first ones
+MORE_SHARED = 20
+#: words or shingles that a task works on at once, a whole text at least
+AT_ONCE = 1 << 20
+
+
+def _shingling():
+    """(lists, hashes): what the tasks below call, as closures, since a task need not find this module."""
+    import numpy as np
+
+    def lists(batches, column: str):
+        """Of Arrow batches, in portions of about ``AT_ONCE`` values: the portion, the values of its list column as uint64 and the rows' n + 1 offsets."""
+        for b in batches:
+            ends = b.column(column).offsets.to_numpy()
+            at = 0
+            while at < b.num_rows:
+                upto = max(at + 1, int(np.searchsorted(ends, ends[at] + AT_ONCE, "right")) - 1)
+                lists = b.column(column).slice(at, upto - at)
+                yield b.slice(at, upto - at), lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), ends[at:upto + 1] - ends[at]
+                at = upto
+
+    def hashes(words, offsets, width: int):
+        """(row, hash) of all runs of ``width`` consecutive word hashes within a row; a row of fewer words, but not none, is one run."""
+        n = np.diff(offsets)
+        runs = np.where(n > 0, np.maximum(n - width + 1, 1), 0)
+        row = np.repeat(np.arange(len(n)), runs)
+        start = offsets[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
+        h = np.full(len(row), 0x9E3779B97F4A7C15, np.uint64)
+        for i in range(width):
+            inside = start + i < offsets[1:][row]
+            x = (h ^ words[np.where(inside, start + i, 0)]) * np.uint64(0xFF51AFD7ED558CCD) if len(words) else h
+            x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+            h = np.where(inside, x ^ (x >> np.uint64(29)), h)
+        return row, h
+
+    return lists, hashes
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder, of which later steps read the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _shingle_sets(words: DataFrame, width: int) -> DataFrame:
+    """Of (k, w), w the hashes of a text's words: (k, c, n, s), s the sorted distinct hashes of its shingles, n their number and c a digest of s."""
+    lists, hashes = _shingling()
+
+    def sets(batches):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        for b, values, offsets in lists(batches, "w"):
+            row, h = hashes(values, offsets, width)
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            fresh = np.ones(len(h), bool)
+            fresh[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+            row, h = row[fresh], h[fresh].view(np.int64)
+            n = np.bincount(row, minlength=b.num_rows)
+            at = np.concatenate([[0], np.cumsum(n)])
+            digest = [hashlib.sha256(h[i:j].tobytes()).digest() for i, j in zip(at[:-1], at[1:])]
+            whole = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h, pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(digest, pa.binary()), pa.array(n, pa.int32()), whole], ["k", "c", "n", "s"])
+
+    return words.mapInArrow(sets, f"k {words.schema['k'].dataType.simpleString()}, c binary, n int, s array<bigint>")
+
+
+def _bucket_counts(sets: DataFrame):
+    """Number of shingles (each once a text, 2^31 - 1 at most) in each hash bucket, summed by parts of the buckets."""
+    import numpy as np
+    import pandas as pd
+
+    lists, _ = _shingling()
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    size = min(MOST_BUCKETS, max(1 << 16, 1 << math.ceil(math.log2(total / BUCKET_SHINGLES + 1))))
+    parts_of, most = BUCKET_PARTS, np.iinfo(np.int32).max
+
+    def count(batches):
+        import pyarrow as pa
+
+        held = np.zeros(size, np.int32)
+        for _, values, _ in lists(batches, "s"):
+            buckets, n = np.unique(values % np.uint64(size), return_counts=True)
+            held[buckets.view(np.int64)] += n.astype(np.int32)
+        parts = [p.tobytes() for p in np.split(held, parts_of)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts_of), pa.int32()), pa.array(parts, pa.binary())], ["part", "held"])
+
+    def add(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = np.zeros(size // parts_of, np.int64)
+        for p in pdf["held"]:
+            whole += np.frombuffer(p, np.int32)
+        return pd.DataFrame({"part": [key[0]], "held": [np.minimum(whole, most).astype(np.int32).tobytes()]})
+
+    sums = sets.select("s").mapInArrow(count, "part int, held binary").groupBy("part").applyInPandas(add, "part int, held binary").collect()
+    whole = np.zeros((parts_of, size // parts_of), np.int32)
+    for r in sums:
+        whole[r["part"]] = np.frombuffer(r["held"], np.int32)
+    return whole.ravel()
+
+
+def _shingle_prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(k, c, n, p): the ``n - ceil(t n) + m`` first shingles of each set, in the order of their buckets' counts, then of their hashes, and ``m``
+    as in :func:`_must_share`."""
+    shared = sets.sparkSession.sparkContext.broadcast(_bucket_counts(sets))
+    (lists, _), more = _shingling(), MORE_SHARED
+
+    def first(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b, values, offsets in lists(batches, "s"):
+            n = np.diff(offsets)
+            row = np.repeat(np.arange(len(n)), n)
+            held = shared.value[(values % np.uint64(len(shared.value))).view(np.int64)]
+            values = values[np.lexsort((values, held, row))]
+            need = np.ceil(threshold * n - 1e-9).astype(np.int64)
+            keep = np.minimum(n - need + np.minimum(1 + n // more, np.maximum(need, 1)), n)
+            inside = np.arange(len(row)) - offsets[:-1][row] < keep[row]
+            at = np.concatenate([[0], np.cumsum(keep)])
+            head = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values[inside].view(np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("c"), b.column("n"), head], ["k", "c", "n", "p"])
+
+    return sets.mapInArrow(first, f"k {sets.schema['k'].dataType.simpleString()}, c binary, n int, p array<bigint>")
+
+
+def _must_share(n: Column, threshold: float) -> Column:
+    """How many of the first shingles two sets must share if the smaller one has ``n``."""
+    return F.least(F.lit(1) + F.floor(n / MORE_SHARED), F.greatest(F.ceil(F.lit(threshold) * n - F.lit(1e-9)), F.lit(1)))
+
+
 def minhash_near_dup(df: DataFrame, key: str = "arr", text: Column | None = None, shingle: int = 4,
                      threshold: float = 0.8) -> DataFrame:
     """Pairs (a, b, jaccard) of word-``shingle`` sets with Jaccard ≥ ``threshold``, exact.
@@ -337,32 +473,30 @@ def minhash_near_dup(df: DataFrame, key: str = "arr", text: Column | None = None
     key: a class member is paired with that name only (jaccard 1), and other pairs are between names, so
     copies never multiply into all their pairs and no link is lost. Texts without words are left out.
 
-    Two sets with Jaccard ≥ t share one of the ``|s| - ceil(t |s|) + 1`` first shingles of each, in any
-    common order; in rare-first order a shingle that many documents hold is hardly ever among these.
-    The sets themselves are fetched for candidates of fitting size only.
+    Two sets with Jaccard ≥ t share ``ceil(t |s|)`` shingles for either s, so if m of these are short of it in what follows the ``|s| - ceil(t |s|) + m``
+    first shingles of each, in any common order, the first ones share m. For m a twentieth of the set is taken, so sets that share a few
+    frequent shingles by chance are no candidates. In rare-first order a shingle that many documents hold is hardly ever among the first. For the
+    order shingles are counted by hash buckets, over all texts: only the first shingles of each set ever shuffle by shingle.
+    The first shingle that two sets share also bounds how many they can share, by how many follow it in each.
+    The sets themselves are fetched for the candidates that are left.
     """
     ensure_checkpoint_dir(df.sparkSession)
     text = article_text() if text is None else text
-    # Materialise the word arrays: otherwise the optimizer may inline the tokenizer into the
-    # shingle lambda and re-tokenise the whole text once per shingle.
-    words = df.select(F.col(key).alias("k"), words_of(text).alias("w")).checkpoint(eager=True)
-    hashes = F.transform(shingle_set(F.col("w"), shingle), lambda g: F.xxhash64(g))
-    sets = words.select("k", F.array_sort(F.array_distinct(hashes)).alias("s")).filter(F.size("s") > 0)
-    sets = sets.withColumn("c", F.sha2(F.array_join(F.transform("s", lambda h: h.cast("string")), ","), 256)).checkpoint(eager=True)
+    words = df.select(F.col(key).alias("k"), F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("w"))
+    # filtered afterwards: a filter of the words would be computed from the text once more
+    sets = _stored(_shingle_sets(words, shingle).filter("n > 0"), "shingle-sets")
     names = sets.groupBy("c").agg(F.min("k").alias("name"))
-    member = (sets.select("k", "c").join(names, "c").filter("k != name")
-              .select(F.col("name").alias("a"), F.col("k").alias("b"), F.lit(1.0).alias("jaccard")))
-    classes = sets.join(names, "c").filter("k = name").select("k", "s", F.size("s").alias("n")).checkpoint(eager=True)
-    grams = classes.select("k", "n", F.explode("s").alias("g"))
-    common = grams.groupBy("g").agg(F.count("*").alias("held"))
-    ranked = grams.join(common, "g").select("k", "n", F.struct("held", "g").alias("x"))
+    named = sets.select("k", "c").join(names, "c")
+    member = named.filter("k != name").select(F.col("name").alias("a"), F.col("k").alias("b"), F.lit(1.0).alias("jaccard"))
+    own = named.filter("k = name").select("k", "c")
     t = float(threshold)
-    need = F.ceil(F.lit(t) * F.col("n") - F.lit(1e-9)).cast("int")
-    prefix = (ranked.groupBy("k", "n").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-              .select("k", "n", F.explode(F.slice("xs", F.lit(1), F.col("n") - need + 1)).alias("x")).select("k", "n", F.col("x.g").alias("g")))
-    left, right = prefix.toDF("a", "na", "g"), prefix.toDF("b", "nb", "g")
+    heads = _stored(_shingle_prefixes(sets, t).join(own, ["k", "c"], "left_semi"), "shingle-prefixes")
+    left, right = (heads.select("k", "n", F.posexplode("p").alias("at", "g")).toDF(x, f"n{x}", f"at{x}", "g") for x in "ab")
     fits = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(t) * F.greatest("na", "nb") - F.lit(1e-9))
-    cand = left.join(right, "g").filter(fits).select("a", "b").distinct()
+    met = left.join(right.hint("merge"), "g").filter(fits).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.min("ata").alias("ata"), F.min("atb").alias("atb"))
+    reach = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= F.lit(t / (1 + t)) * (F.col("na") + F.col("nb")) - F.lit(1e-6)
+    cand = met.filter((F.col("met") >= _must_share(F.least("na", "nb"), t)) & reach).select("a", "b").distinct()
+    classes = sets.select("k", "c", "s").join(own, ["k", "c"], "left_semi")
     sa, sb = classes.select(F.col("k").alias("a"), F.col("s").alias("sa")), classes.select(F.col("k").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     jaccard = both / (F.size("sa") + F.size("sb") - both)
