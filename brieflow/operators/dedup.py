@@ -121,13 +121,12 @@ def l2_near_dup(df: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, block
     if leaders_store is not None:
         old = _stored_for(fps, leaders_store).select("batch", F.col("arr").alias("l_arr"), F.col("id").alias("l_id"), F.col("simhash").alias("l_fp"),
                                    *([] if window is None else [F.col("t").alias("l_t")]))
-        values = fps.select("simhash").union(old.select("l_fp")).distinct()
-        pairs = hamming_pairs(values, max_distance, "simhash", blocks).select("fp_a", "fp_b")
-        near = pairs.union(pairs.select("fp_b", "fp_a")).toDF("simhash", "l_fp")
+        # stored leaders meet the batch's fingerprints only, not each other
+        near = hamming_pairs(fps, max_distance, "simhash", blocks, other=old.select(F.col("l_fp").alias("simhash"))).select("fp_a", "fp_b").toDF("simhash", "l_fp")
         # of each stored fingerprint (and time) its earliest leader, then of each of ours the earliest near one
         first = old.groupBy(*["l_fp", "l_t"][:len(keys)]).agg(F.min(F.struct("batch", "l_arr", "l_id")).alias("f"))
         mine = fps.select(*keys).distinct()
-        met = near.join(first, "l_fp").join(mine, "simhash").drop("l_fp").unionByName(mine.join(first.withColumnRenamed("l_fp", "simhash"), "simhash"))
+        met = near.join(first, "l_fp").join(mine, "simhash").drop("l_fp")
         if window is not None:
             met = met.filter(_within("t", "l_t", window))
         of_print = met.groupBy(*keys).agg(F.min("f").alias("f")).select(*keys, F.col("f.l_id").alias("stored_id"))

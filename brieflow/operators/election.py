@@ -15,7 +15,8 @@ Round r works on the undecided nodes ``U`` and the edges among them ``E``
 2. new duplicates ``D`` = heads of edges leaving ``N``;
 3. ``U -= N ∪ D``, ``E`` keeps edges with neither end in ``D``.
 
-The lowest undecided node is always elected, so the loop ends; the number of
+Only ``E`` is kept between rounds: ``N`` are its sources that are no heads, and at the end the leaders are all nodes but the
+duplicates. The lowest undecided node is always elected, so the loop ends; the number of
 rounds is the longest arrival-ordered chain of near-duplicates, not n. Each
 round is a few shuffle joins over the shrinking residual graph, and the
 residual is checkpointed to the shared checkpoint folder each round so
@@ -44,24 +45,18 @@ def _rounds(U: DataFrame, E: DataFrame, cut: Callable[[DataFrame], DataFrame]) -
 
     An edge may come from a node outside ``U``, which stays undecided: its heads then stay undecided as well,
     unless a leader takes them."""
-    leaders: list[DataFrame] = []
     duplicates: list[DataFrame] = []
+    # whether an edge comes from an undecided node; those of ``U`` without edges need no rounds
+    E = cut(E.join(U.select(F.col("n").alias("u"), F.lit(True).alias("own")), "u", "left"))
     while True:
-        if E.isEmpty():
-            leaders.append(U)  # no edges left: every undecided node is a leader
-            return leaders, duplicates
-        heads = E.select(F.col("v").alias("n")).distinct()
-        # materialised: it feeds D, the U and E updates and the final union
-        N = cut(U.join(heads, "n", "left_anti"))
-        if N.isEmpty():
-            return leaders, duplicates
-        D = E.join(N.withColumnRenamed("n", "u"), "u", "left_semi").select(F.col("v").alias("n")).distinct()
-        leaders.append(N)
-        duplicates.append(D)
-        U = cut(U.join(N, "n", "left_anti").join(D, "n", "left_anti"))
-        E = cut(E.join(D.withColumnRenamed("n", "v"), "v", "left_anti")
-                 .join(D.withColumnRenamed("n", "u"), "u", "left_anti")
-                 .join(N.withColumnRenamed("n", "u"), "u", "left_anti"))
+        heads = E.select(F.col("v").alias("u")).distinct()
+        D = cut(E.filter("own").join(heads, "u", "left_anti").select("v").distinct())
+        if D.isEmpty():  # no edges left, or all that are wait for a node outside
+            U = U.join(heads.withColumnRenamed("u", "n"), "n", "left_anti")
+            return [U if not duplicates else U.join(_union(duplicates), "n", "left_anti")], duplicates
+        duplicates.append(D.withColumnRenamed("v", "n"))
+        # edges out of new leaders lead to new duplicates, so these joins drop them as well
+        E = cut(E.join(D, "v", "left_anti").join(D.withColumnRenamed("v", "u"), "u", "left_anti"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -88,7 +83,7 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", chec
     e0 = cut(edges.select("u", "v"))
     # only nodes with an edge are undecided; all others lead themselves
     U = cut(e0.select(F.col("u").alias("n")).union(e0.select(F.col("v").alias("n"))).distinct())
-    all_leaders = _union(_rounds(U, e0, cut)[0])
+    all_leaders = cut(_union(_rounds(U, e0, cut)[0]))
     # duplicate -> lowest adjacent leader (over the original edges)
     dup_map = (e0.join(all_leaders.withColumnRenamed("n", "u"), "u", "left_semi")
                  .join(all_leaders.withColumnRenamed("n", "v"), "v", "left_anti")

@@ -130,19 +130,20 @@ def band_keys(col: str, blocks: int, max_distance: int) -> Column:
 
 
 def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp_col: str = "simhash",
-                  blocks: int | None = None) -> DataFrame:
+                  blocks: int | None = None, other: DataFrame | None = None) -> DataFrame:
     """All pairs of *distinct* fingerprints within ``max_distance`` bits.
 
-    Returns (fp_a, fp_b, dist) with fp_a < fp_b. Exact (no false negatives,
+    Returns (fp_a, fp_b, dist) with fp_a < fp_b; with ``other`` all pairs of a value of ``fps`` and one of ``other``, equal ones
+    included, and none within a table. Exact (no false negatives,
     no false positives) for any number of ``blocks``; None chooses it from the
     number of distinct fingerprints. These are materialised once. The keys meet by a sort-merge join: Spark would judge their
     size by the fingerprints before the explode, and broadcast a table of up to 70 times that size.
     """
     k = int(max_distance)
     ensure_checkpoint_dir(fps.sparkSession)
-    d = fps.select(F.col(fp_col).alias("fp")).filter(F.col("fp").isNotNull()).distinct().checkpoint(eager=True)
+    d, e = (x if x is None else x.select(F.col(fp_col).alias("fp")).filter(F.col("fp").isNotNull()).distinct().checkpoint(eager=True) for x in (fps, other))
     if blocks is None:
-        blocks = choose_blocks(d.count(), k)
+        blocks = choose_blocks(d.count() if e is None else max(d.count(), e.count()), k)
     m = blocks
     if m < k + 1:
         raise ValueError("blocks must be at least max_distance + 1")
@@ -153,11 +154,12 @@ def hamming_pairs(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE, fp
         return _block_value(col, *layout[b])
 
     # one row per (fingerprint, combination)
-    keyed = d.select("fp", F.explode(band_keys("fp", m, k)).alias("key")) \
-        .select("fp", F.col("key.c").alias("c"), F.col("key.v").alias("v"))
-    a = keyed.select(F.col("fp").alias("fp_a"), "c", "v")
-    b = keyed.select(F.col("fp").alias("fp_b"), "c", "v")
-    cand = a.join(b.hint("merge"), ["c", "v"]).filter(F.col("fp_a") < F.col("fp_b"))
+    def keyed(values: DataFrame, name: str) -> DataFrame:
+        return values.select(F.col("fp").alias(name), F.explode(band_keys("fp", m, k)).alias("key")).select(name, F.col("key.c").alias("c"), F.col("key.v").alias("v"))
+
+    cand = keyed(d, "fp_a").join(keyed(d if e is None else e, "fp_b").hint("merge"), ["c", "v"])
+    if e is None:
+        cand = cand.filter(F.col("fp_a") < F.col("fp_b"))
     dist = hamming_distance("fp_a", "fp_b")
     # bitmask of equal blocks; emit only under the first combination fully contained in it
     eq = " | ".join(f"CASE WHEN {block_val('_x', b)} = 0 THEN {1 << b} ELSE 0 END" for b in range(m))
