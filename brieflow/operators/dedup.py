@@ -83,8 +83,8 @@ def first_fit_prints(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE,
     window = _micros(window_hours)
     keys = ["simhash"] if window is None else ["simhash", "t"]
     timed = fps if window is None else fps.filter("t is not null")
-    reps = timed.groupBy(*keys).agg(F.min("arr").alias("node"))
-    m = blocks or choose_blocks(timed.select("simhash").distinct().count(), max_distance)
+    reps = _cut(timed.groupBy(*keys).agg(F.min("arr").alias("node")))
+    m = blocks or choose_blocks(reps.select("simhash").distinct().count(), max_distance)
     gs = band_keys("simhash", m, max_distance)
     if window is not None:
         # times within a window of each other share a bucket or lie in following ones
@@ -95,7 +95,7 @@ def first_fit_prints(fps: DataFrame, max_distance: int = P.SIMHASH_MAX_DISTANCE,
         close = hamming_distance(f"{a}_simhash", f"{b}_simhash") <= max_distance
         return close if window is None else close & _within(f"{a}_t", f"{b}_t", window)
 
-    elected = first_fit(reps.select("node", gs.alias("gs"), *keys), near)
+    elected = first_fit(reps.select("node", *keys), near, gs=gs)
     # a copy of a leader is a duplicate of that leader; a copy of a duplicate follows it
     led = timed.select("arr", *keys).join(reps.join(elected, "node").select(*keys, "leader"), keys).select("arr", F.col("leader").alias("leader_arr"))
     return led if window is None else led.unionByName(fps.filter("t is null").select("arr", F.col("arr").alias("leader_arr")))
@@ -242,7 +242,7 @@ def dedup_cascade(df: DataFrame, vectors: DataFrame | None = None, rules: P.Rule
     """
     transitive = rules.transitive_counts if transitive is None else transitive
     store = store or {}
-    l1 = l1_url_dedup(df.select("arr", "id", "url"))
+    l1 = l1_url_dedup(_cut(df.select("arr", "id", "url")))  # both sides of its join read it, and ``df`` may come from whole texts
     if store.get("url_hashes") is not None:
         # URLs seen in earlier batches are L1 duplicates (their story id is the URL hash)
         seen = _stored_for(l1, store["url_hashes"]).select("url_hash").distinct().withColumn("_seen", F.lit(True))

@@ -37,7 +37,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brieflow.session import ensure_checkpoint_dir
+from brieflow.session import broadcast_if_small, ensure_checkpoint_dir
 
 
 def _rounds(U: DataFrame, E: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -99,60 +99,74 @@ def leader_election(nodes: DataFrame, edges: DataFrame, node: str = "node", chec
 HEAD = 64
 
 
-def first_fit(nodes: DataFrame, near: Callable[[str, str], Column], head: int = HEAD) -> DataFrame:
+def first_fit(nodes: DataFrame, near: Callable[[str, str], Column], head: int = HEAD, *, gs: Column | None = None) -> DataFrame:
     """(node, leader) for every row of ``nodes``: ``node`` (BIGINT order key, unique), ``gs`` (array of its groups) and what
     ``near`` looks at. ``near(a, b)`` says whether two nodes, their columns prefixed ``a_`` and ``b_``, are adjacent; adjacent
-    nodes must share a group (a node without groups leads itself).
+    nodes must share a group (a node without groups leads itself). Groups that are given as an expression ``gs`` over the other columns are not stored.
 
     A pass takes the nodes that are among the first ``head`` undecided ones of *all* their groups: all their earlier undecided
     neighbours are among the first of a shared group, so the edges between the groups' first nodes are all that can decide them.
     The rounds above decide them, except those that wait for a node which is not taken. New leaders then take whoever is near them in their groups.
     The lowest undecided node is always decided. Each pass doubles ``head``, as leaders have thinned the groups out. At the end a duplicate's leader is
     the lowest one among its edges, or, where a leader took it, among all leaders in its groups.
+
+    Members shuffle once in a pass, under a hash of their group (one that two groups share only lets more nodes meet). Of a group only its edges are kept
+    and, if it holds more than ``head`` nodes, the first one beyond.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
     own = [c for c in nodes.columns if c not in ("node", "gs")]
+    groups = F.array_distinct(F.transform(F.col("gs") if gs is None else gs, lambda g: F.xxhash64(g)))
 
     def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
     def members(df: DataFrame) -> DataFrame:
-        return df.select("node", *own, F.explode("gs").alias("g"), F.size("gs").alias("groups"))
+        return df.select("node", *own, F.explode("gs" if gs is None else groups).alias("g"))
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select("g", *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in ("g", "groups")])
+        return df.select("g", *[F.col(c).alias(f"{name}_{c}") for c in ("node", *own)])
 
     def meetings(leaders: DataFrame, others: DataFrame) -> DataFrame:
         """(u, v): nodes of ``others`` near a leader before them."""
-        met = side(members(nodes.join(leaders, "node", "left_semi")), "a").join(side(members(others), "b"), "g")
+        few = broadcast_if_small(members(others).select("g").distinct())  # where it is small, no other group of the leaders shuffles
+        met = side(members(nodes.join(leaders, "node", "left_semi")).join(few, "g", "left_semi"), "a").join(side(members(others), "b"), "g")
         return met.filter((F.col("a_node") < F.col("b_node")) & near("a", "b")).select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
 
-    nodes = cut(nodes)
-    leaders = [nodes.filter(F.size("gs") == 0).select("node")]
+    nodes = cut(nodes.withColumn("gs", groups) if gs is None else nodes)
+    size = F.size("gs" if gs is None else gs)
+    leaders = [nodes.filter(size == 0).select("node")]
     edges: list[DataFrame] = []
     taken: list[DataFrame] = []
-    left = nodes.filter(F.size("gs") > 0)
-    remaining = left.count()
-    while remaining:
-        first = Window.partitionBy("g").orderBy("node")
-        heads = cut(members(left).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= head))
-        whole = cut(heads.groupBy("node").agg(F.count("*").alias("found"), F.first("groups").alias("groups")).filter("found = groups").select(F.col("node").alias("n")))
-        met = side(heads, "a").join(side(heads, "b"), "g").filter((F.col("a_rank") < F.col("b_rank")) & near("a", "b"))
-        met = cut(met.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct().join(whole.withColumnRenamed("n", "v"), "v", "left_semi").select("u", "v"))
+    left = nodes.filter(size > 0)
+    while not left.isEmpty():
+        first, rank = Window.partitionBy("g").orderBy("node"), F.col("rank")
+        ranked = members(left).withColumn("rank", F.row_number().over(first)).filter(rank <= head + 1)
+        earlier = F.collect_list(F.struct("node", *own)).over(first.rowsBetween(-head, -1))
+        met = ranked.withColumn("earlier", F.when(rank <= head, earlier)).withColumn("a", F.explode_outer("earlier"))
+        met = met.select("g", "rank", *[F.col(c).alias(f"b_{c}") for c in ("node", *own)], *[F.col(f"a.{c}").alias(f"a_{c}") for c in ("node", *own)])
+        met = cut(met.filter((rank > head) | near("a", "b")).select(F.col("a_node").alias("u"), F.col("b_node").alias("v"), F.when(rank > head, F.col("g")).alias("g")))
+        over = met.filter("g is not null").select("g", F.col("v").alias("bound"))
+        whole = over.isEmpty()
+        met = met.filter("g is null").select("u", "v").distinct()
+        if not whole:
+            beyond = cut(members(left).join(broadcast_if_small(over), "g").filter(F.col("node") >= F.col("bound")).select("node").distinct())
+            met = met.join(beyond.withColumnRenamed("node", "v"), "v", "left_anti").select("u", "v")
+        met = cut(met)
         edges.append(met)
         bound = met.select(F.col("u").alias("n")).union(met.select(F.col("v").alias("n"))).distinct()
-        alone = whole.join(bound, "n", "left_anti")
-        new, duplicates = _rounds(cut(whole.join(bound, "n", "left_semi")), met, cut)
+        alone = left.select(F.col("node").alias("n")).join(bound, "n", "left_anti")
+        if not whole:
+            alone, bound = (d.join(beyond.withColumnRenamed("node", "n"), "n", "left_anti") for d in (alone, bound))
+        new, duplicates = _rounds(cut(bound), met, cut)
         new = cut(_union([alone, *new]).withColumnRenamed("n", "node"))
         leaders.append(new)
-        if whole.count() == remaining:  # all were taken, so none waits
+        if whole:  # all were taken, so none waits
             break
         gone = _union([new, *(d.withColumnRenamed("n", "node") for d in duplicates)])
-        left = left.join(gone, "node", "left_anti")
+        left = cut(left.join(gone, "node", "left_anti"))
         reached = cut(meetings(new, left).select(F.col("v").alias("node")).distinct())
         taken.append(reached)
         left = cut(left.join(reached, "node", "left_anti"))
-        remaining = left.count()
         head *= 2
     all_leaders = cut(_union(leaders))
     found = [e.join(all_leaders.withColumnRenamed("node", "u"), "u", "left_semi").select("u", "v") for e in edges]

@@ -23,7 +23,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from brieflow import params as P
 from brieflow.operators import dedup
 from brieflow.operators.leader_store import LeaderStore
-from brieflow.session import scratch_path
+from brieflow.session import ensure_checkpoint_dir, scratch_path
 
 
 def stream_url_dedup(stream: DataFrame, watermark_hours: int = P.MAX_AGE_HOURS) -> DataFrame:
@@ -61,6 +61,13 @@ def stream_story_counts(stream: DataFrame, story_col: str = "story_id", window_h
                   .select(F.col("w.start").alias("window_start"), story_col, "articles"))
 
 
+def moved_stories(smap: DataFrame) -> DataFrame:
+    """The rows of a story map (one for each id) that name another story, stored once: every micro-batch joins them, not the plan that the map
+    came from. An article without a row is its own story (:func:`brieflow.operators.dedup.attach_story`)."""
+    ensure_checkpoint_dir(smap.sparkSession)
+    return smap.filter("story_id <> id").checkpoint(eager=True)
+
+
 def stream_leader_dedup(stream: DataFrame, sink: str, checkpoint: str, vectors: DataFrame | None = None,
                         rules: P.Rules = P.DEFAULT_RULES, trigger: dict | None = None, state: str | None = None,
                         keep_hours: int | None = None, store_options: dict | None = None):
