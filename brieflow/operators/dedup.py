@@ -162,15 +162,13 @@ def _leaders_by_portion(nodes: DataFrame, threshold: float, mode: str, window: i
         if upto is not None:
             portion = portion.filter(F.col("arr") <= upto)
         if leaders is not None:
-            met = cosine_cross_pairs(portion, leaders, threshold)
-            if window is not None:
-                l, r = (d.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for d, c in ((portion, "l"), (leaders, "r")))
-                met = met.join(l, "l").join(r, "r").filter(_within("t_l", "t_r", window))
+            met = cosine_cross_pairs(portion, leaders, threshold, within=window)
             taken = _cut(met.groupBy("l").agg(F.min("r").alias("leader_arr")).withColumnRenamed("l", "vk"))
             found.append(taken)
             portion = _cut(portion.join(taken.select(F.col("vk").alias("arr")), "arr", "left_anti"))
-        pairs = cosine_pairs(portion, threshold, key="arr", mode=mode)
-        if window is not None:
+        exact = mode == "exact"
+        pairs = cosine_pairs(portion, threshold, key="arr", mode=mode, **({"within": window} if exact and window is not None else {}))
+        if window is not None and not exact:
             a, b = (portion.select(F.col("arr").alias(c), F.col("t").alias(f"t_{c}")) for c in "ab")
             pairs = pairs.join(a, "a").join(b, "b").filter(_within("t_a", "t_b", window)).select("a", "b", "cos")
         elected = leader_election(portion.select("arr"), pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u < v").distinct(), "arr")

@@ -182,33 +182,40 @@ def _dot(a: str, b: str) -> Column:
 
 def cosine_pairs(vecs: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD, key: str = "arr",
                  vec_col: str = "embedding", mode: str = "exact", block_rows: int = 2048,
-                 lsh_tables: int = 8, lsh_bucket_length: float | None = None, seed: int = 7) -> DataFrame:
-    """Pairs (a, b, cos) with a < b (by ``key``) and dot product ≥ ``threshold``.
+                 lsh_tables: int = 8, lsh_bucket_length: float | None = None, seed: int = 7, within: int | None = None) -> DataFrame:
+    """Pairs (a, b, cos) with a < b (by ``key``) and dot product ≥ ``threshold``; with ``within`` (exact only) their ``t`` differ by
+    so much at most, which is looked at where they meet (a null ``t`` is near nothing).
 
     Vectors are unit-norm (the dot product is the cosine); ``key`` is unique. ``exact``
     (the default at every size) finds all pairs; ``lsh`` is approximate and must be asked for.
     """
-    v = vecs.select(F.col(key).alias("k"), F.col(vec_col).alias("v")).filter(F.col("v").isNotNull())
+    v = _vectors(vecs, key, vec_col, within)
     if mode == "exact":
-        pairs = _cosine_join(v, None, threshold, block_rows)
+        pairs = _cosine_join(v, None, threshold, block_rows, within)
         return pairs.select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"), "cos")
     if mode == "lsh":
-        return _cosine_lsh(v, threshold, lsh_tables, lsh_bucket_length, seed)
+        return _cosine_lsh(v.select("k", "v"), threshold, lsh_tables, lsh_bucket_length, seed)
     raise ValueError(mode)
 
 
+def _vectors(vecs: DataFrame, key: str, vec_col: str, within: int | None) -> DataFrame:
+    """(k, v, t) of what can meet; without ``within`` all times are the same."""
+    t = F.lit(0).cast("long") if within is None else F.col("t").cast("long")
+    return vecs.select(F.col(key).alias("k"), F.col(vec_col).alias("v"), t.alias("t")).filter("v is not null and t is not null")
+
+
 def cosine_cross_pairs(left: DataFrame, right: DataFrame, threshold: float = P.SEMANTIC_COSINE_THRESHOLD,
-                       key: str = "arr", vec_col: str = "embedding", block_rows: int = 2048) -> DataFrame:
-    """All (l, r, cos) between two tables of vectors with dot product ≥ ``threshold`` (exact)."""
-    lv, rv = (d.select(F.col(key).alias("k"), F.col(vec_col).alias("v")).filter(F.col("v").isNotNull()) for d in (left, right))
-    return _cosine_join(lv, rv, threshold, block_rows)
+                       key: str = "arr", vec_col: str = "embedding", block_rows: int = 2048, within: int | None = None) -> DataFrame:
+    """All (l, r, cos) between two tables of vectors with dot product ≥ ``threshold`` (exact), ``within`` as in :func:`cosine_pairs`."""
+    lv, rv = (_vectors(d, key, vec_col, within) for d in (left, right))
+    return _cosine_join(lv, rv, threshold, block_rows, within)
 
 
 #: bytes of the pivots' vectors, of which every task holds a copy (with the statistics of their cells, all that the driver sees)
 PIVOT_BYTES = 1 << 28
 
 
-def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, block_rows: int) -> DataFrame:
+def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, block_rows: int, within: int | None = None) -> DataFrame:
     """Exact join on the dot product; ``right`` None joins ``left`` with itself, each pair once."""
     import numpy as np
     import pandas as pd
@@ -248,7 +255,7 @@ def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, blo
             cell = far.argmin(axis=1)
             yield pdf.assign(cell=cell.astype(np.int32), far=far[np.arange(len(pdf)), cell])
 
-    home = base.mapInPandas(deal, "k long, v array<float>, cell int, far double").checkpoint(eager=True)
+    home = base.mapInPandas(deal, "k long, v array<float>, t long, cell int, far double").checkpoint(eager=True)
     stats = {r["cell"]: r for r in home.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect()}
     radius = np.full(size, -np.inf)
     for c, r in stats.items():
@@ -262,21 +269,21 @@ def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, blo
                 own = pdf["cell"].to_numpy()
                 may &= np.arange(size)[None, :] >= own[:, None]
                 may[np.arange(len(pdf)), own] = True
-            yield pdf[["k", "v"]].assign(cells=[np.flatnonzero(m).astype(np.int32) for m in may],
+            yield pdf[["k", "v", "t"]].assign(cells=[np.flatnonzero(m).astype(np.int32) for m in may],
                                          own=pdf["cell"].astype(np.int32) if itself else np.int32(-1))
 
-    probes = (home if itself else left).mapInPandas(probe, "k long, v array<float>, cells array<int>, own int")
+    probes = (home if itself else left).mapInPandas(probe, "k long, v array<float>, t long, cells array<int>, own int")
     probes = probes.checkpoint(eager=True)
     met = probes.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
     cuts = home.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("chunks")).join(met, "cell").checkpoint(eager=True)
     cuts = broadcast_if_small(cuts)  # a row for each cell
     h = (home.join(cuts, "cell").withColumn("chunk", F.pmod(F.xxhash64("k", F.lit(1)), F.col("chunks")).cast("int"))
          .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-         .select(F.col("k").alias("rk"), F.col("v").alias("rv"), "cell", "chunk", "part"))
-    q = (probes.select("k", "v", "own", F.explode("cells").alias("cell")).join(cuts, "cell")
+         .select(F.col("k").alias("rk"), F.col("v").alias("rv"), F.col("t").alias("rt"), "cell", "chunk", "part"))
+    q = (probes.select("k", "v", "t", "own", F.explode("cells").alias("cell")).join(cuts, "cell")
          .withColumn("part", F.pmod(F.xxhash64("k", F.lit(2)), F.col("parts")).cast("int"))
          .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-         .select(F.col("k").alias("lk"), F.col("v").alias("lv"), "own", "cell", "chunk", "part"))
+         .select(F.col("k").alias("lk"), F.col("v").alias("lv"), F.col("t").alias("lt"), "own", "cell", "chunk", "part"))
     t = float(threshold)
 
     def block(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
@@ -285,6 +292,8 @@ def _cosine_join(left: DataFrame, right: DataFrame | None, threshold: float, blo
         lk, rk = lp["lk"].to_numpy(dtype=np.int64), rp["rk"].to_numpy(dtype=np.int64)
         dots = np.stack(lp["lv"].to_numpy()).astype(np.float64) @ np.stack(rp["rv"].to_numpy()).astype(np.float64).T
         good = dots >= t
+        if within is not None:
+            good &= np.abs(lp["lt"].to_numpy(dtype=np.int64)[:, None] - rp["rt"].to_numpy(dtype=np.int64)[None, :]) <= within
         if itself:  # within its own cell a vector meets the larger keys only
             inside = lp["own"].to_numpy() == lp["cell"].to_numpy()
             good &= ~inside[:, None] | (lk[:, None] < rk[None, :])

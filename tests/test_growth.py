@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from brieflow import params as P
 from brieflow.operators import dedup, election
-from brieflow.operators.similarity import hamming_distance, hamming_pairs, simhash64
+from brieflow.operators.similarity import cosine_cross_pairs, cosine_pairs, hamming_distance, hamming_pairs, simhash64
 from brieflow.streaming.streams import moved_stories
 
 
@@ -71,3 +71,12 @@ def test_a_stream_joins_moved_stories_only(spark):
     assert "Scan ExistingRDD" in kept._jdf.queryExecution().executedPlan().toString()
     ids = spark.createDataFrame([(x,) for x in "abcde"], "id string")
     assert sorted(map(tuple, dedup.attach_story(ids, kept).collect())) == sorted(map(tuple, dedup.attach_story(ids, smap).collect()))
+
+
+def test_cosine_pairs_within_a_time_leave_their_block_only_then(spark):
+    times = [0, 5, 11, None, 10]
+    v = spark.createDataFrame([(k, [1.0, 0.0], t) for k, t in enumerate(times)], "arr long, embedding array<float>, t long")
+    want = {(a, b) for a in range(5) for b in range(5) if None not in (times[a], times[b]) and abs(times[a] - times[b]) <= 6}
+    assert {(r.a, r.b) for r in cosine_pairs(v, 0.5, within=6).collect()} == {(a, b) for a, b in want if a < b}
+    assert {(r.l, r.r) for r in cosine_cross_pairs(v, v, 0.5, within=6).collect()} == want
+    assert cosine_pairs(v, 0.5).count() == 10
